@@ -6,7 +6,7 @@ from functools import cache
 
 from pyspark.sql import functions as F
 
-from folioforge.llm import bpe, linededup, lm, simhash
+from folioforge.llm import bpe, chat, decontaminate, licenses, linededup, lm, media, quality, simhash, urls
 from folioforge.llm.common import documents
 
 QUERIES: dict = {}
@@ -63,3 +63,51 @@ FROM marked GROUP BY doc_id
 @query("op6_line_dedup", OP6_SQL)
 def op6_line_dedup(spark, sf_dir):
     return linededup.dedup_lines(documents(spark, sf_dir)).select(F.col("doc_id"), "n_lines", "n_dropped", "kept_sha256")
+
+
+@query("op3_licenses")
+def op3_licenses(spark, sf_dir):
+    return licenses.scan_licenses(documents(spark, sf_dir)).drop("spans")
+
+
+@query("op4_urls")
+def op4_urls(spark, sf_dir):
+    return urls.filter_urls(documents(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP7_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))),
+marked AS (
+  SELECT *, regexp_matches(role || chr(0) || text, '<s>|</s>|\[INST\]|\[/INST\]') AS escaped FROM turns)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(21 + length(role) + length(text) + CASE WHEN escaped THEN length(role || text) - length(translate(role || text, '~<[', '')) ELSE 0 END)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+
+@query("op7_chat", OP7_SQL)
+def op7_chat(spark, sf_dir):
+    conversations = documents(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.range(1).select(F.explode(F.array(*(F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(said).alias("text")) for i, r in enumerate(("user", "assistant"))))).alias("r")).select("r.*")
+    return chat.digests(chat.format_conversations(conversations.unionByName(more)))
+
+
+@query("op8_media")
+def op8_media(spark, sf_dir):
+    return media.media_columns(documents(spark, sf_dir), keep=False)
+
+
+@query("op9_decontamination")
+def op9_decontamination(spark, sf_dir):
+    return decontaminate.find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+@query("op10_quality")
+def op10_quality(spark, sf_dir):
+    return quality.score_quality(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))

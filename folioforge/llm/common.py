@@ -110,16 +110,21 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def fold_words(columns) -> np.ndarray:
+    """One 64-bit hash per row of equally long columns of word hashes, by their order."""
+    h = np.uint64(0)
+    for c in columns:
+        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + c + np.uint64(1))
+    return h
+
+
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Order-dependent 64-bit hashes of each k consecutive word hashes; of all words if there are fewer."""
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64)
     k = min(k, n)
-    h = np.zeros(n - k + 1, np.uint64)
-    for i in range(k):
-        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + words[i : n - k + 1 + i] + np.uint64(1))
-    return h
+    return fold_words(words[i : n - k + 1 + i] for i in range(k))
 
 
 def bit_sums(hashes: np.ndarray) -> np.ndarray:
