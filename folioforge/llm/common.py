@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -66,6 +67,9 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/folioforge/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # shuffle files of finished steps go only when the driver collects its garbage
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

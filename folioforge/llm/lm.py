@@ -38,7 +38,7 @@ ORDER = 2
 #: Every HELD_OUT_OF-th part of the ids by CRC-32, that with remainder HELD_OUT, is not learned from.
 HELD_OUT_OF, HELD_OUT = 7, 2
 #: Rows to a block of texts.
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 2048
 
 # Hashes of what no text holds: the end of a text and its start.
 END, START = 0x656E64, 0x7374617274
@@ -111,18 +111,23 @@ class _Block:
     """The distinct n-grams of a block's texts, and where in them each text's states are."""
 
     def __init__(self, rows: list[tuple], table: WordHashes, order: int):
-        self.held = np.array([r[1] for r in rows], bool)
-        grams = [g for r in rows for g in ngram_hashes(table.of(r[2].lower().split()), order)]
+        grams, fresh = [], []
+        for _, held, text in rows:
+            for n, g in enumerate(ngram_hashes(table.of(text.lower().split()), order)):
+                grams.append(g)
+                # where n tokens reach back over the start, a shorter n-gram stands in for them and must not count again
+                count = np.full(len(g), not held)
+                count[:n] = False
+                fresh.append(count)
         self.size, self.order = [len(g) for g in grams], order
-        self.hashes, self.place = np.unique(np.concatenate(grams), return_inverse=True)
+        self.fresh = np.concatenate(fresh)
+        hashes = np.concatenate(grams)
+        del grams, fresh
+        self.hashes, self.place = np.unique(hashes, return_inverse=True)
 
     def trained(self) -> np.ndarray:
         """How often each n-gram stands in the texts to learn from."""
-        learn = np.repeat(~np.repeat(self.held, self.order), self.size)
-        # where n tokens reach back over the start, a shorter n-gram stands in for them and must not count again
-        at = np.concatenate([np.arange(s) for s in self.size])
-        level = np.repeat(np.tile(np.arange(self.order), len(self.held)), self.size)
-        return np.bincount(self.place[learn & (at >= level)], minlength=len(self.hashes)).astype(np.int64)
+        return np.bincount(self.place[self.fresh], minlength=len(self.hashes))
 
     def states(self):
         """For each text its states by n."""
@@ -172,8 +177,7 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
         for number, rows in _groups(batches, "bucket"):
             asked = [(r["block"], np.cumsum(unpack(r["hashes"]), dtype=np.uint64), unpack(r["counts"])) for r in rows]
             hashes, place = np.unique(np.concatenate([a[1] for a in asked]), return_inverse=True)
-            total = np.zeros(len(hashes), np.int64)
-            np.add.at(total, place, np.concatenate([a[2] for a in asked]).astype(np.int64))
+            total = np.bincount(place, np.concatenate([a[2] for a in asked]).astype(float), len(hashes)).astype(np.int64)
             words = total[(hashes & ONE) == ONE]
             parts = np.split(total[place], np.cumsum([len(a[1]) for a in asked])[:-1])
             yield {
