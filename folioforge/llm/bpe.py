@@ -20,7 +20,7 @@ import hashlib
 import heapq
 import json
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from unicodedata import normalize
 
 import numpy as np
@@ -29,19 +29,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from folioforge.llm.common import mapped_file, map_rows, text_bytes
-
-#: Words in the compiled lexicon; this bounds what is broadcast.
-LEXICON_WORDS = 32_768
-#: Words that a worker remembers beside the lexicon.
-MEMO_WORDS = 150_000
-#: What the tokenizer's regex engine takes as white space (the Unicode White_Space property).
-SPACE = r"[\t-\r \u0085   -     　]"
-
+from folioforge.llm.common import map_rows, mapped_file, stage, text_bytes
 
+#: Words in the compiled lexicon, at most; this bounds what is collected and broadcast.
+LEXICON_WORDS = 131_072
+#: Entries of a worker's memo; as many older ones are kept besides.
+MEMO = 250_000
+#: Texts whose unknown words are looked up together.
+TOGETHER = 64
 #: Characters that every Unicode version since 2015 normalises, lower-cases and classifies alike. Texts with others go
-#: through the tokenizer library's own normaliser and splitter, since Python's tables may be of another version.
-SETTLED = r"[\x00-\u052F\u1E00-\u1FBC\u2000-\u206F\u20A0-\u20BD\u2100-\u218B\u2200-\u23FA\u2500-\u2B73\u3001-\u3029\u3041-\u3096\u309B-\u30FF\u4E00-\u9FA5\uAC00-\uD7A3\uFF01-\uFFBE\U0001F300-\U0001F579]*+"
+#: through the tokenizer library's own normaliser and splitter, since Python's tables may be of another version. Python
+#: also takes 1C to 1F for white space.
+SETTLED = (
+    r"[\x00-\x1B\x20-\u052F\u1E00-\u1FBC\u2000-\u206F\u20A0-\u20BD\u2100-\u218B\u2200-\u23FA\u2500-\u2B73\u3000-\u3029\u3041-\u3096"
+    r"\u309B-\u30FF\u4E00-\u9FA5\uAC00-\uD7A3\uFF01-\uFFBE\U0001F300-\U0001F579]*+"
+)
 
 
 def byte_alphabet() -> list[str]:
@@ -57,7 +59,8 @@ class Merges:
 
     start: list[int]  # id of byte b inside a word
     last: list[int]  # id of byte b at a word's end
-    pairs: dict[tuple[int, int], tuple[int, int]]  # (left, right): (rank, id)
+    ranks: dict[tuple[int, int], int]  # (left, right): rank
+    made: list[int]  # id that the merge of a rank makes
     strings: dict[int, str]  # id: token as decoding prints it
     special: dict[str, int]
     pattern: str
@@ -70,52 +73,48 @@ class Merges:
             t = json.load(f)
         vocab, end = t["model"]["vocab"], t["model"]["end_of_word_suffix"]
         letters = byte_alphabet()
-        pairs = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(t["model"]["merges"])}
+        merges = t["model"]["merges"]
+        ranks = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(merges)}
         special = {a["content"]: a["id"] for a in t["added_tokens"]}
         strings = {i: s for s, i in vocab.items()} | {i: s for s, i in special.items()}
         split = next(p for p in t["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         splitter = {"version": t["version"], "added_tokens": [], "normalizer": t["normalizer"], "pre_tokenizer": split, "model": {"type": "BPE", "vocab": {}, "merges": []}}
-        return cls([vocab[c] for c in letters], [vocab[c + end] for c in letters], pairs, strings, special, split["pattern"]["Regex"], json.dumps(splitter))
+        return cls([vocab[c] for c in letters], [vocab[c + end] for c in letters], ranks, [vocab[a + b] for a, b in merges], strings, special, split["pattern"]["Regex"], json.dumps(splitter))
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the lowest-ranked pair is merged first, the leftmost of equals."""
         ids = [self.start[b] for b in word[:-1]] + [self.last[word[-1]]]
         if len(ids) > 48:
             return self._merge_long(ids)
-        get = self.pairs.get
-        found = [get(p) for p in zip(ids, ids[1:])]
-        while True:
-            best = at = None
-            for i, f in enumerate(found):
-                if f is not None and (best is None or f < best):
-                    best, at = f, i
-            if at is None:
-                return ids
-            ids[at : at + 2] = [best[1]]
+        get, never = self.ranks.get, len(self.made)
+        found = [get(p, never) for p in zip(ids, ids[1:])]
+        while found and (best := min(found)) < never:
+            at = found.index(best)
+            ids[at : at + 2] = [self.made[best]]
             del found[at]
             if at:
-                found[at - 1] = get((ids[at - 1], ids[at]))
+                found[at - 1] = get((ids[at - 1], ids[at]), never)
             if at < len(found):
-                found[at] = get((ids[at], ids[at + 1]))
+                found[at] = get((ids[at], ids[at + 1]), never)
+        return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same by a heap over a linked list, n log n in the length of the word."""
-        get, n = self.pairs.get, len(ids)
+        get, n = self.ranks.get, len(ids)
         after, before, live = [*range(1, n), -1], [*range(-1, n - 1)], [True] * n
-        heap = [(*f, i) for i, p in enumerate(zip(ids, ids[1:])) if (f := get(p))]
-        heap = [(rank, i, new) for rank, new, i in heap]
+        heap = [(rank, i) for i, p in enumerate(zip(ids, ids[1:])) if (rank := get(p)) is not None]
         heapq.heapify(heap)
         while heap:
-            rank, i, new = heapq.heappop(heap)
+            rank, i = heapq.heappop(heap)
             j = after[i] if live[i] else -1
-            if j < 0 or get((ids[i], ids[j])) != (rank, new):
+            if j < 0 or get((ids[i], ids[j])) != rank:
                 continue
-            ids[i], live[j], after[i] = new, False, after[j]
+            ids[i], live[j], after[i] = self.made[rank], False, after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b >= 0 and (f := get((ids[a], ids[b]))):
-                    heapq.heappush(heap, (f[0], a, f[1]))
+                if a >= 0 and b >= 0 and (rank := get((ids[a], ids[b]))) is not None:
+                    heapq.heappush(heap, (rank, a))
         return [x for x, alive in zip(ids, live) if alive]
 
 
@@ -230,73 +229,136 @@ class Transducer:
         return self.ids[self.offset[rank] : self.offset[rank + 1]]
 
 
-@dataclass
+class Memo(dict):
+    """Remembers up to MEMO newer and as many older entries; those in use move up."""
+
+    old: dict = {}
+
+    def unknown(self, keys) -> set:
+        """Those of the keys, none of which is among the newer entries, that are not among the older either."""
+        keys = set(keys)
+        if len(self) > MEMO:
+            self.old = dict(self)
+            self.clear()
+        for k in keys.intersection(self.old):
+            self[k] = self.old[k]
+            keys.discard(k)
+        return keys
+
+
 class Encoder:
-    """Encodes texts word by word: lexicon by automaton, others by merging, both remembered."""
+    """Encodes texts by white-space chunks, chunks by words, words by the lexicon or by merging; both are remembered.
 
-    merges: Merges
-    lexicon: Transducer
-    memo: dict = field(default_factory=dict)
+    A remembered entry is (ids as little-endian bytes, decoded).
+    """
 
-    def __post_init__(self):
-        self.find = regex.compile(self.merges.pattern).findall
-        self.spaces = regex.compile(SPACE + "+").sub
+    def __init__(self, merges: Merges, lexicon: Transducer | None = None):
+        self.merges, self.lexicon, self.chunks, self.known = merges, lexicon, Memo(), Memo()
+        self.find = regex.compile(merges.pattern).findall
         self.settled = regex.compile(SETTLED).fullmatch
-        self.library = Tokenizer.from_str(self.merges.splitter)
-        self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in self.merges.special) + ")").split if self.merges.special else None
+        self.library = Tokenizer.from_str(merges.splitter)
+        self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in merges.special) + ")").split if merges.special else None
 
-    def pieces(self, text: str) -> list[str]:
-        """Normalised words and special tokens in order; a special token is longer than any of its words."""
+    def split(self, text: str) -> list[str | tuple[str, ...]]:
+        """The text's chunks; special tokens and texts beyond SETTLED come as tuples of their words."""
         if self.cut and any(s in text for s in self.merges.special):
-            return [w for part in self.cut(text) for w in ([part] if part in self.merges.special else self.words(part))]
-        return self.words(text)
-
-    def words(self, text: str) -> list[str]:
-        if not self.settled(text):
-            text = self.library.normalizer.normalize_str(text)
-            return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
-        text = self.spaces(" ", normalize("NFC", text))
-        # one character at a time, so that a final sigma gets no form of its own
-        return self.find("".join(map(str.lower, text)) if "Σ" in text else text.lower())
-
-    def learn(self, words: set[str]) -> None:
-        """Puts the words into the memo: (ids as bytes, number of ids, decoded)."""
-        new = [w for w in words if w not in self.memo]
-        if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo.clear()
-            new = [*words]
-        coded = [w.encode("utf-8", "surrogatepass") for w in new]
-        show = self.merges.strings
-        for w, b, rank in zip(new, coded, self.lexicon.ranks(coded).tolist(), strict=True):
-            ids = [self.merges.special[w]] if w in self.merges.special else self.lexicon.output(rank).tolist() if rank >= 0 else self.merges.merge(b)
-            self.memo[w] = (np.array(ids, "<u4").tobytes(), len(ids), " ".join([show[i] for i in ids]))
-
-    def encode(self, text: str) -> tuple[bytes, int, str]:
-        """The ids as little-endian 32-bit integers, their number, and the text decoded from them."""
-        words = self.pieces(text)
-        self.learn(set(words))
-        found = [self.memo[w] for w in words]
-        return b"".join([x[0] for x in found]), sum([x[1] for x in found]), " ".join([x[2] for x in found])
+            return [c for part in self.cut(text) for c in ([(part,)] if part in self.merges.special else self._split(part))]
+        return self._split(text)
+
+    def _split(self, text: str) -> list[str | tuple[str, ...]]:
+        if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f") or self.settled(text):
+            return text.split()
+        text = self.library.normalizer.normalize_str(text)
+        words = tuple(w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text))
+        return [words] if words else []
+
+    def words(self, chunk: str | tuple[str, ...]) -> list[str] | tuple[str, ...]:
+        """The normalised words of a chunk."""
+        if isinstance(chunk, tuple):
+            return chunk
+        if not chunk.isascii():
+            chunk = normalize("NFC", chunk)
+        # one character at a time where a final sigma would get a form of its own
+        chunk = "".join(map(str.lower, chunk)) if "Σ" in chunk else chunk.lower()
+        return [chunk] if chunk.isalpha() else self.find(chunk)
+
+    def learn(self, chunks: set) -> None:
+        new = {c: self.words(c) for c in chunks}
+        words = list(self.known.unknown(w for ws in new.values() for w in ws if w not in self.known))
+        coded = [w.encode("utf-8", "surrogatepass") for w in words]
+        show, special, known = self.merges.strings, self.merges.special, self.known
+        fresh = {}
+        for w, b, rank in zip(words, coded, self.lexicon.ranks(coded).tolist(), strict=True):
+            ids = [special[w]] if w in special else self.lexicon.output(rank).tolist() if rank >= 0 else self.merges.merge(b)
+            fresh[w] = (np.array(ids, "<u4").tobytes(), " ".join([show[i] for i in ids]))
+        known.update(fresh)
+        for c, ws in new.items():
+            found = [known.get(w) or known.old[w] for w in ws]
+            self.chunks[c] = found[0] if len(found) == 1 else (b"".join([f[0] for f in found]), " ".join([f[1] for f in found]))
+
+    def encode(self, texts: list[str]):
+        """The ids as little-endian 32-bit integers, their number, and the text decoded from them, of each text."""
+        for i in range(0, len(texts), TOGETHER):
+            parts = [self.split(t) for t in texts[i : i + TOGETHER]]
+            get = self.chunks.get
+            found = [list(map(get, p)) for p in parts]
+            missed = {c for p, f in zip(parts, found) if None in f for c, x in zip(p, f) if x is None}
+            self.learn(self.chunks.unknown(missed))
+            for p, f in zip(parts, found):
+                if None in f:
+                    f = [get(c) if x is None else x for c, x in zip(p, f)]
+                ids = b"".join([x[0] for x in f])
+                yield ids, len(ids) // 4, " ".join([x[1] for x in f])
+
+
+#: One encoder to a worker process, so that what it remembers outlives a task.
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(merges: Merges, lexicon: bytes) -> Encoder:
+    key = hashlib.sha256(lexicon).hexdigest()
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(merges, Transducer.mapped(lexicon))
+    return _ENCODERS[key]
 
 
 def frequent_words(df: DataFrame, merges: Merges, text_col: str = "text", most: int = LEXICON_WORDS) -> list[bytes]:
-    """The most frequent words over all texts, by count and then in byte order; at most `most` leave the executors."""
+    """The words of all texts that are as frequent as can be without being more than `most`.
+
+    Words are counted over everything; the driver gets a histogram of their
+    counts by eighths of powers of two, and the words above the cut.
+    """
     bound = df.sparkSession.sparkContext.broadcast(merges)
 
     def count(batches):
-        encoder = Encoder(bound.value, None)
+        encoder = Encoder(bound.value)
+
+        def words(seen: Counter):
+            out: Counter = Counter()
+            for c, n in seen.items():
+                for w in encoder.words(c):
+                    out[w] += n
+            return {"word": [w.encode("utf-8", "replace") for w in out], "n": list(out.values())}
+
         seen: Counter = Counter()
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                seen.update(encoder.words(t.decode("utf-8", "replace")))
-                if len(seen) > MEMO_WORDS:
-                    yield {"word": list(seen), "n": list(seen.values())}
-                    seen.clear()
-        yield {"word": list(seen), "n": list(seen.values())}
-
-    counts = map_rows(df.select(text_bytes(text_col)), count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(most)
-    return [r.word.encode() for r in top.select("word").collect()]
+            for t in batch.column(0):
+                seen.update(encoder.split(t.as_py().decode("utf-8", "replace")))
+                if len(seen) > 2 * MEMO:
+                    yield words(seen)
+                    seen = Counter()
+        yield words(seen)
+
+    counts = stage(map_rows(df.select(text_bytes(text_col)), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    level = F.floor(F.log2("n") * 8).cast("int")
+    cut, total = None, 0
+    for r in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        total += r["count"]
+        if total > most:
+            break
+        cut = r["level"]
+    return [] if cut is None else [bytes(r.word) for r in counts.filter(level >= cut).select("word").collect()]
 
 
 def encode_decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", lexicon_words: int = LEXICON_WORDS, keep_ids: bool = True, keep_decoded: bool = True) -> DataFrame:
@@ -311,18 +373,19 @@ def encode_decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        encoder = Encoder(model.value[0], Transducer.mapped(model.value[1]))
+        encoder = _encoder(*model.value)
         for batch in batches:
             out = {id_col: batch.column(0), "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": [], "decoded": []}
-            for t in batch.column(1):
-                ids, n, decoded = encoder.encode(t.as_py().decode("utf-8", "replace"))
-                out["n_tokens"].append(n)
-                out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
-                if keep_ids:
-                    out["ids"].append(np.frombuffer(ids, "<u4").astype(np.int32))
-                if keep_decoded:
-                    out["decoded"].append(decoded)
+            for at in range(0, batch.num_rows, TOGETHER):
+                texts = [t.decode("utf-8", "replace") for t in batch.column(1).slice(at, TOGETHER).to_pylist()]
+                for ids, n, decoded in encoder.encode(texts):
+                    out["n_tokens"].append(n)
+                    out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
+                    out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
+                    if keep_ids:
+                        out["ids"].append(np.frombuffer(ids, "<u4").astype(np.int32))
+                    if keep_decoded:
+                        out["decoded"].append(decoded)
             yield out
 
     more = ", ids array<int>" * keep_ids + ", decoded string" * keep_decoded
