@@ -25,9 +25,11 @@ text P is 1 for whatever comes, as V = N = 0; other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from folioforge.llm.common import WordHashes, map_rows, mix64, stage, text_bytes
 
@@ -38,7 +40,9 @@ ORDER = 2
 #: Every HELD_OUT_OF-th part of the ids by CRC-32, that with remainder HELD_OUT, is not learned from.
 HELD_OUT_OF, HELD_OUT = 7, 2
 #: Rows to a block of texts.
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 1280
+#: Words whose hashes a worker remembers.
+WORDS = 100_000
 
 # Hashes of what no text holds: the end of a text and its start.
 END, START = 0x656E64, 0x7374617274
@@ -156,17 +160,36 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     n = max(1, -(-df.count() // block_rows))
     block = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(n)).cast("int")
     texts = df.select(F.col(id_col).alias("id"), held_out(id_col).alias("held_out"), text_bytes(text_col).alias("text"), block.alias("block"))
+    packed_kind = to_arrow_schema(texts.drop("block").schema)
+
+    def pack_texts(batches):
+        """Rows of a batch by block, compressed, so that the texts travel light."""
+        for batch in batches:
+            blocks = batch.column(3).to_numpy()
+            order = np.argsort(blocks, kind="stable")
+            cuts = np.flatnonzero(np.r_[True, blocks[order][1:] != blocks[order][:-1]]) if len(order) else []
+            for at in np.split(order, cuts[1:]) if len(order) else []:
+                rows = pa.RecordBatch.from_arrays(batch.take(pa.array(at)).columns[:3], schema=packed_kind)
+                yield {"block": [blocks[at[0]]], "texts": [zstandard.ZstdCompressor(1).compress(rows.serialize().to_pybytes())]}
 
     def as_tuples(rows):
-        return [(r["id"], r["held_out"], r["text"]) for r in rows if r["text"] is not None]
+        out = []
+        for r in rows:
+            if r["texts"] is not None:
+                batch = pa.ipc.read_record_batch(pa.py_buffer(zstandard.ZstdDecompressor().decompress(r["texts"])), packed_kind)
+                out += zip(*(c.to_pylist() for c in batch.columns))
+        return out
+
+    packed = map_rows(texts, pack_texts, "block int, texts binary")
 
     def ask(batches):
         """A row for each block and bucket: the n-grams that the block needs, with what it adds to their counts."""
-        table = WordHashes()
+        table = WordHashes(most=WORDS)
+        bounds = np.array([-(-(b << 32) // n) for b in range(n + 1)], np.uint64)
         for number, rows in _groups(batches, "block"):
             own = _Block(as_tuples(rows), table, order)
             counts = own.trained()
-            cuts = np.searchsorted(own.hashes >> np.uint64(32), -(-(np.arange(n + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(n)))
+            cuts = np.searchsorted(own.hashes >> np.uint64(32), bounds)
             for b in range(n):
                 part = slice(cuts[b], cuts[b + 1])
                 if part.stop > part.start:
@@ -185,17 +208,17 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
                 "tokens": [int(words.sum()), *[0] * (len(asked) - 1)], "distinct": [int((words > 0).sum()), *[0] * (len(asked) - 1)],
             }
 
-    asked = map_rows(_dealt(texts, n, "block"), ask, "bucket int, block int, hashes binary, counts binary")
+    asked = map_rows(_dealt(packed, n, "block"), ask, "bucket int, block int, hashes binary, counts binary")
     answers = stage(map_rows(_dealt(asked, n, "bucket"), answer, "block int, bucket int, counts binary, tokens long, distinct long"), "lm-counts")
     sizes = answers.agg(F.sum("tokens").alias("tokens"), F.sum("distinct").alias("distinct")).first()
     total, distinct = sizes.tokens or 0, sizes.distinct or 0
 
     def walk(batches):
-        table = WordHashes()
+        table = WordHashes(most=WORDS)
         for _, rows in _groups(batches, "block"):
             docs = as_tuples(rows)
             own = _Block(docs, table, order)
-            counts = np.concatenate([unpack(c) for _, c in sorted((r["bucket"], r["counts"]) for r in rows if r["text"] is None)])
+            counts = np.concatenate([unpack(c) for _, c in sorted((r["bucket"], r["counts"]) for r in rows if r["texts"] is None)])
             automaton = BackoffAutomaton(counts.astype(np.int64), total, distinct, mass)
             got = [(len(s[0]) - 1, *automaton.traverse(s)) for s in own.states()]
             yield {
@@ -203,7 +226,7 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
                 "train_tokens": [total] * len(docs), "base_score": [g[2] for g in got], "score": [g[1] for g in got],
             }
 
-    both = texts.unionByName(answers.select("block", "bucket", "counts"), allowMissingColumns=True)
+    both = packed.unionByName(answers.select("block", "bucket", "counts"), allowMissingColumns=True)
     return map_rows(_dealt(both, n, "block"), walk, f"`{id_col}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
