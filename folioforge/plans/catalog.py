@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from folioforge.functions import geometry as geo
 from folioforge.functions import segmentation as seg
+from folioforge.functions import text as tx
+from folioforge.functions import vectors as vec
+from folioforge.operators import align, boxes, chunking, examine, glossary, models, repeats, windows
+from folioforge.operators import corpus_stats as cs
+from folioforge.sources import files, markup
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -46,3 +52,755 @@ def line_stats(spark, sf_dir):
         F.round(F.avg(n), 6).alias("mean_chars"),
         F.median(n).alias("median_chars"),
     )
+
+
+def _documents(spark, sf_dir):
+    return table(spark, sf_dir, "documents")
+
+
+# --- segmentation ---------------------------------------------------------------------------------------------------
+
+TEXT = F.col("text")
+
+
+def _cascade_sql(keep_newline: bool) -> str:
+    extra = r"\n" if keep_newline else ""
+    pieces = r"regexp_extract_all(text, '[^\n]*[\n]+|[^\n]+')"
+    for level in ("」』）)", "。.！!？?；;", "，,：:、"):
+        s = extra + level.replace(".", r"\.").replace("?", r"\?").replace(")", r"\)")
+        pieces = f"flatten(list_transform({pieces}, lambda s: CASE WHEN length(s) <= 256 THEN [s] ELSE regexp_extract_all(s, '[^{s}]*[{s}]+|[^{s}]+') END))"
+    return f"flatten(list_transform({pieces}, lambda s: CASE WHEN length(s) <= 256 THEN [s] ELSE list_transform(range(1, length(s) + 1, 256), lambda k: substring(s, k, 256)) END))"
+
+
+def _unnest_sql(array: str) -> str:
+    return f"SELECT doc_id, unnest(p) AS piece, unnest(range(len(p)))::INTEGER AS pos FROM (SELECT doc_id, {array} AS p FROM documents)"
+
+
+def _pieces(spark, sf_dir, pieces):
+    return _documents(spark, sf_dir).select("doc_id", F.posexplode(pieces).alias("pos", "piece"))
+
+
+@query("segment_lines", _unnest_sql(r"regexp_extract_all(text, '[^\n]*[\n]+|[^\n]+')"))
+def segment_lines(spark, sf_dir):
+    return _pieces(spark, sf_dir, seg.segment(TEXT))
+
+
+@query("segment_cascade", _unnest_sql(_cascade_sql(True)))
+def segment_cascade(spark, sf_dir):
+    return _pieces(spark, sf_dir, seg.segment_cascade(TEXT))
+
+
+@query("segment_cascade_nonl", _unnest_sql(_cascade_sql(False)))
+def segment_cascade_nonl(spark, sf_dir):
+    return _pieces(spark, sf_dir, seg.segment_cascade(TEXT, keep_newline=False))
+
+
+@query("hard_slice_256", _unnest_sql("list_transform(range(1, length(text) + 1, 256), lambda k: substring(text, k, 256))"))
+def hard_slice_256(spark, sf_dir):
+    return _pieces(spark, sf_dir, seg.hard_slices(TEXT))
+
+
+# --- scalar functions -----------------------------------------------------------------------------------------------
+
+
+def _on_documents(name: str, out: str, column, sql: str):
+    @query(name, f"SELECT doc_id, {sql} AS {out} FROM documents")
+    def run(spark, sf_dir):
+        return _documents(spark, sf_dir).select("doc_id", column.alias(out))
+
+
+def _on_urls(name: str, out: str, column, sql: str):
+    @query(name, f"SELECT page_id, {sql} AS {out} FROM pages")
+    def run(spark, sf_dir):
+        return table(spark, sf_dir, "pages").select("page_id", column.alias(out))
+
+
+URL = F.col("url")
+_on_documents("truncate_middle_32", "short", tx.truncate_middle(TEXT, 32), "CASE WHEN length(text) <= 32 THEN text ELSE left(text, 14) || '...' || right(text, 15) END")
+_on_documents("collapse_newlines", "clean", tx.collapse_newlines(TEXT), r"regexp_replace(regexp_replace(text, '^[ \t\n\r\f\v]+|[ \t\n\r\f\v]+$', '', 'g'), '\n+', chr(10), 'g')")
+_on_documents("text_replace", "replaced", F.replace(TEXT, F.lit("the"), F.lit("THE")), "replace(text, 'the', 'THE')")
+_on_documents("space_normalise", "spaced", tx.normalise_spaces(F.translate(TEXT, " ", "　")), "translate(translate(text, ' ', '　'), '　', ' ')")
+_on_urls("strip_charset", "stem", tx.strip_suffix(URL, ".html", compat=True), "rtrim(url, '.html')")
+_on_urls("strip_suffix", "stem", tx.strip_suffix(URL, ".html"), "CASE WHEN ends_with(url, '.html') THEN left(url, length(url) - 5) ELSE url END")
+
+NUMBER_SQL = r"""(SELECT page_id, url, regexp_replace(k, '^(.)(.*)$', '\1') || replace(regexp_replace(k, '^(.)(.*)$', '\2'), '-', '') AS s
+  FROM (SELECT page_id, url, regexp_replace(url, '[^0-9.\-]', '', 'g') AS k FROM pages))"""
+NUMBER_SQL = f"""(SELECT page_id, url, CASE WHEN n IN ('', '.', '-', '-.') THEN NULL ELSE TRY_CAST(n AS DOUBLE) END AS num FROM
+ (SELECT page_id, url, CASE WHEN strpos(s, '.') = 0 THEN s ELSE left(s, strpos(s, '.')) || replace(substring(s, strpos(s, '.') + 1), '.', '') END AS n FROM {NUMBER_SQL}))"""
+
+
+@query("only_numbers", f"SELECT page_id, num FROM {NUMBER_SQL}")
+def only_numbers(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", tx.only_numbers(URL).alias("num"))
+
+
+@query("doc_name_filter", f"SELECT page_id, url FROM {NUMBER_SQL} WHERE coalesce(num, 0) <> 0 OR contains(url, 'toc')")
+def doc_name_filter(spark, sf_dir):
+    return table(spark, sf_dir, "pages").filter(tx.is_document_name(URL)).select("page_id", "url")
+
+
+# An inline character map that stands for a script conversion table.
+CHARS = {"é": "e", "è": "e", "ü": "u", "ö": "o", "ä": "a", "ß": "s", "ñ": "n", "ó": "o"}
+CHARS_SQL = f"translate(text, '{''.join(CHARS)}', '{''.join(CHARS.values())}')"
+
+
+@query(
+    "char_map_convert",
+    f"SELECT doc_id, md5({CHARS_SQL}) AS converted_md5, {CHARS_SQL} <> text AS has_convertible FROM documents",
+)
+def char_map_convert(spark, sf_dir):
+    return _documents(spark, sf_dir).select("doc_id", F.md5(tx.convert_characters(TEXT, CHARS).cast("binary")).alias("converted_md5"), tx.has_convertible(TEXT, CHARS).alias("has_convertible"))
+
+
+@query(
+    "convertible_duplicates",
+    f"SELECT count(*)::BIGINT AS n FROM (SELECT text, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents) WHERE k > 1 AND {CHARS_SQL} <> text",
+)
+def convertible_duplicates(spark, sf_dir):
+    later = cs.later_occurrences(_documents(spark, sf_dir), TEXT, "doc_id")
+    return later.filter(tx.has_convertible(TEXT, CHARS)).agg(F.count("*").alias("n"))
+
+
+LINES_OF = r"string_split(text, chr(10))"
+
+
+@query(
+    "convertible_stats",
+    f"""SELECT sum(len(l))::BIGINT AS n_texts, sum(len(list_filter(l, lambda x: {CHARS_SQL.replace("text", "x")} <> x)))::BIGINT AS n_matching,
+ count(*) FILTER (len(list_filter(l, lambda x: {CHARS_SQL.replace("text", "x")} <> x)) > 0)::BIGINT AS n_items FROM (SELECT {LINES_OF} AS l FROM documents)""",
+)
+def convertible_stats(spark, sf_dir):
+    docs = _documents(spark, sf_dir).select("doc_id", F.split("text", "\n", -1).alias("lines"))
+    return cs.match_stats(docs, "doc_id", "lines", lambda t: tx.has_convertible(t, CHARS))
+
+
+@query(
+    "convertible_first10",
+    f"""SELECT doc_id, (i - 1)::INTEGER AS place, line AS text FROM (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, {LINES_OF} AS l FROM documents))
+ WHERE {CHARS_SQL.replace("text", "line")} <> line ORDER BY doc_id, place LIMIT 10""",
+)
+def convertible_first10(spark, sf_dir):
+    docs = _documents(spark, sf_dir).select("doc_id", F.split("text", "\n", -1).alias("lines"))
+    return cs.first_matches(docs, "doc_id", "lines", lambda t: tx.has_convertible(t, CHARS))
+
+
+# --- statistics, duplicates, keywords -------------------------------------------------------------------------------
+
+
+def _lines(spark, sf_dir):
+    return _documents(spark, sf_dir).select("doc_id", "lang", F.posexplode(seg.segment(TEXT)).alias("pos", "piece")).withColumn("n", F.length("piece"))
+
+
+@query(
+    "chunk_extremes",
+    f"""SELECT lang, hi.n AS max_n, hi.pos AS max_pos, hi.doc_id AS max_doc_id, hi.head AS max_head, lo.n AS min_n, lo.pos AS min_pos, lo.doc_id AS min_doc_id, lo.head AS min_head
+ FROM (SELECT lang, max(s) AS hi, min(s) AS lo FROM (SELECT lang, {{'n': length(piece), 'pos': pos, 'doc_id': doc_id, 'head': left(piece, 16)}} AS s FROM {LINES_SQL}) GROUP BY lang)""",
+)
+def chunk_extremes(spark, sf_dir):
+    lines = _lines(spark, sf_dir)
+    return cs.extremes(lines, ["lang"], "n", ["pos", "doc_id"], {"head": F.left("piece", F.lit(16))})
+
+
+@query(
+    "chunk_mode",
+    f"""SELECT lang, mode, n FROM (SELECT lang, mode, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, first) AS k FROM
+ (SELECT lang, length(piece) AS mode, count(*)::BIGINT AS n, min({{'d': doc_id, 'p': pos}}) AS first FROM {LINES_SQL} GROUP BY lang, length(piece))) WHERE k = 1""",
+)
+def chunk_mode(spark, sf_dir):
+    return cs.first_mode(_lines(spark, sf_dir), ["lang"], "n", ["doc_id", "pos"])
+
+
+@query("exact_duplicates", "SELECT md5(text) AS text_md5, list_aggregate(list_sort(list(doc_id)), 'string_agg', ',') AS doc_ids, count(*)::BIGINT AS n FROM documents GROUP BY text HAVING count(*) > 1")
+def exact_duplicates(spark, sf_dir):
+    found = cs.exact_duplicates(_documents(spark, sf_dir), TEXT, "doc_id")
+    return found.select(F.md5(F.col("text").cast("binary")).alias("text_md5"), F.array_join(F.col("items").cast("array<string>"), ",").alias("doc_ids"), "n")
+
+
+@query("duplicate_stats", "SELECT count(*)::BIGINT AS n_groups, coalesce(sum(n), 0)::BIGINT AS n_rows FROM (SELECT count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1)")
+def duplicate_stats(spark, sf_dir):
+    return cs.duplicate_stats(_documents(spark, sf_dir), TEXT)
+
+
+@query("second_occurrence", "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents) WHERE k > 1")
+def second_occurrence(spark, sf_dir):
+    return cs.later_occurrences(_documents(spark, sf_dir), TEXT, "doc_id").select("doc_id")
+
+
+@query("distinct_chars", "SELECT ch, count(*)::BIGINT AS n FROM (SELECT unnest(regexp_extract_all(text, '(?s).')) AS ch FROM documents) GROUP BY ch")
+def distinct_chars(spark, sf_dir):
+    return cs.distinct_characters(_documents(spark, sf_dir), "text")
+
+
+# Words of the driver's documents that stand for the drop keywords.
+KEYWORDS = ["MIT License", "Apache", "License", "GNU General", "CC BY", "!!", "***", "$$$", "http", "@"]
+KEYWORDS_SQL = "(SELECT unnest([" + ", ".join(f"'{k}'" for k in KEYWORDS) + "]) AS keyword)"
+HITS_SQL = f"""(SELECT doc_id, keyword, substring(text, greatest(i - 8, 0) + 1, i + 8 - greatest(i - 8, 0)) AS snippet
+ FROM (SELECT doc_id, text, keyword, strpos(text, keyword) - 1 AS i FROM documents, {KEYWORDS_SQL}) WHERE i >= 0)"""
+PRIORITY_SQL = f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length(keyword) DESC, keyword DESC) AS k FROM {HITS_SQL}) WHERE k = 1)"
+
+
+def _hits(spark, sf_dir):
+    return cs.keyword_hits(_documents(spark, sf_dir), "doc_id", "text", KEYWORDS)
+
+
+@query("keyword_hits", f"SELECT doc_id, keyword FROM {HITS_SQL}")
+def keyword_hits(spark, sf_dir):
+    return _hits(spark, sf_dir).select("doc_id", "keyword")
+
+
+@query("keyword_snippets", f"SELECT doc_id, keyword, snippet, doc_id || '___' || snippet AS rendered FROM {HITS_SQL}")
+def keyword_snippets(spark, sf_dir):
+    return _hits(spark, sf_dir).withColumn("rendered", F.concat_ws("___", F.col("doc_id").cast("string"), "snippet"))
+
+
+@query("keyword_priority_dedup", f"SELECT doc_id, keyword, snippet FROM {PRIORITY_SQL}")
+def keyword_priority_dedup(spark, sf_dir):
+    return cs.keyword_priority(_hits(spark, sf_dir), "doc_id")
+
+
+@query(
+    "keyword_counts",
+    f"""WITH c AS (SELECT keyword, count(p.doc_id)::BIGINT AS n FROM (SELECT DISTINCT keyword FROM {HITS_SQL}) k LEFT JOIN {PRIORITY_SQL} p USING (keyword) GROUP BY keyword)
+ SELECT * FROM c UNION ALL SELECT 'total', coalesce(sum(n), 0)::BIGINT FROM c""",
+)
+def keyword_counts(spark, sf_dir):
+    return cs.keyword_counts(_hits(spark, sf_dir), "doc_id")
+
+
+@query(
+    "low_score_stats",
+    """SELECT sum(len(s))::BIGINT AS n_scores, sum(len(list_filter(s, lambda x: x < 0.03)))::BIGINT AS n_low, count(*) FILTER (len(list_filter(s, lambda x: x < 0.03)) > 0)::BIGINT AS n_items
+ FROM (SELECT l_orderkey, list(l_discount) AS s FROM lineitem GROUP BY l_orderkey)""",
+)
+def low_score_stats(spark, sf_dir):
+    scores = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_discount").alias("scores"))
+    return cs.low_score_stats(scores, "scores", 0.03)
+
+
+@query(
+    "repeated_ngrams",
+    """SELECT conv_id, turn, gram, count(*)::BIGINT AS n FROM (SELECT conv_id, turn, unnest(list_transform(range(1, length(text) - 4), lambda i: substring(text, i, 6))) AS gram FROM conversations)
+ GROUP BY conv_id, turn, gram HAVING count(*) >= 3""",
+)
+def repeated_ngrams(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select(F.struct("conv_id", "turn").alias("key"), "text")
+    return cs.ngram_counts(turns, "key", "text", 6, 3).select("key.conv_id", "key.turn", "gram", "n")
+
+
+@query("repeated_content")
+def repeated_content(spark, sf_dir):
+    return repeats.merged_repeats(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text")
+
+
+# --- alignment ------------------------------------------------------------------------------------------------------
+
+
+def _pairs(spark, sf_dir):
+    """Even documents as source, the next ones as target."""
+    docs = _documents(spark, sf_dir)
+    left = docs.filter("doc_id % 2 = 0").select((F.col("doc_id") / 2).cast("long").alias("pair"), "source", F.col("text").alias("jp"))
+    return left.join(docs.filter("doc_id % 2 = 1").select(((F.col("doc_id") - 1) / 2).cast("long").alias("pair"), F.col("text").alias("tw")), "pair")
+
+
+PAIRS_SQL = "(SELECT a.doc_id // 2 AS pair, a.source, a.text AS jp, b.text AS tw FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1 WHERE a.doc_id % 2 = 0)"
+SPLIT_TW = "SELECT pair, unnest(l) AS tw, unnest(range(len(l))) AS i FROM (SELECT pair, string_split(tw, chr(10)) AS l FROM {src})"
+
+
+@query(
+    "align_lines_full_outer",
+    f"""SELECT pair, i::INTEGER AS line_idx, coalesce(jp, '') AS jp, coalesce(tw, '') AS tw FROM
+ (SELECT pair, unnest(l) AS jp, unnest(range(len(l))) AS i FROM (SELECT pair, string_split(jp, chr(10)) AS l FROM {PAIRS_SQL})) FULL JOIN ({SPLIT_TW.format(src=PAIRS_SQL)}) USING (pair, i)""",
+)
+def align_lines_full_outer(spark, sf_dir):
+    return align.align_lines(_pairs(spark, sf_dir), "pair", "jp", "tw")
+
+
+def _conversation_chunks(spark, sf_dir):
+    """Turns as source chunks, the document of the same number as the target text."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("jp"))
+    docs = _documents(spark, sf_dir).select(F.col("doc_id").alias("conv_id"), F.col("text").alias("tw"))
+    return turns.join(docs.select("conv_id"), "conv_id"), docs.join(turns.select("conv_id").distinct(), "conv_id")
+
+
+CHUNKS_SQL = "(SELECT conv_id, turn, c.text AS jp, d.text AS tw FROM conversations c JOIN documents d ON d.doc_id = c.conv_id)"
+DOCS_SQL = f"(SELECT DISTINCT conv_id, tw FROM {CHUNKS_SQL})"
+FLAT_SQL = f"""(SELECT conv_id, turn, line AS jp, first + p AS i FROM (SELECT conv_id, turn, first, unnest(l) AS line, unnest(range(len(l))) AS p FROM
+ (SELECT *, sum(len(l)) OVER (PARTITION BY conv_id ORDER BY turn) - len(l) AS first FROM (SELECT conv_id, turn, string_split(trim(jp, chr(10)), chr(10)) AS l FROM {CHUNKS_SQL}))))"""
+
+
+@query(
+    "align_lines_chunked",
+    f"""SELECT conv_id, coalesce(turn, last) AS turn, i::INTEGER AS line_idx, coalesce(jp, '') AS jp, coalesce(tw, '') AS tw FROM {FLAT_SQL}
+ FULL JOIN (SELECT conv_id, unnest(l) AS tw, unnest(range(len(l))) AS i FROM (SELECT conv_id, string_split(trim(tw, chr(10)), chr(10)) AS l FROM {DOCS_SQL})) USING (conv_id, i)
+ JOIN (SELECT conv_id, max(turn) AS last FROM {CHUNKS_SQL} GROUP BY conv_id) USING (conv_id)""",
+)
+def align_lines_chunked(spark, sf_dir):
+    chunks, docs = _conversation_chunks(spark, sf_dir)
+    return align.align_chunked(chunks, docs, "conv_id", "turn", "jp", "tw")
+
+
+THREE_SQL = f"""(SELECT conv_id, turn, j AS jp, t AS translation, first + p AS i FROM (SELECT conv_id, turn, first, unnest(j[:n]) AS j, unnest(t[:n]) AS t, unnest(range(n)) AS p FROM
+ (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY turn) - n AS first FROM (SELECT *, least(len(j), len(t)) AS n FROM
+ (SELECT conv_id, turn, string_split(trim(jp, chr(10)), chr(10)) AS j, string_split(trim(replace(jp, '. ', chr(10)), chr(10)), chr(10)) AS t FROM {CHUNKS_SQL})))))"""
+
+
+@query(
+    "align_three_way",
+    f"""SELECT conv_id, coalesce(turn, last) AS turn, i::INTEGER AS line_idx, coalesce(jp, '') AS jp, coalesce(tw, '') AS tw, coalesce(translation, '') AS translation FROM {THREE_SQL}
+ FULL JOIN (SELECT conv_id, unnest(l) AS tw, unnest(range(len(l))) AS i FROM (SELECT conv_id, string_split(tw, chr(10)) AS l FROM {DOCS_SQL})) USING (conv_id, i)
+ JOIN (SELECT conv_id, max(turn) AS last FROM {CHUNKS_SQL} GROUP BY conv_id) USING (conv_id)""",
+)
+def align_three_way(spark, sf_dir):
+    chunks, docs = _conversation_chunks(spark, sf_dir)
+    chunks = chunks.withColumn("translation", F.replace("jp", F.lit(". "), F.lit("\n")))
+    return align.align_three(chunks, docs, "conv_id", "turn", "jp", "translation", "tw")
+
+
+SLICE_SQL = f"""(SELECT conv_id, turn, jp, array_to_string(CASE WHEN turn = last THEN l[first + 1:] ELSE l[first + 1:first + n] END, chr(10)) AS tw FROM
+ (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY turn) - n AS first, max(turn) OVER (PARTITION BY conv_id) AS last FROM
+ (SELECT conv_id, turn, jp, string_split(tw, chr(10)) AS l, length(jp) - length(replace(jp, chr(10), '')) + 1 AS n FROM {CHUNKS_SQL})))"""
+SAME_SQL = "length(jp) - length(replace(jp, chr(10), '')) = length(tw) - length(replace(tw, chr(10), ''))"
+
+
+@query("align_slice", f"SELECT conv_id, turn, jp, tw, arg_max({SAME_SQL}, turn) OVER (PARTITION BY conv_id) AS jp_tw_count_alignment FROM {SLICE_SQL}")
+def align_slice(spark, sf_dir):
+    chunks, docs = _conversation_chunks(spark, sf_dir)
+    return align.count_alignment(align.align_slices(chunks, docs, "conv_id", "turn", "jp", "tw"), "conv_id", "turn")
+
+
+MISMATCH_SQL = "len(string_split(trim(jp, chr(10)), chr(10))) <> len(string_split(trim(tw, chr(10)), chr(10)))"
+
+
+@query("line_count_mismatch", f"SELECT pair, ends_with(jp, chr(10)) AS ends_newline FROM {PAIRS_SQL} WHERE {MISMATCH_SQL}")
+def line_count_mismatch(spark, sf_dir):
+    pairs = _pairs(spark, sf_dir).filter(tx.line_count_differs(F.col("jp"), F.col("tw")))
+    return pairs.select("pair", F.endswith("jp", F.lit("\n")).alias("ends_newline"))
+
+
+@query(
+    "mismatch_by_source",
+    f"""SELECT source, count(*) FILTER ({MISMATCH_SQL})::BIGINT AS n_mismatch, count(*) FILTER (({MISMATCH_SQL}) AND ends_with(jp, chr(10)))::BIGINT AS n_mismatch_newline,
+ count(*)::BIGINT AS n_rows FROM {PAIRS_SQL} GROUP BY source""",
+)
+def mismatch_by_source(spark, sf_dir):
+    return align.mismatch_report(_pairs(spark, sf_dir), "source", "jp", "tw")
+
+
+@query(
+    "status_tag",
+    f"""SELECT source, bool_and(NOT ({MISMATCH_SQL})) AS passed, CASE WHEN bool_and(NOT ({MISMATCH_SQL})) THEN source ELSE 'not_pass_' || source END AS out_name FROM {PAIRS_SQL} GROUP BY source""",
+)
+def status_tag(spark, sf_dir):
+    return align.file_status(_pairs(spark, sf_dir), "source", ~tx.line_count_differs(F.col("jp"), F.col("tw")))
+
+
+@query(
+    "numeric_suffix_pairing",
+    """SELECT rank::INTEGER AS rank, a.name AS name_a, b.name AS name_b FROM
+ (SELECT name, row_number() OVER (ORDER BY k, name) AS rank FROM (SELECT DISTINCT 'jp_' || substring(source, 4) || '.json' AS name, TRY_CAST(substring(source, 4) AS BIGINT) AS k FROM documents)) a JOIN
+ (SELECT name, row_number() OVER (ORDER BY k, name) AS rank FROM (SELECT DISTINCT 'tw_' || substring(source, 4) || '.json' AS name, TRY_CAST(substring(source, 4) AS BIGINT) AS k FROM documents WHERE source <> 'src3')) b USING (rank)""",
+)
+def numeric_suffix_pairing(spark, sf_dir):
+    names = _documents(spark, sf_dir).select("source").distinct()
+    name = lambda side: F.concat(F.lit(side + "_"), F.substring("source", 4, 99), F.lit(".json"))
+    return align.pair_by_suffix(names.select(name("jp").alias("name_a")), names.filter("source <> 'src3'").select(name("tw").alias("name_b")), "name_a", "name_b")
+
+
+@query("archive_anti_copy", "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def archive_anti_copy(spark, sf_dir):
+    return _documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id", "left_anti").select("doc_id", "source")
+
+
+# --- windows --------------------------------------------------------------------------------------------------------
+
+TOKENS_SQL = "greatest(len(regexp_extract_all(piece, '[A-Za-z0-9]+|[^A-Za-z0-9 \\t\\n\\r\\f]')), 1)"
+SENTENCES_SQL = f"(SELECT doc_id, pos, piece, n, sum(n) OVER (PARTITION BY doc_id ORDER BY pos) - n AS start FROM (SELECT doc_id, pos, piece, {{size}} AS n FROM {LINES_SQL}))"
+BY_TOKENS = SENTENCES_SQL.format(size=TOKENS_SQL)
+BY_CHARS = SENTENCES_SQL.format(size="length(piece)")
+
+
+def _sentences(spark, sf_dir):
+    return _lines(spark, sf_dir).select("doc_id", "pos", "piece")
+
+
+@query(
+    "context_window_512",
+    f"SELECT doc_id, pos::INTEGER AS pos, md5(coalesce(string_agg(piece, '' ORDER BY start) OVER (PARTITION BY doc_id ORDER BY start RANGE BETWEEN 512 PRECEDING AND 1 PRECEDING), '')) AS context_md5 FROM {BY_TOKENS}",
+)
+def context_window_512(spark, sf_dir):
+    out = windows.look_back(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", tx.token_count(F.col("piece")), 512)
+    return out.select("doc_id", "pos", F.md5(F.col("context").cast("binary")).alias("context_md5"))
+
+
+@query(
+    "lookahead_64",
+    f"""SELECT doc_id, pos::INTEGER AS pos, md5(array_to_string(list_slice(all_, pos + 1, pos + greatest(k, 1)), '')) AS lookahead_md5 FROM
+ (SELECT a.*, list(piece) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS all_,
+  (SELECT count(*) FROM {BY_TOKENS} b WHERE b.doc_id = a.doc_id AND b.start >= a.start AND b.start + b.n <= a.start + 64) AS k FROM {BY_TOKENS} a)""",
+)
+def lookahead_64(spark, sf_dir):
+    out = windows.look_ahead(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", tx.token_count(F.col("piece")), 64)
+    return out.select("doc_id", "pos", F.md5(F.col("lookahead").cast("binary")).alias("lookahead_md5"))
+
+
+@query(
+    "char_context_8192",
+    f"""SELECT doc_id, pos::INTEGER AS pos, md5((SELECT string_agg(b.piece, '' ORDER BY b.pos) FROM {BY_CHARS} b WHERE b.doc_id = a.doc_id AND (b.pos = a.pos OR (b.pos < a.pos AND b.start >= a.start + a.n - 8192)))) AS context_md5
+ FROM {BY_CHARS} a""",
+)
+def char_context_8192(spark, sf_dir):
+    out = windows.char_context(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", F.length("piece"), 8192)
+    return out.select("doc_id", "pos", F.md5(F.col("context").cast("binary")).alias("context_md5"))
+
+
+@query("forward_mean_3", "SELECT l_orderkey, l_linenumber, round(avg(l_discount) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING), 6) AS forward_mean FROM (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS l_linenumber, l_discount FROM lineitem)")
+def forward_mean_3(spark, sf_dir):
+    out = windows.forward_mean(_line_items(spark, sf_dir), ["l_orderkey"], "l_linenumber", "l_discount")
+    return out.select("l_orderkey", "l_linenumber", F.round("forward_mean", 6).alias("forward_mean"))
+
+
+def _line_items(spark, sf_dir):
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", F.row_number().over(order).cast("long").alias("l_linenumber"), "l_discount")
+
+
+@query(
+    "argmin_cut",
+    "SELECT l_orderkey, m.p AS l_linenumber, m.v AS l_discount FROM (SELECT l_orderkey, min({'v': l_discount, 'p': l_linenumber}) AS m FROM (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS l_linenumber, l_discount FROM lineitem) GROUP BY l_orderkey)",
+)
+def argmin_cut(spark, sf_dir):
+    return windows.argmin(_line_items(spark, sf_dir), ["l_orderkey"], "l_linenumber", "l_discount").select("l_orderkey", "l_linenumber", "l_discount")
+
+
+@query(
+    "proportion_threshold_chunks",
+    """SELECT user_id, event_id, sum(CASE WHEN share > m * 2 AND k > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id)::INTEGER AS segment FROM
+ (SELECT *, median(share) OVER (PARTITION BY user_id) AS m FROM
+ (SELECT user_id, event_id, value / sum(value) OVER (PARTITION BY user_id) AS share, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events))""",
+)
+def proportion_threshold_chunks(spark, sf_dir):
+    shares = windows.proportions(table(spark, sf_dir, "events").select("user_id", "event_id", "value"), ["user_id"], "value")
+    return windows.threshold_cuts(shares, ["user_id"], "event_id", "proportion", 2.0).select("user_id", "event_id", "segment")
+
+
+@query("perplexity_guard", "SELECT event_id, CASE WHEN value > 90 THEN 1.7976931348623157e308 ELSE round(exp(value / 100), 9) END AS ppl FROM events")
+def perplexity_guard(spark, sf_dir):
+    loss = F.when(F.col("value") > 90, F.lit(float("nan"))).otherwise(F.col("value") / 100)
+    ppl = vec.perplexity(loss)
+    return table(spark, sf_dir, "events").select("event_id", F.when(F.isnan(loss), ppl).otherwise(F.round(ppl, 9)).alias("ppl"))
+
+
+# --- vectors and rules ----------------------------------------------------------------------------------------------
+
+
+def _triples(spark, sf_dir):
+    """Vectors 3k, 3k+1 and 3k+2 as source, target and other."""
+    v = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    part = lambda i, name: v.filter(F.col("vec_id") % 3 == i).select(((F.col("vec_id") - i) / 3).cast("long").alias("k"), F.col("embedding").alias(name))
+    return part(0, "a").join(part(1, "b"), "k").join(part(2, "c"), "k")
+
+
+TRIPLES_SQL = "(SELECT a.vec_id // 3 AS k, a.embedding::DOUBLE[] AS a, b.embedding::DOUBLE[] AS b, c.embedding::DOUBLE[] AS c FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 JOIN embeddings c ON c.vec_id = a.vec_id + 2 WHERE a.vec_id % 3 = 0)"
+SIM_JP, SIM_TR = "abs(list_cosine_similarity(a, b) - list_cosine_similarity(a, c))", "list_cosine_similarity(b, c)"
+
+
+@query("cosine_adjacent", "SELECT a.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS cos FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1")
+def cosine_adjacent(spark, sf_dir):
+    v = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    after = v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("after"))
+    return v.join(after, "vec_id").select("vec_id", F.round(vec.cosine(F.col("embedding"), F.col("after")), 6).alias("cos"))
+
+
+@query("similarity_gap", f"SELECT k, round({SIM_JP}, 6) AS similarity_to_jp, round({SIM_TR}, 6) AS similarity_translation FROM {TRIPLES_SQL}")
+def similarity_gap(spark, sf_dir):
+    gap, same = vec.similarity_gap(F.col("a"), F.col("b"), F.col("c"))
+    return _triples(spark, sf_dir).select("k", F.round(gap, 6).alias("similarity_to_jp"), F.round(same, 6).alias("similarity_translation"))
+
+
+def _any_sql(words: list[str]) -> str:
+    return "(" + " OR ".join(f"contains(tw, '{w}')" for w in words) + ")"
+
+
+@query(
+    "examine_cascade",
+    f"""SELECT k, CASE WHEN {_any_sql(examine.FIRST_WORDS)} OR ({_any_sql(examine.TOP_WORDS)} AND {_any_sql(examine.SECOND_WORDS)}) THEN 'True_匹配'
+ WHEN (right(jp, 1) <> right(tw, 1) OR right(tr, 1) <> right(tw, 1)) AND (s > 0.05 OR t < 0.95) THEN 'True_尾字不同' WHEN s > 0.15 OR t < 0.75 THEN 'True_小於' ELSE 'False' END AS examine
+ FROM (SELECT k, {SIM_JP} AS s, {SIM_TR} AS t, x.text AS jp, y.text AS tw, z.text AS tr FROM {TRIPLES_SQL} v JOIN documents x ON x.doc_id = v.k * 3 JOIN documents y ON y.doc_id = v.k * 3 + 1 JOIN documents z ON z.doc_id = v.k * 3 + 2)""",
+)
+def examine_cascade(spark, sf_dir):
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    part = lambda i, name: docs.filter(F.col("doc_id") % 3 == i).select(((F.col("doc_id") - i) / 3).cast("long").alias("k"), F.col("text").alias(name))
+    rows = _triples(spark, sf_dir).join(part(0, "jp"), "k").join(part(1, "tw"), "k").join(part(2, "tr"), "k")
+    gap, same = vec.similarity_gap(F.col("a"), F.col("b"), F.col("c"))
+    rule = examine.examine(F.col("jp"), F.col("tw"), F.col("tr"), gap, same)
+    return rows.select("k", rule.alias("examine"))
+
+
+# --- glossaries, answers, concatenation -----------------------------------------------------------------------------
+
+
+def _glossary(spark, sf_dir):
+    """The first words of benchmark items as entries: a source word, an upper-case target, parts to look for."""
+    words = F.split("text", " ")
+    item = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("entry"), words.alias("w"))
+    return item.select(
+        "entry", F.get("w", 1).alias("jp"), F.upper(F.get("w", 2)).alias("tw"), F.when(F.col("entry") % 2 == 0, F.get("w", 3)).otherwise("").alias("info"), F.array(F.get("w", 1), F.get("w", 4)).alias("match")
+    )
+
+
+GLOSSARY_SQL = "(SELECT item_id AS entry, w[2] AS jp, upper(w[3]) AS tw, CASE WHEN item_id % 2 = 0 THEN w[4] ELSE '' END AS info, [w[2], w[5]] AS match FROM (SELECT item_id, string_split(text, ' ') AS w FROM benchmark))"
+MATCHES_SQL = f"(SELECT conv_id, turn, g.* FROM conversations c JOIN {GLOSSARY_SQL} g ON contains(c.text, g.match[1]) OR contains(c.text, g.match[2]))"
+ENTRY_SQL = "jp || '->' || tw || CASE WHEN info <> '' THEN ' #' || info ELSE '' END"
+
+
+def _glossary_matches(spark, sf_dir):
+    return glossary.match_glossary(table(spark, sf_dir, "conversations"), "text", _glossary(spark, sf_dir), ["conv_id", "turn"])
+
+
+@query("glossary_match", f"SELECT conv_id, turn, entry FROM {MATCHES_SQL}")
+def glossary_match(spark, sf_dir):
+    return _glossary_matches(spark, sf_dir).select("conv_id", "turn", "entry")
+
+
+@query("glossary_prompt", f"SELECT conv_id, turn, string_agg({ENTRY_SQL}, chr(10) ORDER BY entry) AS prompt, count(*)::BIGINT AS n FROM {MATCHES_SQL} GROUP BY conv_id, turn")
+def glossary_prompt(spark, sf_dir):
+    return glossary.glossary_prompts(_glossary_matches(spark, sf_dir), ["conv_id", "turn"])
+
+
+@query("glossary_prompt_compat", f"SELECT conv_id, turn, string_agg(CASE WHEN info <> '' THEN {ENTRY_SQL} ELSE '' END, chr(10) ORDER BY entry) AS prompt, count(*)::BIGINT AS n FROM {MATCHES_SQL} GROUP BY conv_id, turn")
+def glossary_prompt_compat(spark, sf_dir):
+    return glossary.glossary_prompts(_glossary_matches(spark, sf_dir), ["conv_id", "turn"], compat=True)
+
+
+@query("glossary_size", f"SELECT (sum(length({ENTRY_SQL})) + count(*) - 1)::BIGINT AS n_chars, count(*)::BIGINT AS n_entries FROM {GLOSSARY_SQL}")
+def glossary_size(spark, sf_dir):
+    return glossary.glossary_size(_glossary(spark, sf_dir))
+
+
+def _responses(spark, sf_dir):
+    turn = F.col("turn")
+    tag = lambda a: F.concat(F.lit("<answer>\n"), F.lit(a), F.lit("\n</answer>"))
+    said = F.when(turn % 4 == 0, F.concat(tag("False"), "text", tag("True"))).when(turn % 4 == 1, F.concat("text", tag("False"))).when(turn % 4 == 2, F.col("text")).otherwise(F.concat(F.lit("<answer>True</answer>"), "text"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", said.alias("response"))
+
+
+def _tag_sql(answer: str) -> str:
+    return f"('<answer>' || chr(10) || '{answer}' || chr(10) || '</answer>')"
+
+
+RESPONSES_SQL = f"""(SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN {_tag_sql("False")} || text || {_tag_sql("True")} WHEN 1 THEN text || {_tag_sql("False")} WHEN 2 THEN text ELSE '<answer>True</answer>' || text END AS response FROM conversations)"""
+ANSWERS_SQL = f"(SELECT conv_id, turn, response, coalesce(regexp_extract_all(response, '<answer>\\n(True|False)\\n</answer>', 1)[-1], 'True_NoAnswer') AS unaligned FROM {RESPONSES_SQL})"
+
+
+@query("answer_extract", f"SELECT conv_id, turn, unaligned FROM {ANSWERS_SQL}")
+def answer_extract(spark, sf_dir):
+    return _responses(spark, sf_dir).select("conv_id", "turn", tx.last_answer(F.col("response")).alias("unaligned"))
+
+
+@query("flagged_response", f"SELECT conv_id, turn, md5(CASE WHEN contains(unaligned, 'True') THEN response ELSE '' END) AS kept_md5 FROM {ANSWERS_SQL}")
+def flagged_response(spark, sf_dir):
+    answered = _responses(spark, sf_dir).withColumn("unaligned", tx.last_answer(F.col("response")))
+    return answered.select("conv_id", "turn", F.md5(tx.flagged_response(F.col("unaligned"), F.col("response")).cast("binary")).alias("kept_md5"))
+
+
+@query("flagged_conversations", f"SELECT conv_id, bool_or(contains(unaligned, 'True')) AS flagged FROM {ANSWERS_SQL} GROUP BY conv_id")
+def flagged_conversations(spark, sf_dir):
+    answered = _responses(spark, sf_dir).withColumn("unaligned", tx.last_answer(F.col("response")))
+    return answered.groupBy("conv_id").agg(F.bool_or(F.contains("unaligned", F.lit("True"))).alias("flagged"))
+
+
+@query("ordered_concat", "SELECT conv_id, string_agg(text, '' ORDER BY turn) AS text FROM conversations GROUP BY conv_id")
+def ordered_concat(spark, sf_dir):
+    return files.ordered_text(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], "text")
+
+
+@query(
+    "contents_chapter",
+    "SELECT conv_id, 0 AS chapter_idx, 'contents' AS title, string_agg(role || turn, chr(10) ORDER BY turn) AS content FROM conversations WHERE text <> '' GROUP BY conv_id UNION ALL SELECT conv_id, (turn + 1)::INTEGER, role || turn, text FROM conversations WHERE text <> ''",
+)
+def contents_chapter(spark, sf_dir):
+    chapters = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("int").alias("chapter_idx"), F.concat("role", F.col("turn").cast("string")).alias("title"), F.col("text").alias("content"))
+    return files.with_contents(chapters, "conv_id")
+
+
+@query("prompt_template", "SELECT pair, 'JP: ' || jp || chr(10) || 'TW: {note} ' || tw AS prompt FROM " + PAIRS_SQL)
+def prompt_template(spark, sf_dir):
+    return _pairs(spark, sf_dir).select("pair", tx.fill_template("JP: {jp}\nTW: {note} {tw}", jp=F.col("jp"), tw=F.col("tw")).alias("prompt"))
+
+
+REGEN_SQL = f"CASE WHEN {MISMATCH_SQL} THEN list_last(string_split(jp, chr(10))) ELSE tw END"
+
+
+@query("selective_regen", f"SELECT pair, md5({REGEN_SQL.replace('list_last(string_split(jp, chr(10)))', 'string_split(jp, chr(10))[-1]')}) AS tw_md5 FROM {PAIRS_SQL}")
+def selective_regen(spark, sf_dir):
+    out = models.regenerate(_pairs(spark, sf_dir), tx.line_count_differs(F.col("jp"), F.col("tw")), F.col("jp"), models.EchoGenerator(), "tw")
+    return out.select("pair", F.md5(F.col("tw").cast("binary")).alias("tw_md5"))
+
+
+# --- geometry -------------------------------------------------------------------------------------------------------
+
+
+def _boxes(spark, sf_dir):
+    """Axis-aligned boxes on a page for each order, from the integers of its lines."""
+    number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    cut = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", number.cast("long").alias("box"))
+    x, y, w, h = F.col("l_partkey") % 97, F.col("l_suppkey") % 89, F.col("l_quantity") + 1, F.col("l_partkey") % 13 + 2
+    return cut.select("l_orderkey", "box", x.cast("double").alias("x"), y.cast("double").alias("y"), w.cast("double").alias("w"), h.cast("double").alias("h"))
+
+
+BOXES_SQL = """(SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS box,
+ (l_partkey % 97)::DOUBLE AS x, (l_suppkey % 89)::DOUBLE AS y, l_quantity + 1 AS w, (l_partkey % 13 + 2)::DOUBLE AS h FROM lineitem)"""
+PAIR_BOXES_SQL = f"(SELECT a.l_orderkey, a.box AS a, b.box AS b, a.x AS ax, a.y AS ay, a.w AS aw, a.h AS ah, b.x AS bx, b.y AS by_, b.w AS bw, b.h AS bh FROM {BOXES_SQL} a JOIN {BOXES_SQL} b ON a.l_orderkey = b.l_orderkey AND a.box < b.box)"
+
+
+def _quads(spark, sf_dir):
+    return _boxes(spark, sf_dir).withColumn("quad", boxes.quad_column(F.col("x"), F.col("y"), F.col("w"), F.col("h")))
+
+
+def _quad_pairs(spark, sf_dir):
+    q = _quads(spark, sf_dir)
+    one = lambda p: q.select("l_orderkey", *[F.col(c).alias(p + c) for c in ("box", "x", "y", "w", "h", "quad")])
+    return one("a").join(one("b"), "l_orderkey").filter("abox < bbox")
+
+
+@query("polygon_overlap", f"SELECT l_orderkey, a, b FROM {PAIR_BOXES_SQL} WHERE least(ax + aw - bx, bx + bw - ax) >= 0 AND least(ay + ah - by_, by_ + bh - ay) >= 0")
+def polygon_overlap(spark, sf_dir):
+    return boxes.overlapping_pairs(_quads(spark, sf_dir), "l_orderkey", "box", "quad")
+
+
+@query("polygon_gap", f"SELECT l_orderkey, a, b, round(least(ax + aw - bx, bx + bw - ax, ay + ah - by_, by_ + bh - ay), 6) AS gap FROM {PAIR_BOXES_SQL}")
+def polygon_gap(spark, sf_dir):
+    return _quad_pairs(spark, sf_dir).select("l_orderkey", F.col("abox").alias("a"), F.col("bbox").alias("b"), F.round(geo.overlap_gap(F.col("aquad"), F.col("bquad")), 6).alias("gap"))
+
+
+ORIENT = "(({b}x - {a}x) * ({c}y - {a}y) - ({b}y - {a}y) * ({c}x - {a}x))"
+DIAGONALS_SQL = f"(SELECT l_orderkey, a, b, ax AS px, ay AS py, ax + aw AS qx, ay + ah AS qy, bx AS rx, by_ AS ry, bx + bw AS sx, by_ + bh AS sy FROM {PAIR_BOXES_SQL})"
+
+
+def _orient_sql(a: str, b: str, c: str) -> str:
+    return ORIENT.format(a=a, b=b, c=c)
+
+
+def _on_sql(a: str, b: str, c: str) -> str:
+    return f"({c}x BETWEEN least({a}x, {b}x) AND greatest({a}x, {b}x) AND {c}y BETWEEN least({a}y, {b}y) AND greatest({a}y, {b}y))"
+
+
+def _diagonals(spark, sf_dir):
+    """The diagonals of two boxes as points p-q and r-s."""
+    at = lambda k, far: geo.point(F.col(k + "x") + (F.col(k + "w") if far else 0), F.col(k + "y") + (F.col(k + "h") if far else 0))
+    return _quad_pairs(spark, sf_dir).select("l_orderkey", F.col("abox").alias("a"), F.col("bbox").alias("b"), at("a", False).alias("p"), at("a", True).alias("q"), at("b", False).alias("r"), at("b", True).alias("s"), "aquad")
+
+
+@query(
+    "segments_intersect",
+    f"""SELECT l_orderkey, a, b, (o1 * o2 < 0 AND o3 * o4 < 0) OR (o1 = 0 AND {_on_sql("p", "q", "r")}) OR (o2 = 0 AND {_on_sql("p", "q", "s")}) OR (o3 = 0 AND {_on_sql("r", "s", "p")}) OR (o4 = 0 AND {_on_sql("r", "s", "q")}) AS crosses
+ FROM (SELECT *, {_orient_sql("p", "q", "r")} AS o1, {_orient_sql("p", "q", "s")} AS o2, {_orient_sql("r", "s", "p")} AS o3, {_orient_sql("r", "s", "q")} AS o4 FROM {DIAGONALS_SQL})""",
+)
+def segments_intersect(spark, sf_dir):
+    p, q, r, s = map(F.col, "pqrs")
+    return _diagonals(spark, sf_dir).select("l_orderkey", "a", "b", geo.segments_intersect(p, q, r, s).alias("crosses"))
+
+
+@query("orientation", f"SELECT l_orderkey, a, b, {_orient_sql('p', 'q', 'r')} AS turn FROM {DIAGONALS_SQL}")
+def orientation(spark, sf_dir):
+    return _diagonals(spark, sf_dir).select("l_orderkey", "a", "b", geo.orientation(F.col("p"), F.col("q"), F.col("r")).alias("turn"))
+
+
+@query("line_intersection", f"""SELECT l_orderkey, a, b, round(px + t * (qx - px), 6) AS x, round(py + t * (qy - py), 6) AS y FROM
+ (SELECT *, CASE WHEN d <> 0 THEN ((rx - px) * (sy - ry) - (ry - py) * (sx - rx)) / d END AS t FROM (SELECT *, (qx - px) * (sy - ry) - (qy - py) * (sx - rx) AS d FROM {DIAGONALS_SQL}))""")
+def line_intersection(spark, sf_dir):
+    at = geo.line_intersection(*map(F.col, "pqrs"))
+    return _diagonals(spark, sf_dir).select("l_orderkey", "a", "b", F.round(at["x"], 6).alias("x"), F.round(at["y"], 6).alias("y"))
+
+
+@query("point_in_polygon", f"SELECT l_orderkey, a, b, bx BETWEEN ax AND ax + aw AND by_ BETWEEN ay AND ay + ah AS inside FROM {PAIR_BOXES_SQL}")
+def point_in_polygon(spark, sf_dir):
+    return _diagonals(spark, sf_dir).select("l_orderkey", "a", "b", geo.point_in_polygon(F.col("aquad"), F.col("r")).alias("inside"))
+
+
+@query(
+    "point_segment_distance",
+    f"""SELECT l_orderkey, a, b, round(sqrt((rx - px - t * (qx - px)) ** 2 + (ry - py - t * (qy - py)) ** 2), 6) AS distance FROM
+ (SELECT *, greatest(0, least(1, ((rx - px) * (qx - px) + (ry - py) * (qy - py)) / ((qx - px) ** 2 + (qy - py) ** 2))) AS t FROM {DIAGONALS_SQL})""",
+)
+def point_segment_distance(spark, sf_dir):
+    return _diagonals(spark, sf_dir).select("l_orderkey", "a", "b", F.round(geo.segment_distance(F.col("p"), F.col("q"), F.col("r")), 6).alias("distance"))
+
+
+@query("merge_bboxes")
+def merge_bboxes(spark, sf_dir):
+    sized = _quads(spark, sf_dir).withColumn("width", F.lit(160.0)).withColumn("height", F.lit(120.0))
+    merged = boxes.merge_boxes(sized, "l_orderkey", "box", "quad")
+    return merged.select("l_orderkey", "group", "n_boxes", F.to_json("quad").alias("quad"))
+
+
+# --- markup and chunking --------------------------------------------------------------------------------------------
+
+
+@query("html_text")
+def html_text(spark, sf_dir):
+    @F.pandas_udf("string")
+    def text(html):
+        return html.map(markup.html_text)
+
+    return table(spark, sf_dir, "pages").select("page_id", tx.collapse_newlines(text("html")).alias("text"))
+
+
+@query("html_elements")
+def html_elements(spark, sf_dir):
+    @F.pandas_udf("array<struct<tag_rank:int,pos:int,text:string>>")
+    def elements(html):
+        return html.map(lambda h: [] if h is None else [{"tag_rank": r, "pos": i, "text": n.get_text()} for r, i, n in markup.text_elements(markup.parse_html(h))])
+
+    return table(spark, sf_dir, "pages").select("page_id", F.explode(elements("html")).alias("e")).select("page_id", "e.*")
+
+
+def _scored(spark, sf_dir):
+    """Sentences with a score from their place and length, and a loss from their length."""
+    rows = _sentences(spark, sf_dir).withColumn("n", F.length("piece"))
+    return rows.withColumn("score", (F.col("n") * 7 + F.col("pos") * 13) % 101 / 101.0).withColumn("loss", F.log(F.col("n") + 1.0))
+
+
+@query("bisect_chunks")
+def bisect_chunks(spark, sf_dir):
+    return chunking.bisect_chunks(_scored(spark, sf_dir), ["doc_id"], "pos", "piece", "score")
+
+
+@query("bisect_chunks_tokens")
+def bisect_chunks_tokens(spark, sf_dir):
+    return chunking.bisect_chunks(_scored(spark, sf_dir), ["doc_id"], "pos", "piece", "score", chunking.MAX_TOKENS, 1, by_tokens=True)
+
+
+@query("merge_small_chunks")
+def merge_small_chunks(spark, sf_dir):
+    return chunking.merge_small_chunks(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece")
+
+
+@query("merge_small_chunks_tokens")
+def merge_small_chunks_tokens(spark, sf_dir):
+    return chunking.merge_small_chunks(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", chunking.MAX_TOKENS, only_if_both=True, by_tokens=True)
+
+
+@query("semantic_chunks")
+def semantic_chunks(spark, sf_dir):
+    return chunking.semantic_chunks(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece")
+
+
+@query("rechunk_decay")
+def rechunk_decay(spark, sf_dir):
+    return chunking.rechunk_decay(_scored(spark, sf_dir), ["doc_id"], "pos", "piece", "loss")
+
+
+@query("similarity_distribution")
+def similarity_distribution(spark, sf_dir):
+    return chunking.similarity_distribution(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", 512, 64)
+
+
+@query("similarity_distribution_filled")
+def similarity_distribution_filled(spark, sf_dir):
+    return chunking.similarity_distribution(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", 512, 64, fill=True)
+
+
+@query("perplexity_distribution")
+def perplexity_distribution(spark, sf_dir):
+    return chunking.perplexity_distribution(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece")
