@@ -77,15 +77,15 @@ def feature_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return map_rows(df.select(id_col, text_bytes(text_col)), run, f"`{id_col}` {kind}, x array<double>")
 
 
-def fit_quality(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", sample: int = SAMPLE, of: int = HELD_OUT_OF, rest: int = HELD_OUT) -> AdditiveModel:
-    """From feature rows and labels, without the ids that are held out."""
-    chosen = (
-        labels.filter(F.col(label_col).isin(0, 1) & (crc(id_col) % of != rest))
-        .select(id_col, F.col(label_col).alias("y"))
-        .orderBy(F.xxhash64(id_col), "y")
-        .limit(sample)
-    )
-    got = rows.join(F.broadcast(chosen), id_col).select(id_col, "x", "y").toPandas().sort_values(id_col, kind="stable")
+def chosen_labels(labels: DataFrame, id_col: str, label_col: str, sample: int, of: int = HELD_OUT_OF, rest: int = HELD_OUT) -> DataFrame:
+    """(id, y): at most `sample` labels of ids that are not held out."""
+    usable = labels.filter(F.col(label_col).isin(0, 1) & (crc(id_col) % of != rest))
+    return usable.select(id_col, F.col(label_col).alias("y")).orderBy(F.xxhash64(id_col), "y").limit(sample)
+
+
+def fit_quality(labelled: DataFrame, id_col: str) -> AdditiveModel:
+    """From (id, x, y) rows, of which there are no more than chosen labels times the rows of an id."""
+    got = labelled.select(id_col, "x", "y").toPandas().sort_values(id_col, kind="stable")
     x = np.array(got["x"].tolist(), float).reshape(len(got), len(FEATURES))
     return AdditiveModel.fit(x, got["y"].to_numpy(float))
 
@@ -97,7 +97,8 @@ def crc(id_col: str):
 def score_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> DataFrame:
     """One row per row of df: id, held_out, score (higher: label 1 is likelier) and predicted."""
     rows = stage(feature_rows(df, id_col, text_col), "quality-features")
-    model = df.sparkSession.sparkContext.broadcast(fit_quality(rows, labels, id_col, label_col, sample))
+    chosen = chosen_labels(labels, id_col, label_col, sample)
+    model = df.sparkSession.sparkContext.broadcast(fit_quality(rows.join(F.broadcast(chosen), id_col), id_col))
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -111,8 +112,10 @@ def score_quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
 def keep_good(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, least: float = 0.5) -> DataFrame:
     """The rows of df, all columns, whose score is at least `least`."""
-    labelled = df.join(labels.select(id_col).distinct(), id_col, "left_semi")
-    model = df.sparkSession.sparkContext.broadcast(fit_quality(feature_rows(labelled, id_col, text_col), labels, id_col, label_col, sample))
+    chosen = stage(chosen_labels(labels, id_col, label_col, sample), "quality-labels")
+    texts = df.select(id_col, text_col).join(F.broadcast(chosen.select(id_col).distinct()), id_col, "left_semi")
+    labelled = feature_rows(texts, id_col, text_col).join(F.broadcast(chosen), id_col)
+    model = df.sparkSession.sparkContext.broadcast(fit_quality(labelled, id_col))
     arrow = to_arrow_schema(df.schema)
 
     def run(batches):
