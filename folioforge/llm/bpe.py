@@ -16,12 +16,14 @@ other columns of the input are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import json
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
-from unicodedata import normalize
+from unicodedata import category, normalize
 
 import numpy as np
 import regex
@@ -29,14 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from folioforge.llm.common import map_rows, mapped_file, stage, text_bytes
+from folioforge.llm.common import map_rows, mapped_file, mix64, stage, text_bytes
 
 #: Words in the compiled lexicon, at most; this bounds what is collected and broadcast.
 LEXICON_WORDS = 131_072
 #: Entries of a worker's memo; as many older ones are kept besides.
 MEMO = 250_000
-#: Texts whose unknown words are looked up together.
-TOGETHER = 64
+#: Bytes of texts that are encoded together.
+TOGETHER = 1_000_000
 #: Characters that every Unicode version since 2015 normalises, lower-cases and classifies alike. Texts with others go
 #: through the tokenizer library's own normaliser and splitter, since Python's tables may be of another version. Python
 #: also takes 1C to 1F for white space.
@@ -234,81 +236,168 @@ class Memo(dict):
 
     old: dict = {}
 
-    def unknown(self, keys) -> set:
-        """Those of the keys, none of which is among the newer entries, that are not among the older either."""
-        keys = set(keys)
-        if len(self) > MEMO:
-            self.old = dict(self)
-            self.clear()
-        for k in keys.intersection(self.old):
-            self[k] = self.old[k]
-            keys.discard(k)
-        return keys
+    def recall(self, keys: list, learn) -> list:
+        """What is remembered of each key; learn gives the entries of those that are not."""
+        found = list(map(self.get, keys))
+        if None in found:
+            missed = {k for k, f in zip(keys, found) if f is None}
+            if len(self) > MEMO:
+                self.old = dict(self)
+                self.clear()
+            for k in missed.intersection(self.old):
+                self[k] = self.old[k]
+            new = [k for k in missed if k not in self]
+            self.update(zip(new, learn(new)))
+            found = [self[k] if f is None else f for k, f in zip(keys, found)]
+        return found
+
+
+@functools.cache
+def character_classes() -> np.ndarray:
+    """0 for white space, 1 for letters, 2 for numbers, 3 for all else, by code point."""
+    kinds = {"L": 1, "N": 2}
+    out = np.array([kinds.get(category(chr(c))[0], 3) for c in range(0x110000)], np.uint8)
+    out[[c for c in range(0x3001) if chr(c).isspace() and not 0x1C <= c <= 0x1F]] = 0
+    return out
+
+
+class Powers:
+    """Powers of two odd bases and of their inverses modulo 2 ** 64, as far as they were asked for."""
+
+    BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+
+    def __init__(self):
+        self.tables: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def of(self, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        if not self.tables or len(self.tables[0][0]) < n:
+            size = max(n, 1 << 20)
+            self.tables = [tuple(np.multiply.accumulate(np.full(size, x, np.uint64)) for x in (b, pow(b, -1, 1 << 64))) for b in self.BASES]
+        return self.tables
+
+
+POWERS = Powers()
+
+
+def word_places(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the words in the code points of a normalised text.
+
+    Words are runs of letters, single numbers, runs of what is neither, and the
+    endings that a lone apostrophe begins.
+    """
+    kind = character_classes()[text]
+    edge = np.concatenate([[True], kind[1:] != kind[:-1], [True]])
+    number = kind == 2
+    starts = np.flatnonzero((edge[:-1] | number) & (kind != 0))
+    ends = np.flatnonzero((edge[1:] | number) & (kind != 0)) + 1
+    lone = np.flatnonzero((text[starts] == 0x27) & (ends - starts == 1))
+    if len(lone):
+        padded = np.append(text, np.zeros(2, text.dtype))
+        a, b = padded[starts[lone] + 1], padded[starts[lone] + 2]
+        size = 2 * np.isin(a, [0x73, 0x74, 0x6D, 0x64]) + 3 * (((a == 0x72) | (a == 0x76)) & (b == 0x65) | (a == 0x6C) & (b == 0x6C))
+        lone, size = lone[size > 0], size[size > 0]
+        ends[lone] = starts[lone] + size
+        starts[lone + 1] = ends[lone]  # the letters after it begin behind it
+        keep = ends > starts
+        starts, ends = starts[keep], ends[keep]
+    return starts, ends
+
+
+class WordTable:
+    """The words of some texts: each distinct one once, and for every place which it is."""
+
+    def __init__(self, texts: list[str]):
+        joined = "\n".join(texts)
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        starts, ends = word_places(codes)
+        mixed = mix64(codes.astype(np.uint64) + np.uint64(1))
+        hashes = []
+        for up, down in POWERS.of(len(codes) + 1):
+            sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed * up[: len(codes)], dtype=np.uint64)])
+            hashes.append((sums[ends] - sums[starts]) * down[starts])
+        order = np.argsort(hashes[0])
+        ranked, second = hashes[0][order], hashes[1][order]
+        fresh = np.concatenate([[True], (ranked[1:] != ranked[:-1]) | (second[1:] != second[:-1])]) if len(order) else np.zeros(0, bool)
+        self.which = np.empty(len(order), np.int64)
+        self.which[order] = np.cumsum(fresh) - 1
+        first = order[fresh]
+        self.words = [joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        begins = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+        #: places[i] to places[i + 1] are the words of text i
+        self.places = np.searchsorted(starts, begins)
+
+    def counts(self) -> np.ndarray:
+        return np.bincount(self.which, minlength=len(self.words))
+
+    def spread(self, entries: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray]:
+        """(all words' entries in order, where each text's begin) for the entries of the distinct words."""
+        table = np.frombuffer(b"".join(entries), kind)
+        size = np.fromiter(map(len, entries), np.int64, len(entries)) // table.itemsize
+        begin = np.cumsum(size) - size
+        n = size[self.which]
+        total = np.concatenate([[0], np.cumsum(n)])
+        return table[np.repeat(begin[self.which] - total[:-1], n) + np.arange(total[-1])], total[self.places]
 
 
 class Encoder:
-    """Encodes texts by white-space chunks, chunks by words, words by the lexicon or by merging; both are remembered.
+    """Encodes texts in groups; words by the lexicon or by merging, both remembered.
 
-    A remembered entry is (ids as little-endian bytes, decoded).
+    A remembered entry is (ids as little-endian bytes, decoded with a blank
+    behind it).
     """
 
     def __init__(self, merges: Merges, lexicon: Transducer | None = None):
-        self.merges, self.lexicon, self.chunks, self.known = merges, lexicon, Memo(), Memo()
+        self.merges, self.lexicon, self.known = merges, lexicon, Memo()
         self.find = regex.compile(merges.pattern).findall
         self.settled = regex.compile(SETTLED).fullmatch
         self.library = Tokenizer.from_str(merges.splitter)
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in merges.special) + ")").split if merges.special else None
 
-    def split(self, text: str) -> list[str | tuple[str, ...]]:
-        """The text's chunks; special tokens and texts beyond SETTLED come as tuples of their words."""
-        if self.cut and any(s in text for s in self.merges.special):
-            return [c for part in self.cut(text) for c in ([(part,)] if part in self.merges.special else self._split(part))]
-        return self._split(text)
-
-    def _split(self, text: str) -> list[str | tuple[str, ...]]:
-        if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f") or self.settled(text):
-            return text.split()
-        text = self.library.normalizer.normalize_str(text)
-        words = tuple(w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text))
-        return [words] if words else []
-
-    def words(self, chunk: str | tuple[str, ...]) -> list[str] | tuple[str, ...]:
-        """The normalised words of a chunk."""
-        if isinstance(chunk, tuple):
-            return chunk
-        if not chunk.isascii():
-            chunk = normalize("NFC", chunk)
-        # one character at a time where a final sigma would get a form of its own
-        chunk = "".join(map(str.lower, chunk)) if "Σ" in chunk else chunk.lower()
-        return [chunk] if chunk.isalpha() else self.find(chunk)
-
-    def learn(self, chunks: set) -> None:
-        new = {c: self.words(c) for c in chunks}
-        words = list(self.known.unknown(w for ws in new.values() for w in ws if w not in self.known))
+    def normal(self, text: str) -> str | None:
+        """The normalised text if its words can be told by class of character, else None."""
+        if any(s in text for s in self.merges.special):
+            return None
+        if not text.isascii():
+            if not self.settled(text) or "Σ" in text:
+                return None
+            text = normalize("NFC", text)
+        elif any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return None
+        return text.lower()
+
+    def words(self, text: str) -> list[str]:
+        """The words of any text by the tokenizer library's own normaliser and splitter; special tokens stand for themselves."""
+        out = []
+        for part in self.cut(text) if self.cut else [text]:
+            if part in self.merges.special:
+                out.append(part)
+            elif part:
+                out += [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part))]
+        return out
+
+    def learn(self, words: list[str]):
         coded = [w.encode("utf-8", "surrogatepass") for w in words]
-        show, special, known = self.merges.strings, self.merges.special, self.known
-        fresh = {}
+        show, special = self.merges.strings, self.merges.special
         for w, b, rank in zip(words, coded, self.lexicon.ranks(coded).tolist(), strict=True):
             ids = [special[w]] if w in special else self.lexicon.output(rank).tolist() if rank >= 0 else self.merges.merge(b)
-            fresh[w] = (np.array(ids, "<u4").tobytes(), " ".join([show[i] for i in ids]))
-        known.update(fresh)
-        for c, ws in new.items():
-            found = [known.get(w) or known.old[w] for w in ws]
-            self.chunks[c] = found[0] if len(found) == 1 else (b"".join([f[0] for f in found]), " ".join([f[1] for f in found]))
+            yield np.array(ids, "<u4").tobytes(), "".join([show[i] + " " for i in ids]).encode()
 
     def encode(self, texts: list[str]):
-        """The ids as little-endian 32-bit integers, their number, and the text decoded from them, of each text."""
-        for i in range(0, len(texts), TOGETHER):
-            parts = [self.split(t) for t in texts[i : i + TOGETHER]]
-            get = self.chunks.get
-            found = [list(map(get, p)) for p in parts]
-            missed = {c for p, f in zip(parts, found) if None in f for c, x in zip(p, f) if x is None}
-            self.learn(self.chunks.unknown(missed))
-            for p, f in zip(parts, found):
-                if None in f:
-                    f = [get(c) if x is None else x for c, x in zip(p, f)]
-                ids = b"".join([x[0] for x in f])
-                yield ids, len(ids) // 4, " ".join([x[1] for x in f])
+        """The ids as little-endian 32-bit integers, their number, and the UTF-8 of the text decoded from them, of each text."""
+        normal = [self.normal(t) for t in texts]
+        table = WordTable([n for n in normal if n is not None])
+        found = self.known.recall(table.words, self.learn)
+        ids, id_ends = table.spread([f[0] for f in found], "<u4")
+        decoded, decoded_ends = table.spread([f[1] for f in found], "u1")
+        at = 0
+        for text, plain in zip(texts, normal):
+            if plain is None:
+                own = self.known.recall(self.words(text), self.learn)
+                yield b"".join([f[0] for f in own]), sum([len(f[0]) for f in own]) // 4, b"".join([f[1] for f in own])[:-1]
+            else:
+                part = ids[id_ends[at] : id_ends[at + 1]]
+                yield part.tobytes(), len(part), decoded[decoded_ends[at] : max(decoded_ends[at], decoded_ends[at + 1] - 1)].tobytes()
+                at += 1
 
 
 #: One encoder to a worker process, so that what it remembers outlives a task.
@@ -323,6 +412,20 @@ def _encoder(merges: Merges, lexicon: bytes) -> Encoder:
     return _ENCODERS[key]
 
 
+def grouped_texts(column) -> Iterator[list[str]]:
+    """A column of UTF-8 as texts, in groups of about TOGETHER bytes; a longer text is a group of its own."""
+    group, size = [], 0
+    for t in column:
+        text = t.as_py()
+        if group and size + len(text) > TOGETHER:
+            yield group
+            group, size = [], 0
+        group.append(text.decode("utf-8", "replace"))
+        size += len(text)
+    if group:
+        yield group
+
+
 def frequent_words(df: DataFrame, merges: Merges, text_col: str = "text", most: int = LEXICON_WORDS) -> list[bytes]:
     """The words of all texts that are as frequent as can be without being more than `most`.
 
@@ -333,22 +436,24 @@ def frequent_words(df: DataFrame, merges: Merges, text_col: str = "text", most:
 
     def count(batches):
         encoder = Encoder(bound.value)
+        seen: Counter = Counter()
 
-        def words(seen: Counter):
-            out: Counter = Counter()
-            for c, n in seen.items():
-                for w in encoder.words(c):
-                    out[w] += n
-            return {"word": [w.encode("utf-8", "replace") for w in out], "n": list(out.values())}
+        def rows():
+            return {"word": [w.encode("utf-8", "replace") for w in seen], "n": list(seen.values())}
 
-        seen: Counter = Counter()
         for batch in batches:
-            for t in batch.column(0):
-                seen.update(encoder.split(t.as_py().decode("utf-8", "replace")))
+            for texts in grouped_texts(batch.column(0)):
+                normal = [encoder.normal(t) for t in texts]
+                table = WordTable([n for n in normal if n is not None])
+                for w, n in zip(table.words, table.counts().tolist()):
+                    seen[w] += n
+                for t, n in zip(texts, normal):
+                    if n is None:
+                        seen.update(encoder.words(t))
                 if len(seen) > 2 * MEMO:
-                    yield words(seen)
+                    yield rows()
                     seen = Counter()
-        yield words(seen)
+        yield rows()
 
     counts = stage(map_rows(df.select(text_bytes(text_col)), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     level = F.floor(F.log2("n") * 8).cast("int")
@@ -376,16 +481,15 @@ def encode_decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
         encoder = _encoder(*model.value)
         for batch in batches:
             out = {id_col: batch.column(0), "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": [], "decoded": []}
-            for at in range(0, batch.num_rows, TOGETHER):
-                texts = [t.decode("utf-8", "replace") for t in batch.column(1).slice(at, TOGETHER).to_pylist()]
+            for texts in grouped_texts(batch.column(1)):
                 for ids, n, decoded in encoder.encode(texts):
                     out["n_tokens"].append(n)
                     out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
-                    out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
+                    out["decoded_sha256"].append(hashlib.sha256(decoded).hexdigest())
                     if keep_ids:
                         out["ids"].append(np.frombuffer(ids, "<u4").astype(np.int32))
                     if keep_decoded:
-                        out["decoded"].append(decoded)
+                        out["decoded"].append(decoded.decode())
             yield out
 
     more = ", ids array<int>" * keep_ids + ", decoded string" * keep_decoded
