@@ -6,11 +6,11 @@ A turn is rendered as
 
 without the blanks. A deterministic lexer cuts the output at the control
 strings; the grammar asks for the four of a turn in this order and nothing
-else. The first rendering writes every turn as it is (mark `=`). It is parsed
-back and compared with the source; turns whose role or text breaks the lexing
-of the conversation are written anew with their control characters escaped
-(mark `~`), and the result is parsed and compared again. Escaped texts hold no
-`<` and no `[`, so nothing in them can be taken for a control string.
+else. Every turn is first written as it is (mark `=`), parsed back and compared
+with the source; a turn that does not come back is written anew with its control
+characters escaped (mark `~`). The conversation is parsed and compared again as
+a whole. Escaped texts hold no `<` and no `[`, so nothing in them can be taken
+for a control string, and the second form always comes back.
 
 Only DataFrame functions are used. Edge cases: null roles and texts are empty;
 null turns come first; rows with the same turn follow in the order of role and
@@ -36,52 +36,54 @@ def unescape(text: Column) -> Column:
     return F.replace(F.replace(F.replace(text, F.lit("~2"), F.lit("[")), F.lit("~1"), F.lit("<")), F.lit("~0"), F.lit("~"))
 
 
-def render_turn(role: Column, text: Column, escaped: Column) -> Column:
+def render_turn(role: Column, text: Column, mark: str) -> Column:
     a, b, c, d = map(F.lit, CONTROL)
-    return F.when(escaped, F.concat(a, F.lit(ESCAPED), escape(role), b, escape(text), c, d)).otherwise(F.concat(a, F.lit(RAW), role, b, text, c, d))
+    return F.concat(a, F.lit(mark), role, b, text, c, d)
 
 
-def render(turns: Column, all_raw: bool) -> Column:
-    """turns: array of (turn, role, text, conflict); conflicting ones are escaped unless all_raw."""
-    return F.array_join(F.transform(turns, lambda t: render_turn(t["role"], t["text"], F.lit(False) if all_raw else t["conflict"])), "")
+def read_turn(rendered: Column) -> tuple[Column, Column, Column]:
+    """(whether the four control strings stand there in order and nothing else is cut, role, text) of one rendered turn."""
+    tokens, parts = F.regexp_extract_all(rendered, F.lit(LEXER), F.lit(1)), F.split(rendered, LEXER, -1)
+    outer = (F.get(parts, F.lit(0)) == "") & (F.get(parts, F.lit(4)) == "")
+    head, text = F.get(parts, F.lit(1)), F.get(parts, F.lit(2))
+    role = F.substring(head, F.lit(2), F.length(head))
+    escaped = F.left(head, F.lit(1)) == ESCAPED
+    ok = F.coalesce((tokens == F.array(*map(F.lit, CONTROL))) & outer & F.left(head, F.lit(1)).isin(RAW, ESCAPED), F.lit(False))
+    return ok, F.when(escaped, unescape(role)).otherwise(role), F.when(escaped, unescape(text)).otherwise(text)
 
 
 def parse(formatted: Column) -> Column:
-    """Array of (role, text) read from a rendering; null if it breaks the grammar."""
-    tokens = F.regexp_extract_all(formatted, F.lit(LEXER), F.lit(1))
-    parts = F.split(formatted, LEXER, -1)
-    n = F.floor(F.size(tokens) / 4).cast("int")
-    # the four control strings of each turn, joined, against the expected ones
-    quads = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.array_join(F.slice(tokens, i * 4 + 1, F.lit(4)), "\0"))
-    grammar = (F.size(tokens) == n * 4) & (n > 0) & F.forall(quads, lambda q: q == F.lit("\0".join(CONTROL)))
-    places = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
+    """Array of (ok, role, text) read from a rendering, cut behind each end of a turn; what is left over is not ok."""
+    pieces = F.split(formatted, "(?<=</s>)", -1)
 
-    def turn(i):
-        head, text = F.get(parts, i * 4 + 1), F.get(parts, i * 4 + 2)
-        mark, role = F.substring(head, 1, 1), F.substring(head, F.lit(2), F.length(head))
-        return F.struct(
-            F.when(mark == ESCAPED, unescape(role)).otherwise(role).alias("role"), F.when(mark == ESCAPED, unescape(text)).otherwise(text).alias("text")
-        )
+    def turn(piece):
+        ok, role, text = read_turn(piece)
+        return F.struct(ok.alias("ok"), role.alias("role"), text.alias("text"))
 
-    return F.when(grammar, F.transform(places, turn))
+    return F.transform(F.filter(pieces, lambda p: p != ""), turn)
 
 
 def format_conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row per conversation: formatted, the turns read back from it, and whether they equal the source.
 
-    loss_text is what the loss mask covers: the texts of assistant turns as they
-    were read back.
+    Turns are concatenated, so what one reads back as does not depend on the
+    others: each is first tried by itself, and the whole is read again in the
+    end. loss_text is what the loss mask covers: the texts of assistant turns as
+    they were read back.
     """
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (role_col, text_col))
-    row = F.struct(F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text"), (role.rlike(LEXER) | text.rlike(LEXER)).alias("conflict"))
-    convs = df.groupBy(F.col(conv_col).alias(conv_col)).agg(F.array_sort(F.collect_list(row)).alias("source"))
-    said = F.transform("source", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    plain = convs.withColumn("plain", render(F.col("source"), True))
-    # a turn that the lexer cut wrongly makes the whole conversation's reading differ; then its conflicting turns are escaped
-    done = plain.withColumn("formatted", F.when(F.coalesce(parse(F.col("plain")) == said, F.lit(False)), F.col("plain")).otherwise(render(F.col("source"), False)))
+    rows = df.select(F.col(conv_col).alias(conv_col), F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text"))
+    ok, read_role, read_text = read_turn(render_turn(F.col("role"), F.col("text"), RAW))
+    same = ok & (read_role == F.col("role")) & (read_text == F.col("text"))
+    escaped = render_turn(escape(F.col("role")), escape(F.col("text")), ESCAPED)
+    tried = rows.withColumn("rendered", F.when(same, render_turn(F.col("role"), F.col("text"), RAW)).otherwise(escaped))
+    convs = tried.groupBy(conv_col).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "rendered"))).alias("source"))
+    done = convs.withColumn("formatted", F.array_join(F.transform("source", lambda t: t["rendered"]), ""))
     back = done.withColumn("turns", parse(F.col("formatted")))
     loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
-    return back.select(conv_col, "formatted", "turns", loss.alias("loss_text"), F.coalesce(F.col("turns") == said, F.lit(False)).alias("identical"))
+    pairs = lambda c: F.transform(c, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    identical = F.forall("turns", lambda t: t["ok"]) & (pairs("turns") == pairs("source"))
+    return back.select(conv_col, "formatted", pairs("turns").alias("turns"), loss.alias("loss_text"), identical.alias("identical"))
 
 
 def digests(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
