@@ -38,7 +38,9 @@ class BoostedTrees:
     trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32, ridge: float = 1.0) -> BoostedTrees:
+    def fit(cls, x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32, ridge: float = 1.0, columns: float = 0.5) -> BoostedTrees:
+        """Each tree sees a seeded choice of that share of the columns, so that equally good ones all have a say."""
+        draw = np.random.default_rng(0)
         cuts = [quantile_bins(x[:, j], bins) for j in range(x.shape[1])]
         b = binned(x, cuts)
         bias = log_odds(y)
@@ -48,11 +50,12 @@ class BoostedTrees:
             g, h = y - p, p * (1 - p)
             node = np.zeros(len(y), int)
             features, values = np.zeros(2**depth - 1, int), np.full(2**depth - 1, np.inf)
+            seen = draw.permutation(x.shape[1])[: max(1, round(columns * x.shape[1]))]
             for d in range(depth):
                 first, n = 2**d - 1, 2**d
                 best = np.full(n, 1e-9)
                 where = np.full((n, 2), -1)
-                for j in range(x.shape[1]):
+                for j in seen:
                     at = node * width + b[:, j]
                     gs = np.bincount(at, g, n * width).reshape(n, width).cumsum(1)
                     hs = np.bincount(at, h, n * width).reshape(n, width).cumsum(1)
