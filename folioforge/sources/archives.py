@@ -139,7 +139,7 @@ def epub_fragments(data: bytes) -> list[tuple[str, str]]:
             if found:
                 fragments.append((k, now, text))
                 now, text = found if found in known else "", ""
-            text += f"\n{child.get_text()}\n" if child.tag != "" else ""
+            text += f"\n{child.get_text()}\n"
         fragments.append((k, now, text))
     fragments = [f for f in fragments if f[2].strip("\n") or f[1]]
     out, at = [], 0
@@ -176,7 +176,8 @@ def chapters(files: DataFrame, flavour: str = "toc") -> DataFrame:
                     rows = extract(bytes(data))
                 except (zipfile.BadZipFile, KeyError, StopIteration):
                     rows = []
-                yield pd.DataFrame({"file": path, "chapter_idx": range(len(rows)), "title": [t for t, _ in rows], "content": [c for _, c in rows]})
+                if rows:
+                    yield pd.DataFrame({"file": [path] * len(rows), "chapter_idx": range(len(rows)), "title": [t for t, _ in rows], "content": [c for _, c in rows]})
 
     return files.select("path", "content").mapInPandas(run, "file string, chapter_idx int, title string, content string")
 
@@ -189,7 +190,8 @@ def epub_documents(files: DataFrame, order: str = "spine") -> DataFrame:
             for path, data in zip(batch["path"], batch["content"]):
                 book = Epub(bytes(data))
                 names = book.spine() if order == "spine" else book.manifest()
-                yield pd.DataFrame({"file": path, "idx": range(len(names)), "member": names, "html": [book.read(n) for n in names]})
+                if names:
+                    yield pd.DataFrame({"file": [path] * len(names), "idx": range(len(names)), "member": names, "html": [book.read(n) for n in names]})
 
     return files.select("path", "content").mapInPandas(run, "file string, idx int, member string, html string")
 
@@ -234,7 +236,7 @@ def image_size(data: bytes) -> tuple[int, int] | None:
             return w & 0x3FFF, h & 0x3FFF
     if data[:2] == b"\xff\xd8":
         at = 2
-        while at + 9 < len(data) and data[at] == 0xFF:
+        while at + 9 <= len(data) and data[at] == 0xFF:
             marker, size = data[at + 1], int.from_bytes(data[at + 2 : at + 4], "big")
             if 0xC0 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
                 h, w = struct.unpack(">HH", data[at + 5 : at + 9])

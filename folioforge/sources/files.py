@@ -65,8 +65,8 @@ def ordered_text(df: DataFrame, keys: list[str], order: list[str], text: str | C
 
 
 def write_texts(df: DataFrame, path: str, keys: list[str], order: list[str], text: str) -> None:
-    """One text for each combination of the keys, under key=value folders."""
-    ordered_text(df, keys, order, text).repartition(*keys).write.partitionBy(*keys).option("lineSep", "").text(path)
+    """One text for each combination of the keys, under key=value folders; Spark's text writer ends each with a newline."""
+    ordered_text(df, keys, order, text).repartition(*keys).write.partitionBy(*keys).text(path)
 
 
 def with_contents(chapters: DataFrame, file: str = "file", index: str = "chapter_idx", title: str = "title", text: str = "content") -> DataFrame:

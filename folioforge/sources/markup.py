@@ -30,7 +30,7 @@ class Node:
     def get_text(self) -> str:
         if self.tag is None:
             return self.text
-        return "".join(c.get_text() for c in self.children if c.tag not in HIDDEN and c.tag != "")
+        return "" if self.tag == "" or self.tag in HIDDEN else "".join(c.get_text() for c in self.children)
 
     def find_all(self, *tags: str) -> list[Node]:
         return [n for n in self.walk() if n.tag in tags]
