@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
 from folioforge.llm.boosting import AdditiveModel
-from folioforge.llm.common import map_rows, stage, text_bytes
+from folioforge.llm.common import bounded_sample, map_rows, stage, text_bytes
 
 #: Labelled rows to fit on, at most.
 SAMPLE = 20_000
@@ -80,7 +80,7 @@ def feature_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def chosen_labels(labels: DataFrame, id_col: str, label_col: str, sample: int, of: int = HELD_OUT_OF, rest: int = HELD_OUT) -> DataFrame:
     """(id, y): at most `sample` labels of ids that are not held out."""
     usable = labels.filter(F.col(label_col).isin(0, 1) & (crc(id_col) % of != rest))
-    return usable.select(id_col, F.col(label_col).alias("y")).orderBy(F.xxhash64(id_col), "y").limit(sample)
+    return bounded_sample(usable.select(id_col, F.col(label_col).alias("y")), [id_col, "y"], sample)
 
 
 def fit_quality(labelled: DataFrame, id_col: str) -> AdditiveModel:
