@@ -15,19 +15,24 @@ DROP_KEYWORDS = [
 ]
 
 
+def text_key(text: Column) -> Column:
+    """What stands for a text in shuffles: its MD5, so that whole texts never travel."""
+    return F.md5(text.cast("binary"))
+
+
 def exact_duplicates(df: DataFrame, text: Column, item: str) -> DataFrame:
-    """(text, items, n): texts of two or more items, the items sorted.
+    """(text_md5, items, n): texts of two or more items, the items sorted.
 
-    Counting comes first, so that only repeated texts are gathered.
+    Counting comes first, so that only the items of repeated texts are gathered.
     """
-    rows = df.select(text.alias("text"), F.col(item).alias("item"))
-    repeated = rows.groupBy("text").agg(F.count("*").alias("n")).filter("n > 1").select("text")
-    return rows.join(repeated, "text", "left_semi").groupBy("text").agg(F.array_sort(F.collect_list("item")).alias("items"), F.count("*").alias("n"))
+    rows = df.select(text_key(text).alias("text_md5"), F.col(item).alias("item"))
+    repeated = rows.groupBy("text_md5").agg(F.count("*").alias("n")).filter("n > 1").select("text_md5")
+    return rows.join(repeated, "text_md5", "left_semi").groupBy("text_md5").agg(F.array_sort(F.collect_list("item")).alias("items"), F.count("*").alias("n"))
 
 
 def duplicate_stats(df: DataFrame, text: Column) -> DataFrame:
     """One row: groups of repeated texts and the rows in them."""
-    groups = df.groupBy(text.alias("text")).agg(F.count("*").alias("n")).filter("n > 1")
+    groups = df.groupBy(text_key(text).alias("key")).agg(F.count("*").alias("n")).filter("n > 1")
     return groups.agg(F.count("*").alias("n_groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"))
 
 
@@ -37,8 +42,8 @@ def later_occurrences(df: DataFrame, text: Column, order: str) -> DataFrame:
     The first row of each text comes from an aggregation that combines before the
     shuffle, so a text that a third of all rows share stays in no single task.
     """
-    rows = df.withColumn("__text", text)
-    first = rows.groupBy(F.col("__text").alias("__key")).agg(F.min(order).alias("__first"))
+    rows = df.withColumn("__text", text_key(text))
+    first = rows.groupBy(F.col("__text").alias("__key")).agg(F.min(order).alias("__first"), F.count("*").alias("__n")).filter("__n > 1")
     return rows.join(first, F.col("__text").eqNullSafe(F.col("__key"))).filter(F.col(order) > F.col("__first")).select(*df.columns)
 
 
@@ -113,6 +118,3 @@ def ngram_counts(df: DataFrame, key: str, text: str, n: int, least: int = 2) ->
     grams = df.select(key, F.explode(F.transform(places, lambda i: F.substring(F.col(text), i, F.lit(n)))).alias("gram"))
     return grams.groupBy(key, "gram").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
 
-
-def ranked(df: DataFrame, *order: Column, out: str = "rank") -> DataFrame:
-    return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))

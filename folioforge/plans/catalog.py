@@ -60,9 +60,6 @@ def _documents(spark, sf_dir):
 
 # --- segmentation ---------------------------------------------------------------------------------------------------
 
-TEXT = F.col("text")
-
-
 def _cascade_sql(keep_newline: bool) -> str:
     extra = r"\n" if keep_newline else ""
     pieces = r"regexp_extract_all(text, '[^\n]*[\n]+|[^\n]+')"
@@ -82,22 +79,22 @@ def _pieces(spark, sf_dir, pieces):
 
 @query("segment_lines", _unnest_sql(r"regexp_extract_all(text, '[^\n]*[\n]+|[^\n]+')"))
 def segment_lines(spark, sf_dir):
-    return _pieces(spark, sf_dir, seg.segment(TEXT))
+    return _pieces(spark, sf_dir, seg.segment(F.col("text")))
 
 
 @query("segment_cascade", _unnest_sql(_cascade_sql(True)))
 def segment_cascade(spark, sf_dir):
-    return _pieces(spark, sf_dir, seg.segment_cascade(TEXT))
+    return _pieces(spark, sf_dir, seg.segment_cascade(F.col("text")))
 
 
 @query("segment_cascade_nonl", _unnest_sql(_cascade_sql(False)))
 def segment_cascade_nonl(spark, sf_dir):
-    return _pieces(spark, sf_dir, seg.segment_cascade(TEXT, keep_newline=False))
+    return _pieces(spark, sf_dir, seg.segment_cascade(F.col("text"), keep_newline=False))
 
 
 @query("hard_slice_256", _unnest_sql("list_transform(range(1, length(text) + 1, 256), lambda k: substring(text, k, 256))"))
 def hard_slice_256(spark, sf_dir):
-    return _pieces(spark, sf_dir, seg.hard_slices(TEXT))
+    return _pieces(spark, sf_dir, seg.hard_slices(F.col("text")))
 
 
 # --- scalar functions -----------------------------------------------------------------------------------------------
@@ -106,22 +103,21 @@ def hard_slice_256(spark, sf_dir):
 def _on_documents(name: str, out: str, column, sql: str):
     @query(name, f"SELECT doc_id, {sql} AS {out} FROM documents")
     def run(spark, sf_dir):
-        return _documents(spark, sf_dir).select("doc_id", column.alias(out))
+        return _documents(spark, sf_dir).select("doc_id", column(F.col("text")).alias(out))
 
 
 def _on_urls(name: str, out: str, column, sql: str):
     @query(name, f"SELECT page_id, {sql} AS {out} FROM pages")
     def run(spark, sf_dir):
-        return table(spark, sf_dir, "pages").select("page_id", column.alias(out))
+        return table(spark, sf_dir, "pages").select("page_id", column(F.col("url")).alias(out))
 
 
-URL = F.col("url")
-_on_documents("truncate_middle_32", "short", tx.truncate_middle(TEXT, 32), "CASE WHEN length(text) <= 32 THEN text ELSE left(text, 14) || '...' || right(text, 15) END")
-_on_documents("collapse_newlines", "clean", tx.collapse_newlines(TEXT), r"regexp_replace(regexp_replace(text, '^[ \t\n\r\f\v]+|[ \t\n\r\f\v]+$', '', 'g'), '\n+', chr(10), 'g')")
-_on_documents("text_replace", "replaced", F.replace(TEXT, F.lit("the"), F.lit("THE")), "replace(text, 'the', 'THE')")
-_on_documents("space_normalise", "spaced", tx.normalise_spaces(F.translate(TEXT, " ", "　")), "translate(translate(text, ' ', '　'), '　', ' ')")
-_on_urls("strip_charset", "stem", tx.strip_suffix(URL, ".html", compat=True), "rtrim(url, '.html')")
-_on_urls("strip_suffix", "stem", tx.strip_suffix(URL, ".html"), "CASE WHEN ends_with(url, '.html') THEN left(url, length(url) - 5) ELSE url END")
+_on_documents("truncate_middle_32", "short", lambda c: tx.truncate_middle(c, 32), "CASE WHEN length(text) <= 32 THEN text ELSE left(text, 14) || '...' || right(text, 15) END")
+_on_documents("collapse_newlines", "clean", lambda c: tx.collapse_newlines(c), r"regexp_replace(regexp_replace(text, '^[ \t\n\r\f\v]+|[ \t\n\r\f\v]+$', '', 'g'), '\n+', chr(10), 'g')")
+_on_documents("text_replace", "replaced", lambda c: F.replace(c, F.lit("the"), F.lit("THE")), "replace(text, 'the', 'THE')")
+_on_documents("space_normalise", "spaced", lambda c: tx.normalise_spaces(F.translate(c, " ", "　")), "translate(translate(text, ' ', '　'), '　', ' ')")
+_on_urls("strip_charset", "stem", lambda c: tx.strip_suffix(c, ".html", compat=True), "rtrim(url, '.html')")
+_on_urls("strip_suffix", "stem", lambda c: tx.strip_suffix(c, ".html"), "CASE WHEN ends_with(url, '.html') THEN left(url, length(url) - 5) ELSE url END")
 
 NUMBER_SQL = r"""(SELECT page_id, url, regexp_replace(k, '^(.)(.*)$', '\1') || replace(regexp_replace(k, '^(.)(.*)$', '\2'), '-', '') AS s
   FROM (SELECT page_id, url, regexp_replace(url, '[^0-9.\-]', '', 'g') AS k FROM pages))"""
@@ -131,12 +127,12 @@ NUMBER_SQL = f"""(SELECT page_id, url, CASE WHEN n IN ('', '.', '-', '-.') THEN
 
 @query("only_numbers", f"SELECT page_id, num FROM {NUMBER_SQL}")
 def only_numbers(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", tx.only_numbers(URL).alias("num"))
+    return table(spark, sf_dir, "pages").select("page_id", tx.only_numbers(F.col("url")).alias("num"))
 
 
 @query("doc_name_filter", f"SELECT page_id, url FROM {NUMBER_SQL} WHERE coalesce(num, 0) <> 0 OR contains(url, 'toc')")
 def doc_name_filter(spark, sf_dir):
-    return table(spark, sf_dir, "pages").filter(tx.is_document_name(URL)).select("page_id", "url")
+    return table(spark, sf_dir, "pages").filter(tx.is_document_name(F.col("url"))).select("page_id", "url")
 
 
 # An inline character map that stands for a script conversion table.
@@ -149,7 +145,7 @@ CHARS_SQL = f"translate(text, '{''.join(CHARS)}', '{''.join(CHARS.values())}')"
     f"SELECT doc_id, md5({CHARS_SQL}) AS converted_md5, {CHARS_SQL} <> text AS has_convertible FROM documents",
 )
 def char_map_convert(spark, sf_dir):
-    return _documents(spark, sf_dir).select("doc_id", F.md5(tx.convert_characters(TEXT, CHARS).cast("binary")).alias("converted_md5"), tx.has_convertible(TEXT, CHARS).alias("has_convertible"))
+    return _documents(spark, sf_dir).select("doc_id", F.md5(tx.convert_characters(F.col("text"), CHARS).cast("binary")).alias("converted_md5"), tx.has_convertible(F.col("text"), CHARS).alias("has_convertible"))
 
 
 @query(
@@ -157,8 +153,8 @@ def char_map_convert(spark, sf_dir):
     f"SELECT count(*)::BIGINT AS n FROM (SELECT text, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents) WHERE k > 1 AND {CHARS_SQL} <> text",
 )
 def convertible_duplicates(spark, sf_dir):
-    later = cs.later_occurrences(_documents(spark, sf_dir), TEXT, "doc_id")
-    return later.filter(tx.has_convertible(TEXT, CHARS)).agg(F.count("*").alias("n"))
+    later = cs.later_occurrences(_documents(spark, sf_dir), F.col("text"), "doc_id")
+    return later.filter(tx.has_convertible(F.col("text"), CHARS)).agg(F.count("*").alias("n"))
 
 
 LINES_OF = r"string_split(text, chr(10))"
@@ -188,7 +184,7 @@ def convertible_first10(spark, sf_dir):
 
 
 def _lines(spark, sf_dir):
-    return _documents(spark, sf_dir).select("doc_id", "lang", F.posexplode(seg.segment(TEXT)).alias("pos", "piece")).withColumn("n", F.length("piece"))
+    return _documents(spark, sf_dir).select("doc_id", "lang", F.posexplode(seg.segment(F.col("text"))).alias("pos", "piece")).withColumn("n", F.length("piece"))
 
 
 @query(
@@ -212,18 +208,18 @@ def chunk_mode(spark, sf_dir):
 
 @query("exact_duplicates", "SELECT md5(text) AS text_md5, list_aggregate(list_sort(list(doc_id)), 'string_agg', ',') AS doc_ids, count(*)::BIGINT AS n FROM documents GROUP BY text HAVING count(*) > 1")
 def exact_duplicates(spark, sf_dir):
-    found = cs.exact_duplicates(_documents(spark, sf_dir), TEXT, "doc_id")
-    return found.select(F.md5(F.col("text").cast("binary")).alias("text_md5"), F.array_join(F.col("items").cast("array<string>"), ",").alias("doc_ids"), "n")
+    found = cs.exact_duplicates(_documents(spark, sf_dir), F.col("text"), "doc_id")
+    return found.select("text_md5", F.array_join(F.col("items").cast("array<string>"), ",").alias("doc_ids"), "n")
 
 
 @query("duplicate_stats", "SELECT count(*)::BIGINT AS n_groups, coalesce(sum(n), 0)::BIGINT AS n_rows FROM (SELECT count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1)")
 def duplicate_stats(spark, sf_dir):
-    return cs.duplicate_stats(_documents(spark, sf_dir), TEXT)
+    return cs.duplicate_stats(_documents(spark, sf_dir), F.col("text"))
 
 
 @query("second_occurrence", "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents) WHERE k > 1")
 def second_occurrence(spark, sf_dir):
-    return cs.later_occurrences(_documents(spark, sf_dir), TEXT, "doc_id").select("doc_id")
+    return cs.later_occurrences(_documents(spark, sf_dir), F.col("text"), "doc_id").select("doc_id")
 
 
 @query("distinct_chars", "SELECT ch, count(*)::BIGINT AS n FROM (SELECT unnest(regexp_extract_all(text, '(?s).')) AS ch FROM documents) GROUP BY ch")
