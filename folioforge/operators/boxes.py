@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,20 +19,22 @@ def overlapping_pairs(boxes: DataFrame, page: str, box: str, polygon: str, thres
     return left.join(right, page).filter((F.col("a") < F.col("b")) & polygons_overlap(F.col("pa"), F.col("pb"), threshold)).select(page, "a", "b")
 
 
-def overlap(p: np.ndarray, q: np.ndarray, threshold: float = 0.0) -> bool:
+Point = tuple[float, float]
+
+
+def overlap(p: list[Point], q: list[Point], threshold: float = 0.0) -> bool:
     for poly in (p, q):
-        edges = np.roll(poly, -1, axis=0) - poly
-        for ex, ey in edges:
-            norm = math.hypot(ex, ey)
+        for (ax, ay), (bx, by) in zip(poly, [*poly[1:], poly[0]]):
+            nx, ny = ay - by, bx - ax
+            norm = math.hypot(nx, ny)
             if norm:
-                axis = np.array([-ey, ex]) / norm
-                a, b = p @ axis, q @ axis
-                if min(a.max() - b.min(), b.max() - a.min()) < -threshold:
+                a, b = [x * nx + y * ny for x, y in p], [x * nx + y * ny for x, y in q]
+                if min(max(a) - min(b), max(b) - min(a)) < -threshold * norm:
                     return False
     return True
 
 
-def groups_of(polygons: list[np.ndarray], threshold: float = 0.0) -> list[list[int]]:
+def groups_of(polygons: list[list[Point]], threshold: float = 0.0) -> list[list[int]]:
     """Connected groups of overlapping polygons, by smallest member."""
     parent = list(range(len(polygons)))
 
@@ -44,11 +45,11 @@ def groups_of(polygons: list[np.ndarray], threshold: float = 0.0) -> list[list[i
         return i
 
     # boxes sorted by their left edge: only those that begin before this one ends can meet it
-    order = sorted(range(len(polygons)), key=lambda i: polygons[i][:, 0].min())
+    left, right = [min(x for x, _ in p) for p in polygons], [max(x for x, _ in p) for p in polygons]
+    order = sorted(range(len(polygons)), key=left.__getitem__)
     for k, i in enumerate(order):
-        right = polygons[i][:, 0].max() + threshold
         for j in order[k + 1 :]:
-            if polygons[j][:, 0].min() > right:
+            if left[j] > right[i] + threshold:
                 break
             if root(i) != root(j) and overlap(polygons[i], polygons[j], threshold):
                 parent[max(root(i), root(j))] = min(root(i), root(j))
@@ -58,26 +59,29 @@ def groups_of(polygons: list[np.ndarray], threshold: float = 0.0) -> list[list[i
     return list(out.values())
 
 
-def _inside(quad: np.ndarray, p: np.ndarray) -> bool:
-    a, b = quad - p, np.roll(quad, -1, axis=0) - p
-    turns = a[:, 0] * b[:, 1] - a[:, 1] * b[:, 0]
-    return bool((turns >= 0).all() or (turns <= 0).all())
+def _inside(quad: list[Point], p: Point) -> bool:
+    x, y = p
+    turns = [(ax - x) * (by - y) - (ay - y) * (bx - x) for (ax, ay), (bx, by) in zip(quad, [*quad[1:], quad[0]])]
+    return min(turns) >= 0 or max(turns) <= 0
 
 
-def _segment_distance(a: np.ndarray, b: np.ndarray, p: np.ndarray) -> float:
-    along = b - a
-    length = along @ along
-    t = min(1.0, max(0.0, float((p - a) @ along / length))) if length else 0.0
-    return float(np.linalg.norm(p - a - t * along))
+def _segment_distance(a: Point, b: Point, p: Point) -> float:
+    ex, ey, px, py = b[0] - a[0], b[1] - a[1], p[0] - a[0], p[1] - a[1]
+    length = ex * ex + ey * ey
+    t = min(1.0, max(0.0, (px * ex + py * ey) / length)) if length else 0.0
+    return math.hypot(px - t * ex, py - t * ey)
 
 
-def _meet(a, b, c, d) -> np.ndarray | None:
-    u, v = b - a, d - c
-    cross = u[0] * v[1] - u[1] * v[0]
-    return None if cross == 0 else a + ((c[0] - a[0]) * v[1] - (c[1] - a[1]) * v[0]) / cross * u
+def _meet(a: Point, b: Point, c: Point, d: Point) -> Point | None:
+    ux, uy, vx, vy = b[0] - a[0], b[1] - a[1], d[0] - c[0], d[1] - c[1]
+    cross = ux * vy - uy * vx
+    if cross == 0:
+        return None
+    t = ((c[0] - a[0]) * vy - (c[1] - a[1]) * vx) / cross
+    return a[0] + t * ux, a[1] + t * uy
 
 
-def merged_quad(polygons: list[np.ndarray], width: float, height: float) -> np.ndarray:
+def merged_quad(polygons: list[list[Point]], width: float, height: float) -> list[Point]:
     """One quadrilateral around the polygons, corners in order from the canvas's upper left.
 
     Each corner starts at the point nearest to a canvas corner. Where two
@@ -87,15 +91,15 @@ def merged_quad(polygons: list[np.ndarray], width: float, height: float) -> np.n
     end's other edge meets the line through the point; parallel lines move
     nothing.
     """
-    points = np.concatenate(polygons).astype(float)
-    canvas = np.array([[0, 0], [width, 0], [width, height], [0, height]], float)
-    near = [points[np.argsort(np.linalg.norm(points - c, axis=1), kind="stable")] for c in canvas]
-    quad = np.array([n[0] for n in near])
+    points = [p for poly in polygons for p in poly]
+    canvas = [(0.0, 0.0), (width, 0.0), (width, height), (0.0, height)]
+    near = [sorted(points, key=lambda p, c=c: math.dist(p, c)) for c in canvas]
+    quad = [n[0] for n in near]
     for i in range(4):
         j = (i + 1) % 4
-        if len(points) > 1 and np.array_equal(quad[i], quad[j]):
+        if len(points) > 1 and quad[i] == quad[j]:
             a, b = near[i][1], near[j][1]
-            first = np.linalg.norm(canvas[i] - a) < np.linalg.norm(canvas[j] - b)
+            first = math.dist(canvas[i], a) < math.dist(canvas[j], b)
             quad[i if first else j] = a if first else b
     edges = [min((_segment_distance(quad[i], quad[(i + 1) % 4], p), i) for i in range(4)) for p in points]
     for k in sorted(range(len(points)), key=lambda k: -edges[k][0]):
@@ -103,7 +107,7 @@ def merged_quad(polygons: list[np.ndarray], width: float, height: float) -> np.n
         if _inside(quad, p):
             continue
         j = (i + 1) % 4
-        if np.linalg.norm(quad[i] - p) < np.linalg.norm(quad[j] - p):
+        if math.dist(quad[i], p) < math.dist(quad[j], p):
             moved, at = _meet(quad[i], quad[i - 1], p, quad[j]), i
         else:
             moved, at = _meet(quad[j], quad[(j + 1) % 4], p, quad[i]), j
@@ -130,10 +134,10 @@ def merge_boxes(boxes: DataFrame, page: str, box: str, polygon: str, score: str
         for batch in batches:
             out = []
             for key, own, w, h in zip(batch[page], batch["boxes"], batch["w"], batch["h"]):
-                polygons = [np.array([(p["x"], p["y"]) for p in b["polygon"]], float) for b in own]
+                polygons = [[(p["x"], p["y"]) for p in b["polygon"]] for b in own]
                 for members in groups_of(polygons, threshold):
                     quad = polygons[members[0]] if len(members) == 1 else merged_quad([polygons[i] for i in members], w, h)
-                    out.append((key, own[members[0]]["box"], len(members), [{"x": x, "y": y} for x, y in quad.tolist()]))
+                    out.append((key, own[members[0]]["box"], len(members), [{"x": x, "y": y} for x, y in quad]))
             yield pd.DataFrame(out, columns=[page, "group", "n_boxes", "quad"])
 
     return pages.mapInPandas(run, f"`{page}` {kind[page]}, group {kind[box]}, n_boxes int, quad {QUAD}")

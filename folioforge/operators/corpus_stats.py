@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -113,8 +116,18 @@ def extremes(df: DataFrame, keys: list[str], size: str, places: list[str], show:
 
 
 def ngram_counts(df: DataFrame, key: str, text: str, n: int, least: int = 2) -> DataFrame:
-    """(key, gram, n): character n-grams, overlapping ones too, that occur `least` times or more in a text."""
-    places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1)))
-    grams = df.select(key, F.explode(F.transform(places, lambda i: F.substring(F.col(text), i, F.lit(n)))).alias("gram"))
-    return grams.groupBy(key, "gram").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    """(key, gram, n): character n-grams, overlapping ones too, that occur `least` times or more in a text.
+
+    Counted text by text in Arrow batches: as rows, every character would travel
+    as a gram of its own.
+    """
+
+    @F.pandas_udf("map<string,long>")
+    def count(texts: pd.Series) -> pd.Series:
+        def grams(t):
+            seen = Counter(t[i : i + n] for i in range(len(t) - n + 1)) if t else {}
+            return {g: c for g, c in seen.items() if c >= least}
+
+        return texts.map(grams)
 
+    return df.select(key, F.explode(count(text)).alias("gram", "n"))
