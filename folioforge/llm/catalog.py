@@ -36,9 +36,30 @@ def op1_bpe(spark, sf_dir):
     return bpe.encode_decode(documents(spark, sf_dir), tokenizer_path(), keep_ids=False, keep_decoded=False)
 
 
-@query("op2_lm")
+#: CRC-32 of the id's digits, bit by bit.
+CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substring(doc_id::VARCHAR, i, 1))::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda k, z: xor(k >> 1, CASE WHEN k & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))))"""
+LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP2_SQL = rf"""
+WITH docs AS (SELECT doc_id, {CRC_SQL} % 7 = 2 AS held_out, list_append(regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '[^ 	
+]+'), NULL) AS w FROM documents),
+tokens AS (SELECT doc_id, held_out, i, w[i] AS w, i = len(w) AS is_end, CASE WHEN i = 1 THEN NULL ELSE w[i - 1] END AS h, i = 1 AS is_first FROM (SELECT doc_id, held_out, w, unnest(range(1, len(w) + 1)) AS i FROM docs)),
+words AS (SELECT w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY w),
+sizes AS (SELECT sum(c) AS n, count(*) AS v, (SELECT count(*) FROM docs WHERE NOT held_out) AS starts FROM words),
+pairs AS (SELECT h, w, is_first, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY h, w, is_first),
+known AS (SELECT t.doc_id, t.held_out, coalesce(a.c, 0) AS c, coalesce(p.c, 0) AS cp, CASE WHEN t.is_first THEN starts ELSE coalesce(b.c, 0) END AS ch, n, v
+  FROM tokens t CROSS JOIN sizes LEFT JOIN words a ON a.w IS NOT DISTINCT FROM t.w LEFT JOIN words b ON b.w IS NOT DISTINCT FROM t.h
+  LEFT JOIN pairs p ON p.h IS NOT DISTINCT FROM t.h AND p.w IS NOT DISTINCT FROM t.w AND p.is_first = t.is_first)
+SELECT doc_id, held_out, count(*)::BIGINT AS n_tokens, count(*) FILTER (c > 0)::BIGINT AS n_known, max(n)::BIGINT AS train_tokens,
+  round(sum(log10((c + 1) / (n + v + 1))), 6) AS base_score, round(sum(log10((cp + {lm.MASS} * (c + 1) / (n + v + 1)) / (ch + {lm.MASS}))), 6) AS score
+FROM known GROUP BY doc_id, held_out
+"""
+
+
+@query("op2_lm", OP2_SQL)
 def op2_lm(spark, sf_dir):
-    return lm.score_texts(documents(spark, sf_dir))
+    scores = lm.score_texts(documents(spark, sf_dir))
+    return scores.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
 
 
 @query("op5_simhash")
