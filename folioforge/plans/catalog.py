@@ -800,3 +800,51 @@ def similarity_distribution_filled(spark, sf_dir):
 @query("perplexity_distribution")
 def perplexity_distribution(spark, sf_dir):
     return chunking.perplexity_distribution(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece")
+
+
+# --- the smaller rest -----------------------------------------------------------------------------------------------
+
+
+@query("chapter_zip", "SELECT doc_id, source, quality FROM documents JOIN labels USING (doc_id)")
+def chapter_zip(spark, sf_dir):
+    return align.zip_chapters(_documents(spark, sf_dir), table(spark, sf_dir, "labels"), "doc_id").select("doc_id", "source", "quality")
+
+
+@query("only_newline_lines", f"SELECT count(*) FILTER (replace(piece, chr(10), '') = '')::BIGINT AS n_blank, count(*)::BIGINT AS n FROM {LINES_SQL}")
+def only_newline_lines(spark, sf_dir):
+    return _sentences(spark, sf_dir).agg(F.count_if(tx.only_newlines(F.col("piece"))).alias("n_blank"), F.count("*").alias("n"))
+
+
+@query(
+    "title_forward_fill",
+    "SELECT user_id, event_id, last_value(CASE WHEN event_type = 'click' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id) AS title FROM events",
+)
+def title_forward_fill(spark, sf_dir):
+    marked = table(spark, sf_dir, "events").select("user_id", "event_id", F.when(F.col("event_type") == "click", F.col("event_id")).alias("title"))
+    return windows.forward_fill(marked, ["user_id"], "event_id", "title")
+
+
+@query(
+    "proportion_median",
+    "SELECT user_id, round(median(share), 9) AS median_share FROM (SELECT user_id, value / sum(value) OVER (PARTITION BY user_id) AS share FROM events) GROUP BY user_id",
+)
+def proportion_median(spark, sf_dir):
+    shares = windows.proportions(table(spark, sf_dir, "events").select("user_id", "event_id", "value"), ["user_id"], "value")
+    return shares.groupBy("user_id").agg(F.round(F.median("proportion"), 9).alias("median_share"))
+
+
+@query("json_arrays", "SELECT conv_id, md5(to_json(list({'turn': turn, 'role': role, 'text': text} ORDER BY turn))) AS json_md5 FROM conversations GROUP BY conv_id")
+def json_arrays(spark, sf_dir):
+    arrays = files.json_arrays(table(spark, sf_dir, "conversations"), "conv_id", ["turn"], ["turn", "role", "text"])
+    return arrays.select("conv_id", F.md5(F.col("text").cast("binary")).alias("json_md5"))
+
+
+@query("concat_by_role", "SELECT role, md5(string_agg(text, '' ORDER BY conv_id, turn)) AS text_md5 FROM conversations GROUP BY role")
+def concat_by_role(spark, sf_dir):
+    joined = files.ordered_text(table(spark, sf_dir, "conversations"), ["role"], ["conv_id", "turn"], "text")
+    return joined.select("role", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query("glossary_tokens", f"SELECT (sum(greatest(len(regexp_extract_all({ENTRY_SQL}, '[A-Za-z0-9]+|[^A-Za-z0-9 \\t\\n\\r\\f]')), 1)) + count(*) - 1)::BIGINT AS n_chars, count(*)::BIGINT AS n_entries FROM {GLOSSARY_SQL}")
+def glossary_tokens(spark, sf_dir):
+    return glossary.glossary_size(_glossary(spark, sf_dir), tx.token_count(F.col("line")))
