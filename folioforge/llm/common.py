@@ -52,7 +52,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         got = spark.sparkContext._jsc.sc().getCheckpointDir()
         named = got.get() if got.isDefined() else None
     if not named:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="folioforge-")
         spark.sparkContext.setCheckpointDir(named)
