@@ -36,9 +36,9 @@ from folioforge.llm.common import map_rows, mapped_file, mix64, stage, text_byte
 #: Words in the compiled lexicon, at most; this bounds what is collected and broadcast.
 LEXICON_WORDS = 131_072
 #: Entries of a worker's memo; as many older ones are kept besides.
-MEMO = 250_000
+MEMO = 100_000
 #: Bytes of texts that are encoded together.
-TOGETHER = 1_000_000
+TOGETHER = 500_000
 #: Characters that every Unicode version since 2015 normalises, lower-cases and classifies alike. Texts with others go
 #: through the tokenizer library's own normaliser and splitter, since Python's tables may be of another version. Python
 #: also takes 1C to 1F for white space.
@@ -271,7 +271,7 @@ class Powers:
 
     def of(self, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
         if not self.tables or len(self.tables[0][0]) < n:
-            size = max(n, 1 << 20)
+            size = max(n, 1 << 19)
             self.tables = [tuple(np.multiply.accumulate(np.full(size, x, np.uint64)) for x in (b, pow(b, -1, 1 << 64))) for b in self.BASES]
         return self.tables
 

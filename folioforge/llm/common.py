@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 import tempfile
@@ -37,10 +39,18 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[
             yield pa.RecordBatch.from_arrays(
                 [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for f, c in zip(arrow, (columns[f.name] for f in arrow), strict=True)], schema=arrow
             )
+        give_back_memory()
 
     return df.mapInArrow(run, kind)
 
 
+def give_back_memory() -> None:
+    """Returns what a finished task has freed to the system, as Python workers live on for the next one."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _schema(ddl: str) -> StructType:
     return _parse_datatype_string(ddl)
 
@@ -112,7 +122,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """Word (bytes) to its XXH64; forgets all when it holds `most` words, so memory is bounded."""
 
-    def __init__(self, seed: int = 0, most: int = 400_000):
+    def __init__(self, seed: int = 0, most: int = 150_000):
         import xxhash
 
         super().__init__()
