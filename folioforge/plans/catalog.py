@@ -190,7 +190,7 @@ def _lines(spark, sf_dir):
 @query(
     "chunk_extremes",
     f"""SELECT lang, hi.n AS max_n, hi.pos AS max_pos, hi.doc_id AS max_doc_id, hi.head AS max_head, lo.n AS min_n, lo.pos AS min_pos, lo.doc_id AS min_doc_id, lo.head AS min_head
- FROM (SELECT lang, max(s) AS hi, min(s) AS lo FROM (SELECT lang, {{'n': length(piece), 'pos': pos, 'doc_id': doc_id, 'head': left(piece, 16)}} AS s FROM {LINES_SQL}) GROUP BY lang)""",
+ FROM (SELECT lang, max(s) AS hi, min(s) AS lo FROM (SELECT lang, {{'n': length(piece)::INTEGER, 'pos': pos::INTEGER, 'doc_id': doc_id, 'head': left(piece, 16)}} AS s FROM {LINES_SQL}) GROUP BY lang)""",
 )
 def chunk_extremes(spark, sf_dir):
     lines = _lines(spark, sf_dir)
@@ -200,7 +200,7 @@ def chunk_extremes(spark, sf_dir):
 @query(
     "chunk_mode",
     f"""SELECT lang, mode, n FROM (SELECT lang, mode, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, first) AS k FROM
- (SELECT lang, length(piece) AS mode, count(*)::BIGINT AS n, min({{'d': doc_id, 'p': pos}}) AS first FROM {LINES_SQL} GROUP BY lang, length(piece))) WHERE k = 1""",
+ (SELECT lang, length(piece)::INTEGER AS mode, count(*)::BIGINT AS n, min({{'d': doc_id, 'p': pos}}) AS first FROM {LINES_SQL} GROUP BY lang, length(piece))) WHERE k = 1""",
 )
 def chunk_mode(spark, sf_dir):
     return cs.first_mode(_lines(spark, sf_dir), ["lang"], "n", ["doc_id", "pos"])
