@@ -36,7 +36,7 @@ from folioforge.llm.common import map_rows, mapped_file, mix64, stage, text_byte
 #: Words in the compiled lexicon, at most; this bounds what is collected and broadcast.
 LEXICON_WORDS = 131_072
 #: Entries of a worker's memo; as many older ones are kept besides.
-MEMO = 100_000
+MEMO = 220_000
 #: Bytes of texts that are encoded together.
 TOGETHER = 500_000
 #: Characters that every Unicode version since 2015 normalises, lower-cases and classifies alike. Texts with others go
