@@ -20,6 +20,7 @@ import functools
 import hashlib
 import heapq
 import json
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -48,6 +49,12 @@ SETTLED = (
 )
 
 
+# The word pattern and the normaliser that word_places and Encoder.normal stand for. Vocabularies with
+# others are split by the tokenizer library.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALISER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+
+
 def byte_alphabet() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -65,7 +72,7 @@ class Merges:
     made: list[int]  # id that the merge of a rank makes
     strings: dict[int, str]  # id: token as decoding prints it
     special: dict[str, int]
-    pattern: str
+    plain: bool  # whether PATTERN and NORMALISER are the vocabulary's own
     splitter: str  # the file without its model: what comes before the merges
 
     @classmethod
@@ -81,7 +88,7 @@ class Merges:
         strings = {i: s for s, i in vocab.items()} | {i: s for s, i in special.items()}
         split = next(p for p in t["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         splitter = {"version": t["version"], "added_tokens": [], "normalizer": t["normalizer"], "pre_tokenizer": split, "model": {"type": "BPE", "vocab": {}, "merges": []}}
-        return cls([vocab[c] for c in letters], [vocab[c + end] for c in letters], ranks, [vocab[a + b] for a, b in merges], strings, special, split["pattern"]["Regex"], json.dumps(splitter))
+        return cls([vocab[c] for c in letters], [vocab[c + end] for c in letters], ranks, [vocab[a + b] for a, b in merges], strings, special, split["pattern"]["Regex"] == PATTERN and t["normalizer"] == NORMALISER, json.dumps(splitter))
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the lowest-ranked pair is merged first, the leftmost of equals."""
@@ -197,7 +204,7 @@ class Transducer:
         at, parts = 8 * len(head), {}
         for (name, kind), n in zip(cls.PARTS, head[1:], strict=True):
             size = int(n) * np.dtype(kind).itemsize
-            parts[name] = m[at : at + size].view(kind)
+            parts[name] = m[at : at + size].view(kind).view(np.ndarray)
             at += size + -size % 8
         out = cls(parts)
         out.root = int(head[0])
@@ -348,14 +355,15 @@ class Encoder:
 
     def __init__(self, merges: Merges, lexicon: Transducer | None = None):
         self.merges, self.lexicon, self.known = merges, lexicon, Memo()
-        self.find = regex.compile(merges.pattern).findall
+        #: tokens as decoding prints them, with the blank that parts them
+        self.shown = {i: s + " " for i, s in merges.strings.items()}
         self.settled = regex.compile(SETTLED).fullmatch
         self.library = Tokenizer.from_str(merges.splitter)
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in merges.special) + ")").split if merges.special else None
 
     def normal(self, text: str) -> str | None:
         """The normalised text if its words can be told by class of character, else None."""
-        if any(s in text for s in self.merges.special):
+        if not self.merges.plain or any(s in text for s in self.merges.special):
             return None
         if not text.isascii():
             if not self.settled(text) or "Σ" in text:
@@ -377,10 +385,10 @@ class Encoder:
 
     def learn(self, words: list[str]):
         coded = [w.encode("utf-8", "surrogatepass") for w in words]
-        show, special = self.merges.strings, self.merges.special
+        show, special = self.shown, self.merges.special
         for w, b, rank in zip(words, coded, self.lexicon.ranks(coded).tolist(), strict=True):
             ids = [special[w]] if w in special else self.lexicon.output(rank).tolist() if rank >= 0 else self.merges.merge(b)
-            yield np.array(ids, "<u4").tobytes(), "".join([show[i] + " " for i in ids]).encode()
+            yield array("I", ids).tobytes(), "".join([show[i] for i in ids]).encode()
 
     def encode(self, texts: list[str]):
         """The ids as little-endian 32-bit integers, their number, and the UTF-8 of the text decoded from them, of each text."""

@@ -1,5 +1,6 @@
 """Encoding and decoding against the tokenizers library."""
 
+import dataclasses
 import hashlib
 import random
 
@@ -40,6 +41,14 @@ def test_same_as_library(merges, library, lexicon):
         assert decoded.decode() == library.decode(expected, skip_special_tokens=False), repr(text)
 
 
+def test_other_patterns_go_through_the_library(merges, library):
+    assert merges.plain
+    other = dataclasses.replace(merges, plain=False)
+    encoder = bpe.Encoder(other, bpe.Transducer.build([], merges.merge))
+    some = texts()[:50]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids, _, _ in encoder.encode(some)] == [library.encode(t, add_special_tokens=False).ids for t in some]
+
+
 def test_transducer_shares_and_ranks(merges):
     words = [b"walk", b"walks", b"walked", b"talk", b"talks", b"talked", b"a"]
     t = bpe.Transducer.mapped(bpe.Transducer.build(words + words, merges.merge).to_bytes())
