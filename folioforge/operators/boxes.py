@@ -14,9 +14,16 @@ from folioforge.functions.geometry import polygons_overlap
 
 def overlapping_pairs(boxes: DataFrame, page: str, box: str, polygon: str, threshold: float = 0.0) -> DataFrame:
     """(page, a, b): numbers of boxes of one page that overlap, a < b."""
-    left = boxes.select(page, F.col(box).alias("a"), F.col(polygon).alias("pa"))
-    right = boxes.select(page, F.col(box).alias("b"), F.col(polygon).alias("pb"))
-    return left.join(right, page).filter((F.col("a") < F.col("b")) & polygons_overlap(F.col("pa"), F.col("pb"), threshold)).select(page, "a", "b")
+    bound = lambda f, k: f(F.transform(polygon, lambda p: p[k]))
+    sized = boxes.select(
+        page, F.col(box).alias("box"), F.col(polygon).alias("poly"), bound(F.array_min, "x").alias("x0"), bound(F.array_max, "x").alias("x1"), bound(F.array_min, "y").alias("y0"), bound(F.array_max, "y").alias("y1")
+    )
+    one = lambda n: sized.select(page, *[F.col(c).alias(n + c) for c in ("box", "poly", "x0", "x1", "y0", "y1")])
+    pairs = one("a").join(one("b"), page).filter("abox < bbox")
+    if threshold == 0:  # boxes around polygons that overlap meet too
+        pairs = pairs.filter("ax0 <= bx1 AND bx0 <= ax1 AND ay0 <= by1 AND by0 <= ay1")
+    hit = pairs.filter(polygons_overlap(F.col("apoly"), F.col("bpoly"), threshold))
+    return hit.select(page, F.col("abox").alias("a"), F.col("bbox").alias("b"))
 
 
 Point = tuple[float, float]

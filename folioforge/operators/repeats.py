@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -22,10 +23,17 @@ def repeated_content(text: str, min_len: int = MIN_LEN, max_len: int = MAX_LEN,
     """
     found: dict[str, int] = {}
     at, size = 0, len(text)
+    # a pattern whose beginning stands in one place only stays at one occurrence, however long it grows
+    starts = Counter(text[i : i + min_len] for i in range(size - min_len + 1))
     while at < size:
         room = min(max_len, size - at)
         if compat and room < min_len:
             break
+        if starts.get(text[at : at + min_len], 1) == 1:
+            if compat and room < max_len:
+                break
+            at += 1
+            continue
         best, step = 0, 1
         for n in range(min_len, room + 1):
             seen = text.count(text[at : at + n])
