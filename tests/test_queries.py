@@ -1,8 +1,10 @@
 """Every query with an oracle against DuckDB on the smallest tables; the others run."""
 
+import numbers
 import os
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -24,9 +26,9 @@ def duck():
 
 def plain(df: pd.DataFrame) -> list[tuple]:
     def value(v):
-        if v is None or v is pd.NaT or isinstance(v, float) and v != v:
+        if v is None or v is pd.NaT or v is pd.NA or isinstance(v, float) and v != v:
             return ""
-        return f"{float(v):.9g}" if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
+        return f"{float(v):.9g}" if isinstance(v, numbers.Number) and not isinstance(v, (bool, np.bool_)) else str(v)
 
     return sorted(tuple(value(v) for v in row) for row in df[sorted(df.columns)].itertuples(index=False))
 
