@@ -1,13 +1,16 @@
 """Operator 8: media columns. Payloads as 8-bit WAV samples, and spectral-peak pair fingerprints.
 
 A payload is written by the wave module as one channel of unsigned 8-bit
-samples, read back by it, cut into overlapping windows and Fourier-transformed.
+samples, read back by it, cut into windows that overlap by half and Fourier-transformed.
 Peaks are local maxima of the spectrum in time and frequency; each is paired
 with the next few peaks that follow within a target zone, and a pair gives a
 landmark (time, code) with code = frequency 1, frequency 2, time difference.
+Times count half windows; a code has the difference in whole windows in its
+lowest byte and bit 24 for another half.
 
-Edge cases: a null text is empty, its payload is 64 zero bytes; a payload
-shorter than a window is padded with silence for the transform only; equal
+Edge cases: a null text is empty, its payload is 64 zero bytes; half a window
+of silence before the payload and silence up to a whole frame after it, for the
+transform only, put every byte into two windows whose weights add up to about one; equal
 payloads give equal values; repeated rows give repeated rows; long payloads are
 transformed whole, block by block; other columns are ignored.
 """
@@ -28,11 +31,11 @@ from folioforge.llm.common import map_rows, text_bytes
 
 UNIT = 64
 RATE = 8000
-WINDOW, HOP = 256, 256
+WINDOW, HOP = 256, 128
 #: Frames transformed at once; this bounds memory.
 BLOCK = 4096
 #: Frames ahead that a peak is paired with, and pairs for each peak.
-REACH, FAN = 8, 2
+REACH, FAN = 8 * WINDOW // HOP, 2
 #: Bins from which a window's peak is taken, one for each band.
 BANDS = (2, 12, 40, 129)
 
@@ -58,10 +61,12 @@ def read_wav(media: bytes) -> bytes:
 
 
 def spectral_peaks(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(frame, bin) of the strongest bin of each band that exceeds the frame's mean and both neighbouring frames."""
-    x = np.frombuffer(samples, np.uint8)
-    if len(x) < WINDOW:
-        x = np.append(x, np.full(WINDOW - len(x), 128, np.uint8))
+    """(frame, bin) of the strongest bin of each band that exceeds the frame's mean and both neighbouring frames.
+
+    Frame i begins at sample HOP * i; the first is frame -1.
+    """
+    x = np.full(HOP * (-(-len(samples) // HOP) + 2), 128, np.uint8)
+    x[HOP : HOP + len(samples)] = np.frombuffer(samples, np.uint8)
     frames = np.lib.stride_tricks.sliding_window_view(x, WINDOW)[::HOP]
     taper = np.hanning(WINDOW).astype(np.float32)
     best, level, mean = [], [], []
@@ -76,7 +81,7 @@ def spectral_peaks(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
     edge = np.zeros((1, level.shape[1]), np.float32)
     before, after = np.vstack([edge, level[:-1]]), np.vstack([level[1:], edge])
     frame, band = np.nonzero((level > 2 * mean[:, None]) & (level >= before) & (level > after))
-    return frame, best[frame, band]
+    return frame - 1, best[frame, band]
 
 
 def landmarks(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +92,8 @@ def landmarks(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
         gap = frame[step:] - frame[:-step]
         ok = (gap > 0) & (gap <= REACH)
         times.append(frame[:-step][ok])
-        codes.append((tone[:-step][ok] << 16) | (tone[step:][ok] << 8) | gap[ok])
+        whole, half = np.divmod(gap[ok] * HOP, WINDOW)
+        codes.append(((half > 0) << 24) | (tone[:-step][ok] << 16) | (tone[step:][ok] << 8) | whole)
     t, c = np.concatenate(times), np.concatenate(codes)
     order = np.lexsort((c, t))
     return t[order].astype(np.int32), c[order].astype(np.int32)

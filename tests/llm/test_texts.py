@@ -289,6 +289,23 @@ def test_peaks_of_tones():
     assert len(times) and ((codes & 255) == 4).any()
 
 
+@pytest.mark.parametrize("at", [0, 224, 384])
+def test_every_part_of_a_payload_counts(at):
+    """Payloads of 448 bytes that differ in 64 only: the first ones, those around a window's border, the last ones."""
+    rng = np.random.default_rng(at)
+    one = rng.integers(97, 123, 448, dtype=np.uint8)
+    other = one.copy()
+    other[at : at + 64] = 128 + 100 * np.sin(2 * np.pi * np.arange(64) / 4)
+    (f, tone), (g, other_tone) = (media.spectral_peaks(x.tobytes()) for x in (one, other))
+    assert 64 in other_tone and (f.tolist(), tone.tolist()) != (g.tolist(), other_tone.tolist())
+
+
+def test_short_bursts_anywhere_give_peaks():
+    for n in (64, 448, 1000):
+        peaks = [media.spectral_peaks(np.where(np.arange(n) // 8 == i // 8, 128 + 100 * (-1) ** np.arange(n), 128).astype(np.uint8).tobytes()) for i in range(0, n, 8)]
+        assert all(len(f) for f, _ in peaks)
+
+
 # --- decontamination -------------------------------------------------------------------------------------------------
 
 
