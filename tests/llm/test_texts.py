@@ -224,6 +224,40 @@ def test_representatives(spark):
     assert nearcopies.representatives(df.limit(0)).collect() == []
 
 
+def plain_groups(texts, least=0.8, k=5):
+    """Ids that come first in their group, every pair of shingle sets compared."""
+    words = {i: t.lower().split() for i, t in texts.items()}
+    sets = {i: {tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))} for i, w in words.items()}
+    part = {i: i for i in texts}
+    for i in sets:
+        for j in sets:
+            if i < j and part[i] != part[j] and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                a, b = sorted((part[i], part[j]))
+                part = {n: a if p == b else p for n, p in part.items()}
+    return set(part.values())
+
+
+def test_representatives_are_those_of_exact_similarity(spark):
+    """Pairs at 0.7 to 0.9, long and short; the texts of 8 to 20 words have one more at their end."""
+    rng = random.Random(8)
+    texts = {}
+    for n in [*range(8, 21)] * 6:
+        words = ["w%d" % rng.randrange(9000) for _ in range(n)]
+        texts[len(texts)] = " ".join(words)
+        texts[len(texts)] = " ".join([*words, "more"])
+    for i in range(240):
+        words = ["w%d" % rng.randrange(9000) for _ in range(rng.randrange(60, 400))]
+        texts[len(texts)] = " ".join(words)
+        drop = int(len(words) * (0.1 + 0.2 * i / 240))
+        texts[len(texts)] = " ".join(words[: len(words) - drop])
+    for i in range(20):  # 0.8 exactly, and just below
+        words = ["v%d" % rng.randrange(9000) for _ in range(104)]
+        texts[len(texts)] = " ".join(words)
+        texts[len(texts)] = " ".join(words[: 84 - i % 2])
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id for r in nearcopies.representatives(df).collect()} == plain_groups(texts)
+
+
 # --- lines -----------------------------------------------------------------------------------------------------------
 
 
