@@ -3,9 +3,9 @@
 A fingerprint is B bytes in fixed positions. Fingerprints within r bits share at
 least B - r positional bytes, so the postings are keyed by every set of B - r
 positions with the bytes there: a pair reaches the guaranteed number of matches
-exactly if it meets in a posting. Within a posting each pair's matching bytes
-are tallied and its bits compared, one fingerprint against all that no chain has
-reached yet, which yields the links of a spanning forest and never all pairs.
+exactly if it meets in a posting, and no tally is kept. Within a posting bits are
+compared, one fingerprint against all that no chain has reached yet, which
+yields the links of a spanning forest and never all pairs.
 Components then come from the links of all postings.
 
 Over large postings the nearest fingerprints are looked up instead of compared:
@@ -13,8 +13,7 @@ the bytes outside the key are few, so all values within r bits of one's own can
 be enumerated. Work then grows in proportion to the posting.
 
 Wide fingerprints with a large radius (for similarity 0.8) have no guaranteed
-matches; `WideIndex` keys them by byte triples in which they are most decided
-and says how many matches it takes.
+matches; `nearcopies` keys them by byte triples and by shingles.
 
 Edge cases: a null text is empty; texts without words have fingerprint zero;
 null ids are kept, with the component of a null id being the smallest id that
