@@ -74,12 +74,14 @@ class Merges:
     special: dict[str, int]
     plain: bool  # whether PATTERN and NORMALISER are the vocabulary's own
     splitter: str  # the file without its model: what comes before the merges
+    digest: str  # of the file
 
     @classmethod
     def read(cls, path: str) -> Merges:
         """From a tokenizer file of the kind that lower-cases, splits by a pattern and marks word ends."""
-        with open(path, encoding="utf-8") as f:
-            t = json.load(f)
+        with open(path, "rb") as f:
+            data = f.read()
+        t = json.loads(data)
         vocab, end = t["model"]["vocab"], t["model"]["end_of_word_suffix"]
         letters = byte_alphabet()
         merges = t["model"]["merges"]
@@ -88,7 +90,7 @@ class Merges:
         strings = {i: s for s, i in vocab.items()} | {i: s for s, i in special.items()}
         split = next(p for p in t["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         splitter = {"version": t["version"], "added_tokens": [], "normalizer": t["normalizer"], "pre_tokenizer": split, "model": {"type": "BPE", "vocab": {}, "merges": []}}
-        return cls([vocab[c] for c in letters], [vocab[c + end] for c in letters], ranks, [vocab[a + b] for a, b in merges], strings, special, split["pattern"]["Regex"] == PATTERN and t["normalizer"] == NORMALISER, json.dumps(splitter))
+        return cls([vocab[c] for c in letters], [vocab[c + end] for c in letters], ranks, [vocab[a + b] for a, b in merges], strings, special, split["pattern"]["Regex"] == PATTERN and t["normalizer"] == NORMALISER, json.dumps(splitter), hashlib.sha256(data).hexdigest())
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word: the lowest-ranked pair is merged first, the leftmost of equals."""
@@ -311,7 +313,12 @@ def word_places(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class WordTable:
-    """The words of some texts: each distinct one once, and for every place which it is."""
+    """The words of some texts: each distinct one once, and for every place which it is.
+
+    Hashes put the places of a word together; then every place is compared with
+    the first of its group, code point by code point, so that what a word is
+    never depends on a hash.
+    """
 
     def __init__(self, texts: list[str]):
         joined = "\n".join(texts)
@@ -329,10 +336,33 @@ class WordTable:
         self.which[order] = np.cumsum(fresh) - 1
         first = order[fresh]
         self.words = [joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        self._part(joined, codes, starts, ends, first)
         begins = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
         #: places[i] to places[i + 1] are the words of text i
         self.places = np.searchsorted(starts, begins)
 
+    def _part(self, joined: str, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> None:
+        """Makes words of their own of those that only share their hashes with the first of their group."""
+        size, own = ends - starts, first[self.which]
+        other = size != size[own]
+        if not other.any():
+            total = np.cumsum(size)
+            steps = np.zeros(len(codes) + 1, np.int8)
+            steps[starts] += 1
+            steps[ends] -= 1
+            mine = codes[np.cumsum(steps[:-1], dtype=np.int8) > 0]
+            differ = mine != codes[np.repeat(starts[own] - (total - size), size) + np.arange(len(mine))]
+            if not differ.any():
+                return
+            other[np.searchsorted(total, np.flatnonzero(differ), side="right")] = True
+        number = {}
+        for i in np.flatnonzero(np.isin(self.which, self.which[other])).tolist():
+            word = joined[starts[i] : ends[i]]
+            if word not in number:
+                number[word] = len(self.words)
+                self.words.append(word)
+            self.which[i] = number[word]
+
     def counts(self) -> np.ndarray:
         return np.bincount(self.which, minlength=len(self.words))
 
@@ -413,7 +443,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def _encoder(merges: Merges, lexicon: bytes) -> Encoder:
-    key = hashlib.sha256(lexicon).hexdigest()
+    key = merges.digest + hashlib.sha256(lexicon).hexdigest()
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = Encoder(merges, Transducer.mapped(lexicon))
@@ -435,10 +465,11 @@ def grouped_texts(column) -> Iterator[list[str]]:
 
 
 def frequent_words(df: DataFrame, merges: Merges, text_col: str = "text", most: int = LEXICON_WORDS) -> list[bytes]:
-    """The words of all texts that are as frequent as can be without being more than `most`.
+    """The `most` most frequent words of all texts, about; never more.
 
     Words are counted over everything; the driver gets a histogram of their
-    counts by eighths of powers of two, and the words above the cut.
+    counts by eighths of powers of two, the words above the cut, and of the level
+    below it as many as there is room for.
     """
     bound = df.sparkSession.sparkContext.broadcast(merges)
 
@@ -465,13 +496,30 @@ def frequent_words(df: DataFrame, merges: Merges, text_col: str = "text", most:
 
     counts = stage(map_rows(df.select(text_bytes(text_col)), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     level = F.floor(F.log2("n") * 8).cast("int")
-    cut, total = None, 0
+    cut, room, full = None, most, None
     for r in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
-        total += r["count"]
-        if total > most:
+        if r["count"] > room:
+            full = r["level"]
             break
-        cut = r["level"]
-    return [] if cut is None else [bytes(r.word) for r in counts.filter(level >= cut).select("word").collect()]
+        cut, room = r["level"], room - r["count"]
+    words = [] if cut is None else [bytes(r.word) for r in counts.filter(level >= cut).select("word").collect()]
+    if full is not None and room:
+        words += _some_of(counts.filter(level == full), room)
+    return words
+
+
+def _some_of(counts: DataFrame, room: int) -> list[bytes]:
+    """The most frequent of more than `room` words; of equally frequent ones those with the smallest hashes."""
+    out = []
+    for r in counts.groupBy("n").count().orderBy(F.desc("n")).collect():
+        same, left = counts.filter(F.col("n") == r["n"]), room - len(out)
+        if r["count"] > left:
+            h = F.shiftrightunsigned(F.xxhash64("word"), 34)
+            share = min(1.0, (1.1 * left + 100) / r["count"])  # leaves enough but for one chance in millions
+            some = same.filter(h < int((1 << 30) * share)).select(h.alias("h"), "word").collect()
+            return out + [w for _, w in sorted((x.h, bytes(x.word)) for x in some)[:left]]
+        out += [bytes(x.word) for x in same.select("word").collect()]
+    return out
 
 
 def encode_decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", lexicon_words: int = LEXICON_WORDS, keep_ids: bool = True, keep_decoded: bool = True) -> DataFrame:

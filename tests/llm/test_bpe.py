@@ -2,6 +2,7 @@
 
 import dataclasses
 import hashlib
+import json
 import random
 
 import numpy as np
@@ -64,6 +65,40 @@ def test_long_words_merge_alike(merges, library):
     assert merges.merge(word.encode()) == library.encode(word, add_special_tokens=False).ids
 
 
+def test_words_that_share_hashes_are_told_apart(merges, library):
+    """Thue-Morse words collide under polynomial hashes modulo powers of two, whatever their odd base."""
+    t = "a"
+    while len(t) < 2048:
+        t += t.translate(str.maketrans("ab", "ba"))
+    other = t.translate(str.maketrans("ab", "ba"))
+    for n in (512, 1024, 2048):
+        words = [t[:n], other[:n], t[:n], other[:n], "x", t[: n - 1]]
+        table = bpe.WordTable([" ".join(words)])
+        assert [table.words[i] for i in table.which] == words
+        encoder = bpe.Encoder(merges, bpe.Transducer.build([], merges.merge))
+        (ids, _, _), = encoder.encode([" ".join(words)])
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(" ".join(words), add_special_tokens=False).ids
+
+
+def test_words_that_share_all_hashes(monkeypatch):
+    monkeypatch.setattr(bpe, "mix64", lambda x: x * np.uint64(0))
+    words = ["cat", "dog", "cat", "a", "dog", "cow", "it's", "12", "é"]
+    table = bpe.WordTable([" ".join(words), "", "dog"])
+    got = [table.words[i] for i in table.which]
+    assert got == ["cat", "dog", "cat", "a", "dog", "cow", "it", "'s", "1", "2", "é", "dog"]
+
+
+def test_encoders_are_kept_by_vocabulary_too(merges, tmp_path):
+    lexicon = bpe.Transducer.build([], merges.merge).to_bytes()
+    with open(tokenizer_path(), encoding="utf-8") as f:
+        t = json.load(f)
+    t["model"]["merges"] = t["model"]["merges"][:100]
+    (tmp_path / "other.json").write_text(json.dumps(t))
+    other = bpe.Merges.read(str(tmp_path / "other.json"))
+    got = [[np.frombuffer(ids, "<u4").tolist() for ids, _, _ in bpe._encoder(m, lexicon).encode(["information"])] for m in (merges, other, merges)]
+    assert got[0] == got[2] != got[1] and len(got[1][0]) > len(got[0][0])
+
+
 def test_groups_keep_order():
     column = pa.array([b"a" * 10, b"", b"b" * (bpe.TOGETHER + 5), b"c"])
     assert [t for g in bpe.grouped_texts(column) for t in g] == [x.decode() for x in column.to_pylist()]
@@ -87,3 +122,6 @@ def test_lexicon_is_bounded_by_counts(spark, merges):
     df = spark.createDataFrame([("a a a a b b c",), ("a b <|endoftext|> ",)], "text string")
     assert set(bpe.frequent_words(df, merges, most=2)) == {b"a", b"b"}
     assert bpe.frequent_words(df, merges, most=0) == []
+    same = spark.createDataFrame([(" ".join("w" + c for c in "abcdefghijkl"),), ("top top",)], "text string")
+    assert len(bpe.frequent_words(same, merges, most=5)) == 5 and b"top" in bpe.frequent_words(same, merges, most=5)
+    assert len(bpe.frequent_words(same, merges, most=13)) == 13 == len(bpe.frequent_words(same, merges, most=100))
