@@ -1,22 +1,26 @@
-"""Operator 5: SimHash near-dedup through an inverted index of positional bytes.
+"""Operator 5: SimHash near-dedup through an inverted index of positional bytes with count filtering.
 
 A fingerprint is B bytes in fixed positions. Fingerprints within r bits share at
-least B - r positional bytes, so the postings are keyed by every set of B - r
-positions with the bytes there: a pair reaches the guaranteed number of matches
-exactly if it meets in a posting, and no tally is kept. Within a posting bits are
-compared, one fingerprint against all that no chain has reached yet, which
-yields the links of a spanning forest and never all pairs.
-Components then come from the links of all postings.
-
-Over large postings the nearest fingerprints are looked up instead of compared:
-the bytes outside the key are few, so all values within r bits of one's own can
-be enumerated. Work then grows in proportion to the posting.
+least B - r positional bytes (5 of 8 within 3 bits), of which at least half lie in
+one half of the positions. Postings are therefore keyed by every choice of that
+many bytes from one half (8 triples): a pair within the radius meets in one of
+them at least. Within a posting the shared positional bytes of a pair are
+tallied, pairs that reach the guaranteed number are retained, and bits are
+compared. One fingerprint is held against all that no chain has reached yet,
+which yields the links of a spanning forest and never all pairs. Components then
+come from the links of all postings.
+
+A posting of more than SPLIT members is split by one further byte at a time: a
+pair that must share n more of m free positions shares one of any m - n + 1.
+Where nothing is left to split by, the nearest fingerprints are looked up
+instead of compared: the free bits are few, so all values within r bits of one's
+own can be enumerated. Links are the same either way.
 
 Wide fingerprints with a large radius (for similarity 0.8) have no guaranteed
 matches; `nearcopies` keys them by byte triples and by shingles.
 
-Edge cases: a null text is empty; texts without words have fingerprint zero;
-null ids are kept, with the component of a null id being the smallest id that
+Edge cases: ids are whole numbers; a null text is empty; texts without words have
+fingerprint zero; a bit that is set in exactly half of the hashes is 0; null ids are kept, with the component of a null id being the smallest id that
 it reaches or null; repeated rows share their component; other columns are
 ignored.
 """
@@ -35,8 +39,8 @@ from folioforge.llm.common import WordHashes, bit_sums, map_rows, shingle_hashes
 from folioforge.llm.components import connected_components
 
 BYTES = 8
-#: Members from which a posting is searched by enumeration.
-DENSE = 100_000
+#: Members from which a posting is split by a further byte, and those from which one that cannot be is searched by enumeration.
+SPLIT, DENSE = 4096, 100_000
 
 
 def word_shingles(words: list[bytes], k: int) -> list[bytes]:
@@ -69,11 +73,17 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return map_rows(df.select(F.col(id_col).cast("long"), text_bytes(text_col)), run, "doc long, fp long")
 
 
+def key_places(radius: int) -> list[tuple[int, ...]]:
+    """The choices of positions that key the postings."""
+    half, shared = BYTES // 2, BYTES - radius
+    return [c for side in (range(half), range(half, BYTES)) for c in combinations(side, -(-shared // 2))]
+
+
 def postings(fps: DataFrame, radius: int) -> DataFrame:
-    """(key, fp) for each choice of the positions that a fingerprint within the radius must share."""
+    """(key, fp): key has the number of a choice of positions and the bytes there."""
     byte = [F.shiftrightunsigned("fp", 8 * i).bitwiseAND(F.lit(255)) for i in range(BYTES)]
     keys = []
-    for number, places in enumerate(combinations(range(BYTES), BYTES - radius)):
+    for number, places in enumerate(key_places(radius)):
         value = F.lit(number).cast("long")
         for p in places:
             value = F.shiftleft(value, 8).bitwiseOR(byte[p])
@@ -81,13 +91,11 @@ def postings(fps: DataFrame, radius: int) -> DataFrame:
     return fps.select("fp", F.explode(F.array(*keys)).alias("key"))
 
 
-def spanning_links(fps: np.ndarray, radius: int, free: int | None = None) -> list[tuple[int, int]]:
+def spanning_links(fps: np.ndarray, radius: int, shared: int = 0) -> list[tuple[int, int]]:
     """Places (i, j) of a spanning forest of the graph that links rows of uint64 words within the radius.
 
-    free has the bits in which members can differ, for enumeration.
+    Pairs with fewer than `shared` positional bytes in common are not compared by bits.
     """
-    if len(fps) >= DENSE and free is not None and fps.ndim == 1:
-        return _enumerated_links(fps, radius, free)
     rows = fps.reshape(len(fps), -1)
     links, rest = [], np.arange(1, len(rows))
     queue = [0]
@@ -96,7 +104,12 @@ def spanning_links(fps: np.ndarray, radius: int, free: int | None = None) -> lis
             queue, rest = [int(rest[0])], rest[1:]
             continue
         i = queue.pop()
-        near = np.bitwise_count(rows[rest] ^ rows[i]).sum(axis=1, dtype=np.int64) <= radius
+        differ = rows[rest] ^ rows[i]
+        near = np.ones(len(rest), bool)
+        if shared:
+            tally = (differ.view(np.uint8) == 0).sum(axis=1)
+            near = tally >= shared
+        near[near] = np.bitwise_count(differ[near]).sum(axis=1, dtype=np.int64) <= radius
         if near.any():
             found = rest[near].tolist()
             links += [(i, j) for j in found]
@@ -105,6 +118,24 @@ def spanning_links(fps: np.ndarray, radius: int, free: int | None = None) -> lis
     return links
 
 
+def posting_links(fps: np.ndarray, fixed: tuple[int, ...], radius: int) -> list[tuple[int, int]]:
+    """Places (i, j) that connect what is connected within the radius, for fingerprints that share the bytes at the positions `fixed`."""
+    free = [p for p in range(BYTES) if p not in fixed]
+    need = BYTES - radius - len(fixed)
+    if need <= 0 and len(fps) >= DENSE:
+        return _enumerated_links(fps, radius, sum(255 << (8 * p) for p in free))
+    if need <= 0 or len(fps) <= SPLIT:
+        return spanning_links(fps, radius, BYTES - radius)
+    links = []
+    for p in free[: len(free) - need + 1]:
+        byte = (fps >> np.uint64(8 * p)) & np.uint64(255)
+        order = np.argsort(byte, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(byte[order])) + 1):
+            if len(part) > 1:
+                links += [(int(part[i]), int(part[j])) for i, j in posting_links(fps[part], (*fixed, p), radius)]
+    return links
+
+
 def _enumerated_links(fps: np.ndarray, radius: int, free: int) -> list[tuple[int, int]]:
     bits = [np.uint64(1 << b) for b in range(64) if free >> b & 1]
     masks = np.array([np.bitwise_xor.reduce(np.array(c, np.uint64)) for r in range(1, radius + 1) for c in combinations(bits, r)], np.uint64)
@@ -151,12 +182,6 @@ def _numpy(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False)
 
 
-def _free_bits(key: int, radius: int) -> int:
-    """The bits outside the positions that a posting's key fixes."""
-    places = list(combinations(range(BYTES), BYTES - radius))[int(key) >> (8 * (BYTES - radius))]
-    return sum(255 << (8 * p) for p in range(BYTES) if p not in places)
-
-
 def near_links(fps: DataFrame, radius: int = 3) -> DataFrame:
     """(a, b): fingerprints linked within the radius, enough of them to connect what is connected.
 
@@ -165,10 +190,12 @@ def near_links(fps: DataFrame, radius: int = 3) -> DataFrame:
     if not 0 < radius < BYTES - 1:
         raise ValueError("the radius has to leave two positions or more")
 
+    places = key_places(radius)
+
     def run(batches):
         for key, (members,) in _runs(batches, ["key", "fp"]):
-            own = members.view(np.uint64)
-            links = spanning_links(own, radius, _free_bits(key, radius))
+            fixed = places[int(key) >> (8 * len(places[0]))]
+            links = posting_links(members.view(np.uint64), fixed, radius)
             if links:
                 at = np.array(links)
                 yield {"a": pa.array(members[at[:, 0]]), "b": pa.array(members[at[:, 1]])}
