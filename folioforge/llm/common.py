@@ -85,16 +85,28 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
 
 
 def bounded_sample(df: DataFrame, by: list[str], most: int) -> DataFrame:
-    """The `most` rows with the smallest hashes of the columns `by`, whatever the number of rows.
+    """The `most` distinct values of the columns `by` with the smallest hashes, whatever the number of rows.
 
-    Where there are many more rows, a cut on the hash that leaves twice as many as
-    are wanted keeps the tasks from sending `most` each to the driver.
+    Values that repeat count once. Where there are many more, a cut on the hash
+    that leaves about twice as many as are wanted, and never fewer, keeps the tasks
+    from sending `most` each to the driver.
     """
-    h = F.pmod(F.xxhash64(*by), F.lit(1 << 30))
-    rows = df.count()
+    h = F.shiftrightunsigned(F.xxhash64(*by), 2)
+    keys = df.select(*by).distinct()
+    rows, share = keys.count(), 1.0
     if rows > 2 * most:
-        df = df.filter(h < int((1 << 30) * 2 * most / rows))
-    return df.orderBy(h, *by).limit(most)
+        share, found = most / rows, 0
+        while found < most:
+            share = min(1.0, 2 * share)
+            keys = df.filter(h <= int(((1 << 62) - 1) * share)).select(*by).distinct()
+            found = most if share == 1.0 else keys.count()
+    return keys.orderBy(h, *by).limit(most)
+
+
+def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """Column names like `names` that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    return tuple(next(f"{n}{'_' * i}" for i in range(len(taken) + 1) if f"{n}{'_' * i}".lower() not in taken) for n in names)
 
 
 def mapped_file(data: bytes) -> np.memmap:

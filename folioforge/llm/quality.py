@@ -7,8 +7,10 @@ the table), and every row is scored by adding up its bins' numbers.
 Edge cases: a null text is empty, and empty texts get a score like any other;
 labels that are null or neither 0 nor 1 are not learned from; without labels
 every score is 0.5; a null id is not learned from and never held out; repeated
-rows give repeated rows; other columns are ignored by `score_quality` and kept
-by `keep_good`.
+rows give repeated rows, in either function; labels that repeat and rows that
+share an id are learned from once; other columns are ignored by `score_quality`
+and kept by `keep_good`. Two features end at a bound, beyond which they tell
+nothing more: words to a line at 200, words to a sentence at 100.
 """
 
 from __future__ import annotations
@@ -80,12 +82,13 @@ def feature_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def chosen_labels(labels: DataFrame, id_col: str, label_col: str, sample: int, of: int = HELD_OUT_OF, rest: int = HELD_OUT) -> DataFrame:
     """(id, y): at most `sample` labels of ids that are not held out."""
     usable = labels.filter(F.col(label_col).isin(0, 1) & (crc(id_col) % of != rest))
-    return bounded_sample(usable.select(id_col, F.col(label_col).alias("y")), [id_col, "y"], sample)
+    return bounded_sample(usable.select(id_col, F.col(label_col).cast("int").alias("y")), [id_col, "y"], sample)
 
 
 def fit_quality(labelled: DataFrame, id_col: str) -> AdditiveModel:
-    """From (id, x, y) rows, of which there are no more than chosen labels times the rows of an id."""
-    got = labelled.select(id_col, "x", "y").toPandas().sort_values(id_col, kind="stable")
+    """From (id, x, y) rows; of an id with several rows the one with the smallest features, so that no more come than labels were chosen."""
+    once = labelled.groupBy(id_col, "y").agg(F.min("x").alias("x"))
+    got = once.toPandas().sort_values([id_col, "y"], kind="stable")
     x = np.array(got["x"].tolist(), float).reshape(len(got), len(FEATURES))
     return AdditiveModel.fit(x, got["y"].to_numpy(float))
 

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -11,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioforge.llm import decontaminate, licenses, linededup, lm, media, nearcopies, quality, simhash
+from folioforge.llm import common, decontaminate, licenses, linededup, lm, media, nearcopies, quality, simhash
 from folioforge.llm.boosting import AdditiveModel, BoostedTrees
 from folioforge.llm.components import connected_components
 
@@ -153,39 +154,72 @@ def test_fingerprint():
     assert simhash.word_shingles(words, 3) == shingles
 
 
-@pytest.mark.parametrize("dense", [100_000, 2])
-def test_links_connect_what_is_near(spark, monkeypatch, dense):
-    monkeypatch.setattr(simhash, "DENSE", dense)
-    rng = random.Random(2)
+def joined(n, links):
+    """The parts, by smallest place, that links make of n places."""
+    part = list(range(n))
+    for a, b in links:
+        x, y = sorted((part[a], part[b]))
+        part = [x if p == y else p for p in part]
+    return part
+
+
+def chains(rng, n, radius):
+    """Fingerprints in chains of one to radius + 1 bits, and strangers."""
     fps, now = {}, 5
-    for i in range(160):  # chains of one to four bits, and strangers
-        now = rng.getrandbits(64) if i % 20 == 0 else now ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 5)))
+    for i in range(n):
+        now = rng.getrandbits(64) if i % 20 == 0 else now ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(1, radius + 2)))
         fps[i] = now
+    return fps
+
+
+@pytest.mark.parametrize("radius,split,dense", [(1, 4096, 100_000), (3, 4096, 100_000), (5, 4096, 100_000), (1, 2, 100_000), (3, 2, 100_000), (5, 2, 100_000), (1, 2, 2), (3, 2, 2)])
+def test_links_connect_what_is_near(spark, radius, split, dense):
+    fps = chains(random.Random(radius), 160, radius)
     signed = {i: f - (1 << 64) if f >> 63 else f for i, f in fps.items()}
     back = {s: i for i, s in signed.items()}
-    if dense == 2:
-        links = [(a, b) for a, b in simhash.spanning_links(np.array(list(fps.values()), np.uint64), 2, (1 << 24) - 1)]
-        masked = {i: f for i, f in fps.items()}
-        for a, b in links:
-            assert (masked[a] ^ masked[b]).bit_count() <= 2
-        return
-    got = simhash.near_links(spark.createDataFrame([(s,) for s in signed.values()], "fp long"), 3).collect()
-    expected = plain_components(fps, 3)
-    parts = plain_components({i: 1 << i for i in fps}, 0)
-    for r in got:
-        a, b = back[r.a], back[r.b]
-        assert (fps[a] ^ fps[b]).bit_count() <= 3
-        x, y = parts[a], parts[b]
-        parts = {k: min(x, y) if v in (x, y) else v for k, v in parts.items()}
-    assert {i: expected[i] for i in fps} == parts
+    if split == 4096:
+        got = [(back[r.a], back[r.b]) for r in simhash.near_links(spark.createDataFrame([(s,) for s in signed.values()], "fp long"), radius).collect()]
+    else:
+        got = []
+        old = simhash.SPLIT, simhash.DENSE
+        simhash.SPLIT, simhash.DENSE = split, dense
+        for places in simhash.key_places(radius):
+            byte = collections.defaultdict(list)
+            for i, f in fps.items():
+                byte[tuple(f >> (8 * p) & 255 for p in places)].append(i)
+            for members in byte.values():
+                got += [(members[i], members[j]) for i, j in simhash.posting_links(np.array([fps[m] for m in members], np.uint64), places, radius)]
+        simhash.SPLIT, simhash.DENSE = old
+    assert all((fps[a] ^ fps[b]).bit_count() <= radius for a, b in got)
+    assert dict(enumerate(joined(len(fps), got))) == plain_components(fps, radius)
+
+
+def test_every_pair_in_the_radius_meets():
+    for radius in range(1, 7):
+        keys = simhash.key_places(radius)
+        assert all(any(set(k) <= set(c) for k in keys) for c in itertools.combinations(range(8), 8 - radius))
+
+
+def test_a_hot_posting_is_split(monkeypatch):
+    """12,000 fingerprints that share three bytes, in chains: as many parts as by comparing all."""
+    rng = np.random.default_rng(3)
+    fps = rng.integers(0, 1 << 40, 4000, dtype=np.uint64)
+    near = fps.copy()
+    for _ in range(3):
+        near ^= np.uint64(1) << rng.integers(0, 40, len(near)).astype(np.uint64)
+    fps = np.unique(np.concatenate([fps, near, fps ^ np.uint64(1)]))
+    links = simhash.posting_links(fps, (5, 6, 7), 3)
+    whole = simhash.spanning_links(fps, 3)
+    assert all((int(fps[i]) ^ int(fps[j])).bit_count() <= 3 for i, j in links)
+    assert joined(len(fps), links) == joined(len(fps), whole)
 
 
 def test_enumeration_equals_comparison():
     rng = np.random.default_rng(1)
-    fps = np.unique(rng.integers(0, 1 << 12, 300, dtype=np.uint64))
-    pairs = lambda links: plain_components({i: i for i in range(0)}, 0) or len(links)
-    a, b = simhash.spanning_links(fps, 2), simhash._enumerated_links(fps, 2, (1 << 12) - 1)
-    assert pairs(a) == pairs(b) and all((int(fps[i]) ^ int(fps[j])).bit_count() <= 2 for i, j in b)
+    for n in (60, 300, 1500):
+        fps = np.unique(rng.integers(0, 1 << 12, n, dtype=np.uint64))
+        a, b = simhash.spanning_links(fps, 2), simhash._enumerated_links(fps, 2, (1 << 12) - 1)
+        assert joined(len(fps), a) == joined(len(fps), b) and all((int(fps[i]) ^ int(fps[j])).bit_count() <= 2 for i, j in b)
 
 
 def test_near_duplicates(spark):
@@ -211,6 +245,35 @@ def test_components_of_a_chain(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_op5_on_a_whole_table(spark):
+    """The registered operator over all documents of sf0.01 against comparing all pairs of fingerprints."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: r for r in simhash.near_duplicates(df).collect()}
+    fps = {i: int(r.fingerprint, 16) for i, r in got.items()}
+    assert {i: r.component_id for i, r in got.items()} == plain_components(fps, 3)
+
+
+def test_sketches_are_compared_alike_at_every_size(monkeypatch):
+    rng = np.random.default_rng(6)
+    sketch, parts = rng.integers(0, 1 << 32, 700, dtype=np.uint32), rng.integers(0, 300, 700)
+    near = (np.bitwise_count(sketch[:, None] ^ sketch[None, :]) <= 6) & (parts[:, None] != parts[None, :])
+    monkeypatch.setattr(nearcopies, "SKETCH_RADIUS", 6)
+    for at_once in (16, 100, 5000):
+        monkeypatch.setattr(nearcopies, "AT_ONCE", at_once)
+        assert nearcopies.has_neighbour(sketch, parts).tolist() == near.any(axis=1).tolist()
+
+
+def test_columns_may_have_any_name(spark):
+    """Inner names of earlier versions and of this one as columns of the input."""
+    names = ["own", "Nth", "doc", "keys", "__own", "__nth", "__doc", "__keys", "hi", "node", "part", "least"]
+    rows = [(1, "a line of some length\nother words here", *range(12)), (2, "a line of some length\nmore words there", *range(12)), (2, "a line of some length\nmore words there", *range(12))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} long" for n in names))
+    got = sorted(tuple(r) for r in linededup.replace_texts(df).collect())
+    assert got == [rows[0], *[(2, "more words there", *range(12))] * 2]
+    assert sorted(tuple(r) for r in nearcopies.representatives(df).collect()) == rows[:2]
+    assert linededup.dedup_lines(df).count() == 3
+
+
 def test_representatives(spark):
     rng = random.Random(6)
     doc = lambda: ["w%d" % rng.randrange(5000) for _ in range(150)]
@@ -430,6 +493,30 @@ def test_quality(spark):
     assert {r.score for r in none} == {0.5} and quality.score_quality(df.limit(0), labels).collect() == []
 
 
+def test_labels_that_repeat(spark):
+    """One id with most of the labels, and one with most of the rows: the sample keeps all others."""
+    rng = random.Random(9)
+    text = lambda i: " ".join(rng.choice(["BUY", "$$$"] if i % 2 else ["alpha", "of"]) for _ in range(40))
+    free = [i for i in range(200) if zlib.crc32(str(i).encode()) % 3 != 1]
+    for hot in free[:2]:
+        labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in free], "doc_id long, quality int")
+        labels = labels.union(spark.range(50_000).select(F.lit(hot), F.lit(int(hot % 2 == 0))))
+        for most in (20, 60):
+            chosen = quality.chosen_labels(labels, "doc_id", "quality", most)
+            assert chosen.count() == most == chosen.distinct().count()
+        docs = spark.createDataFrame([(i, text(i)) for i in range(200)], "doc_id long, text string")
+        docs = docs.union(spark.range(3000).select(F.lit(hot), F.lit("alpha of the")))
+        scores = {r.doc_id: r.predicted for r in quality.score_quality(docs, labels, sample=100).collect() if r.doc_id != hot}
+        assert np.mean([p == (i % 2 == 0) for i, p in scores.items()]) > 0.95
+
+
+def test_samples_have_the_smallest_hashes(spark):
+    df = spark.range(5000).select((F.col("id") % 1000).alias("a"))
+    got = {r.a for r in common.bounded_sample(df, ["a"], 50).collect()}
+    every = df.distinct().select("a", F.shiftrightunsigned(F.xxhash64("a"), 2).alias("h")).orderBy("h").limit(50)
+    assert got == {r.a for r in every.collect()} and common.bounded_sample(df, ["a"], 5000).count() == 1000
+
+
 def test_models_learn_interactions():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 3))
