@@ -12,7 +12,8 @@ A line's key is the line without the white space at its ends, A-Z lower-cased.
 Keys of at least `min_chars` code points that stand in two or more documents
 keep their lines only in the document with the smallest id.
 
-Edge cases: null and empty texts are one empty line; a null id counts as the
+Edge cases: ids are whole numbers (others have to be mapped to such before, as
+they are compared as longs); null and empty texts are one empty line; a null id counts as the
 largest; rows with the same id are one document, each row losing the same
 lines; a text that loses every line becomes empty; other columns stay where
 `replace_texts` is used and are ignored elsewhere.
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
-from folioforge.llm.common import map_rows, stage, text_bytes
+from folioforge.llm.common import fresh, map_rows, stage, text_bytes
 
 #: Code points from which a repeated line counts.
 MIN_CHARS = 10
@@ -118,9 +119,11 @@ def dropped_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _with_keys(df: DataFrame, id_col: str, text_col: str, options: dict) -> DataFrame:
+    """df with the keys of its lines that go as one more column, the last."""
     gone = dropped_lines(df, id_col, text_col, **options)
-    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
-    return df.join(gone.toDF("__doc", "__keys"), doc == F.col("__doc"), "left").drop("__doc")
+    own, doc, keys = fresh(df, "own", "doc", "keys")
+    rows = df.withColumn(own, F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)))
+    return rows.join(gone.toDF(doc, keys), F.col(own) == F.col(doc), "left").drop(own, doc)
 
 
 def keep_lines(text: bytes, gone: set, min_chars: int) -> tuple[bytes, int, int]:
@@ -143,7 +146,7 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
                 "kept": [g[0].decode("utf-8", "replace") for g in got], "kept_sha256": [hashlib.sha256(g[0]).hexdigest() for g in got],
             }
 
-    cut = found.select(id_col, text_bytes(text_col).alias("text"), "__keys")
+    cut = found.select(id_col, text_bytes(text_col).alias("text"), found.columns[-1])
     return map_rows(cut, run, f"`{id_col}` {kind}, n_lines long, n_dropped long, kept string, kept_sha256 string")
 
 
