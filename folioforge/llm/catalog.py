@@ -42,7 +42,8 @@ CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_t
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 OP2_SQL = rf"""
 WITH docs AS (SELECT doc_id, {CRC_SQL} % 7 = 2 AS held_out, list_append(regexp_extract_all({LOWER_SQL.format("coalesce(text, '')")}, '[^ 	
-]+'), NULL) AS w FROM documents),
+
+]+'), NULL) AS w FROM documents),
 tokens AS (SELECT doc_id, held_out, i, w[i] AS w, i = len(w) AS is_end, CASE WHEN i = 1 THEN NULL ELSE w[i - 1] END AS h, i = 1 AS is_first FROM (SELECT doc_id, held_out, w, unnest(range(1, len(w) + 1)) AS i FROM docs)),
 words AS (SELECT w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY w),
 sizes AS (SELECT sum(c) AS n, count(*) AS v, (SELECT count(*) FROM docs WHERE NOT held_out) AS starts FROM words),
@@ -83,7 +84,7 @@ FROM marked GROUP BY doc_id
 
 @query("op6_line_dedup", OP6_SQL)
 def op6_line_dedup(spark, sf_dir):
-    return linededup.dedup_lines(documents(spark, sf_dir)).select(F.col("doc_id"), "n_lines", "n_dropped", "kept_sha256")
+    return linededup.dedup_lines(documents(spark, sf_dir), keep=False)
 
 
 @query("op3_licenses")

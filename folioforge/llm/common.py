@@ -70,18 +70,30 @@ def checkpoint_root(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def stage(df: DataFrame, tag: str) -> DataFrame:
-    """Writes df once to the shared folder and returns a frame that reads it.
+def stage(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
+    """Writes df once to the shared folder, in folders by the column `by` if that is given, and returns a frame that reads it.
 
     Cuts the lineage: losing executors later costs a read, not the work before.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/folioforge/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     # shuffle files of finished steps go only when the driver collects its garbage
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged = path
+    return out
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Deletes what `stage` has written for these frames; nothing that is still to be computed may read them."""
+    for df in frames:
+        path = getattr(df, "_staged", None)
+        if path:
+            sc = df.sparkSession.sparkContext
+            at = sc._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def bounded_sample(df: DataFrame, by: list[str], most: int) -> DataFrame:

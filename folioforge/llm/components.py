@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import stage
+from folioforge.llm.common import discard, stage
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -24,9 +24,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         linked = large.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         least = linked.groupBy("u").agg(F.min("v").alias("m"))
         small = linked.join(least, "u")
-        now = stage(
+        last, now = now, stage(
             small.select("u", F.col("m").alias("v")).unionByName(small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct(), "edges"
         )
+        discard(last)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

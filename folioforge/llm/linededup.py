@@ -5,8 +5,14 @@ kept as sorted runs of (hash, first document). A new batch is merge-joined with
 the runs: lines found there belong to an earlier document and go, the others
 anti-join and become a sorted run of their own. When a level has `fanout` runs
 they are compacted into one run of the next level, so that there are only
-logarithmically many. A run is a table in the shared folder, dealt and sorted
-by hash, and is never held by one machine.
+logarithmically many.
+
+A run is a table in the shared folder, bucketed and sorted by hash, with as many
+buckets as shuffles have partitions. A batch is dealt out once and then meets
+every run bucket by bucket; compaction merges two runs bucket by bucket, without
+an exchange. Lines that make up over 1/HOT of all, of which there are fewer than
+HOT, are settled before by one aggregation and a broadcast, so that none of them
+meets in one task.
 
 A line's key is the line without the white space at its ends, A-Z lower-cased.
 Keys of at least `min_chars` code points that stand in two or more documents
@@ -21,20 +27,25 @@ lines; a text that loses every line becomes empty; other columns stay where
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
+import uuid
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
-from folioforge.llm.common import fresh, map_rows, stage, text_bytes
+from folioforge.llm.common import checkpoint_root, discard, fresh, map_rows, stage, text_bytes
 
 #: Code points from which a repeated line counts.
 MIN_CHARS = 10
-#: Batches that the documents are dealt into by id, and runs that are compacted at once.
-BATCHES, FANOUT = 4, 2
+#: Bytes of text in a batch for each core of the cluster, batches at most, and runs that are compacted at once.
+BATCH_BYTES, BATCHES, FANOUT = 32 << 20, 16, 2
+#: Lines that are more than one in HOT are settled apart.
+HOT = 20_000
 #: What a null id counts as.
 LAST = (1 << 63) - 1
 WHITE = b" \t\n\x0b\x0c\r"
@@ -48,10 +59,11 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
     return xxhash.xxh3_128_digest(key)
 
 
-def line_keys(df: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(doc, hi, lo): the keys of each row's lines, each once."""
+def line_keys(df: DataFrame, id_col: str, text_col: str, min_chars: int, cuts: list[int] | None = None) -> DataFrame:
+    """(doc, hi, lo, batch): the keys of each row's lines, each once; batch is the number of cuts below the id."""
 
     def run(batches):
+        edges = np.array(cuts or [], np.int64)
         for batch in batches:
             docs, keys = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -59,9 +71,59 @@ def line_keys(df: DataFrame, id_col: str, text_col: str, min_chars: int) -> Data
                 found.discard(None)
                 docs += [doc] * len(found)
                 keys += found
-            yield {"doc": docs, "hi": [int.from_bytes(k[:8], "big", signed=True) for k in keys], "lo": [int.from_bytes(k[8:], "big", signed=True) for k in keys]}
+            docs = np.array(docs, np.int64)
+            hi, lo = np.frombuffer(b"".join(keys), ">i8").astype(np.int64).reshape(-1, 2).T
+            at = np.searchsorted(edges, docs).astype(np.int32)
+            yield {"doc": pa.array(docs), "hi": pa.array(hi), "lo": pa.array(lo), "batch": pa.array(at)}
+
+    return map_rows(df.select(_doc(id_col), text_bytes(text_col)), run, "doc long, hi long, lo long, batch int")
+
+
+def _doc(id_col: str):
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
+
+
+def batch_cuts(df: DataFrame, id_col: str, text_col: str, batches: int | None) -> list[int]:
+    """The largest ids of all batches but the last."""
+    parts = F.percentile_approx(_doc(id_col), [i / 240 for i in range(1, 240)], 10_000)
+    size, at = df.agg(F.sum(F.octet_length(text_col)), parts).first()
+    if batches is None:
+        batches = min(BATCHES, -(-(size or 0) // (BATCH_BYTES * df.sparkSession.sparkContext.defaultParallelism)))
+    return sorted({at[round(240 * i / batches) - 1] for i in range(1, batches)}) if at and batches > 1 else []
+
+
+@contextlib.contextmanager
+def sorted_buckets(spark: SparkSession):
+    """Lets scans of bucketed tables count as sorted where a bucket is one file."""
+    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
-    return map_rows(df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), text_bytes(text_col)), run, "doc long, hi long, lo long")
+
+def write_run(df: DataFrame) -> DataFrame:
+    """df (hi, lo, owner) as a run: a file for each bucket, sorted by hash."""
+    spark = df.sparkSession
+    name = f"folioforge_line_run_{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/folioforge/{name}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, "hi", "lo").sortBy("hi", "lo").option("path", path).saveAsTable(name)
+    run = spark.table(name)
+    run._staged, run._table = path, name
+    return run
+
+
+def drop_run(run: DataFrame) -> None:
+    run.sparkSession.sql(f"DROP TABLE IF EXISTS {run._table}")
+    discard(run)
+
+
+def merged(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two runs without a common key as one; sorted buckets are merged, nothing is dealt out anew."""
+    return a.join(b.withColumnRenamed("owner", "other"), ["hi", "lo"], "full_outer").select("hi", "lo", F.coalesce("owner", "other").alias("owner"))
 
 
 class Runs:
@@ -70,59 +132,64 @@ class Runs:
     def __init__(self, fanout: int):
         self.fanout, self.levels = fanout, [[]]
 
-    def all(self) -> DataFrame | None:
-        runs = [r for level in self.levels for r in level]
-        out = runs[0] if runs else None
-        for r in runs[1:]:
-            out = out.unionByName(r)
-        return out
+    def all(self) -> list[DataFrame]:
+        return [r for level in self.levels for r in level]
+
+    def unseen(self, own: DataFrame) -> DataFrame:
+        for r in self.all():
+            own = own.join(r.select("hi", "lo"), ["hi", "lo"], "left_anti")
+        return own
 
-    def add(self, fresh: DataFrame) -> None:
-        self.levels[0].append(_sorted_run(fresh, 0))
+    def add(self, run: DataFrame) -> None:
+        self.levels[0].append(run)
         depth = 0
         while len(self.levels[depth]) >= self.fanout:
-            merged = self.levels[depth][0]
-            for r in self.levels[depth][1:]:
-                merged = merged.unionByName(r)
+            first, *more = self.levels[depth]
+            for r in more:
+                both = write_run(merged(first, r))
+                drop_run(first)
+                drop_run(r)
+                first = both
             self.levels[depth] = []
             depth += 1
             if depth == len(self.levels):
                 self.levels.append([])
-            self.levels[depth].append(_sorted_run(merged, depth))
-
-
-def _sorted_run(df: DataFrame, depth: int) -> DataFrame:
-    return stage(df.repartition("hi", "lo").sortWithinPartitions("hi", "lo"), f"line-run-{depth}")
+            self.levels[depth].append(first)
 
 
-def dropped_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
+def dropped_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, batches: int | None = None, fanout: int = FANOUT) -> DataFrame:
     """(doc, keys): for each document that loses lines, the 16-byte keys of those that go."""
-    lines = stage(line_keys(df, id_col, text_col, min_chars), "line-keys")
-    cuts = lines.agg(F.percentile_approx("doc", [i / batches for i in range(1, batches)])).first()[0] or []
-    edges = [None, *sorted(set(cuts)), None]
-    runs, gone = Runs(fanout), []
-    for low, high in zip(edges, edges[1:]):
-        batch = lines
-        if low is not None:
-            batch = batch.filter(F.col("doc") > low)
-        if high is not None:
-            batch = batch.filter(F.col("doc") <= high)
-        own = batch.groupBy("hi", "lo").agg(F.min("doc").alias("owner"))
-        seen = runs.all()
-        runs.add(own if seen is None else own.join(seen.select("hi", "lo"), ["hi", "lo"], "left_anti"))
-        gone.append(batch.join(runs.all(), ["hi", "lo"]).filter("owner < doc").select("doc", "hi", "lo"))
-    out = gone[0]
-    for g in gone[1:]:
-        out = out.unionByName(g)
+    cuts = batch_cuts(df, id_col, text_col, batches)
+    lines = stage(line_keys(df, id_col, text_col, min_chars, cuts), "line-keys", by="batch")
+    least = max(2, lines.count() // HOT)
+    often = lines.groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min("doc").alias("owner")).filter(F.col("n") > least)
+    hot = stage(often.select("hi", "lo", "owner"), "hot-lines")
+    gone = [lines.join(F.broadcast(hot), ["hi", "lo"]).filter("owner < doc").select("doc", "hi", "lo")]
+    runs, parts = Runs(fanout), []
+    with sorted_buckets(df.sparkSession):
+        for number in range(len(cuts) + 1):
+            batch = lines.filter(F.col("batch") == number).join(F.broadcast(hot), ["hi", "lo"], "left_anti")
+            runs.add(write_run(runs.unseen(batch.groupBy("hi", "lo").agg(F.min("doc").alias("owner")))))
+            found = None
+            for r in runs.all():
+                here = batch.join(r, ["hi", "lo"]).filter("owner < doc").select("doc", "hi", "lo")
+                found = here if found is None else found.unionByName(here)
+            parts.append(stage(found, "line-gone"))
+    for g in [*gone, *parts]:
+        out = g if g is gone[0] else out.unionByName(g)
     key = F.concat(*(F.unhex(F.lpad(F.hex(c), 16, "0")) for c in ("hi", "lo")))
-    return out.groupBy("doc").agg(F.collect_set(key).alias("keys"))
+    out = stage(out.groupBy("doc").agg(F.collect_set(key).alias("keys")), "lines-gone")
+    for r in runs.all():
+        drop_run(r)
+    discard(lines, hot, *parts)
+    return out
 
 
 def _with_keys(df: DataFrame, id_col: str, text_col: str, options: dict) -> DataFrame:
     """df with the keys of its lines that go as one more column, the last."""
     gone = dropped_lines(df, id_col, text_col, **options)
     own, doc, keys = fresh(df, "own", "doc", "keys")
-    rows = df.withColumn(own, F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)))
+    rows = df.withColumn(own, _doc(id_col))
     return rows.join(gone.toDF(doc, keys), F.col(own) == F.col(doc), "left").drop(own, doc)
 
 
@@ -133,21 +200,25 @@ def keep_lines(text: bytes, gone: set, min_chars: int) -> tuple[bytes, int, int]
     return b"\n".join(kept), len(lines), len(lines) - len(kept)
 
 
-def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
-    """One row per row of df: id, lines before, lines dropped, the kept text and its digest."""
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, batches: int | None = None, fanout: int = FANOUT, keep: bool = True) -> DataFrame:
+    """One row per row of df: id, lines before, lines dropped, the digest of the kept text and, as asked, that text."""
     kind = df.schema[id_col].dataType.simpleString()
     found = _with_keys(df.select(id_col, text_col), id_col, text_col, {"min_chars": min_chars, "batches": batches, "fanout": fanout})
 
     def run(batches):
         for batch in batches:
-            got = [keep_lines(t.as_py(), set(g or ()), min_chars) for t, g in zip(batch.column(1), batch.column(2).to_pylist())]
-            yield {
-                id_col: batch.column(0), "n_lines": [g[1] for g in got], "n_dropped": [g[2] for g in got],
-                "kept": [g[0].decode("utf-8", "replace") for g in got], "kept_sha256": [hashlib.sha256(g[0]).hexdigest() for g in got],
-            }
+            out = {id_col: batch.column(0)} | {n: [] for n in ("n_lines", "n_dropped", "kept_sha256", "kept")}
+            for t, g in zip(batch.column(1), batch.column(2).to_pylist()):
+                kept, lines, dropped = keep_lines(t.as_py(), set(g or ()), min_chars)
+                out["n_lines"].append(lines)
+                out["n_dropped"].append(dropped)
+                out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
+                if keep:
+                    out["kept"].append(kept.decode("utf-8", "replace"))
+            yield out
 
     cut = found.select(id_col, text_bytes(text_col).alias("text"), found.columns[-1])
-    return map_rows(cut, run, f"`{id_col}` {kind}, n_lines long, n_dropped long, kept string, kept_sha256 string")
+    return map_rows(cut, run, f"`{id_col}` {kind}, n_lines long, n_dropped long, kept_sha256 string{', kept string' * keep}")
 
 
 def replace_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars", **options) -> DataFrame:

@@ -355,6 +355,42 @@ def test_line_dedup(spark, batches, fanout):
     assert linededup.dedup_lines(df.limit(0)).collect() == []
 
 
+def test_runs_meet_without_exchange(spark):
+    """Plans of compaction and of a batch against runs: only the batch is dealt out."""
+    frame = lambda lo, hi: spark.range(lo, hi).select(F.xxhash64("id").alias("hi"), F.xxhash64("id", F.lit(1)).alias("lo"), F.col("id").alias("owner"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    runs = linededup.Runs(3)
+    with linededup.sorted_buckets(spark):
+        a, b = (linededup.write_run(frame(*ids).groupBy("hi", "lo").agg(F.min("owner").alias("owner"))) for ids in ((0, 500), (500, 900)))
+        both = linededup.merged(a, b)
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan
+        assert sorted(map(tuple, both.collect())) == sorted(map(tuple, frame(0, 900).collect()))
+        for r in (a, b):
+            runs.add(r)
+        unseen = runs.unseen(frame(850, 950).groupBy("hi", "lo").agg(F.min("owner").alias("owner")))
+        assert unseen._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1 and unseen.count() == 50
+        runs.add(linededup.write_run(unseen))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert [len(level) for level in runs.levels] == [0, 1] and runs.all()[0].count() == 950
+    linededup.drop_run(runs.all()[0])
+
+
+def test_hot_lines_are_settled_apart(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "HOT", 20)
+    rows = [(i, "the line that all have\nanother that half have" if i % 2 else f"the line that all have\nown line number {i}") for i in range(200)] + [(3, "The line that all have")]
+    got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), batches=3).collect()
+    assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept) for r in got), key=lambda r: (r[0], r[3])) == plain_lines(rows)
+
+
+def test_batches_by_bytes(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "x" * 100) for i in range(1000)], "doc_id long, text string")
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(linededup, "BATCH_BYTES", 25_000 // cores)
+    assert linededup.batch_cuts(df, "doc_id", "text", None) == [249, 499, 749] and linededup.batch_cuts(df.limit(0), "doc_id", "text", None) == []
+
+
 def test_replace_texts_keeps_columns(spark):
     df = spark.createDataFrame([(1, "a line of text\nx", "en", 99), (2, "A line of text\ny", None, 99), (3, None, "en", 99)], "doc_id long, text string, lang string, n_chars long")
     got = sorted(linededup.replace_texts(df).collect(), key=lambda r: r.doc_id)
