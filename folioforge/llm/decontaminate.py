@@ -3,17 +3,23 @@
 For every benchmark item, windows of as many words as the item has slide over a
 text. A window's fingerprint is compared with the item's through Hamming blocks:
 64 bits within the radius have a block in eight with at most radius/8 differing
-bits, so tables of each block's near values find all of them. Candidates are
-verified by the exact weighted similarity of their 5-word shingles: the sum of
-the smaller multiplicities over the sum of the larger ones.
+bits, so blocks are looked up first and all fingerprints in the radius are found.
+Candidates are verified by the exact weighted similarity of their 5-word
+shingles: the sum of the smaller multiplicities over the sum of the larger ones.
+
+At this radius blocks alone let about three quarters of unrelated pairs through,
+so they are only looked up for pairs that a rare shingle leads to. A window that
+is similar to an item of n shingles shares SIMILARITY * n of them at least, and
+so one of any other n - SIMILARITY * n + 1; those that are rarest in the
+benchmark are indexed. Nothing that could pass is lost, and a shingle that many
+items share leads to none of them if they have rarer ones.
 
-A window that shares no shingle with an item has similarity 0, so only windows
-over a shingle of the item are fingerprinted; nothing that could pass is lost.
 Words are runs of letters and digits, A-Z lower-cased. Items shorter than five
 words are their own single shingle. A text shorter than an item is one window.
 
-The benchmark is compiled and broadcast in parts of at most PART_CHARS
-characters each; the texts are read once for each part.
+The benchmark is compiled into arrays of about 20 bytes a word and broadcast in
+parts of at most PART_CHARS characters each; the texts are read once for each
+part.
 
 Edge cases: null and empty texts match nothing, as do null items and items
 without words; repeated rows give repeated results; an empty benchmark gives no
@@ -23,8 +29,9 @@ matches; a null item_id is reported as null; other columns stay in
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +39,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
-from folioforge.llm.common import WordHashes, bit_sums, fold_words, map_rows, shingle_hashes, text_bytes
+from folioforge.llm.common import WordHashes, bit_sums, map_rows, shingle_hashes, stage, text_bytes
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Bits in which the fingerprints of similar windows may differ: 3.5 deviations above what similarity 0.8 leads to.
 RADIUS = 20
 BLOCKS = 8
-#: Characters of benchmark texts in one broadcast part.
+#: Characters of benchmark texts in one broadcast part; compiled they take about 30 MB.
 PART_CHARS = 8_000_000
+#: Windows that are fingerprinted at once; this bounds memory.
+TOGETHER = 16_384
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -56,108 +65,115 @@ def window_fingerprints(hashes: np.ndarray, starts: np.ndarray, size: int) -> np
 
 
 class HammingBlocks:
-    """Fingerprints found by block: table[b][v] tells which have a block b near to v."""
-
-    def __init__(self, fps: np.ndarray, radius: int, blocks: int = BLOCKS):
-        self.fps, self.radius, self.width = fps, radius, 64 // blocks
-        values = np.arange(1 << self.width, dtype=np.uint64)
-        self.tables = [np.bitwise_count(values[:, None] ^ self._block(fps, b)[None, :]) <= radius // blocks for b in range(blocks)]
-
-    def _block(self, fps: np.ndarray, b: int) -> np.ndarray:
-        return (fps >> np.uint64(b * self.width)) & np.uint64((1 << self.width) - 1)
-
-    def near(self, probes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(probe, own, distance) places of all pairs within the radius."""
-        hit = np.zeros((len(probes), len(self.fps)), bool)
-        for b, table in enumerate(self.tables):
-            hit |= table[self._block(probes, b)]
-        i, j = np.nonzero(hit)
-        d = np.bitwise_count(probes[i] ^ self.fps[j])
+    """Fingerprints within a radius of one of them, found by block: table[v] tells whether a block's difference v is small enough."""
+
+    def __init__(self, radius: int, blocks: int = BLOCKS):
+        self.radius, self.blocks, width = radius, blocks, 64 // blocks
+        self.kind = np.dtype(f"u{width // 8}")
+        self.table = np.bitwise_count(np.arange(1 << width)) <= radius // blocks
+
+    def near(self, own: np.uint64, probes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, distances) of the probes within the radius of own."""
+        differ = probes ^ own
+        at = np.flatnonzero(self.table[differ.view(self.kind).reshape(len(probes), self.blocks)].any(axis=1))
+        d = np.bitwise_count(differ[at])
         ok = d <= self.radius
-        return i[ok], j[ok], d[ok]
+        return at[ok], d[ok]
+
+
+class Leads:
+    """Shingles of one length and the items that each leads to."""
+
+    def __init__(self, pairs: list[tuple[np.ndarray, int]]):
+        hashes = np.concatenate([h for h, _ in pairs])
+        owners = np.repeat(np.array([i for _, i in pairs], np.int32), [len(h) for h, _ in pairs])
+        order = np.argsort(hashes, kind="stable")
+        self.grams, first = np.unique(hashes[order], return_index=True)
+        self.first, self.owners = np.append(first, len(order)).astype(np.int64), owners[order]
+        self.bits = max(8, min(24, 4 + int(len(hashes)).bit_length()))
+        self.held = np.zeros(1 << self.bits, bool)
+        self.held[self.grams >> np.uint64(64 - self.bits)] = True
+
+    def hits(self, shingles: np.ndarray) -> dict[int, np.ndarray]:
+        """item: ascending places of shingles that lead to it."""
+        places = np.flatnonzero(self.held[shingles >> np.uint64(64 - self.bits)])
+        at = np.minimum(np.searchsorted(self.grams, shingles[places]), len(self.grams) - 1)
+        ok = self.grams[at] == shingles[places]
+        places, at = places[ok], at[ok]
+        if not len(at):
+            return {}
+        n = self.first[at + 1] - self.first[at]
+        ends = np.cumsum(n)
+        items = self.owners[np.repeat(self.first[at] - (ends - n), n) + np.arange(ends[-1])]
+        order = np.argsort(items, kind="stable")
+        cuts = np.flatnonzero(np.diff(items[order])) + 1
+        return {int(items[part[0]]): np.repeat(places, n)[part] for part in np.split(order, cuts)}
 
 
 class Benchmark:
-    """Items compiled: their words, the shingles that lead to them, fingerprints by length."""
+    """Items compiled: ids, words, fingerprints, shingles with multiplicities, and the rare shingles that lead to them."""
 
     def __init__(self, items: list[tuple[int, bytes]], k: int = SHINGLE, radius: int = RADIUS, least: float = SIMILARITY):
-        self.k, self.least = k, least
-        self.words: dict[bytes, int] = {}
-        self.items = []  # (item_id, shingle multiplicities)
-        table = WordHashes()
-        by_length, leads = defaultdict(list), defaultdict(lambda: defaultdict(set))
-        for item_id, text in items:
-            words = words_of(text)
-            if not words:
-                continue
-            for w in words:
-                self.words.setdefault(w, len(self.words) + 1)
-            own = min(k, len(words))
-            hashes = shingle_hashes(table.of(words), k)
-            place = len(self.items)
-            self.items.append((item_id, Counter(hashes.tolist())))
-            on = 2 * bit_sums(hashes) > len(hashes)
-            by_length[len(words)].append((place, int.from_bytes(np.packbits(on).tobytes(), "big")))
-            for h in hashes.tolist():
-                leads[own][h].add(len(words))
-        self.by_length = {n: (np.array([p for p, _ in x]), HammingBlocks(np.array([f for _, f in x], np.uint64), radius)) for n, x in by_length.items()}
-        self.leads = {own: (np.array(sorted(x), np.uint64), x) for own, x in leads.items()}
+        self.k, self.least, self.blocks = k, least, HammingBlocks(radius)
+        table, kept = WordHashes(), [(i, w) for i, w in ((i, words_of(t)) for i, t in items) if w]
+        self.ids = [i for i, _ in kept]
+        self.size = np.array([len(w) for _, w in kept], np.int64)
+        hashes = [shingle_hashes(table.of(w), k) for _, w in kept]
+        self.fps = np.array([int.from_bytes(np.packbits(2 * bit_sums(h) > len(h)).tobytes(), "big") for h in hashes], np.uint64)
+        own = [np.unique(h, return_counts=True) for h in hashes]
+        self.offset = np.cumsum([0, *(len(g) for g, _ in own)])
+        self.grams, self.counts = (np.concatenate([o[i] for o in own]) if own else np.zeros(0, t) for i, t in enumerate((np.uint64, np.int64)))
+        self.counts = self.counts.astype(np.int32)
+        seen, times = np.unique(self.grams, return_counts=True)
+        leads = defaultdict(list)
+        for place, h in enumerate(hashes):
+            rarity = times[np.searchsorted(seen, h)]
+            rare = h[np.lexsort((h, rarity))][: len(h) - math.ceil(least * len(h) - 1e-9) + 1]
+            leads[min(k, int(self.size[place]))].append((np.unique(rare), place))
+        self.leads = {n: Leads(pairs) for n, pairs in leads.items()}
 
     def matches(self, text: bytes, table: WordHashes) -> list[tuple]:
         """(item_id, first word, words, similarity, distance): for each item that matches, its best window."""
         words = words_of(text)
-        if not words or not self.items:
-            return []
-        get = self.words.get
-        known = np.fromiter([get(w, 0) for w in words], np.int64, len(words)) > 0
-        best: dict[int, tuple] = {}
-        run = np.concatenate([[0], known.cumsum()])
-        for own, (grams, leads) in self.leads.items():
-            if len(words) < own:
-                continue
-            full = np.flatnonzero(run[own:] - run[:-own] == own)
-            if not len(full):
-                continue
-            # word hashes only where all words of a shingle are words of the benchmark
-            need = np.zeros(len(words), bool)
-            for i in range(own):
-                need[full + i] = True
-            hashes = np.zeros(len(words), np.uint64)
-            hashes[need] = table.of([words[i] for i in np.flatnonzero(need).tolist()])
-            shingles = _shingles_at(hashes, full, own)
-            at = np.minimum(np.searchsorted(grams, shingles), len(grams) - 1)
-            hit = grams[at] == shingles
-            spots = defaultdict(list)
-            for p, h in zip(full[hit].tolist(), shingles[hit].tolist()):
-                for n in leads[h]:
-                    spots[n].append(p)
-            for n, places in spots.items():
-                self._windows(words, table, n, places, best)
-        return [(self.items[i][0], -neg, size, sim, dist) for i, (sim, neg, size, dist) in sorted(best.items())]
-
-    def _windows(self, words, table, n, places, best) -> None:
-        size = min(n, len(words))
-        own = min(self.k, size)
-        last = len(words) - size
-        starts = np.unique(np.concatenate([np.arange(max(0, p - size + own), min(last, p) + 1) for p in places]))
-        owners, index = self.by_length[n]
-        # windows that lie together are hashed together
-        for part in np.split(starts, np.flatnonzero(np.diff(starts) > size) + 1):
-            lo = int(part[0])
-            hashes = shingle_hashes(table.of(words[lo : int(part[-1]) + size]), own)
-            probes = window_fingerprints(hashes, part - lo, size - own + 1)
-            for i, j, d in zip(*(x.tolist() for x in index.near(probes))):
-                start, place = int(part[i]), int(owners[j])
-                mine, theirs = Counter(hashes[start - lo : start - lo + size - own + 1].tolist()), self.items[place][1]
-                both = (mine & theirs).total()
-                sim = both / (mine.total() + theirs.total() - both)
-                if sim >= self.least and (place not in best or (sim, -start) > best[place][:2]):
-                    best[place] = (sim, -start, size, d)
-
-
-def _shingles_at(hashes: np.ndarray, places: np.ndarray, k: int) -> np.ndarray:
-    """As shingle_hashes, for the shingles that start at the places only."""
-    return fold_words(hashes[places + i] for i in range(k))
+        hashes, best = table.of(words), {}
+        for own, leads in self.leads.items():
+            if len(words) >= own:
+                shingles = shingle_hashes(hashes, own)
+                for item, places in leads.hits(shingles).items():
+                    found = self._best(shingles, own, item, places, len(words))
+                    if found:
+                        best[item] = found
+        return [(self.ids[i], -neg, size, sim, dist) for i, (sim, neg, size, dist) in sorted(best.items())]
+
+    def _best(self, shingles: np.ndarray, own: int, item: int, places: np.ndarray, words: int) -> tuple | None:
+        """(similarity, -first word, words, distance) of the item's best window over one of the places."""
+        size = min(int(self.size[item]), words)
+        n, best = size - own + 1, None  # shingles of a window
+        low, high = np.maximum(places - n + 1, 0), np.minimum(places, words - size)
+        apart = np.flatnonzero(low[1:] > high[:-1] + 1) + 1
+        for a, b in zip(low[np.r_[0, apart]].tolist(), high[np.r_[apart - 1, len(low) - 1]].tolist()):
+            for start in range(a, b + 1, TOGETHER):
+                found = self._window(shingles[start : min(b + 1, start + TOGETHER) + n - 1], n, item, start)
+                if found and (best is None or found > best):
+                    best = found
+        return best and (best[0], best[1], size, best[2])
+
+    def _window(self, part: np.ndarray, n: int, item: int, start: int) -> tuple | None:
+        probes = window_fingerprints(part, np.arange(len(part) - n + 1), n)
+        near, distance = self.blocks.near(self.fps[item], probes)
+        if not len(near):
+            return None
+        grams, counts = (x[self.offset[item] : self.offset[item + 1]] for x in (self.grams, self.counts))
+        at = np.minimum(np.searchsorted(grams, part), len(grams) - 1)
+        at = np.where(grams[at] == part, at, len(grams))
+        total, best = int(counts.sum()), None
+        for i, d in zip(near.tolist(), distance.tolist()):
+            mine = np.bincount(at[i : i + n], minlength=len(grams) + 1)[:-1]
+            both = int(np.minimum(mine, counts).sum())
+            sim = both / (n + total - both)
+            if sim >= self.least and (best is None or (sim, -start - i) > best[:2]):
+                best = (sim, -start - i, d)
+        return best
 
 
 def parts_of(benchmark: DataFrame, item_col: str, text_col: str, most: int = PART_CHARS):
@@ -195,10 +211,12 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", **options) -> DataFrame:
-    """The rows of df, all columns, whose texts hold no benchmark item."""
+    """The rows of df, all columns, whose texts hold no benchmark item; what one part of the benchmark leaves is written before the next one's turn."""
     arrow = to_arrow_schema(df.schema)
     out = df
-    for items in parts_of(benchmark, item_col, item_text_col):
+    for number, items in enumerate(parts_of(benchmark, item_col, item_text_col)):
+        if number:
+            out = stage(out, "decontaminated")
         compiled = df.sparkSession.sparkContext.broadcast(Benchmark(items, **options))
 
         def run(batches, compiled=compiled):

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import math
+import pickle
 import random
 import re
 import zlib
@@ -502,9 +503,33 @@ def test_hamming_blocks_find_all_in_the_radius():
     for p in range(400):
         for b in rng.permutation(64)[: rng.integers(0, 25)]:
             probes[p] ^= np.uint64(1) << np.uint64(b)
-    i, j, d = decontaminate.HammingBlocks(own, 20).near(probes)
-    near = np.bitwise_count(probes[:, None] ^ own[None, :])
-    assert set(zip(i.tolist(), j.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(near <= 20))))
+    for one in own:
+        at, d = decontaminate.HammingBlocks(20).near(one, probes)
+        near = np.bitwise_count(probes ^ one)
+        assert at.tolist() == np.flatnonzero(near <= 20).tolist() and d.tolist() == near[at].tolist()
+
+
+def test_shingles_that_all_items_share_lead_to_few(spark):
+    """Items with a common beginning: texts that hold it meet no item by it, and leaks are found all the same."""
+    rng = random.Random(3)
+    common_part = " ".join("c%d" % i for i in range(12))
+    items = [(i, (common_part + " " + " ".join("w%d" % rng.randrange(9000) for _ in range(40))).encode()) for i in range(200)]
+    compiled = decontaminate.Benchmark(items)
+    leads = compiled.leads[5]
+    shared = common.shingle_hashes(common.WordHashes().of(common_part.encode().split()), 5)
+    assert leads.hits(shared) == {} and len(pickle.dumps(compiled)) < 60 * 52 * 200
+    assert compiled.matches(common_part.encode() + b" and more words that follow", common.WordHashes()) == []
+    assert [m[0] for m in compiled.matches(b"x y " + items[7][1] + b" z", common.WordHashes())] == [7]
+
+
+def test_windows_in_pieces(monkeypatch):
+    """A text of one word over and over, and windows fingerprinted a few at a time."""
+    items = [(0, b"the " * 30), (1, b"a b c d e f g h")]
+    text = b"the " * 500 + b"a b c d e f g h " + b"the " * 29
+    whole = decontaminate.Benchmark(items).matches(text, common.WordHashes())
+    monkeypatch.setattr(decontaminate, "TOGETHER", 7)
+    assert decontaminate.Benchmark(items).matches(text, common.WordHashes()) == whole
+    assert [(m[0], m[1], m[3]) for m in whole] == [(0, 0, 1.0), (1, 500, 1.0)]
 
 
 # --- quality ---------------------------------------------------------------------------------------------------------
