@@ -11,11 +11,12 @@ down to P(w) = (c(w) + 1) / (N + V + 1), where the one left over stands for all
 unknown words together. Every state's arcs and failures add up to one.
 
 The counts of a large corpus fit no machine, so they stay distributed. Texts are
-dealt into blocks by hash. Each block sends the sorted hashes of its distinct
-n-grams, with its own training counts, to the bucket of the hash's range; each
-bucket adds the counts up and answers every block in the order in which it
-asked; each block builds the part of the automaton that its texts can reach and
-traverses it once. What moves is a few bytes for each distinct n-gram of a block.
+packed into blocks of bounded bytes and written once. Each block sends the sorted
+hashes of its distinct n-grams, with its own training counts, to the bucket of
+the hash's range; each bucket adds the counts up and answers every block in the
+order in which it asked; each block compiles the part of the automaton that its
+texts can reach and traverses it once. What moves is a few bytes for each
+distinct n-gram of a block.
 
 Edge cases: a null or empty text has the end as its only token; a null id is
 never held out; repeated rows count as often as they occur; without any training
@@ -24,9 +25,12 @@ text P is 1 for whatever comes, as V = N = 0; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -39,8 +43,8 @@ MASS = 500.0
 ORDER = 2
 #: Every HELD_OUT_OF-th part of the ids by CRC-32, that with remainder HELD_OUT, is not learned from.
 HELD_OUT_OF, HELD_OUT = 7, 2
-#: Rows to a block of texts.
-BLOCK_ROWS = 1280
+#: Bytes of text to a block, whose automaton a worker holds at once, and bytes of text for which there is one bucket of counts.
+BLOCK_BYTES, BUCKET_BYTES = 3_000_000, 16_000_000
 #: Words whose hashes a worker remembers.
 WORDS = 100_000
 
@@ -81,34 +85,57 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 class BackoffAutomaton:
-    """States, arcs and failure arcs over the n-grams of some texts.
+    """States, arcs and failure arcs, compiled from the n-grams of some texts.
 
-    A state is the place of an n-gram in a list of distinct ones, of which
-    `counts` has how often each was seen in training.
+    Nodes are the places in a list of distinct n-grams, `counts` telling how often
+    each was seen in training, and one more for the empty context. Seen contexts
+    are states. An arc is found by its state and token; a failure arc leads to the
+    state without the first word. Weights are log10 probabilities.
     """
 
-    def __init__(self, counts: np.ndarray, total: int, distinct: int, mass: float):
-        self.counts, self.mass = counts, mass
-        self.root = total + distinct + 1.0
-
-    def traverse(self, states: list[np.ndarray]) -> tuple[float, float, int]:
-        """(log10 of the text's probability, the same by single words, known tokens).
-
-        states[n-1][i] is the state that the n tokens ending at place i lead to,
-        place 0 being the start. The state carried into place i is that of place
-        i-1. A seen word takes its arc; an unseen one takes failure arcs, whose
-        weights multiply, until a shorter context knows it.
+    def __init__(self, counts: np.ndarray, orders: list[tuple[np.ndarray, ...]], start: int, total: int, distinct: int, mass: float):
+        """orders[n-1] has (n-gram, its context, its n-gram without the first word, its last token) as columns, each n-gram once."""
+        self.root = root = len(counts)
+        self.width = root + 1
+        self.word = np.log10((counts + 1) / (total + distinct + 1.0))
+        self.known = counts > 0
+        p, fail, drop = np.append((counts + 1) / (total + distinct + 1.0), 1.0), np.full(root + 1, root), np.zeros(root + 1)
+        keys, to, weight = [], [], []
+        for n, (gram, context, shorter, token) in enumerate(orders, 1):
+            seen = self.known[gram]
+            if n == 1:
+                context, shorter = np.full(len(gram), root), np.full(len(gram), root)
+            else:
+                p[gram] = (counts[gram] + mass * p[shorter]) / (counts[context] + mass)
+            arcs = np.ones(len(gram), bool) if n == 1 else seen
+            state = np.where(seen, gram, root) if n < len(orders) else shorter
+            keys.append(context[arcs] * self.width + token[arcs])
+            to.append(state[arcs])
+            weight.append(np.log10(p[gram[arcs]]))
+            fail[gram] = shorter
+        drop[:root] = np.log10(mass / (counts + mass))
+        self.arcs = dict(zip(np.concatenate(keys).tolist(), range(sum(map(len, keys)))))
+        self.to, self.weight = np.concatenate(to).tolist(), np.concatenate(weight).tolist()
+        self.fail, self.drop = fail.tolist(), drop.tolist()
+        self.start = start if len(orders) > 1 and self.known[start] else root
+
+    def traverse(self, tokens: list[int]) -> float:
+        """log10 of the probability of a text, read once from left to right.
+
+        The state is carried from token to token. A token that it has no arc for
+        takes failure arcs, whose weights add up, until a shorter context has one.
         """
-        seen = self.counts[states[0]]
-        known = seen[1:]
-        p = base = (known + 1) / self.root
-        for n in range(1, len(states)):
-            context, seen = seen[:-1], self.counts[states[n]]
-            fail = self.mass / (context + self.mass)
-            arc = seen[1:] / (context + self.mass)
-            deep = np.arange(len(p)) >= n - 1  # nearer the start there is no longer context
-            p = np.where(deep, arc + fail * p, p)
-        return float(np.log10(p).sum()), float(np.log10(base).sum()), int((known > 0).sum())
+        arcs, to, weight, fail, drop, width = self.arcs.get, self.to, self.weight, self.fail, self.drop, self.width
+        state, steps = self.start, []
+        for token in tokens:
+            arc = arcs(state * width + token)
+            while arc is None:
+                steps.append(drop[state])
+                state = fail[state]
+                arc = arcs(state * width + token)
+            steps.append(weight[arc])
+            state = to[arc]
+        return math.fsum(steps)
 
 
 class _Block:
@@ -133,11 +160,23 @@ class _Block:
         """How often each n-gram stands in the texts to learn from."""
         return np.bincount(self.place[self.fresh], minlength=len(self.hashes))
 
-    def states(self):
-        """For each text its states by n."""
+    def texts(self):
+        """For each text its places by n."""
         parts = np.split(self.place, np.cumsum(self.size)[:-1])
-        for i in range(0, len(parts), self.order):
-            yield parts[i : i + self.order]
+        return [parts[i : i + self.order] for i in range(0, len(parts), self.order)]
+
+    def automaton(self, counts: np.ndarray, total: int, distinct: int, mass: float) -> BackoffAutomaton:
+        """Over the n-grams of all texts, given their counts in the whole corpus."""
+        texts, orders = self.texts(), []
+        for n in range(1, self.order + 1):
+            # a text's places from n - 1 on have n-grams; the start is a context and no token
+            skip = max(1, n - 1)
+            gram, context, shorter, token = (
+                np.concatenate([t[max(m, 1) - 1][skip + back : len(t[0]) + back] for t in texts]) for m, back in ((n, 0), (n - 1, -1), (n - 1, 0), (1, 0))
+            )
+            gram, first = np.unique(gram, return_index=True)
+            orders.append((gram, context[first], shorter[first], token[first]))
+        return BackoffAutomaton(counts, orders, int(texts[0][0][0]), total, distinct, mass)
 
 
 def _groups(batches, key: str):
@@ -154,46 +193,55 @@ def _groups(batches, key: str):
         yield now, rows
 
 
-def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, mass: float = MASS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def _blocks(rows, most: int):
+    """Lists of (id, held out, text) of about `most` bytes of text; a longer text is alone."""
+    block, size = [], 0
+    for row in rows:
+        if block and size + len(row[2]) > most:
+            yield block, size
+            block, size = [], 0
+        block.append(row)
+        size += len(row[2])
+    if block:
+        yield block, size
+
+
+def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, mass: float = MASS, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row per row of df with the log10 probability of its text; see the module for the model."""
     kind = df.schema[id_col].dataType.simpleString()
-    n = max(1, -(-df.count() // block_rows))
-    block = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(n)).cast("int")
-    texts = df.select(F.col(id_col).alias("id"), held_out(id_col).alias("held_out"), text_bytes(text_col).alias("text"), block.alias("block"))
-    packed_kind = to_arrow_schema(texts.drop("block").schema)
+    texts = df.select(F.col(id_col).alias("id"), held_out(id_col).alias("held_out"), text_bytes(text_col).alias("text"))
+    packed_kind = to_arrow_schema(texts.schema)
 
     def pack_texts(batches):
-        """Rows of a batch by block, compressed, so that the texts travel light."""
-        for batch in batches:
-            blocks = batch.column(3).to_numpy()
-            order = np.argsort(blocks, kind="stable")
-            cuts = np.flatnonzero(np.r_[True, blocks[order][1:] != blocks[order][:-1]]) if len(order) else []
-            for at in np.split(order, cuts[1:]) if len(order) else []:
-                rows = pa.RecordBatch.from_arrays(batch.take(pa.array(at)).columns[:3], schema=packed_kind)
-                yield {"block": [blocks[at[0]]], "texts": [zstandard.ZstdCompressor(1).compress(rows.serialize().to_pybytes())]}
-
-    def as_tuples(rows):
-        out = []
-        for r in rows:
-            if r["texts"] is not None:
-                batch = pa.ipc.read_record_batch(pa.py_buffer(zstandard.ZstdDecompressor().decompress(r["texts"])), packed_kind)
-                out += zip(*(c.to_pylist() for c in batch.columns))
-        return out
-
-    packed = map_rows(texts, pack_texts, "block int, texts binary")
+        """Blocks of the rows of a task, compressed. Their numbers are those of the task and of the block in it."""
+        own = TaskContext.get().partitionId() << 32
+        rows = (row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(3))))
+        for number, (block, size) in enumerate(_blocks(rows, block_bytes)):
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*block), packed_kind)]
+            data = pa.RecordBatch.from_arrays(columns, schema=packed_kind).serialize().to_pybytes()
+            yield {"block": [own + number], "bytes": [size], "texts": [zstandard.ZstdCompressor(1).compress(data)]}
+
+    def unpacked(data):
+        batch = pa.ipc.read_record_batch(pa.py_buffer(zstandard.ZstdDecompressor().decompress(data)), packed_kind)
+        return list(zip(*(c.to_pylist() for c in batch.columns)))
+
+    packed = stage(map_rows(texts, pack_texts, "block long, bytes long, texts binary"), "lm-texts")
+    sizes = packed.agg(F.count("*").alias("blocks"), F.sum("bytes").alias("bytes")).first()
+    blocks, n = max(1, sizes.blocks), max(1, -(-(sizes.bytes or 0) // bucket_bytes))
 
     def ask(batches):
         """A row for each block and bucket: the n-grams that the block needs, with what it adds to their counts."""
         table = WordHashes(most=WORDS)
         bounds = np.array([-(-(b << 32) // n) for b in range(n + 1)], np.uint64)
-        for number, rows in _groups(batches, "block"):
-            own = _Block(as_tuples(rows), table, order)
-            counts = own.trained()
-            cuts = np.searchsorted(own.hashes >> np.uint64(32), bounds)
-            for b in range(n):
-                part = slice(cuts[b], cuts[b + 1])
-                if part.stop > part.start:
-                    yield {"bucket": [b], "block": [number], "hashes": [pack(np.diff(own.hashes[part], prepend=np.uint64(0)))], "counts": [pack(counts[part])]}
+        for batch in batches:
+            for number, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = _Block(unpacked(data.as_py()), table, order)
+                counts = own.trained()
+                cuts = np.searchsorted(own.hashes >> np.uint64(32), bounds)
+                for b in range(n):
+                    part = slice(cuts[b], cuts[b + 1])
+                    if part.stop > part.start:
+                        yield {"bucket": [b], "block": [number], "hashes": [pack(np.diff(own.hashes[part], prepend=np.uint64(0)))], "counts": [pack(counts[part])]}
 
     def answer(batches):
         """Adds up a bucket and answers each block in the order in which it asked."""
@@ -208,26 +256,29 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
                 "tokens": [int(words.sum()), *[0] * (len(asked) - 1)], "distinct": [int((words > 0).sum()), *[0] * (len(asked) - 1)],
             }
 
-    asked = map_rows(_dealt(packed, n, "block"), ask, "bucket int, block int, hashes binary, counts binary")
-    answers = stage(map_rows(_dealt(asked, n, "bucket"), answer, "block int, bucket int, counts binary, tokens long, distinct long"), "lm-counts")
-    sizes = answers.agg(F.sum("tokens").alias("tokens"), F.sum("distinct").alias("distinct")).first()
-    total, distinct = sizes.tokens or 0, sizes.distinct or 0
+    asked = map_rows(packed.select("block", "texts"), ask, "bucket int, block long, hashes binary, counts binary")
+    answers = stage(map_rows(_dealt(asked, n, "bucket"), answer, "block long, bucket int, counts binary, tokens long, distinct long"), "lm-counts")
+    sums = answers.agg(F.sum("tokens").alias("tokens"), F.sum("distinct").alias("distinct")).first()
+    total, distinct = sums.tokens or 0, sums.distinct or 0
 
     def walk(batches):
         table = WordHashes(most=WORDS)
         for _, rows in _groups(batches, "block"):
-            docs = as_tuples(rows)
+            docs = unpacked(next(r["texts"] for r in rows if r["texts"] is not None))
             own = _Block(docs, table, order)
             counts = np.concatenate([unpack(c) for _, c in sorted((r["bucket"], r["counts"]) for r in rows if r["texts"] is None)])
-            automaton = BackoffAutomaton(counts.astype(np.int64), total, distinct, mass)
-            got = [(len(s[0]) - 1, *automaton.traverse(s)) for s in own.states()]
+            automaton = own.automaton(counts.astype(np.int64), total, distinct, mass)
+            got = []
+            for t in own.texts():
+                tokens = t[0][1:]
+                got.append((len(tokens), int(automaton.known[tokens].sum()), float(automaton.word[tokens].sum()), automaton.traverse(tokens.tolist())))
             yield {
-                id_col: [d[0] for d in docs], "held_out": [d[1] for d in docs], "n_tokens": [g[0] for g in got], "n_known": [g[3] for g in got],
-                "train_tokens": [total] * len(docs), "base_score": [g[2] for g in got], "score": [g[1] for g in got],
+                id_col: [d[0] for d in docs], "held_out": [d[1] for d in docs], "n_tokens": [g[0] for g in got], "n_known": [g[1] for g in got],
+                "train_tokens": [total] * len(docs), "base_score": [g[2] for g in got], "score": [g[3] for g in got],
             }
 
-    both = packed.unionByName(answers.select("block", "bucket", "counts"), allowMissingColumns=True)
-    return map_rows(_dealt(both, n, "block"), walk, f"`{id_col}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    both = packed.select("block", "texts").unionByName(answers.select("block", "bucket", "counts"), allowMissingColumns=True)
+    return map_rows(_dealt(both, blocks, "block"), walk, f"`{id_col}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def _dealt(df: DataFrame, n: int, key: str) -> DataFrame:

@@ -61,7 +61,7 @@ def test_lm(spark, order):
     rng = random.Random(order)
     rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(0, 30)))) for i in range(60)] + [(None, "a b"), (70, None), (1, "a b c"), (1, "a b c")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("block", F.lit("x"))
-    got = sorted(lm.score_texts(df, order=order, mass=3.0, block_rows=16).collect(), key=lambda r: (r.doc_id is None, r.doc_id, r.n_tokens))
+    got = sorted(lm.score_texts(df, order=order, mass=3.0, block_bytes=300, bucket_bytes=700).collect(), key=lambda r: (r.doc_id is None, r.doc_id, r.n_tokens))
     expected = sorted(plain_lm(rows, order, 3.0), key=lambda r: (r[0] is None, r[0], r[2]))
     for g, e in zip(got, expected, strict=True):
         assert (g.doc_id, g.held_out, g.n_tokens, g.n_known, g.train_tokens) == e[:5]
@@ -69,11 +69,42 @@ def test_lm(spark, order):
 
 
 def test_lm_probabilities_add_up():
-    words = [b"a", b"b", b"c"]
-    states = {w: i for i, w in enumerate([b"<", *words, b"$"])}
-    automaton = lm.BackoffAutomaton(np.array([4, 5, 3, 0, 4]), 12, 3, 2.0)
-    alone = sum(10 ** automaton.traverse([np.array([0, states[w]])])[0] for w in (b"a", b"b", b"$")) + 1 / 16
-    assert alone == pytest.approx(1.0)
+    """From every state the arcs and what fails add up to one, the words left over standing for one more."""
+    rng = random.Random(4)
+    texts = [(i, False, " ".join(rng.choice("abcd") for _ in range(rng.randrange(1, 9))).encode()) for i in range(30)]
+    for order in (1, 2, 3):
+        block = lm._Block(texts, common.WordHashes(), order)
+        counts = block.trained()
+        tokens = sorted({int(x) for t in block.texts() for x in t[0][1:]})
+        a = block.automaton(counts, int(counts[tokens].sum()), len(tokens), 2.0)
+        end = int(block.texts()[0][0][-1])  # nothing follows the end
+        states = {a.start, *(a.to[i] for key, i in a.arcs.items() if key % a.width != end)}
+        assert len(states) > 1 or order == 1
+        for s in states:
+            a.start = s
+            unknown = 1 / (int(counts[tokens].sum()) + len(tokens) + 1)
+            at = s
+            while at != a.root:  # the word that no text has takes all failure arcs
+                unknown *= 10 ** a.drop[at]
+                at = a.fail[at]
+            assert sum(10 ** a.traverse([t]) for t in tokens) + unknown == pytest.approx(1.0)
+
+
+def test_lm_blocks_are_bounded_by_bytes():
+    rows = [(i, False, b"x" * n) for i, n in enumerate([10, 10, 10, 90, 5, 5, 200, 1])]
+    assert [([r[0] for r in block], size) for block, size in lm._blocks(iter(rows), 25)] == [([0, 1], 20), ([2], 10), ([3], 90), ([4, 5], 10), ([6], 200), ([7], 1)]
+
+
+def test_lm_of_one_long_text(spark):
+    """Half a million tokens in one row, over and over the same words, beside short rows that repeat."""
+    rows = [(1, "a b a c " * 125_000), *[(i % 3 + 3, "a b") for i in range(40)]]
+    got = lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=100)
+    expected = {(e[0], e[2]): e for e in plain_lm(rows, 2, lm.MASS)}
+    out = got.collect()
+    assert len(out) == len(rows)
+    for g in out:
+        e = expected[g.doc_id, g.n_tokens]
+        assert (g.n_known, g.train_tokens) == e[3:5] and (g.base_score, g.score) == pytest.approx(e[5:], rel=1e-9)
 
 
 def test_lm_without_training_texts(spark):
@@ -246,6 +277,13 @@ def test_components_of_a_chain(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_recall_of_the_near_stage(spark):
+    import measure_recall
+
+    got = measure_recall.recall(spark, "/root/testdata/sf0.01")
+    assert got["pairs"] > 10 and got["caught"] >= 0.99 and got["by triples"] >= 0.9
+
+
 def test_op5_on_a_whole_table(spark):
     """The registered operator over all documents of sf0.01 against comparing all pairs of fingerprints."""
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
