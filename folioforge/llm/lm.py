@@ -25,8 +25,6 @@ text P is 1 for whatever comes, as V = N = 0; other columns are ignored.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -45,6 +43,8 @@ ORDER = 2
 HELD_OUT_OF, HELD_OUT = 7, 2
 #: Bytes of text to a block, whose automaton a worker holds at once, and bytes of text for which there is one bucket of counts.
 BLOCK_BYTES, BUCKET_BYTES = 3_000_000, 16_000_000
+#: Tokens of a text that are read in one piece.
+PIECE = 64
 #: Words whose hashes a worker remembers.
 WORDS = 100_000
 
@@ -114,28 +114,48 @@ class BackoffAutomaton:
             weight.append(np.log10(p[gram[arcs]]))
             fail[gram] = shorter
         drop[:root] = np.log10(mass / (counts + mass))
-        self.arcs = dict(zip(np.concatenate(keys).tolist(), range(sum(map(len, keys)))))
-        self.to, self.weight = np.concatenate(to).tolist(), np.concatenate(weight).tolist()
-        self.fail, self.drop = fail.tolist(), drop.tolist()
+        keys = np.concatenate(keys)
+        by_key = np.argsort(keys)
+        self.keys, self.to, self.weight = keys[by_key], np.concatenate(to)[by_key], np.concatenate(weight)[by_key]
+        self.fail, self.drop, self.reach = fail, drop, len(orders) - 1
         self.start = start if len(orders) > 1 and self.known[start] else root
 
-    def traverse(self, tokens: list[int]) -> float:
-        """log10 of the probability of a text, read once from left to right.
+    def traverse(self, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """log10 of the probability of each token of texts that lie end to end; sizes has their tokens, one or more.
 
-        The state is carried from token to token. A token that it has no arc for
-        takes failure arcs, whose weights add up, until a shorter context has one.
+        Texts are read from left to right and the state is carried from token to
+        token. A token that it has no arc for takes failure arcs, whose weights add
+        up, until a shorter context has one. Texts are cut into pieces that are read
+        side by side, one token of each at a time; a later piece begins so many tokens
+        early that its state is the one that was carried there.
         """
-        arcs, to, weight, fail, drop, width = self.arcs.get, self.to, self.weight, self.fail, self.drop, self.width
-        state, steps = self.start, []
-        for token in tokens:
-            arc = arcs(state * width + token)
-            while arc is None:
-                steps.append(drop[state])
-                state = fail[state]
-                arc = arcs(state * width + token)
-            steps.append(weight[arc])
-            state = to[arc]
-        return math.fsum(steps)
+        first = np.cumsum(sizes) - sizes
+        pieces = -(-sizes // PIECE)
+        text = np.repeat(np.arange(len(sizes)), pieces)
+        number = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        early = np.where(number > 0, self.reach, 0)
+        begin = first[text] + PIECE * number - early
+        length = np.minimum(sizes[text] - PIECE * number, PIECE) + early
+        longest = np.argsort(-length, kind="stable")
+        begin, length, early = begin[longest], length[longest], early[longest]
+        state = np.where(number[longest] > 0, self.root, self.start)
+        out = np.zeros(len(tokens))
+        for k in range(int(length[0]) if len(length) else 0):
+            m = int(np.searchsorted(-length, -k))  # as many are longer than k
+            at = begin[:m] + k
+            token, now, weight, left = tokens[at], state[:m].copy(), np.zeros(m), np.arange(m)
+            while len(left):
+                key = now[left] * self.width + token[left]
+                arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                ok = self.keys[arc] == key
+                there, arc, left = left[ok], arc[ok], left[~ok]
+                weight[there] += self.weight[arc]
+                state[there] = self.to[arc]
+                weight[left] += self.drop[now[left]]
+                now[left] = self.fail[now[left]]
+            own = early[:m] <= k
+            out[at[own]] = weight[own]
+        return out
 
 
 class _Block:
@@ -268,13 +288,13 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
             own = _Block(docs, table, order)
             counts = np.concatenate([unpack(c) for _, c in sorted((r["bucket"], r["counts"]) for r in rows if r["texts"] is None)])
             automaton = own.automaton(counts.astype(np.int64), total, distinct, mass)
-            got = []
-            for t in own.texts():
-                tokens = t[0][1:]
-                got.append((len(tokens), int(automaton.known[tokens].sum()), float(automaton.word[tokens].sum()), automaton.traverse(tokens.tolist())))
+            texts = [t[0][1:] for t in own.texts()]
+            tokens, sizes = np.concatenate(texts), np.array([len(t) for t in texts])
+            cuts = np.cumsum(sizes)[:-1]
+            add = lambda values: [x.sum().item() for x in np.split(values, cuts)]
             yield {
-                id_col: [d[0] for d in docs], "held_out": [d[1] for d in docs], "n_tokens": [g[0] for g in got], "n_known": [g[1] for g in got],
-                "train_tokens": [total] * len(docs), "base_score": [g[2] for g in got], "score": [g[3] for g in got],
+                id_col: [d[0] for d in docs], "held_out": [d[1] for d in docs], "n_tokens": sizes.tolist(), "n_known": add(automaton.known[tokens]),
+                "train_tokens": [total] * len(docs), "base_score": add(automaton.word[tokens]), "score": add(automaton.traverse(tokens, sizes)),
             }
 
     both = packed.select("block", "texts").unionByName(answers.select("block", "bucket", "counts"), allowMissingColumns=True)
