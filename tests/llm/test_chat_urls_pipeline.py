@@ -1,9 +1,13 @@
 """Chat formatting, URL filters, and the pipeline against a plain version."""
 
 import hashlib
+import math
 import random
+import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from folioforge.llm import chat, urls
 
@@ -59,6 +63,73 @@ def test_rules(spark, url, host, path, rule):
     assert r.verdict == urls.RULES.get(rule, r.verdict) and r.verdict in ("allow", "block")
 
 
+def plain_rule(url, rules):
+    """(host, path, rule) by trying every rule on every ending of the host."""
+    host = path = ""
+    if url and "://" in url:
+        rest = url[url.index("://") + 3 :]
+        cut = min((rest.index(c) for c in "/?#" if c in rest), default=len(rest))
+        host, rest = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:cut]), rest[cut:]
+        path = rest[: min((rest.index(c) for c in "?#" if c in rest), default=len(rest))]
+    ends = {host[i:] for i in range(len(host) + 1) if i == 0 or host[i - 1] == "."}
+    fits = [r for r in rules if r.split("/", 1)[0] in ends and path.startswith("/" + r.split("/", 1)[1])]
+    return host, path, max(fits, key=len, default=None)
+
+
+def test_rules_against_all_rules(spark):
+    rng = random.Random(11)
+    piece = ["http", "://", "www.", "example", ".com", ".net", "Example.COM", "com", "net", "/en/", "/es/", "/fr", "/", "?", "#", "x", ".", "É"]
+    urls_ = ["".join(rng.choice(piece) for _ in range(rng.randrange(0, 9))) for _ in range(1500)] + [None, ""]
+    urls_ += [f"http://{h}{p}" for h in ("com", "a.com", "acom", "net", "www.example.com", "w.www.example.com", "example.com.net") for p in ("", "/", "/en/", "/en", "/es/x", "/fr/?/")]
+    got = urls.filter_urls(spark.createDataFrame(list(enumerate(urls_)), "page_id long, url string")).collect()
+    assert len(got) == len(urls_)
+    for r in got:
+        host, path, rule = plain_rule(urls_[r.page_id], urls.RULES)
+        assert (r.host, r.path, r.rule) == (host, path, rule), urls_[r.page_id]
+        assert r.verdict == (urls.RULES[rule] if rule else r.verdict) and r.verdict in ("allow", "block")
+
+
+def test_features_and_statistics_against_plain_ones(spark):
+    rows = [("http://a.org/x-1?q=2&r=3#f", True), ("http://b.org/y", None), ("http://b.org/y", None), ("https://c.net/", False), ("https://c.net/", True), (None, True), ("", None)]
+    folds = urls.suffix_statistics(spark.createDataFrame(rows, "url string, blocked boolean"))
+    got = {r.suffix: (r.seen, r.bad) for r in folds.groupBy("suffix").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad")).collect()}
+    assert got == {"org": (2, 1), "net": (1, 1), "": (1, 0)}
+    named = dict(zip(urls.FEATURES, urls.feature_matrix([rows[0][0], ""], np.array([2.0, 0]), np.array([1.0, 0]), 0.25)[0]))
+    url = rows[0][0]
+    entropy = -sum(url.count(c) / len(url) * math.log2(url.count(c) / len(url)) for c in set(url))
+    expected = {"url_length": 26, "host_length": 5, "path_length": 4, "query_length": 8, "depth": 1, "labels": 2, "digit_ratio": 3 / 26, "hyphens": 1, "entropy": entropy, "parameters": 3,
+                "has_fragment": 1, "https": 0, "dots_in_path": 0, "longest_part": 3, "host_digit_ratio": 0, "vowel_ratio": 2 / 5, "suffix_block": (1 + 4 * 0.25) / 6, "suffix_seen": math.log(3)}
+    assert named == pytest.approx(expected)
+
+
+def test_hosts_that_were_never_fitted(spark):
+    """Labels by a pattern of the URL: trees fitted without every fifth host judge that host's URLs."""
+    rng = random.Random(2)
+    rows = []
+    for i in range(2000):
+        bad = i % 2 == 0
+        host = f"{'x' if rng.random() < 0.5 else 'site'}{rng.randrange(60)}.{rng.choice(['com', 'net', 'org'])}"
+        path = "/".join("%06d" % rng.randrange(10**6) if bad and rng.random() < 0.7 else rng.choice(["news", "about", "team", "blog"]) for _ in range(rng.randrange(2, 5)))
+        rows.append((f"http://{host}/{path}" + ("?id=%d&s=%d" % (i, i) if bad and rng.random() < 0.6 else ""), bad, int(re.findall(r"\d+", host)[0])))
+    df = spark.createDataFrame(rows, "url string, blocked boolean, number int")
+    fitted = df.filter("number % 5 <> 0").select("url", "blocked")
+    got = urls.filter_urls(df.filter("number % 5 = 0").withColumn("page_id", F.monotonically_increasing_id()), rules={}, labelled=fitted).collect()
+    truth = {u: b for u, b, _ in rows}
+    pages = {r.page_id: r for r in got}
+    held = df.filter("number % 5 = 0").withColumn("page_id", F.monotonically_increasing_id()).collect()
+    blocked = [truth[r.url] for r in held if pages[r.page_id].verdict == "block"]
+    assert np.mean(blocked) > 0.9 and sum(blocked) > 0.93 * sum(truth[r.url] for r in held)
+
+
+def test_trees_that_know_nothing_block_nothing():
+    rng = np.random.default_rng(0)
+    x, fold = rng.random((600, 3)), rng.integers(0, 5, 600)
+    assert urls.block_threshold(x, (rng.random(600) < 0.6).astype(float), fold) > 0.8
+    assert urls.block_threshold(x[:0], np.zeros(0), fold[:0]) == np.inf and urls.block_threshold(x, np.zeros(600), fold) == np.inf
+    known = urls.block_threshold(x, (x[:, 0] > 0.5).astype(float), fold)
+    assert 0.5 <= known < 0.95 and urls.block_threshold(x, np.ones(600), fold) <= 1
+
+
 def test_model_learns_from_labels(spark):
     suffix = ["com", "net", "org"]
     rows = [(i, f"http://{'shop' if i % 2 else 'news'}{i % 7}.{suffix[i % 3]}/{'es' if i % 2 else 'de'}/{i}", None) for i in range(300)]
