@@ -107,7 +107,7 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  sum(21 + length(role) + length(text) + CASE WHEN escaped THEN length(role || text) - length(translate(role || text, '~<[', '')) ELSE 0 END)::BIGINT AS formatted_chars
+  sum(21 + length(role) + length(text) + CASE WHEN escaped THEN length(role || text) - length(translate(role || text, '~<[', '')) ELSE 0 END)::BIGINT AS formatted_chars, true AS identical
 FROM marked GROUP BY conv_id
 """
 

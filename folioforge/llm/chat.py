@@ -87,7 +87,7 @@ def format_conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str
 
 
 def digests(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
-    """Counts and digests of what format_conversations read back."""
+    """Counts and digests of what format_conversations read back, and whether that equals the source."""
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return formatted.select(
         conv_col,
@@ -96,4 +96,5 @@ def digests(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
         F.length("loss_text").cast("long").alias("loss_chars"),
         F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "identical",
     )
