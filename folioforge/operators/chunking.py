@@ -7,6 +7,8 @@ them and a chapter is what a task holds.
 
 from __future__ import annotations
 
+import functools
+import heapq
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,18 +28,30 @@ def bisect(sentences: list[str], values: list[float], sizes: list[int], budget:
     """Chunks as lists of sentence numbers, each within the budget unless it is one sentence.
 
     A chunk over it is cut before the smallest mean of `window` values from there
-    on; the first value of either half becomes 1. The cut is never before the
-    first sentence.
+    on, of equals the first; means end with the chunk. The cut is never before
+    the first sentence.
     """
-    out, todo = [], [(list(range(len(sentences))), list(values))]
+    n, v = len(sentences), np.asarray(values, float)
+    ends = np.concatenate([[0], np.cumsum(np.asarray(sizes, np.int64))])
+
+    def mean(i: int, to: int) -> float:
+        return float(np.add.reduce(v[i:to])) / (to - i)
+
+    inner = max(n - window + 1, 0)
+    means = sum((v[k : k + inner] for k in range(1, window)), v[:inner].copy()) / window
+    out, todo = [], [(0, n)]
     while todo:
-        chunk, own = todo.pop()
-        if sum(sizes[i] for i in chunk) <= budget or len(chunk) < 2:
-            out.append(chunk)
+        lo, hi = todo.pop()
+        if ends[hi] - ends[lo] <= budget or hi - lo < 2:
+            out.append(list(range(lo, hi)))
             continue
-        means = [np.mean(own[i : i + window]) for i in range(len(own))]
-        cut = min(range(1, len(chunk)), key=lambda i: (means[i], i))
-        todo += [(chunk[cut:], [1.0, *own[cut + 1 :]]), (chunk[:cut], [1.0, *own[1:cut]])]
+        tail = max(lo + 1, hi - window + 1)
+        best = [(mean(i, hi), i) for i in range(tail, hi)]
+        if tail > lo + 1:
+            i = lo + 1 + int(means[lo + 1 : tail].argmin())
+            best.append((float(means[i]), i))
+        cut = min(best)[1]
+        todo += [(cut, hi), (lo, cut)]
     return out
 
 
@@ -49,30 +63,41 @@ def merge_small(chunks: list[str], sizes: list[int], budget: int, similarity: Ca
     only_if_both similarity decides only where both fit, else whichever fits.
     """
     chunks, sizes = list(chunks), list(sizes)
+    last = len(chunks) - 1
+    before, after = [i - 1 for i in range(last + 1)], [i + 1 for i in range(last + 1)]  # neighbours, -1 and last + 1 beyond the ends
+    gone = [False] * (last + 1)
 
     def fits(left: int) -> bool:
-        return sizes[left] + sizes[left + 1] <= budget
+        return sizes[left] + sizes[after[left]] <= budget
 
     def partner(i: int) -> int | None:
         """The left one of the pair to join."""
-        if i == 0:
-            return 0 if fits(0) else None
-        if i == len(chunks) - 1:
-            return i - 1 if fits(i - 1) else None
-        if only_if_both and not (fits(i) and fits(i - 1)):
-            return i if fits(i) else i - 1 if fits(i - 1) else None
-        left = i - 1 if similarity(chunks[i], chunks[i - 1]) > similarity(chunks[i], chunks[i + 1]) else i
+        if before[i] < 0:
+            return i if after[i] <= last and fits(i) else None
+        if after[i] > last:
+            return before[i] if fits(before[i]) else None
+        if only_if_both and not (fits(i) and fits(before[i])):
+            return i if fits(i) else before[i] if fits(before[i]) else None
+        left = before[i] if similarity(chunks[i], chunks[before[i]]) > similarity(chunks[i], chunks[after[i]]) else i
         return left if fits(left) else None
 
-    while len(chunks) > 1:
-        for i in sorted(range(len(chunks)), key=lambda i: (sizes[i], i)):
-            if (left := partner(i)) is not None:
-                chunks[left : left + 2] = [chunks[left] + chunks[left + 1]]
-                sizes[left : left + 2] = [sizes[left] + sizes[left + 1]]
-                break
-        else:
-            break
-    return chunks
+    # a chunk that finds no partner has to be asked again only when a neighbour has changed
+    waiting = [(size, i) for i, size in enumerate(sizes)]
+    heapq.heapify(waiting)
+    while waiting:
+        size, i = heapq.heappop(waiting)
+        if gone[i] or size != sizes[i] or (left := partner(i)) is None:
+            continue
+        right = after[left]
+        chunks[left] += chunks[right]
+        sizes[left] += sizes[right]
+        gone[right], after[left] = True, after[right]
+        if after[left] <= last:
+            before[after[left]] = left
+        for k in (before[left], left, after[left]):
+            if 0 <= k <= last:
+                heapq.heappush(waiting, (sizes[k], k))
+    return [c for c, g in zip(chunks, gone) if not g]
 
 
 def semantic_fold(lines: list[str], similarity: Callable[[str, str], float], threshold: float = 0.4) -> list[str]:
@@ -86,6 +111,22 @@ def semantic_fold(lines: list[str], similarity: Callable[[str, str], float], thr
     return out
 
 
+def embedded_fold(lines: list[str], embedder: Embedder, threshold: float = 0.4) -> list[str]:
+    """semantic_fold by an embedder's cosine. One that can extend a text's vector never reads the running chunk again."""
+    if not hasattr(embedder, "extend"):
+        return semantic_fold(lines, similarity_of(embedder), threshold)
+    out: list[list[str]] = []
+    state = None
+    for line in lines:
+        if out and cosine(embedder.vector(state), embedder.embed([line])[0]) >= threshold:
+            out[-1].append(line)
+            state = embedder.extend(line, state)
+        else:
+            out.append([line])
+            state = embedder.extend(line)
+    return ["".join(parts) for parts in out]
+
+
 def threshold_chunks(sentences: list[str], losses: list[float], threshold: float = THRESHOLD, decay: float = DECAY, budget: int = MAX_SCORED) -> list[str]:
     """Cuts where a loss's share of the total is over the median share times the threshold; chunks over the budget are cut
     again under a threshold that decays, as long as they have two sentences."""
@@ -149,20 +190,19 @@ def full_context(sentences: list[str], at: int, tokens: list[list[str]], budget:
     return out
 
 
-def similarity_of(embedder: Embedder) -> Callable[[str, str], float]:
-    memo: dict[str, np.ndarray] = {}
+def cosine(x: np.ndarray, y: np.ndarray) -> float:
+    norm = np.linalg.norm(x) * np.linalg.norm(y)
+    return float(x @ y / norm) if norm else 0.0
 
-    def vector(text: str) -> np.ndarray:
-        if text not in memo:
-            memo[text] = embedder.embed([text])[0]
-        return memo[text]
 
-    def similarity(a: str, b: str) -> float:
-        x, y = vector(a), vector(b)
-        norm = np.linalg.norm(x) * np.linalg.norm(y)
-        return float(x @ y / norm) if norm else 0.0
+def similarity_of(embedder: Embedder, kept: int = 4096) -> Callable[[str, str], float]:
+    """The cosine of two texts' vectors; the last ones used are kept."""
+
+    @functools.lru_cache(kept)
+    def vector(text: str) -> np.ndarray:
+        return embedder.embed([text])[0]
 
-    return similarity
+    return lambda a, b: cosine(vector(a), vector(b))
 
 
 def _grouped(df: DataFrame, keys: list[str], pos: str, columns: list[str], schema: str, rows: Callable[[dict[str, list]], dict]) -> DataFrame:
@@ -214,7 +254,7 @@ def merge_small_chunks(df: DataFrame, keys: list[str], pos: str, text: str, budg
 
 def semantic_chunks(df: DataFrame, keys: list[str], pos: str, text: str, threshold: float = 0.4, embedder: Embedder | None = None) -> DataFrame:
     embedder = embedder or HashedEmbedder()
-    return _grouped(df, keys, pos, [text], CHUNKS, lambda g: _numbered(semantic_fold(g[text], similarity_of(embedder), threshold)))
+    return _grouped(df, keys, pos, [text], CHUNKS, lambda g: _numbered(embedded_fold(g[text], embedder, threshold)))
 
 
 def rechunk_decay(df: DataFrame, keys: list[str], pos: str, text: str, loss: str, threshold: float = THRESHOLD, decay: float = DECAY, budget: int = MAX_SCORED) -> DataFrame:

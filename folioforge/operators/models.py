@@ -51,15 +51,25 @@ class HashedEmbedder:
     def __init__(self, size: int = 64):
         self.size = size
 
+    def _counts(self, text: str) -> np.ndarray:
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        h = (codes[:-1] << np.uint64(32) | codes[1:]) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return np.bincount((h >> np.uint64(32)) % np.uint64(self.size), np.where(h >> np.uint64(63), 1.0, -1.0), self.size)
+
+    def extend(self, text: str, state: tuple[np.ndarray, str] | None = None) -> tuple[np.ndarray, str]:
+        """The state of a text after another has been added at its end: bigram counts and the last character."""
+        counts, last = state or (np.zeros(self.size), "")
+        return counts + self._counts(last + text), (last + text)[-1:]
+
+    def vector(self, state: tuple[np.ndarray, str]) -> np.ndarray:
+        """What embed gives for the text of a state."""
+        out = state[0] + self._counts(state[1] + "\n")
+        norm = np.linalg.norm(out)
+        return out / norm if norm > 0 else out
+
     def embed(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.size))
-        for row, text in zip(out, texts):
-            codes = np.frombuffer((text + "\n").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-            h = (codes[:-1] << np.uint64(32) | codes[1:]) * np.uint64(0x9E3779B97F4A7C15)
-            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            row += np.bincount((h >> np.uint64(32)) % np.uint64(self.size), np.where(h >> np.uint64(63), 1.0, -1.0), self.size)
-        norm = np.linalg.norm(out, axis=1, keepdims=True)
-        return np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)
+        return np.array([self.vector(self.extend(t)) for t in texts]).reshape(len(texts), self.size)
 
 
 class CharacterScorer:

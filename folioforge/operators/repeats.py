@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,50 @@ from pyspark.sql import functions as F
 MIN_LEN, MAX_LEN, REPEATS = 5, 64, 3
 
 
+def _apart(at: np.ndarray, kind: np.ndarray, n: int) -> np.ndarray:
+    """For each kind, at how many of its places a pattern of length n stands without overlap, counted from the left."""
+    order = np.argsort(kind, kind="stable")
+    place, number = at[order], np.bincount(kind)
+    ends = np.cumsum(number)
+    close = np.diff(place) < n
+    close &= np.diff(kind[order]) == 0
+    for k in np.unique(kind[order][1:][close]):
+        last, seen = -n, 0
+        for p in place[ends[k] - number[k] : ends[k]].tolist():
+            if p - last >= n:
+                last, seen = p, seen + 1
+        number[k] = seen
+    return number
+
+
+def _falls(text: str, min_len: int, max_len: int) -> tuple[np.ndarray, np.ndarray]:
+    """(count, fall) for each place: how often its first min_len characters stand in the text without overlap, and the
+    first length up to max_len at which the pattern is less frequent than that; 0 where there is none.
+
+    Places are refined into kinds by one more character at a time. Places of a
+    kind fall together, so those that fell or stand once are left behind.
+    """
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    count, fall = np.ones(len(codes), np.int64), np.zeros(len(codes), np.int64)
+    at, kind = np.arange(len(codes)), np.zeros(len(codes), np.int64)
+    for n in range(1, max_len + 1):
+        fits = at + n <= len(codes)
+        at, kind = at[fits], kind[fits]
+        if not len(at):
+            break
+        kind = np.unique(kind * 0x110000 + codes[at + n - 1], return_inverse=True)[1]
+        if n < min_len:
+            continue
+        seen = _apart(at, kind, n)[kind]
+        if n == min_len:
+            count[at], going = seen, seen > 1
+        else:
+            going = seen == count[at]
+            fall[at[~going]] = n
+        at, kind = at[going], kind[going]
+    return count, fall
+
+
 def repeated_content(text: str, min_len: int = MIN_LEN, max_len: int = MAX_LEN, repeats: int = REPEATS, compat: bool = False) -> dict[str, int]:
     """Patterns that occur `repeats` times or more without overlap, with their counts.
 
@@ -22,36 +66,16 @@ def repeated_content(text: str, min_len: int = MIN_LEN, max_len: int = MAX_LEN,
     that still fit are tried.
     """
     found: dict[str, int] = {}
+    count, fall = (x.tolist() for x in _falls(text, min_len, max_len))
     at, size = 0, len(text)
-    # a pattern whose beginning stands in one place only stays at one occurrence, however long it grows
-    starts = Counter(text[i : i + min_len] for i in range(size - min_len + 1))
     while at < size:
-        room = min(max_len, size - at)
-        if compat and room < min_len:
+        n = fall[at]
+        if not n and compat and size - at < max_len:
             break
-        if starts.get(text[at : at + min_len], 1) == 1:
-            if compat and room < max_len:
-                break
-            at += 1
-            continue
-        best, step = 0, 1
-        for n in range(min_len, room + 1):
-            seen = text.count(text[at : at + n])
-            if seen < best:
-                if best >= repeats:
-                    pattern = text[at : at + n - 1]
-                    found[pattern] = max(best, found.get(pattern, 0))
-                step = n
-                break
-            best = seen
-        else:
-            if room < max_len:
-                if compat:
-                    break
-                if best >= repeats and room >= min_len:
-                    pattern = text[at:]
-                    found[pattern] = max(best, found.get(pattern, 0))
-        at += step
+        if count[at] >= repeats and (n or size - at < max_len):
+            pattern = text[at : at + n - 1] if n else text[at:]
+            found[pattern] = max(count[at], found.get(pattern, 0))
+        at += n or 1
     return found
 
 

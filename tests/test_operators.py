@@ -1,6 +1,7 @@
 """Goldens and properties of the operators."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -132,6 +133,92 @@ def test_chunk_properties():
         assert "".join(folded) == "".join(sentences)
 
 
+def plain_bisect(values, sizes, budget, window, at=0):
+    if sum(sizes) <= budget or len(sizes) < 2:
+        return [list(range(at, at + len(sizes)))]
+    means = [np.mean(values[i : i + window]) for i in range(len(values))]
+    cut = min(range(1, len(values)), key=lambda i: (means[i], i))
+    return plain_bisect(values[:cut], sizes[:cut], budget, window, at) + plain_bisect(values[cut:], sizes[cut:], budget, window, at + cut)
+
+
+def plain_merge(chunks, sizes, budget, similarity, only_if_both):
+    """Looks for the smallest chunk with a partner among all chunks, joins it and looks again."""
+    chunks, sizes = list(chunks), list(sizes)
+    while True:
+        for i in sorted(range(len(chunks)), key=lambda i: (sizes[i], i)):
+            near = [k for k in (i - 1, i + 1) if 0 <= k < len(chunks)]
+            fit = [k for k in near if sizes[i] + sizes[k] <= budget]
+            if len(near) == 2 and not (only_if_both and len(fit) < 2):
+                best = i - 1 if similarity(chunks[i], chunks[i - 1]) > similarity(chunks[i], chunks[i + 1]) else i + 1
+                fit = [k for k in fit if k == best]
+            if fit:
+                left = min(i, fit[0])
+                chunks[left : left + 2] = ["".join(chunks[left : left + 2])]
+                sizes[left : left + 2] = [sum(sizes[left : left + 2])]
+                break
+        else:
+            return chunks
+
+
+def test_chunking_against_plain_versions():
+    rng, embedder = random.Random(8), models.HashedEmbedder()
+    same = chunking.similarity_of(embedder)
+    for trial in range(120):
+        texts = ["".join(rng.choice("ab c。") for _ in range(rng.randrange(1, 12))) for _ in range(rng.randrange(30))]
+        sizes, values = list(map(len, texts)), [rng.randrange(4) / 7 if trial % 2 else rng.random() for _ in texts]
+        for window in (1, 3):
+            assert chunking.bisect(texts, values, sizes, 20, window) == plain_bisect(values, sizes, 20, window)
+        for both in (False, True):
+            assert chunking.merge_small(texts, sizes, 20, same, both) == plain_merge(texts, sizes, 20, same, both)
+        assert chunking.embedded_fold(texts, embedder, 0.3) == chunking.semantic_fold(texts, same, 0.3)
+        for text in texts:
+            assert np.array_equal(embedder.vector(embedder.extend(text[3:], embedder.extend(text[:3]))), embedder.embed([text])[0])
+
+
+def plain_repeats(text, least=5, most=64, times=3):
+    found, at = {}, 0
+    while at < len(text):
+        seen = [text.count(text[at : at + n]) for n in range(least, min(most, len(text) - at) + 1)]
+        fall = next((k for k in range(1, len(seen)) if seen[k] < seen[k - 1]), None)
+        if fall is not None:
+            if seen[0] >= times:
+                pattern = text[at : at + least + fall - 1]
+                found[pattern] = max(seen[0], found.get(pattern, 0))
+            at += least + fall
+            continue
+        if seen and seen[0] >= times and len(text) - at < most:
+            found[text[at:]] = max(seen[0], found.get(text[at:], 0))
+        at += 1
+    return found
+
+
+def test_repeats_against_counting():
+    rng = random.Random(9)
+    for kinds in (1, 2, 3, 30):
+        for _ in range(15):
+            word = "".join(chr(97 + rng.randrange(kinds)) for _ in range(rng.randrange(1, 40)))
+            text = "".join(chr(97 + rng.randrange(kinds)) for _ in range(rng.randrange(200))) + word * rng.randrange(6) + "é𝒳" * rng.randrange(9)
+            assert repeats.repeated_content(text) == plain_repeats(text)
+            assert repeats.repeated_content(text, 2, 6) == plain_repeats(text, 2, 6)
+
+
+def test_long_documents_cost_in_proportion():
+    """A million characters; what grows with the square of that takes hours."""
+    rng = random.Random(10)
+    words = ["".join(rng.choice("abcdefghijklmno") for _ in range(rng.randrange(2, 9))) for _ in range(2000)]
+    text = " ".join(rng.choice(words) for _ in range(170_000))
+    parts = [text[i : i + 30] for i in range(0, len(text), 30)]
+    sizes, embedder = list(map(len, parts)), models.HashedEmbedder()
+    began = time.perf_counter()
+    assert repeats.repeated_content(text)
+    assert repeats.repeated_content("a" * 1_000_000)
+    for values in ([rng.random() for _ in parts], [float(i) for i in range(len(parts))]):
+        assert sum(map(len, chunking.bisect(parts, values, sizes, 1280))) == len(parts)
+    assert "".join(chunking.merge_small(parts, sizes, 1280, chunking.similarity_of(embedder))) == text
+    assert chunking.embedded_fold(parts, embedder, -1.0) == [text]
+    assert time.perf_counter() - began < 120
+
+
 def test_truncation():
     assert chunking.truncate_tokens(list("ab。cd"), 4) == "。cd"
     assert chunking.truncate_tokens(list("ab。cd"), 4, discard=True) == "cd"
