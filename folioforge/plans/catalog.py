@@ -275,12 +275,12 @@ def low_score_stats(spark, sf_dir):
 
 @query(
     "repeated_ngrams",
-    """SELECT conv_id, turn, gram, count(*)::BIGINT AS n FROM (SELECT conv_id, turn, unnest(list_transform(range(1, length(text) - 4), lambda i: substring(text, i, 6))) AS gram FROM conversations)
- GROUP BY conv_id, turn, gram HAVING count(*) >= 3""",
+    """SELECT doc_id, gram, count(*)::BIGINT AS n FROM (SELECT doc_id, ch || lead(ch, 1) OVER w || lead(ch, 2) OVER w || lead(ch, 3) OVER w || lead(ch, 4) OVER w || lead(ch, 5) OVER w AS gram
+ FROM (SELECT doc_id, unnest(c) AS ch, unnest(range(len(c))) AS i FROM (SELECT doc_id, regexp_extract_all(text, '(?s).') AS c FROM documents)) WINDOW w AS (PARTITION BY doc_id ORDER BY i))
+ WHERE gram IS NOT NULL GROUP BY doc_id, gram HAVING count(*) >= 3""",
 )
 def repeated_ngrams(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").select(F.struct("conv_id", "turn").alias("key"), "text")
-    return cs.ngram_counts(turns, "key", "text", 6, 3).select("key.conv_id", "key.turn", "gram", "n")
+    return cs.ngram_counts(_documents(spark, sf_dir), "doc_id", "text", 6, 3)
 
 
 @query("repeated_content")
@@ -545,27 +545,27 @@ def _glossary(spark, sf_dir):
 
 
 GLOSSARY_SQL = "(SELECT item_id AS entry, w[2] AS jp, upper(w[3]) AS tw, CASE WHEN item_id % 2 = 0 THEN w[4] ELSE '' END AS info, [w[2], w[5]] AS match FROM (SELECT item_id, string_split(text, ' ') AS w FROM benchmark))"
-MATCHES_SQL = f"(SELECT conv_id, turn, g.* FROM conversations c JOIN {GLOSSARY_SQL} g ON contains(c.text, g.match[1]) OR contains(c.text, g.match[2]))"
+MATCHES_SQL = f"(SELECT doc_id, g.* FROM documents c JOIN {GLOSSARY_SQL} g ON contains(c.text, g.match[1]) OR contains(c.text, g.match[2]))"
 ENTRY_SQL = "jp || '->' || tw || CASE WHEN info <> '' THEN ' #' || info ELSE '' END"
 
 
 def _glossary_matches(spark, sf_dir):
-    return glossary.match_glossary(table(spark, sf_dir, "conversations"), "text", _glossary(spark, sf_dir), ["conv_id", "turn"])
+    return glossary.match_glossary(_documents(spark, sf_dir), "text", _glossary(spark, sf_dir), ["doc_id"])
 
 
-@query("glossary_match", f"SELECT conv_id, turn, entry FROM {MATCHES_SQL}")
+@query("glossary_match", f"SELECT doc_id, entry FROM {MATCHES_SQL}")
 def glossary_match(spark, sf_dir):
-    return _glossary_matches(spark, sf_dir).select("conv_id", "turn", "entry")
+    return _glossary_matches(spark, sf_dir).select("doc_id", "entry")
 
 
-@query("glossary_prompt", f"SELECT conv_id, turn, string_agg({ENTRY_SQL}, chr(10) ORDER BY entry) AS prompt, count(*)::BIGINT AS n FROM {MATCHES_SQL} GROUP BY conv_id, turn")
+@query("glossary_prompt", f"SELECT doc_id, string_agg({ENTRY_SQL}, chr(10) ORDER BY entry) AS prompt, count(*)::BIGINT AS n FROM {MATCHES_SQL} GROUP BY doc_id")
 def glossary_prompt(spark, sf_dir):
-    return glossary.glossary_prompts(_glossary_matches(spark, sf_dir), ["conv_id", "turn"])
+    return glossary.glossary_prompts(_glossary_matches(spark, sf_dir), ["doc_id"])
 
 
-@query("glossary_prompt_compat", f"SELECT conv_id, turn, string_agg(CASE WHEN info <> '' THEN {ENTRY_SQL} ELSE '' END, chr(10) ORDER BY entry) AS prompt, count(*)::BIGINT AS n FROM {MATCHES_SQL} GROUP BY conv_id, turn")
+@query("glossary_prompt_compat", f"SELECT doc_id, string_agg(CASE WHEN info <> '' THEN {ENTRY_SQL} ELSE '' END, chr(10) ORDER BY entry) AS prompt, count(*)::BIGINT AS n FROM {MATCHES_SQL} GROUP BY doc_id")
 def glossary_prompt_compat(spark, sf_dir):
-    return glossary.glossary_prompts(_glossary_matches(spark, sf_dir), ["conv_id", "turn"], compat=True)
+    return glossary.glossary_prompts(_glossary_matches(spark, sf_dir), ["doc_id"], compat=True)
 
 
 @query("glossary_size", f"SELECT (sum(length({ENTRY_SQL})) + count(*) - 1)::BIGINT AS n_chars, count(*)::BIGINT AS n_entries FROM {GLOSSARY_SQL}")
@@ -757,12 +757,25 @@ def _scored(spark, sf_dir):
     return rows.withColumn("score", (F.col("n") * 7 + F.col("pos") * 13) % 101 / 101.0).withColumn("loss", F.log(F.col("n") + 1.0))
 
 
-@query("bisect_chunks")
+SCORED_SQL = f"(SELECT *, length(piece) AS chars, ((length(piece) * 7 + pos * 13) % 101)::DOUBLE / 101::DOUBLE AS score, ln(length(piece) + 1.0) AS loss FROM {LINES_SQL})"
+PIECE_TOKENS_SQL = r"len(regexp_extract_all(piece, '[A-Za-z0-9]+|[^A-Za-z0-9 \t\n\r\f]')) + regexp_matches(piece, '[ \t\n\r\f]\z')::INTEGER"
+
+
+def _bisect_sql(size: str, budget: int, mean: str) -> str:
+    """Sentences lo to hi, counted from 1, are cut before the smallest mean until they fit."""
+    return f"""WITH RECURSIVE g AS MATERIALIZED (SELECT doc_id, list(piece ORDER BY pos) AS p, list(score ORDER BY pos) AS s, list({size} ORDER BY pos) AS z FROM {SCORED_SQL} GROUP BY doc_id),
+ c AS (SELECT doc_id, 1::BIGINT AS lo, len(p)::BIGINT AS hi FROM g
+ UNION ALL SELECT doc_id, unnest([lo, cut]), unnest([cut - 1, hi]) FROM (SELECT doc_id, lo, hi, lo + list_position(m, list_min(m)) AS cut FROM
+ (SELECT doc_id, lo, hi, list_transform(range(lo + 1, hi + 1), lambda i: {mean}) AS m FROM c JOIN g USING (doc_id) WHERE hi > lo AND list_sum(z[lo:hi]) > {budget})))
+ SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY lo) - 1)::INTEGER AS chunk_idx, array_to_string(p[lo:hi], '') AS chunk FROM c JOIN g USING (doc_id) WHERE hi = lo OR list_sum(z[lo:hi]) <= {budget}"""
+
+
+@query("bisect_chunks", _bisect_sql("chars", chunking.MAX_CHARS, "CASE WHEN i + 2 <= hi THEN (s[i] + s[i + 1] + s[i + 2]) / 3 WHEN i < hi THEN (s[i] + s[i + 1]) / 2 ELSE s[i] END"))
 def bisect_chunks(spark, sf_dir):
     return chunking.bisect_chunks(_scored(spark, sf_dir), ["doc_id"], "pos", "piece", "score")
 
 
-@query("bisect_chunks_tokens")
+@query("bisect_chunks_tokens", _bisect_sql(PIECE_TOKENS_SQL, chunking.MAX_TOKENS, "s[i]"))
 def bisect_chunks_tokens(spark, sf_dir):
     return chunking.bisect_chunks(_scored(spark, sf_dir), ["doc_id"], "pos", "piece", "score", chunking.MAX_TOKENS, 1, by_tokens=True)
 
@@ -782,7 +795,17 @@ def semantic_chunks(spark, sf_dir):
     return chunking.semantic_chunks(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece")
 
 
-@query("rechunk_decay")
+@query(
+    "rechunk_decay",
+    f"""WITH RECURSIVE g AS MATERIALIZED (SELECT doc_id, list(piece ORDER BY pos) AS p, list(loss ORDER BY pos) AS l, list(chars ORDER BY pos) AS z FROM {SCORED_SQL} GROUP BY doc_id),
+ m AS MATERIALIZED (SELECT *, coalesce(list_aggregate(l[2:], 'median'), 0) AS med FROM g),
+ c AS (SELECT doc_id, 1::BIGINT AS lo, len(p)::BIGINT AS hi, -1 AS k FROM g
+ UNION ALL SELECT doc_id, unnest(a), unnest(list_append(list_transform(a[2:], lambda x: x - 1), hi)), k + 1 FROM (SELECT doc_id, hi, k,
+ list_prepend(lo, list_filter(range(lo + 1, hi + 1), lambda i: l[i] > med * {chunking.THRESHOLD} * pow({chunking.DECAY}, k + 1))) AS a
+ FROM c JOIN m USING (doc_id) WHERE k < 0 OR (hi > lo AND list_sum(z[lo:hi]) > {chunking.MAX_SCORED})))
+ SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY lo) - 1)::INTEGER AS chunk_idx, array_to_string(p[lo:hi], '') AS chunk FROM c JOIN g USING (doc_id)
+ WHERE k >= 0 AND (hi = lo OR list_sum(z[lo:hi]) <= {chunking.MAX_SCORED})""",
+)
 def rechunk_decay(spark, sf_dir):
     return chunking.rechunk_decay(_scored(spark, sf_dir), ["doc_id"], "pos", "piece", "loss")
 
