@@ -29,7 +29,59 @@ WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: The phrases to count, and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-#: Own templates of common notices, in markup.
+#: Copyright lines: a holder's name and years, up to 16 words.
+COPYRIGHT = '<<beginOptional>>Copyright <<var;match=".+";most=16>> <<endOptional>><<beginOptional>>All rights reserved. <<endOptional>>'
+
+#: Whole public licenses and headers, in markup.
+LICENSE_TEXTS = {
+    "mit": COPYRIGHT + """
+        Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
+        (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
+        publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,
+        subject to the following conditions:
+        The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph) <<endOptional>>shall be included in all copies or substantial portions of the Software.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL <<var;match=".+";most=8>> BE LIABLE FOR ANY CLAIM,
+        DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE
+        OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "isc": COPYRIGHT + """
+        Permission to use, copy, modify, <<var;match="and|or";most=2>> distribute this software for any purpose with or without fee is hereby granted,
+        provided that the above copyright notice and this permission notice appear in all copies.
+        THE SOFTWARE IS PROVIDED "AS IS" AND <<var;match=".+";most=8>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+        WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<var;match=".+";most=8>> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+        CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE
+        OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "bsd": COPYRIGHT + """
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+        <<beginOptional>>1. <<endOptional>>Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+        <<beginOptional>>2. <<endOptional>>Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer
+        in the documentation and/or other materials provided with the distribution.
+        <<beginOptional>><<beginOptional>>3. <<endOptional>>Neither the name of <<var;match=".+";most=10>> nor the names of <<var;match="its|the";most=1>> contributors may be used to endorse
+        or promote products derived from this software without specific prior written permission. <<endOptional>>
+        THIS SOFTWARE IS PROVIDED BY <<var;match=".+";most=8>> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+        WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var;match=".+";most=8>> BE LIABLE FOR ANY
+        DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+        SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+        LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY
+        OF SUCH DAMAGE.""",
+    "apache-2.0-header": COPYRIGHT + """
+        Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+        You may obtain a copy of the License at <<var;match=".+";most=12>> Unless required by applicable law or agreed to in writing, software
+        distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+        See the License for the specific language governing permissions and limitations under the License.""",
+    "gnu-header": COPYRIGHT + """
+        <<var;match=".+";most=6>> is free software: you can redistribute it and/or modify it under the terms of the GNU <<beginOptional>>Lesser <<endOptional>>
+        <<beginOptional>>Affero <<endOptional>>General Public License as published by the Free Software Foundation, either version <<var;match="[0-9]+";most=2>>
+        of the License, or (at your option) any later version. <<var;match=".+";most=6>> is distributed in the hope that it will be useful, but WITHOUT ANY
+        WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU <<beginOptional>>Lesser <<endOptional>>
+        <<beginOptional>>Affero <<endOptional>>General Public License for more details.""",
+    "mpl-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. "
+        "If a copy of the MPL was not distributed with this file, You can obtain one at <<var;match=\".+\";most=8>>"
+    ),
+}
+
+#: Own templates of common notices, in markup, beside the whole texts.
 TEMPLATES = {
     "apache-2.0-notice": "<<beginOptional>>This work is <<endOptional>>Licensed under the Apache License<<beginOptional>>, Version 2.0<<endOptional>>",
     "apache-notice-full": (
@@ -56,7 +108,7 @@ TEMPLATES = {
         '<<var;match="released|licensed|available";most=1>> under <<beginOptional>>a Creative Commons <<endOptional>><<beginOptional>>the <<endOptional>>CC BY'
         '<<beginOptional>>-<<var;match="nc|sa|nd";most=2>><<endOptional>><<beginOptional>> <<var;match="[0-9]+";most=2>><<endOptional>>'
     ),
-}
+} | LICENSE_TEXTS
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -137,11 +189,11 @@ class TokenAutomaton:
 
 class Scanner:
     def __init__(self, phrases: dict[str, str], templates: dict[str, str]):
-        self.phrases = [(tuple(words_of(p.encode())), label) for p, label in phrases.items()]
+        self.phrases = [(p, label) for phrase, label in phrases.items() if (p := tuple(words_of(phrase.encode())))]
         self.templates = {name: TokenAutomaton.compile(m) for name, m in templates.items()}
         # a word of each phrase and template that a text must hold
-        self.rare = [max(p, key=len) for p, _ in self.phrases] + [max(a.mandatory, key=len) for a in self.templates.values()]
-        self.any_rare = re.compile(b"|".join(sorted({re.escape(w) for w in self.rare}, key=len)))
+        self.rare = [max(p, key=len, default=b"") for p, _ in self.phrases] + [max(a.mandatory, key=len, default=b"") for a in self.templates.values()]
+        self.any_rare = re.compile(b"|".join(sorted({re.escape(w) for w in self.rare}, key=len)))  # matches anything if one of them has no such word
 
     def scan(self, text: bytes) -> dict:
         """Counts, first and last place of phrases, labels, matched spans and score."""
@@ -175,10 +227,11 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per row of df.
 
     score is 1 if a template accepts a run of words, 0.5 if there are only base
-    phrases and else 0. spans has the accepted runs: template, start, words.
+    phrases and else 0. spans has the accepted runs: template, start, words. Empty
+    phrases or templates look for none; a phrase without words stands nowhere.
     """
     kind = df.schema[id_col].dataType.simpleString()
-    phrases, templates = phrases or PHRASES, templates or TEMPLATES
+    phrases, templates = PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
 
     def run(batches):

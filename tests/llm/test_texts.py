@@ -170,6 +170,77 @@ def test_templates():
     assert [w(t) for t in ("a 1 d", "a b 1 2 d", "a b c 1 d x", "a c 1 d", "a 1 2 3 d", "a d")] == [3, 5, 5, 0, 0, 0]
 
 
+def markup_tree(markup):
+    """Nested lists of (kind, value) read from the markup: words, patterns with their most, optional lists."""
+    stack = [[]]
+    for part in re.findall(r"<<[^>]*>>|[^<]+", markup):
+        if part == "<<beginOptional>>":
+            stack.append([])
+        elif part == "<<endOptional>>":
+            inner = stack.pop()
+            stack[-1].append(("optional", inner))
+        elif part.startswith("<<var"):
+            pattern, most = part[len('<<var;match="') : -2].split('";most=')
+            stack[-1].append(("some", (pattern, int(most))))
+        else:
+            stack[-1] += [("word", w) for w in re.findall("[0-9a-z]+", part.lower())]
+    return stack[0]
+
+
+def plain_ends(tree, words, starts):
+    for kind, x in tree:
+        if kind == "word":
+            starts = {i + 1 for i in starts if words[i : i + 1] == [x]}
+        elif kind == "optional":
+            starts = starts | plain_ends(x, words, starts)
+        else:
+            runs = {(i, n) for i in starts for n in range(1, x[1] + 1) if i + n <= len(words)}
+            starts = {i + n for i, n in runs if all(re.fullmatch(x[0], w) for w in words[i : i + n])}
+    return starts
+
+
+def written(tree, rng):
+    pool = ["2", "0", "3", "4", "sa", "nc", "nd", "and", "or", "its", "the", "work", "program", "software", "file", "released", "licensed", "distributed", "available", "acme", "é1"]
+    out = []
+    for kind, x in tree:
+        if kind == "word":
+            out.append(x)
+        elif kind == "optional":
+            out += written(x, rng) if rng.random() < 0.5 else []
+        else:
+            fitting = [w for w in pool if re.fullmatch(x[0], w)]
+            out += [rng.choice(fitting) for _ in range(rng.randrange(1, x[1] + 1))]
+    return out
+
+
+def test_templates_against_a_plain_matcher():
+    rng, seen = random.Random(5), collections.Counter()
+    trees = {name: markup_tree(m) for name, m in licenses.TEMPLATES.items()}
+    scanner = licenses.Scanner(licenses.PHRASES, licenses.TEMPLATES)
+    for trial in range(240):
+        words = []
+        for name in rng.sample(sorted(trees), rng.randrange(1, 3)):
+            words += ["x"] * rng.randrange(3) + written(trees[name], rng)
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            at = rng.randrange(len(words))
+            words[at : at + 1] = rng.choice([[], ["x"], [words[at]] * 2])
+        expected = [(n, i, max(ends) - i) for n, t in trees.items() for i in range(len(words)) if (ends := plain_ends(t, words, {i})) and max(ends) > i]
+        got = scanner.scan(" ".join(words).encode())
+        assert sorted((s["template"], s["start"], s["words"]) for s in got["spans"]) == sorted(expected)
+        assert set(got["labels"].split(",")) - {""} == {e[0] for e in expected} | set(plain_phrases(" ".join(words))[4].split(",")) - {""}
+        seen.update({e[0] for e in expected})
+    assert set(seen) == set(trees)
+
+
+def test_templates_without_mandatory_words_and_empty_sets(spark):
+    s = licenses.Scanner({"": "none"}, {"any": '<<var;match="[0-9]+";most=2>>', "maybe": "<<beginOptional>>a<<endOptional>>"})
+    assert [tuple(x.values()) for x in s.scan(b"a 1 2")["spans"]] == [("any", 1, 2), ("any", 2, 1), ("maybe", 0, 1)]
+    assert s.scan(b"")["labels"] == ""
+    df = spark.createDataFrame([(1, "MIT License")], "doc_id long, text string")
+    r = licenses.scan_licenses(df, phrases={}, templates={}).first()
+    assert (r.n_words, r.n_base, r.labels, r.score) == (2, 0, "", 0.0)
+
+
 # --- near duplicates -------------------------------------------------------------------------------------------------
 
 
@@ -493,6 +564,38 @@ def test_short_bursts_anywhere_give_peaks():
         assert all(len(f) for f, _ in peaks)
 
 
+def plain_landmarks(samples):
+    """Frame by frame and peak by peak."""
+    w, h = 256, 128
+    x = [128] * h + list(samples)
+    x += [128] * (-len(x) % h) + [128] * h
+    level = []
+    for i in range(0, len(x) - w + 1, h):
+        level.append(np.abs(np.fft.rfft((np.array(x[i : i + w], np.float32) - 128) * np.hanning(w).astype(np.float32))).astype(np.float32))
+    peaks = []
+    for i, power in enumerate(level):
+        for band, (lo, hi) in enumerate([(2, 12), (12, 40), (40, 129)]):
+            top = [max(level[k][lo:hi]) if 0 <= k < len(level) else 0 for k in (i - 1, i, i + 1)]
+            if top[1] > 2 * power[2:].mean() and top[1] >= top[0] and top[1] > top[2]:
+                peaks.append((i - 1, lo + int(power[lo:hi].argmax())))
+    pairs = []
+    for k, (f, tone) in enumerate(peaks):
+        for g, other in peaks[k + 1 : k + 1 + 5]:
+            if f < g <= f + 16:
+                pairs.append((f, ((g - f) % 2 << 24) + tone * 65536 + other * 256 + (g - f) // 2))
+    return sorted(pairs)
+
+
+def test_landmarks_against_a_plain_version(monkeypatch):
+    rng = np.random.default_rng(3)
+    payloads = [b"\0" * 64, b"a" * 640, "Ein Satz, noch einer. ".encode() * 40, rng.integers(32, 127, 4032, dtype=np.uint8).tobytes(), rng.integers(0, 256, 1984, dtype=np.uint8).tobytes()]
+    expected = [plain_landmarks(media.pad(p)) for p in payloads]
+    for block in (4096, 3):
+        monkeypatch.setattr(media, "BLOCK", block)
+        assert [list(zip(*(x.tolist() for x in media.landmarks(media.pad(p))))) for p in payloads] == expected
+    assert any(expected)
+
+
 # --- decontamination -------------------------------------------------------------------------------------------------
 
 
