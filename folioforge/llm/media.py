@@ -3,7 +3,7 @@
 A payload is written by the wave module as one channel of unsigned 8-bit
 samples, read back by it, cut into windows that overlap by half and Fourier-transformed.
 Peaks are local maxima of the spectrum in time and frequency; each is paired
-with the next few peaks that follow within a target zone, and a pair gives a
+with those of the next FAN peaks that come later within a target zone, and a pair gives a
 landmark (time, code) with code = frequency 1, frequency 2, time difference.
 Times count half windows; a code has the difference in whole windows in its
 lowest byte and bit 24 for another half.
@@ -34,8 +34,8 @@ RATE = 8000
 WINDOW, HOP = 256, 128
 #: Frames transformed at once; this bounds memory.
 BLOCK = 4096
-#: Frames ahead that a peak is paired with, and pairs for each peak.
-REACH, FAN = 8 * WINDOW // HOP, 2
+#: Frames ahead that a peak is paired with, and how many of the peaks that follow it at most.
+REACH, FAN = 8 * WINDOW // HOP, 5
 #: Bins from which a window's peak is taken, one for each band.
 BANDS = (2, 12, 40, 129)
 
@@ -88,7 +88,7 @@ def landmarks(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(time, code) of the pairs of peaks, by time and then code."""
     frame, tone = spectral_peaks(samples)
     times, codes = [], []
-    for step in range(1, FAN + len(BANDS)):
+    for step in range(1, FAN + 1):
         gap = frame[step:] - frame[:-step]
         ok = (gap > 0) & (gap <= REACH)
         times.append(frame[:-step][ok])
