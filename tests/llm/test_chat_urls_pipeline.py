@@ -1,15 +1,20 @@
 """Chat formatting, URL filters, and the pipeline against a plain version."""
 
+import collections
 import hashlib
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioforge.llm import chat, urls
+from folioforge.llm import chat, quality, urls
+from folioforge.llm.boosting import AdditiveModel
+from folioforge.llm.catalog import tokenizer_path
+from test_texts import plain_groups, plain_leaks, plain_lines
 
 # --- chat ------------------------------------------------------------------------------------------------------------
 
@@ -180,3 +185,83 @@ def test_pipeline_on_small_tables(spark, tmp_path):
     assert kept[203] == rows[-1][1].split("\n")[0] and kept.get(200, "") == ""
     out = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert out == set(kept)
+
+
+def plain_features(text):
+    """quality.FEATURES character by character."""
+    raw, n = text.encode(), max(1, len(text))
+    share = lambda test: sum(map(test, text)) / n
+    space, mark = set(" \t\n\x0b\x0c\r"), set("#$%&*+<=>@\\^_`{|}~")
+    plain = lambda c: c < "\x80" and c.isalnum()
+    words = re.findall("[^ \t\n\x0b\x0c\r]+", text)
+    some = list(dict.fromkeys(words))
+    lines, w = text.split("\n"), max(1, len(words))
+    bytes_ = collections.Counter(raw)
+    capital = lambda x: re.search("[A-Z]", x) and not re.search("[a-z]", x)
+    return [
+        math.log(1 + len(raw)), share(lambda c: "A" <= c <= "Z"), share(lambda c: "0" <= c <= "9"), share(lambda c: c < "\x80" and c not in space and not plain(c)),
+        share(lambda c: c == "."), share(lambda c: c in ",;:"), share(lambda c: c in "!?"), share(lambda c: c in mark), sum(b > 127 for b in raw) / n, share(lambda c: c in space),
+        sum(len(x.encode()) for x in words) / w, max((len(x.encode()) for x in some), default=0) / 32, len(some) / w,
+        math.log(1 + len(words)), min(200, w / len(lines)), len(set(lines)) / len(lines), min(100, w / (1 + sum(c in ".!?" for c in text))),
+        max((words.count(x) for x in some), default=0) / w, -sum(k / len(raw) * math.log2(k / len(raw)) for k in bytes_.values()),
+        sum(x[-1] < "\x80" and not plain(x[-1]) and x[-1] not in ".,;:" for x in some) / max(1, len(some)), sum(bool(capital(x)) for x in some) / max(1, len(some)),
+    ]
+
+
+def plain_score(model, x):
+    place = lambda v, cuts: sum(c <= v for c in cuts)
+    z = model.bias + sum(t[place(v, c)] for v, c, t in zip(x, model.cuts, model.tables))
+    for (i, j), t in zip(model.pairs, model.pair_tables):
+        z += t[place(x[i], model.pair_cuts[i]), place(x[j], model.pair_cuts[j])]
+    return 1 / (1 + math.exp(-z))
+
+
+def test_pipeline_against_a_plain_version(spark, tmp_path):
+    """All documents of the smallest tables, with copies, leaks and odd texts, through stages written out plainly."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    read = lambda name: spark.read.parquet(f"{sf}/{name}.parquet")
+    rows = [tuple(r) for r in read("documents").select("doc_id", "text", "lang", "source", "n_chars").collect()]
+    items = [(r.item_id, r.text) for r in read("benchmark").collect()]
+    rng = random.Random(12)
+    long = [r for r in rows if 60 < len(r[1].split()) < 2000]
+    for k, r in enumerate(rng.sample(long, 30)):
+        words = r[1].split(" ")
+        at = rng.randrange(len(words))
+        text = (" ".join([*words[:at], "zq", *words[at + 1 :]]), " ".join([*words[:at], items[k][1], *words[at:]]), r[1])[k % 3]
+        rows.append((10_000 + k, text, *r[2:]))
+    rows += [(20_000, None, "en", "s", 0), (20_001, "", "en", "s", 0), (20_002, "\n\n", "en", "s", 2), (20_003, "one", "en", "s", 3)]
+    spark.createDataFrame(rows, read("documents").select("doc_id", "text", "lang", "source", "n_chars").schema).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("benchmark", "labels"):
+        read(name).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    texts = {i: t or "" for i, t, *_ in rows}
+    for t in texts.values():
+        assert quality.features(t.encode()) == pytest.approx(plain_features(t), rel=1e-9, abs=1e-12)
+    x = {i: quality.features(t.encode()) for i, t in texts.items()}
+    labels = sorted((r.doc_id, r.quality) for r in read("labels").collect() if r.doc_id in texts and r.quality in (0, 1) and zlib.crc32(str(r.doc_id).encode()) % 3 != 1)
+    model = AdditiveModel.fit(np.array([x[i] for i, _ in labels]), np.array([q for _, q in labels], float))
+    kept = {i: t for i, t in texts.items() if plain_score(model, x[i]) >= 0.5}
+    assert len(kept) < len(texts)
+    kept = {i: t for i, _, _, t in plain_lines(sorted(kept.items()))}
+    first = plain_groups({i: t.encode() for i, t in kept.items()})
+    assert len(first) < len(kept)
+    shingles = lambda t: {tuple(w[j : j + 5]) for w in [re.findall(rb"[0-9a-z\x80-\xff]+", t.encode().lower())] for j in range(max(1, len(w) - 4))}
+    theirs = [(i, t, shingles(t)) for i, t in items]
+    clean = {}
+    for i in first:  # a window and an item of similarity 0.8 share a shingle; short ones are compared anyway
+        own = shingles(kept[i])
+        some = [(n, t) for n, t, s in theirs if s & own or min(map(len, s | own)) < 5]
+        if not plain_leaks([(i, kept[i])], some):
+            clean[i] = kept[i]
+    assert 0 < len(clean) < len(first)
+    library = Tokenizer.from_file(tokenizer_path())
+    expected = {}
+    for i, t in clean.items():
+        ids = library.encode(t, add_special_tokens=False).ids
+        expected[i] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256) for r in got} == expected and len(got) == len(expected)
