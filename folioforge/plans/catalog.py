@@ -263,6 +263,25 @@ def keyword_counts(spark, sf_dir):
     return cs.keyword_counts(_hits(spark, sf_dir), "doc_id")
 
 
+DROP_SQL = "[" + ", ".join(f"'{k}'" for k in dict.fromkeys(cs.DROP_KEYWORDS)) + "]"
+MARKED_SQL = f"(SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || k[doc_id % len(k) + 1] ELSE text END AS text FROM documents, (SELECT {DROP_SQL} AS k))"
+DROP_HITS_SQL = f"(SELECT doc_id, keyword FROM {MARKED_SQL}, (SELECT unnest({DROP_SQL}) AS keyword) WHERE contains(text, keyword))"
+
+
+@query(
+    "drop_keyword_counts",
+    f"""WITH p AS (SELECT doc_id, keyword FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length(keyword) DESC, keyword DESC) AS k FROM {DROP_HITS_SQL}) WHERE k = 1),
+ c AS (SELECT keyword, count(p.doc_id)::BIGINT AS n FROM (SELECT DISTINCT keyword FROM {DROP_HITS_SQL}) h LEFT JOIN p USING (keyword) GROUP BY keyword)
+ SELECT * FROM c UNION ALL SELECT 'total', coalesce(sum(n), 0)::BIGINT FROM c""",
+)
+def drop_keyword_counts(spark, sf_dir):
+    """Every third document carries one of the drop keywords at its end, as invented prose holds none."""
+    words = list(dict.fromkeys(cs.DROP_KEYWORDS))
+    mark = F.get(F.array(*map(F.lit, words)), (F.col("doc_id") % len(words)).cast("int"))
+    text = F.when(F.col("doc_id") % 3 == 0, F.concat("text", mark)).otherwise(F.col("text"))
+    return cs.keyword_counts(cs.keyword_hits(_documents(spark, sf_dir).select("doc_id", text.alias("text")), "doc_id", "text", cs.DROP_KEYWORDS), "doc_id")
+
+
 @query(
     "low_score_stats",
     """SELECT sum(len(s))::BIGINT AS n_scores, sum(len(list_filter(s, lambda x: x < 0.03)))::BIGINT AS n_low, count(*) FILTER (len(list_filter(s, lambda x: x < 0.03)) > 0)::BIGINT AS n_items
@@ -795,6 +814,11 @@ def semantic_chunks(spark, sf_dir):
     return chunking.semantic_chunks(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece")
 
 
+@query("semantic_chunks_strict")
+def semantic_chunks_strict(spark, sf_dir):
+    return chunking.semantic_chunks(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", 0.8)
+
+
 @query(
     "rechunk_decay",
     f"""WITH RECURSIVE g AS MATERIALIZED (SELECT doc_id, list(piece ORDER BY pos) AS p, list(loss ORDER BY pos) AS l, list(chars ORDER BY pos) AS z FROM {SCORED_SQL} GROUP BY doc_id),
