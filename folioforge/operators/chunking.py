@@ -101,10 +101,10 @@ def merge_small(chunks: list[str], sizes: list[int], budget: int, similarity: Ca
 
 
 def semantic_fold(lines: list[str], similarity: Callable[[str, str], float], threshold: float = 0.4) -> list[str]:
-    """Lines joined to the running chunk while they are similar enough to it."""
+    """Lines joined to the running chunk while they are similar enough to it, to twelve places."""
     out: list[str] = []
     for line in lines:
-        if out and similarity(out[-1], line) >= threshold:
+        if out and round(similarity(out[-1], line), 12) >= threshold:
             out[-1] += line
         else:
             out.append(line)
@@ -118,7 +118,7 @@ def embedded_fold(lines: list[str], embedder: Embedder, threshold: float = 0.4)
     out: list[list[str]] = []
     state = None
     for line in lines:
-        if out and cosine(embedder.vector(state), embedder.embed([line])[0]) >= threshold:
+        if out and round(cosine(embedder.vector(state), embedder.embed([line])[0]), 12) >= threshold:
             out[-1].append(line)
             state = embedder.extend(line, state)
         else:

@@ -742,6 +742,18 @@ def point_segment_distance(spark, sf_dir):
     return _diagonals(spark, sf_dir).select("l_orderkey", "a", "b", F.round(geo.segment_distance(F.col("p"), F.col("q"), F.col("r")), 6).alias("distance"))
 
 
+@query(
+    "box_groups",
+    f"""WITH RECURSIVE b AS MATERIALIZED {BOXES_SQL}, o AS MATERIALIZED (SELECT l_orderkey, c.box AS a, d.box AS b FROM b c JOIN b d USING (l_orderkey)
+ WHERE least(c.x + c.w - d.x, d.x + d.w - c.x) >= 0 AND least(c.y + c.h - d.y, d.y + d.h - c.y) >= 0),
+ r AS (SELECT l_orderkey, box, box AS seen FROM b UNION SELECT r.l_orderkey, r.box, o.b FROM r JOIN o ON o.l_orderkey = r.l_orderkey AND o.a = r.seen)
+ SELECT l_orderkey, first AS "group", count(*)::INTEGER AS n_boxes FROM (SELECT l_orderkey, box, min(seen) AS first FROM r GROUP BY l_orderkey, box) GROUP BY l_orderkey, first""",
+)
+def box_groups(spark, sf_dir):
+    sized = _quads(spark, sf_dir).withColumn("width", F.lit(160.0)).withColumn("height", F.lit(120.0))
+    return boxes.merge_boxes(sized, "l_orderkey", "box", "quad").select("l_orderkey", "group", "n_boxes")
+
+
 @query("merge_bboxes")
 def merge_bboxes(spark, sf_dir):
     sized = _quads(spark, sf_dir).withColumn("width", F.lit(160.0)).withColumn("height", F.lit(120.0))
@@ -809,12 +821,46 @@ def merge_small_chunks_tokens(spark, sf_dir):
     return chunking.merge_small_chunks(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", chunking.MAX_TOKENS, only_if_both=True, by_tokens=True)
 
 
-@query("semantic_chunks")
+def _bigram_sql(a: str, b: str) -> str:
+    """The built-in embedder's hash of two code points."""
+    first = f"((({a}::UHUGEINT * 4294967296 + {b}::UHUGEINT) * 11400714819323198485::UHUGEINT) % 18446744073709551616::UHUGEINT)::UBIGINT"
+    return f"((xor({first}, {first} >> 29)::UHUGEINT * 13787848793156543929::UHUGEINT) % 18446744073709551616::UHUGEINT)::UBIGINT"
+
+
+CODES_SQL = "list_transform(regexp_extract_all({text}, '(?s).'), lambda c: unicode(c))"
+#: bigrams (k, a, b) of texts (k, t), each with its component and sign, to vectors of 64 sums
+VECTOR_SQL = f"""SELECT k, list_transform(range(64), lambda i: coalesce(m[i], 0)::DOUBLE) AS v FROM (SELECT k, map_from_entries(list((bin, v))) AS m FROM
+ (SELECT k, bin, sum(sign) AS v FROM {{bigrams}} JOIN (SELECT a, b, ((h >> 32) % 64)::BIGINT AS bin, CASE WHEN h >> 63 = 1 THEN 1 ELSE -1 END AS sign
+ FROM (SELECT a, b, {_bigram_sql("a", "b")} AS h FROM (SELECT DISTINCT a, b FROM {{bigrams}}))) USING (a, b) GROUP BY k, bin) GROUP BY k)"""
+UNNESTED_SQL = "SELECT k, unnest(c[:len(c) - 1]) AS a, unnest(c[2:]) AS b FROM (SELECT k, {codes} AS c FROM {texts})"
+COSINE_SQL = "CASE WHEN list_inner_product({x}, {x}) * list_inner_product({y}, {y}) > 0 THEN list_inner_product({x}, {y}) / sqrt(list_inner_product({x}, {x}) * list_inner_product({y}, {y})) ELSE 0 END"
+
+
+def _fold_sql(threshold: float) -> str:
+    """A line's own bigrams, the one at its end and the one that leads into it make the vectors of chunks, line by line."""
+    none = "list_transform(range(64), lambda i: 0::DOUBLE)"
+    vectors = VECTOR_SQL.format(bigrams="b")
+    added = "list_transform(list_zip({x}, {y}), lambda z: z[1] + z[2])"
+    chunk = added.format(x="f.s", y="n.before")
+    return f"""WITH RECURSIVE l AS MATERIALIZED (SELECT doc_id, pos, piece, lag(piece[-1]) OVER w AS prev FROM {LINES_SQL} WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+ t AS (SELECT (doc_id, pos, 0) AS k, piece AS t FROM l UNION ALL SELECT (doc_id, pos, 1), piece[-1] || chr(10) FROM l
+ UNION ALL SELECT (doc_id, pos, 2), prev || piece[1] FROM l WHERE prev IS NOT NULL UNION ALL SELECT (doc_id, pos, 3), prev || chr(10) FROM l WHERE prev IS NOT NULL),
+ b AS MATERIALIZED ({UNNESTED_SQL.format(codes=CODES_SQL.format(text="t"), texts="t")}), v AS MATERIALIZED ({vectors}),
+ n AS MATERIALIZED (SELECT doc_id, pos, own, {added.format(x="own", y="at_end")} AS whole, {added.format(x="own", y="at_start")} AS joined, before FROM
+ (SELECT doc_id, pos, {", ".join(f"coalesce(v{i}.v, {none}) AS {n}" for i, n in enumerate(("own", "at_end", "at_start", "before")))} FROM l
+ {" ".join(f"LEFT JOIN v v{i} ON v{i}.k = (doc_id, pos, {i})" for i in range(4))})),
+ f AS (SELECT doc_id, pos, 0 AS chunk_idx, own AS s FROM n WHERE pos = 0
+ UNION ALL SELECT doc_id, pos, CASE WHEN same THEN chunk_idx ELSE chunk_idx + 1 END, CASE WHEN same THEN {added.format(x="s", y="joined")} ELSE own END FROM
+ (SELECT n.doc_id, n.pos, f.chunk_idx, f.s, n.own, n.joined, round({COSINE_SQL.format(x=chunk, y="n.whole")}, 12) >= {threshold} AS same FROM f JOIN n ON n.doc_id = f.doc_id AND n.pos = f.pos + 1))
+ SELECT doc_id, chunk_idx::INTEGER AS chunk_idx, string_agg(piece, '' ORDER BY pos) AS chunk FROM f JOIN l USING (doc_id, pos) GROUP BY doc_id, chunk_idx"""
+
+
+@query("semantic_chunks", _fold_sql(0.4))
 def semantic_chunks(spark, sf_dir):
     return chunking.semantic_chunks(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece")
 
 
-@query("semantic_chunks_strict")
+@query("semantic_chunks_strict", _fold_sql(0.8))
 def semantic_chunks_strict(spark, sf_dir):
     return chunking.semantic_chunks(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", 0.8)
 
@@ -834,19 +880,59 @@ def rechunk_decay(spark, sf_dir):
     return chunking.rechunk_decay(_scored(spark, sf_dir), ["doc_id"], "pos", "piece", "loss")
 
 
-@query("similarity_distribution")
+DELIMITERS_SQL = "[" + chunking.DELIMITERS.replace("\n", r"\n") + "]"
+PIECE_PARTS_SQL = r"regexp_extract_all({piece}, '[ \t\n\r\f]*(?:[A-Za-z0-9]+|[^A-Za-z0-9 \t\n\r\f])|[ \t\n\r\f]+\z')"
+
+
+def _similarity_sql(back: int, ahead: int, fill: bool) -> str:
+    """f sentences lie too far back, e end within what follows; the next one of either side is cut where contexts are filled."""
+    end_ = PIECE_PARTS_SQL.format(piece="p[f]")
+    cut_back = f"CASE WHEN f > 0 AND {back} - (st[pos + 1] - st[f + 1]) > 0 THEN array_to_string(list_slice({end_}, -({back} - (st[pos + 1] - st[f + 1])), -1), '') ELSE '' END"
+    cut_ahead = f"CASE WHEN e < len(p) AND {ahead} - (en[e] - st[pos + 1]) > 0 THEN array_to_string(list_slice({PIECE_PARTS_SQL.format(piece='p[e + 1]')}, 1, {ahead} - (en[e] - st[pos + 1])), '') ELSE '' END"
+    if fill:
+        cut_back = f"(SELECT CASE WHEN regexp_matches(x, '{DELIMITERS_SQL}') THEN regexp_extract(x, '(?s)^[^{DELIMITERS_SQL[1:]}*{DELIMITERS_SQL}+(.*)$', 1) ELSE x END FROM (SELECT {cut_back} AS x))"
+        cut_ahead = f"(SELECT CASE WHEN regexp_matches(x, '{DELIMITERS_SQL}') THEN regexp_extract(x, '(?s)^(.*{DELIMITERS_SQL})', 1) ELSE x END FROM (SELECT {cut_ahead} AS x))"
+    else:
+        cut_back = cut_ahead = "''"
+    return f"""WITH s AS (SELECT doc_id, pos, piece, n, sum(n) OVER (PARTITION BY doc_id ORDER BY pos)::BIGINT AS en FROM (SELECT doc_id, pos, piece, ({PIECE_TOKENS_SQL})::BIGINT AS n FROM {LINES_SQL})),
+ g AS MATERIALIZED (SELECT doc_id, list(piece ORDER BY pos) AS p, list(en - n ORDER BY pos) AS st, list(en ORDER BY pos) AS en FROM s GROUP BY doc_id),
+ o AS MATERIALIZED (SELECT *, len(list_filter(st, lambda x: x < st[pos + 1] - {back})) AS f, greatest(len(list_filter(en, lambda x: x <= st[pos + 1] + {ahead})), pos + 1) AS e
+ FROM (SELECT *, unnest(range(len(p))) AS pos FROM g)),
+ c AS MATERIALIZED (SELECT doc_id, pos, p[pos + 1] AS piece, {cut_back} || array_to_string(list_slice(p, f + 1, pos), '') AS x, array_to_string(list_slice(p, pos + 1, e), '') || {cut_ahead} AS y FROM o),
+ t AS (SELECT (doc_id, pos, 0) AS k, x || chr(10) AS t FROM c WHERE pos > 0 UNION ALL SELECT (doc_id, pos, 1), y || chr(10) FROM c WHERE pos > 0),
+ b AS MATERIALIZED ({UNNESTED_SQL.format(codes=CODES_SQL.format(text="t"), texts="t")}), v AS MATERIALIZED ({VECTOR_SQL.format(bigrams="b")})
+ SELECT doc_id, pos::INTEGER AS pos, piece AS sentence, round(CASE WHEN pos = 0 THEN 1.0::DOUBLE WHEN a.v IS NULL OR d.v IS NULL THEN 0 ELSE {COSINE_SQL.format(x="a.v", y="d.v")} END, 6) AS similarity
+ FROM c LEFT JOIN v a ON a.k = (doc_id, pos, 0) LEFT JOIN v d ON d.k = (doc_id, pos, 1)"""
+
+
+def _similarity(spark, sf_dir, fill):
+    out = chunking.similarity_distribution(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", 512, 64, fill)
+    return out.withColumn("similarity", F.round("similarity", 6))
+
+
+@query("similarity_distribution", _similarity_sql(512, 64, False))
 def similarity_distribution(spark, sf_dir):
-    return chunking.similarity_distribution(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", 512, 64)
+    return _similarity(spark, sf_dir, False)
 
 
-@query("similarity_distribution_filled")
+@query("similarity_distribution_filled", _similarity_sql(512, 64, True))
 def similarity_distribution_filled(spark, sf_dir):
-    return chunking.similarity_distribution(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", 512, 64, fill=True)
+    return _similarity(spark, sf_dir, True)
 
 
-@query("perplexity_distribution")
+@query(
+    "perplexity_distribution",
+    f"""WITH g AS MATERIALIZED (SELECT doc_id, pos, piece, string_agg(piece, '') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS whole,
+ sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY pos)::BIGINT - length(piece) AS start FROM {LINES_SQL}),
+ c AS (SELECT doc_id, pos, piece, regexp_extract_all(piece, '(?s).') AS t, regexp_extract_all(substring(whole, greatest(start - 4096, 0) + 1, least(start, 4096)), '(?s).') AS x FROM g),
+ m AS (SELECT *, CASE WHEN len(x) > 0 THEN list_aggregate(x, 'histogram') END AS seen FROM c),
+ l AS (SELECT doc_id, pos, piece, CASE WHEN pos = 0 THEN 0::DOUBLE ELSE -list_avg(list_transform(t, lambda ch: ln((coalesce(seen[ch], 0) + 1)::DOUBLE
+ / (len(x) + cardinality(seen) + len(list_filter(list_distinct(t), lambda d: seen[d] IS NULL)))))) END AS loss FROM m)
+ SELECT doc_id, pos::INTEGER AS pos, piece AS sentence, round(loss, 6) AS loss, round(CASE WHEN pos = 0 THEN 0 ELSE exp(loss) END, 6) AS perplexity FROM l""",
+)
 def perplexity_distribution(spark, sf_dir):
-    return chunking.perplexity_distribution(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece")
+    out = chunking.perplexity_distribution(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece")
+    return out.withColumn("loss", F.round("loss", 6)).withColumn("perplexity", F.round("perplexity", 6))
 
 
 # --- the smaller rest -----------------------------------------------------------------------------------------------
