@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -91,10 +95,41 @@ def flagged_response(answer: Column, response: Column) -> Column:
 
 
 def convert_characters(text: Column, pairs: dict[str, str], phrases: dict[str, str] | None = None) -> Column:
-    """Script conversion by a character map, after longest-first phrase replacements."""
-    for old in sorted(phrases or {}, key=lambda p: (-len(p), p)):
-        text = F.replace(text, F.lit(old), F.lit(phrases[old]))
-    return F.translate(text, "".join(pairs), "".join(pairs.values()))
+    """Script conversion by a character map, or by phrases and, for what is between them, the map.
+
+    Phrases are taken from left to right, at each place the longest one, and are
+    not converted again. A table of thousands is one automaton, which reads a text
+    once, in Arrow batches; without phrases the conversion stays an expression.
+    """
+    phrases = {old: new for old, new in (phrases or {}).items() if old}
+    if not phrases:
+        return F.translate(text, "".join(pairs), "".join(pairs.values()))
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        single = {ord(a): b for a, b in pairs.items()}
+        automaton = ahocorasick.Automaton()
+        for old in phrases:
+            automaton.add_word(old, len(old))
+        automaton.make_automaton()
+
+        def convert(t: str | None) -> str | None:
+            if not t:
+                return t
+            longest: dict[int, int] = {}
+            for end, n in automaton.iter(t):
+                longest[end - n + 1] = max(n, longest.get(end - n + 1, 0))
+            out, at = [], 0
+            for start in sorted(longest):
+                if start >= at:
+                    out += [t[at:start].translate(single), phrases[t[start : start + longest[start]]]]
+                    at = start + longest[start]
+            return "".join([*out, t[at:].translate(single)])
+
+        for texts in batches:
+            yield pd.Series([convert(t) for t in texts], index=texts.index, dtype=object)
+
+    return run(text)
 
 
 def has_convertible(text: Column, pairs: dict[str, str], phrases: dict[str, str] | None = None) -> Column:

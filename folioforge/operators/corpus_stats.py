@@ -24,13 +24,14 @@ def text_key(text: Column) -> Column:
 
 
 def exact_duplicates(df: DataFrame, text: Column, item: str) -> DataFrame:
-    """(text_md5, items, n): texts of two or more items, the items sorted.
+    """(text_md5, item, n): one row for each item whose text others have too, with the number of rows of that text.
 
-    Counting comes first, so that only the items of repeated texts are gathered.
+    Counting combines before the shuffle and comes first, so that only rows of
+    repeated texts meet it; they stay rows, as a text may be that of a third of all.
     """
     rows = df.select(text_key(text).alias("text_md5"), F.col(item).alias("item"))
-    repeated = rows.groupBy("text_md5").agg(F.count("*").alias("n")).filter("n > 1").select("text_md5")
-    return rows.join(repeated, "text_md5", "left_semi").groupBy("text_md5").agg(F.array_sort(F.collect_list("item")).alias("items"), F.count("*").alias("n"))
+    repeated = rows.groupBy(F.col("text_md5").alias("__key")).agg(F.count("*").alias("n")).filter("n > 1")
+    return rows.join(repeated, F.col("text_md5").eqNullSafe(F.col("__key"))).select("text_md5", "item", "n")
 
 
 def duplicate_stats(df: DataFrame, text: Column) -> DataFrame:

@@ -140,6 +140,14 @@ CHARS = {"é": "e", "è": "e", "ü": "u", "ö": "o", "ä": "a", "ß": "s", "ñ":
 CHARS_SQL = f"translate(text, '{''.join(CHARS)}', '{''.join(CHARS.values())}')"
 
 
+PHRASES = {"an": "<1>", "and": "<2>"}
+
+
+@query("phrase_convert", "SELECT doc_id, md5(" + CHARS_SQL.replace("(text,", "(replace(replace(text, 'and', '<2>'), 'an', '<1>'),") + ") AS converted_md5 FROM documents")
+def phrase_convert(spark, sf_dir):
+    return _documents(spark, sf_dir).select("doc_id", F.md5(tx.convert_characters(F.col("text"), CHARS, PHRASES).cast("binary")).alias("converted_md5"))
+
+
 @query(
     "char_map_convert",
     f"SELECT doc_id, md5({CHARS_SQL}) AS converted_md5, {CHARS_SQL} <> text AS has_convertible FROM documents",
@@ -206,10 +214,9 @@ def chunk_mode(spark, sf_dir):
     return cs.first_mode(_lines(spark, sf_dir), ["lang"], "n", ["doc_id", "pos"])
 
 
-@query("exact_duplicates", "SELECT md5(text) AS text_md5, list_aggregate(list_sort(list(doc_id)), 'string_agg', ',') AS doc_ids, count(*)::BIGINT AS n FROM documents GROUP BY text HAVING count(*) > 1")
+@query("exact_duplicates", "SELECT md5(text) AS text_md5, doc_id, n::BIGINT AS n FROM (SELECT text, doc_id, count(*) OVER (PARTITION BY text) AS n FROM documents) WHERE n > 1")
 def exact_duplicates(spark, sf_dir):
-    found = cs.exact_duplicates(_documents(spark, sf_dir), F.col("text"), "doc_id")
-    return found.select("text_md5", F.array_join(F.col("items").cast("array<string>"), ",").alias("doc_ids"), "n")
+    return cs.exact_duplicates(_documents(spark, sf_dir), F.col("text"), "doc_id").withColumnRenamed("item", "doc_id")
 
 
 @query("duplicate_stats", "SELECT count(*)::BIGINT AS n_groups, coalesce(sum(n), 0)::BIGINT AS n_rows FROM (SELECT count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1)")
@@ -624,6 +631,33 @@ def flagged_conversations(spark, sf_dir):
     return answered.groupBy("conv_id").agg(F.bool_or(F.contains("unaligned", F.lit("True"))).alias("flagged"))
 
 
+@query("named_texts", "SELECT conv_id || '.' || role || '.txt' AS name, md5(string_agg(text, '' ORDER BY turn)) AS text_md5 FROM conversations GROUP BY conv_id, role")
+def named_texts(spark, sf_dir):
+    """One file for each conversation and role, written and read back."""
+    texts = files.ordered_text(table(spark, sf_dir, "conversations"), ["conv_id", "role"], ["turn"], "text")
+    at = files.shared_folder(spark)
+    files.write_named_texts(texts.withColumn("name", files.text_name(F.col("conv_id"), F.col("role"))), at, "name", "text")
+    name = F.url_decode(F.element_at(F.split("file", "/"), -1))
+    return files.read_texts(spark, at).select(name.alias("name"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query("json_files", "SELECT conv_id, turn, role, md5(text) AS text_md5 FROM conversations")
+def json_files(spark, sf_dir):
+    """One JSON array for each conversation, written and read back."""
+    at = files.shared_folder(spark)
+    files.write_json(table(spark, sf_dir, "conversations"), at, "conv_id", ["turn"], ["turn", "role", "text"])
+    back = files.read_json_arrays(spark, at, "array<struct<turn:long,role:string,text:string>>", "*.txt")
+    return back.select(F.regexp_extract("file", r"file=(-?\d+)/", 1).cast("long").alias("conv_id"), "turn", "role", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query("parquet_files", "SELECT source, lang, count(*)::BIGINT AS n, sum(length(text))::BIGINT AS chars FROM documents WHERE lang = 'en' GROUP BY source, lang")
+def parquet_files(spark, sf_dir):
+    """Documents in folders by language, written and one folder of them read back."""
+    at = files.shared_folder(spark)
+    files.write_parquet(_documents(spark, sf_dir), at, ["lang"])
+    return spark.read.parquet(at).filter("lang = 'en'").groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
 @query("ordered_concat", "SELECT conv_id, string_agg(text, '' ORDER BY turn) AS text FROM conversations GROUP BY conv_id")
 def ordered_concat(spark, sf_dir):
     return files.ordered_text(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], "text")

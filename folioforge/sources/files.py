@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +17,7 @@ GLOSSARY = "array<struct<jp:string,tw:string,info:string,match:array<string>>>"
 
 
 def _whole(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
     return files.select(F.input_file_name().alias("file"), F.col("value").alias("text"))
 
 
@@ -27,7 +33,7 @@ def read_json_objects(spark: SparkSession, path: str, schema: str = OCR, glob: s
 
 
 def read_texts(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
-    """(file, text): whole files."""
+    """(file, text): whole files; empty ones have no row, as with all of Spark's file readers."""
     return _whole(spark, path, glob)
 
 
@@ -69,6 +75,45 @@ def write_texts(df: DataFrame, path: str, keys: list[str], order: list[str], tex
     ordered_text(df, keys, order, text).repartition(*keys).write.partitionBy(*keys).text(path)
 
 
+def text_name(index: Column, title: Column) -> Column:
+    """`{index}.{title}.txt`, without the characters that part folders."""
+    return F.concat(index.cast("string"), F.lit("."), F.regexp_replace(title, r"[/\\\x00]", "_"), F.lit(".txt"))
+
+
+def write_named_texts(df: DataFrame, path: str, name: str, text: str) -> int:
+    """Each row's text as the file `name` under `path`, nothing added; returns the number of files.
+
+    `path` is an absolute path or a URI that Arrow's file systems know. A file is
+    written under another name and then moved, so a task that runs twice leaves
+    the same file. Names have to be distinct; a null text is an empty file.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, root = fs.FileSystem.from_uri(path)
+        system.create_dir(root)
+        for batch in batches:
+            for n, t in zip(batch["name"], batch["text"]):
+                part = f"{root}/.{uuid.uuid4().hex}"
+                with system.open_output_stream(part, compression=None) as out:
+                    out.write((t or "").encode())
+                system.move(part, f"{root}/{n}")
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    rows = df.select(F.col(name).alias("name"), F.col(text).alias("text")).mapInPandas(run, "n long")
+    return rows.agg(F.sum("n")).first()[0] or 0
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder's path under the one that all executors share; only local masters do without the setting."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="folioforge-")
+    return f"{root.rstrip('/')}/folioforge/{uuid.uuid4().hex}"
+
+
 def with_contents(chapters: DataFrame, file: str = "file", index: str = "chapter_idx", title: str = "title", text: str = "content") -> DataFrame:
     """Chapters moved up by one place, with a first one that lists the titles of those that have a text."""
     listed = ordered_text(chapters.filter(F.length(text) > 0), [file], [index], title, "\n")

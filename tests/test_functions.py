@@ -1,6 +1,7 @@
 """Goldens of the scalar functions."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +79,26 @@ def test_line_counts(spark):
 
 def test_conversion_prefers_long_phrases(spark):
     assert one(spark, "abc ab a", lambda c: tx.convert_characters(c, {"a": "1"}, {"ab": "X", "abc": "Y"})) == "Y X 1"
+    # from left to right, the longest at each place; what a phrase turns into is not converted again
+    assert one(spark, "abcd a", lambda c: tx.convert_characters(c, {"a": "1", "d": "2"}, {"ab": "a", "bcd": "X"})) == "ac2 1"
+    assert one(spark, "", lambda c: tx.convert_characters(c, {"a": "1"}, {"ab": "X"})) == ""
+    assert one(spark, None, lambda c: tx.convert_characters(c, {"a": "1"}, {"ab": "X"})) is None
+
+
+def test_many_phrases_equal_a_plain_scan(spark):
+    draw = random.Random(5)
+    phrases = {"".join(draw.choices("abc", k=draw.randint(1, 5))): str(i) for i in range(3000)}
+    texts = ["".join(draw.choices("abcd", k=40)) for _ in range(50)]
+
+    def plain(t):
+        out, i = "", 0
+        while i < len(t):
+            n = next((n for n in range(5, 0, -1) if i + n <= len(t) and t[i : i + n] in phrases), 0)
+            out, i = out + (phrases[t[i : i + n]] if n else t[i]), i + (n or 1)
+        return out
+
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.convert_characters(F.col("t"), {}, phrases).alias("c")).collect()
+    assert [r.c for r in rows] == [plain(r.t) for r in rows]
 
 
 def test_vectors(spark):

@@ -125,6 +125,14 @@ def test_texts(spark, tmp_path):
     assert files.ordered_text(df, ["file"], ["pos"], "text").first().text == "ab"
     files.write_texts(df, str(tmp_path / "o"), ["file"], ["pos"], "text")
     assert next((tmp_path / "o" / "file=f").glob("*.txt")).read_text() == "ab\n"
+    named = spark.createDataFrame([(1, "x/y", "a\nb"), (2, "", None), (3, "é", "")], "i int, title string, text string").withColumn("name", files.text_name(F.col("i"), F.col("title")))
+    for _ in range(2):
+        assert files.write_named_texts(named, str(tmp_path / "n"), "name", "text") == 3
+    assert {p.name: p.read_bytes() for p in (tmp_path / "n").iterdir()} == {"1.x_y.txt": b"a\nb", "2..txt": b"", "3.é.txt": b""}
+    assert sorted(r.text for r in files.read_texts(spark, str(tmp_path / "n")).collect()) == ["a\nb"]
+    (tmp_path / "n" / "c.json").write_text('[\n {"title": "t",\n  "content": "x"}\n]')
+    assert [(r.title, r.content) for r in files.read_json_arrays(spark, str(tmp_path / "n")).collect()] == [("t", "x")]
+    assert files.write_named_texts(named.limit(0), str(tmp_path / "none"), "name", "text") == 0
     ocr = {"input_path": "p", "rec_texts": ["a"], "rec_scores": [0.5], "rec_polys": [[[0.0, 1.0]]]}
     (tmp_path / "j").mkdir()
     (tmp_path / "j" / "o.json").write_text(json.dumps(ocr))
