@@ -13,13 +13,24 @@ def zip_chapters(a: DataFrame, b: DataFrame, index: str) -> DataFrame:
     return a.join(b, index)
 
 
+#: Numbers that are ranked together.
+SUFFIXES = 1 << 16
+
+
 def pair_by_suffix(a: DataFrame, b: DataFrame, name_a: str, name_b: str) -> DataFrame:
-    """Names of two folders paired in order of the number after the last underscore; the shorter side decides."""
+    """Names of two folders paired in order of the number after the last underscore; the shorter side decides.
+
+    Ranks count within ranges of numbers, after the names of all lower ranges, so
+    no task orders a whole folder; names without a number come first and are one range.
+    """
 
     def ranked(df, name):
         number = F.regexp_extract(F.element_at(F.split(name, "_"), -1), r"(\d+)", 1).try_cast("long")
-        # the names of one folder are a list for one machine
-        return df.select(name).withColumn("rank", F.row_number().over(Window.orderBy(number, name)))
+        rows = df.select(F.col(name), number.alias("__number")).withColumn("__range", F.coalesce(F.floor(F.col("__number") / SUFFIXES), F.lit(-1)))
+        lower = rows.groupBy("__range").agg(F.count("*").alias("__n"))
+        lower = lower.select("__range", (F.sum("__n").over(Window.orderBy("__range")) - F.col("__n")).alias("__before"))
+        own = F.row_number().over(Window.partitionBy("__range").orderBy("__number", name))
+        return rows.withColumn("__own", own).join(lower, "__range").select(name, (F.col("__before") + F.col("__own")).cast("int").alias("rank"))
 
     return ranked(a, name_a).join(ranked(b, name_b), "rank").select("rank", name_a, name_b)
 

@@ -1,6 +1,7 @@
 """Goldens and properties of the operators."""
 
 import random
+import re
 import time
 
 import numpy as np
@@ -270,3 +271,12 @@ def test_models_and_regeneration(spark):
     df = spark.createDataFrame([(0, "p\nlast", "old"), (1, "p\nx", "keep"), (2, "p\ny", None)], "k int, prompt string, out string")
     got = rows(models.regenerate(df, F.col("out") == "old", F.col("prompt"), models.EchoGenerator(), "out").select("k", "out").fillna("null"))
     assert got == [(0, "last"), (1, "keep"), (2, "null")]
+
+
+def test_pairs_by_suffix_equal_a_plain_sort(spark):
+    draw = random.Random(1)
+    a = [f"x_{draw.randint(0, 400_000)}" for _ in range(500)] + ["none", "y", "z_7", "a_7b"]
+    b = a[100:400]
+    number = lambda s: ((lambda m: int(m.group(1)) if m else -1)(re.search(r"(\d+)", s.split("_")[-1])), s)
+    pairs = align.pair_by_suffix(spark.createDataFrame([(x,) for x in a], "a string"), spark.createDataFrame([(x,) for x in b], "b string"), "a", "b")
+    assert [tuple(r) for r in pairs.orderBy("rank").collect()] == [(i + 1, x, y) for i, (x, y) in enumerate(zip(sorted(a, key=number), sorted(b, key=number)))]
