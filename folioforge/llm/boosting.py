@@ -1,7 +1,9 @@
-"""Histogram gradient boosting for small tables of features, in numpy.
+"""Histogram gradient boosting in numpy.
 
-Training tables are bounded samples on the driver; scoring is vectorised and
-runs wherever rows are.
+Boosted trees need nothing of the rows but sums by node, feature and bin, taken
+level by level: from arrays here, from a table on the executors in `spread`. The
+additive model's training tables are bounded samples on the driver. Scoring is
+vectorised and runs wherever rows are.
 """
 
 from __future__ import annotations
@@ -10,6 +12,11 @@ from dataclasses import dataclass
 
 import numpy as np
 
+#: Bins of a feature, at most.
+BINS = 32
+#: Gradients are rounded to this part of one, so that their sums are exact and trees the same however rows are dealt out and ordered.
+UNITS = 2.0**24
+
 
 def quantile_bins(column: np.ndarray, most: int) -> np.ndarray:
     """Ascending cut points; value v is in bin searchsorted(cuts, v, 'right')."""
@@ -29,6 +36,145 @@ def log_odds(y: np.ndarray) -> float:
     return float(np.log(p / (1 - p)))
 
 
+def rounded(column: np.ndarray) -> np.ndarray:
+    """Values to sixteen significant bits, so that there is a bounded number of them."""
+    return (column.astype(np.float32).view(np.int32) & np.int32(-256)).view(np.float32).astype(float)
+
+
+def counted_bins(values: np.ndarray, counts: np.ndarray, most: int = BINS) -> np.ndarray:
+    """quantile_bins, given the distinct values in order and how many rows have each."""
+    ends = counts.cumsum()
+    if not len(values) or not ends[-1]:
+        return np.zeros(0)
+    at = np.linspace(0, 1, most + 1)[1:-1] * (ends[-1] - 1)
+    low, high = (values[np.searchsorted(ends, rank(at), side="right")] for rank in (np.floor, np.ceil))
+    return np.unique(low + (high - low) * (at % 1))
+
+
+def model_cuts(columns: list[tuple[np.ndarray, np.ndarray]]) -> list[list[np.ndarray]]:
+    """Cut points of each model and feature, given each feature's distinct values and their counts by fold."""
+    folds = columns[0][1].shape[1]
+    return [[counted_bins(v, n.sum(axis=1) - (n[:, m - 1] if m else 0)) for v, n in columns] for m in range(folds + 1)]
+
+
+def model_bins(x: np.ndarray, cuts: list[list[np.ndarray]]) -> np.ndarray:
+    """Bins by row, model and feature."""
+    return np.stack([binned(x, c) for c in cuts], axis=1).astype(np.uint8)
+
+
+def tree_nodes(b: np.ndarray, features: np.ndarray, places: np.ndarray, levels: int) -> np.ndarray:
+    """The nodes that rows of bins reach some levels down; a row goes right if its bin is the node's place or above."""
+    node, rows = np.zeros(len(b), int), np.arange(len(b))
+    for d in range(levels):
+        at = 2**d - 1 + node
+        node = 2 * node + (b[rows, features[at]] >= places[at])
+    return node
+
+
+def add_trees(z: np.ndarray, b: np.ndarray, trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+    """Adds to the scores, a column for each model, what trees (features, places, leaves; by model) give."""
+    for features, places, leaves in trees:
+        levels = leaves.shape[1].bit_length() - 1
+        for m in range(z.shape[1]):
+            z[:, m] += leaves[m][tree_nodes(b[:, m], features[m], places[m], levels)]
+
+
+def level_sums(b: np.ndarray, y: np.ndarray, fold: np.ndarray, z: np.ndarray, features: np.ndarray, places: np.ndarray, level: int, seen: np.ndarray, width: int) -> np.ndarray:
+    """Gradients and curvatures in UNITS by model, node of the level, feature of `seen` and bin; model m has no rows of fold m - 1."""
+    n = 2**level
+    out = np.zeros((z.shape[1], n, len(seen), width, 2))
+    for m in range(z.shape[1]):
+        p, own = sigmoid(z[:, m]), fold != m - 1
+        g, h = np.rint((y - p) * own * UNITS), np.rint(p * (1 - p) * own * UNITS)
+        node = tree_nodes(b[:, m], features[m], places[m], level) * width
+        for i, j in enumerate(seen):
+            at = node + b[:, m, j]
+            out[m, :, i, :, 0] = np.bincount(at, g, n * width).reshape(n, width)
+            out[m, :, i, :, 1] = np.bincount(at, h, n * width).reshape(n, width)
+    return out
+
+
+class HeldRows:
+    """Training rows in arrays: features, labels, folds from 0 on; counts are rows and positive ones, of all and of each fold."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, fold: np.ndarray | None = None):
+        self.x, self.y, self.folds = x, y.astype(float), 0 if fold is None else int(fold.max(initial=-1)) + 1
+        self.fold = np.zeros(len(y), int) if fold is None else fold
+        parts = [self.y[self.fold == f] for f in range(self.folds)]
+        self.counts = np.array([(len(part), int(part.sum())) for part in (self.y, *parts)])
+
+    def cuts(self) -> list[list[np.ndarray]]:
+        columns = []
+        for j in range(self.x.shape[1]):
+            values, place = np.unique(rounded(self.x[:, j]), return_inverse=True)
+            counts = np.zeros((len(values), max(1, self.folds)), int)
+            np.add.at(counts, (place, self.fold), 1)
+            columns.append((values, counts))
+        return model_cuts(columns)[: self.folds + 1]
+
+    def start(self, cuts: list[list[np.ndarray]], bias: np.ndarray) -> None:
+        self.b, self.z = model_bins(self.x, cuts), np.tile(bias, (len(self.y), 1))
+
+    def sums(self, *level) -> np.ndarray:
+        return level_sums(self.b, self.y, self.fold, self.z, *level)
+
+    def add(self, tree: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        add_trees(self.z, self.b, [tree])
+
+    def score_counts(self, steps: int) -> np.ndarray:
+        return score_counts(self.z, self.y, self.fold, steps)
+
+
+def score_counts(z: np.ndarray, y: np.ndarray, fold: np.ndarray, steps: int) -> np.ndarray:
+    """How many rows and how many positive ones have each score, rounded down to steps, by the model without the row's fold."""
+    at = (sigmoid(z[np.arange(len(z)), fold + 1]) * steps).astype(int)
+    return np.stack([np.bincount(at, minlength=steps + 1), np.bincount(at, y, steps + 1).astype(int)], axis=1)
+
+
+def best_splits(sums: np.ndarray, cuts: list[list[np.ndarray]], seen: np.ndarray, ridge: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(feature, place, sums to its left and right) by model and node, given level_sums; nodes that gain nothing send all to the left."""
+    models, nodes, _, width, _ = sums.shape
+    left = sums.cumsum(axis=3)[:, :, :, :-1]
+    all_ = sums[:, :, :1].sum(axis=3, keepdims=True)
+    score = lambda s: s[..., 0] ** 2 / (s[..., 1] + ridge)
+    gain = score(left) + score(all_ - left) - score(all_)
+    known = np.array([[len(c[j]) for j in seen] for c in cuts])
+    gain = np.where(np.arange(width - 1) < known[:, None, :, None], gain, -1)
+    gain = gain.reshape(models, nodes, -1)
+    at = gain.argmax(axis=2)
+    ok = np.take_along_axis(gain, at[..., None], 2)[..., 0] > 1e-9
+    sides = np.take_along_axis(left.reshape(models, nodes, -1, 2), at[..., None, None], 2)[:, :, 0]
+    all_ = all_[:, :, 0, 0]
+    sides = np.where(ok[..., None], sides, all_)
+    feature, place = np.where(ok, seen[at // (width - 1)], 0), np.where(ok, at % (width - 1) + 1, width)
+    return feature, place, np.stack([sides, all_ - sides], axis=2)
+
+
+def grow(rows, rounds: int = 60, depth: int = 3, rate: float = 0.2, ridge: float = 1.0, columns: float = 0.5) -> list[BoostedTrees]:
+    """Trees on all rows, then those without the rows of each fold; rows are HeldRows or a class like it.
+
+    Each round's trees see a seeded choice of that share of the columns, so that equally good ones all have a say.
+    """
+    draw, cuts = np.random.default_rng(0), rows.cuts()
+    n, positive = np.r_[rows.counts[:1], rows.counts[0] - rows.counts[1:]].T
+    bias = np.log((positive + 1) / (n - positive + 1))
+    models, width = len(n), BINS
+    rows.start(cuts, bias)
+    trees = [[] for _ in n]
+    for _ in range(rounds if n[0] else 0):
+        seen = draw.permutation(len(cuts[0]))[: max(1, round(columns * len(cuts[0])))]
+        features, places = np.zeros((models, 2**depth - 1), int), np.full((models, 2**depth - 1), width)
+        for d in range(depth):
+            at = slice(2**d - 1, 2 ** (d + 1) - 1)
+            features[:, at], places[:, at], sides = best_splits(rows.sums(features, places, d, seen, width) / UNITS, cuts, seen, ridge)
+        leaves = rate * (sides[..., 0] / (sides[..., 1] + ridge)).reshape(models, -1)
+        rows.add((features, places, leaves))
+        for m in range(models):
+            values = [cuts[m][j][k - 1] if k < width else np.inf for j, k in zip(features[m], places[m])]
+            trees[m].append((features[m], np.array(values), leaves[m]))
+    return [BoostedTrees(depth, float(b), t) for b, t in zip(bias, trees)]
+
+
 @dataclass
 class BoostedTrees:
     """Boosted trees of fixed depth on the logistic loss; each tree is (features, cuts, leaves) of a full tree."""
@@ -38,41 +184,8 @@ class BoostedTrees:
     trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32, ridge: float = 1.0, columns: float = 0.5) -> BoostedTrees:
-        """Each tree sees a seeded choice of that share of the columns, so that equally good ones all have a say."""
-        draw = np.random.default_rng(0)
-        cuts = [quantile_bins(x[:, j], bins) for j in range(x.shape[1])]
-        b = binned(x, cuts)
-        bias = log_odds(y)
-        z, trees, width = np.full(len(y), bias), [], bins + 1
-        for _ in range(rounds if len(y) else 0):
-            p = sigmoid(z)
-            g, h = y - p, p * (1 - p)
-            node = np.zeros(len(y), int)
-            features, values = np.zeros(2**depth - 1, int), np.full(2**depth - 1, np.inf)
-            seen = draw.permutation(x.shape[1])[: max(1, round(columns * x.shape[1]))]
-            for d in range(depth):
-                first, n = 2**d - 1, 2**d
-                best = np.full(n, 1e-9)
-                where = np.full((n, 2), -1)
-                for j in seen:
-                    at = node * width + b[:, j]
-                    gs = np.bincount(at, g, n * width).reshape(n, width).cumsum(1)
-                    hs = np.bincount(at, h, n * width).reshape(n, width).cumsum(1)
-                    gl, hl, gt, ht = gs[:, :-1], hs[:, :-1], gs[:, -1:], hs[:, -1:]
-                    gain = gl**2 / (hl + ridge) + (gt - gl) ** 2 / (ht - hl + ridge) - gt**2 / (ht + ridge)
-                    k = gain.argmax(1)
-                    top = gain[np.arange(n), k]
-                    better = (top > best) & (k < len(cuts[j]))
-                    best[better], where[better] = top[better], np.stack([np.full(n, j), k], 1)[better]
-                for i in range(n):
-                    if where[i, 0] >= 0:
-                        features[first + i], values[first + i] = where[i, 0], cuts[where[i, 0]][where[i, 1]]
-                node = node * 2 + (x[np.arange(len(y)), features[first + node]] >= values[first + node])
-            leaves = rate * np.bincount(node, g, 2**depth) / (np.bincount(node, h, 2**depth) + ridge)
-            z += leaves[node]
-            trees.append((features, values, leaves))
-        return cls(depth, bias, trees)
+    def fit(cls, x: np.ndarray, y: np.ndarray, **how) -> BoostedTrees:
+        return grow(HeldRows(x, y), **how)[0]
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         z = np.full(len(x), self.bias)

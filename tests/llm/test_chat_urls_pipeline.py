@@ -1,6 +1,7 @@
 """Chat formatting, URL filters, and the pipeline against a plain version."""
 
 import collections
+import functools
 import hashlib
 import math
 import random
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioforge.llm import chat, quality, urls
-from folioforge.llm.boosting import AdditiveModel
+from folioforge.llm.boosting import AdditiveModel, grow
 from folioforge.llm.catalog import tokenizer_path
 from test_texts import plain_groups, plain_leaks, plain_lines
 
@@ -135,6 +136,26 @@ def test_trees_that_know_nothing_block_nothing():
     assert 0.5 <= known < 0.95 and urls.block_threshold(x, np.ones(600), fold) <= 1
 
 
+def test_all_labelled_urls_are_fitted(spark, monkeypatch):
+    """More labelled URLs than were fitted once, in arrays and in passes over the executors: the same trees, from all of them."""
+    rng = random.Random(4)
+    rows = [(f"http://h{rng.randrange(900)}.{rng.choice(['com', 'net', 'org'])}/{'x' * rng.randrange(9)}/{i}", rng.random() < 0.3) for i in range(20_700)]
+    rows = [(u + "?id=1", True) if i % 50 == 0 else (u, bad and "xxxxx" in u) for i, (u, bad) in enumerate(rows)]
+    df = spark.createDataFrame([*rows, *rows[:40], (None, True), ("http://a.org/", None)], "url string, blocked boolean")
+    statistics = urls.suffix_statistics(df)
+    monkeypatch.setattr(urls, "grow", functools.partial(grow, rounds=12), raising=False)
+    fitted = []
+    for held in (10**6, 0):
+        monkeypatch.setattr(urls, "HELD", held, raising=False)
+        fitted.append(urls.fit_urls(df, statistics))
+        bad = sum(b for _, b in rows)
+        assert fitted[-1][1].bias == pytest.approx(math.log((bad + 1) / (len(rows) - bad + 1)), abs=1e-12)
+    (rate, trees, threshold), (rate_2, trees_2, threshold_2) = fitted
+    assert (rate, threshold) == (rate_2, threshold_2) and 0.5 <= threshold < 1
+    for one, two in zip(trees.trees, trees_2.trees, strict=True):
+        assert all((a == b).all() for a, b in zip(one, two))
+
+
 def test_model_learns_from_labels(spark):
     suffix = ["com", "net", "org"]
     rows = [(i, f"http://{'shop' if i % 2 else 'news'}{i % 7}.{suffix[i % 3]}/{'es' if i % 2 else 'de'}/{i}", None) for i in range(300)]
