@@ -10,6 +10,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -388,6 +389,18 @@ def test_sketches_are_compared_alike_at_every_size(monkeypatch):
         assert nearcopies.has_neighbour(sketch, parts).tolist() == near.any(axis=1).tolist()
 
 
+def test_shared_bytes_are_tallied():
+    """Within the radius in a triple's posting: too few shared positional bytes are no candidate; by a smallest hash they are."""
+    rng = np.random.default_rng(3)
+    one = rng.integers(0, 256, 64, dtype=np.uint8)
+    for equal in (3, nearcopies.SHARED - 1, nearcopies.SHARED, 64):
+        other = one ^ (np.arange(64) >= equal).astype(np.uint8)
+        for number in (0, nearcopies.TRIPLES - 1, nearcopies.TRIPLES):
+            columns = [pa.array([number << 56 | 7] * 2), pa.array([4, 2]), pa.array([4, 2]), pa.array([one.tobytes(), other.tobytes()], pa.binary())]
+            got = [m.tolist() for c in nearcopies._candidates([pa.RecordBatch.from_arrays(columns, ["key", "node", "part", "fp"])]) for m in c["members"]]
+            assert got == ([[2, 4]] if equal >= nearcopies.SHARED or number == nearcopies.TRIPLES else [])
+
+
 def test_columns_may_have_any_name(spark):
     """Inner names of earlier versions and of this one as columns of the input."""
     names = ["own", "Nth", "doc", "keys", "__own", "__nth", "__doc", "__keys", "hi", "node", "part", "least"]
