@@ -1,12 +1,13 @@
-"""The registered queries of the ten operators: production parameters over whole tables."""
+"""The registered queries of the operators: production parameters over whole tables."""
 
 from __future__ import annotations
 
+import zlib
 from functools import cache
 
 from pyspark.sql import functions as F
 
-from folioforge.llm import bpe, chat, decontaminate, licenses, linededup, lm, media, quality, simhash, urls
+from folioforge.llm import bpe, chat, decontaminate, licenses, linededup, lm, media, quality, runs, simhash, urls
 from folioforge.llm.common import documents
 
 QUERIES: dict = {}
@@ -133,3 +134,18 @@ def op9_decontamination(spark, sf_dir):
 @query("op10_quality")
 def op10_quality(spark, sf_dir):
     return quality.score_quality(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+def planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words, in every tenth document periodic from some word on."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    first = h // 10 % n
+    period = 1 + (n - first) // (3 + h // 10 % 8)
+    return words[:first] + [words[first + i % period] for i in range(n - first)]
+
+
+@query("op11_runs")
+def op11_runs(spark, sf_dir):
+    return runs.periodic_runs(documents(spark, sf_dir), edit=planted_period, keep=False)
