@@ -7,7 +7,7 @@ from functools import cache
 
 from pyspark.sql import functions as F
 
-from folioforge.llm import bpe, chat, decontaminate, licenses, linededup, lm, media, quality, runs, simhash, urls
+from folioforge.llm import bpe, chat, decontaminate, licenses, linededup, lm, media, quality, ranking, runs, simhash, urls
 from folioforge.llm.common import documents
 
 QUERIES: dict = {}
@@ -149,3 +149,21 @@ def planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
 @query("op11_runs")
 def op11_runs(spark, sf_dir):
     return runs.periodic_runs(documents(spark, sf_dir), edit=planted_period, keep=False)
+
+
+OP12_SQL = r"""
+WITH bags AS (SELECT doc_id, regexp_extract_all(lower_az(coalesce(text, '')), '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+') AS w FROM documents),
+docs AS (SELECT row_number() OVER () AS d, doc_id, w, len(w)::BIGINT AS n FROM bags WHERE len(w) > 0),
+sizes AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM docs),
+postings AS (SELECT d, doc_id, n, t, count(*)::BIGINT AS tf FROM (SELECT d, doc_id, n, unnest(w) AS t FROM docs) GROUP BY d, doc_id, n, t),
+weights AS (SELECT t, floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM postings CROSS JOIN sizes GROUP BY t, n_docs),
+wanted AS (SELECT DISTINCT item_id, text, unnest(regexp_extract_all(lower_az(coalesce(text, '')), '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+')) AS t FROM benchmark),
+scores AS (SELECT item_id, text, d, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM wanted JOIN postings USING (t) JOIN weights USING (t) CROSS JOIN sizes GROUP BY item_id, text, d, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 10
+""".replace("lower_az(coalesce(text, ''))", LOWER_SQL.format("coalesce(text, '')")).replace("\\\\", "\\")
+
+
+@query("op12_ranking", OP12_SQL)
+def op12_ranking(spark, sf_dir):
+    return ranking.rank_documents(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
