@@ -7,7 +7,7 @@ from functools import cache
 
 from pyspark.sql import functions as F
 
-from folioforge.llm import bpe, chat, decontaminate, licenses, linededup, lm, media, quality, ranking, runs, simhash, urls
+from folioforge.llm import bpe, chat, decontaminate, licenses, linededup, lm, media, quality, ranking, runs, simhash, urls, warc
 from folioforge.llm.common import documents
 
 QUERIES: dict = {}
@@ -167,3 +167,18 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (SELECT *, row_number(
 @query("op12_ranking", OP12_SQL)
 def op12_ranking(spark, sf_dir):
     return ranking.rank_documents(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+#: SHA-1 digests as base32: 160 bits by five; DuckDB has the digest in hexadecimal.
+OP13_SQL = """
+WITH digests AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+bits AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i: ('0b' || lpad(bin(strpos('0123456789abcdef', h[i]) - 1), 4, '0'))[3:]), '') AS b FROM digests),
+named AS (SELECT page_id, payload_bytes, html, array_to_string(list_transform(range(0, 32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(list_transform(range(1, 6), lambda k: b[5 * i + k]::BIGINT << (5 - k)))::BIGINT]), '') AS payload_digest FROM bits),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first, row_number() OVER (PARTITION BY html ORDER BY page_id) AS nth FROM named)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN nth > 1 THEN first END AS refers_to FROM firsts
+"""
+
+
+@query("op13_warc", OP13_SQL)
+def op13_warc(spark, sf_dir):
+    return warc.archive_pages(documents(spark, sf_dir, "pages")).select(F.col("key").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")

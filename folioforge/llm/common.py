@@ -70,17 +70,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def stage(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
+def stage(df: DataFrame, tag: str, by: str | None = None, tidy: bool = True) -> DataFrame:
     """Writes df once to the shared folder, in folders by the column `by` if that is given, and returns a frame that reads it.
 
     Cuts the lineage: losing executors later costs a read, not the work before.
+    tidy has the driver collect its garbage, which small tables need not.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/folioforge/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path, partitionBy=by)
-    # shuffle files of finished steps go only when the driver collects its garbage
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    if tidy:  # shuffle files of finished steps go only when the driver collects its garbage
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
     out._staged = path
     return out
