@@ -17,7 +17,7 @@ def projection(polygon: Column, nx: Column, ny: Column) -> tuple[Column, Column]
     return F.array_min(on_axis), F.array_max(on_axis)
 
 
-def _normals(polygon: Column) -> Column:
+def edge_normals(polygon: Column) -> Column:
     """Unit normals of the edges that have a length."""
     n = F.size(polygon)
 
@@ -38,7 +38,7 @@ def overlap_gap(a: Column, b: Column) -> Column:
         lo_b, hi_b = projection(b, v["x"], v["y"])
         return F.least(hi_a - lo_b, hi_b - lo_a)
 
-    return F.array_min(F.transform(F.concat(_normals(a), _normals(b)), gap))
+    return F.array_min(F.transform(F.concat(edge_normals(a), edge_normals(b)), gap))
 
 
 def polygons_overlap(a: Column, b: Column, threshold: float = 0.0) -> Column:
@@ -88,3 +88,65 @@ def line_intersection(a: Column, b: Column, c: Column, d: Column) -> Column:
     vx, vy = d["x"] - c["x"], d["y"] - c["y"]
     t = F.try_divide((c["x"] - a["x"]) * vy - (c["y"] - a["y"]) * vx, ux * vy - uy * vx)
     return F.when(t.isNotNull(), point(a["x"] + t * ux, a["y"] + t * uy))
+
+
+def point_distance(a: Column, b: Column) -> Column:
+    dx, dy = a["x"] - b["x"], a["y"] - b["y"]
+    return F.sqrt(dx * dx + dy * dy)
+
+
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _put(items: Column, at: Column, value: Column) -> Column:
+    return F.transform(items, lambda v, k: F.when(k == at, value).otherwise(v))
+
+
+def _first_corners(points: Column, canvas: Column) -> Column:
+    """For each corner of the canvas the point nearest to it; of two neighbouring corners with the same point, the one
+    whose second choice is nearer to its own canvas corner takes that."""
+    ranked = F.transform(canvas, lambda c: F.slice(F.sort_array(F.transform(points, lambda p, k: F.struct(point_distance(c, p).alias("d"), k.alias("k"), p.alias("p")))), 1, 2))
+
+    def settle(near):
+        def step(quad, i):
+            j = (i + 1) % 4
+            a, b = F.get(F.get(near, i), 1), F.get(F.get(near, j), 1)
+            first = a["d"] < b["d"]
+            moved = _put(quad, F.when(first, i).otherwise(j), F.when(first, a["p"]).otherwise(b["p"]))
+            return F.when((F.size(points) > 1) & (F.get(quad, i) == F.get(quad, j)), moved).otherwise(quad)
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(3)), F.transform(near, lambda n: F.get(n, 0)["p"]), step)
+
+    return _let(ranked, settle)
+
+
+def merged_quad(points: Column, width: Column, height: Column) -> Column:
+    """One quadrilateral around the points of some polygons, corners in order from the canvas's upper left.
+
+    Each corner starts at a point near a canvas corner. Then every point that lies
+    outside, the furthest first, moves the nearer end of the edge that was next to
+    it to where that end's other edge meets the line through the point; parallel
+    lines move nothing.
+    """
+    canvas = F.array(point(0, 0), point(width, 0), point(width, height), point(0, height))
+
+    def widen(start):
+        def edge(p):
+            return F.array_min(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.struct(segment_distance(F.get(start, i), F.get(start, (i + 1) % 4), p).alias("d"), i.alias("i"))))
+
+        near = lambda p, k: _let(edge(p), lambda e: F.struct((-e["d"]).alias("d"), k.alias("k"), e["i"].alias("i"), p.alias("p")))
+        far = F.sort_array(F.transform(points, near))
+
+        def step(quad, row):
+            p, i, j = row["p"], row["i"], (row["i"] + 1) % 4
+            a, b = F.get(quad, i), F.get(quad, j)
+            nearer = point_distance(a, p) < point_distance(b, p)
+            moved = F.when(nearer, line_intersection(a, F.get(quad, (i + 3) % 4), p, b)).otherwise(line_intersection(b, F.get(quad, (i + 2) % 4), p, a))
+            wider = _let(moved, lambda m: F.when(m.isNull(), quad).otherwise(_put(quad, F.when(nearer, i).otherwise(j), m)))
+            return F.when(point_in_polygon(quad, p), quad).otherwise(wider)
+
+        return F.aggregate(far, start, step)
+
+    return _let(_first_corners(points, canvas), widen)

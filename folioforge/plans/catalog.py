@@ -788,11 +788,59 @@ def box_groups(spark, sf_dir):
     return boxes.merge_boxes(sized, "l_orderkey", "box", "quad").select("l_orderkey", "group", "n_boxes")
 
 
-@query("merge_bboxes")
+def _merged_sql() -> str:
+    """Corners are settled one after another, then points from the furthest one on move them; lists count from 1."""
+    near = "list_transform(range(1, 5), lambda c: list_sort(list_transform(range(1, len(px) + 1), lambda k: {'d': sqrt((cx[c] - px[k]) * (cx[c] - px[k]) + (cy[c] - py[k]) * (cy[c] - py[k])), 'k': k}))[1:2])"
+    steps, last = "", "c0"
+    for i in range(1, 5):
+        j = i % 4 + 1
+        first = f"near[{i}][2].d < near[{j}][2].d"
+        same = f"len(px) > 1 AND px[q[{i}]] = px[q[{j}]] AND py[q[{i}]] = py[q[{j}]]"
+        at = lambda k: f"CASE WHEN {same} AND {first} AND {k} = {i} THEN near[{i}][2].k WHEN {same} AND NOT ({first}) AND {k} = {j} THEN near[{j}][2].k ELSE q[{k}] END"  # noqa: E731, B023
+        steps += f"c{i} AS (SELECT * EXCLUDE (q), [{', '.join(at(k) for k in range(1, 5))}] AS q FROM {last}),\n"
+        last = f"c{i}"
+    t = "greatest(0.0::DOUBLE, least(1.0::DOUBLE, coalesce(CASE WHEN ex * ex + ey * ey <> 0 THEN (ox * ex + oy * ey) / (ex * ex + ey * ey) END, 0.0::DOUBLE)))"
+    inside = lambda op: " AND ".join(f"(qx[{i % 4 + 1}] - qx[{i}]) * (p_y - qy[{i}]) - (qy[{i % 4 + 1}] - qy[{i}]) * (p_x - qx[{i}]) {op} 0" for i in range(1, 5))
+    return f"""WITH RECURSIVE b AS MATERIALIZED {BOXES_SQL}, o AS MATERIALIZED (SELECT l_orderkey, c.box AS a, d.box AS b FROM b c JOIN b d USING (l_orderkey)
+ WHERE least(c.x + c.w - d.x, d.x + d.w - c.x) >= 0 AND least(c.y + c.h - d.y, d.y + d.h - c.y) >= 0),
+ r AS (SELECT l_orderkey, box, box AS seen FROM b UNION SELECT r.l_orderkey, r.box, o.b FROM r JOIN o ON o.l_orderkey = r.l_orderkey AND o.a = r.seen),
+ g AS MATERIALIZED (SELECT l_orderkey, g, count(*) AS n_boxes, flatten(list([x, x + w, x + w, x] ORDER BY box)) AS px, flatten(list([y, y, y + h, y + h] ORDER BY box)) AS py,
+ [0.0, 160.0, 160.0, 0.0]::DOUBLE[] AS cx, [0.0, 0.0, 120.0, 120.0]::DOUBLE[] AS cy FROM (SELECT l_orderkey, box, min(seen) AS g FROM r GROUP BY l_orderkey, box) JOIN b USING (l_orderkey, box) GROUP BY l_orderkey, g),
+ n AS MATERIALIZED (SELECT *, {near} AS near FROM g WHERE n_boxes > 1),
+ c0 AS (SELECT *, list_transform(near, lambda x: x[1].k) AS q FROM n),
+ {steps} s AS MATERIALIZED (SELECT l_orderkey, g, px, py, list_transform(q, lambda k: px[k]) AS qx, list_transform(q, lambda k: py[k]) AS qy FROM c4),
+ e AS (SELECT l_orderkey, g, k, i, px[k] AS p_x, py[k] AS p_y, qx[i + 1] - qx[i] AS ex, qy[i + 1] - qy[i] AS ey, px[k] - qx[i] AS ox, py[k] - qy[i] AS oy FROM
+ (SELECT l_orderkey, g, px, py, list_append(qx, qx[1]) AS qx, list_append(qy, qy[1]) AS qy, unnest(range(1, len(px) + 1)) AS k FROM s) CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS i)),
+ d AS (SELECT l_orderkey, g, k, i, p_x, p_y, sqrt((ox - t * ex) * (ox - t * ex) + (oy - t * ey) * (oy - t * ey)) AS d FROM (SELECT *, {t} AS t FROM e)),
+ w AS MATERIALIZED (SELECT l_orderkey, g, p_x, p_y, i, row_number() OVER (PARTITION BY l_orderkey, g ORDER BY d DESC, k) AS nth FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, g, k ORDER BY d, i) AS own FROM d) WHERE own = 1),
+ f AS (SELECT l_orderkey, g, 0::BIGINT AS nth, qx, qy FROM s
+ UNION ALL SELECT l_orderkey, g, nth, list_transform([1, 2, 3, 4], lambda z: CASE WHEN z = spot AND NOT within AND t IS NOT NULL THEN ax + t * (bx - ax) ELSE qx[z] END), list_transform([1, 2, 3, 4], lambda z: CASE WHEN z = spot AND NOT within AND t IS NOT NULL THEN ay + t * (by_ - ay) ELSE qy[z] END) FROM
+ (SELECT *, CASE WHEN (bx - ax) * (dy - p_y) - (by_ - ay) * (dx - p_x) <> 0 THEN ((p_x - ax) * (dy - p_y) - (p_y - ay) * (dx - p_x)) / ((bx - ax) * (dy - p_y) - (by_ - ay) * (dx - p_x)) END AS t FROM
+ (SELECT *, qx[spot] AS ax, qy[spot] AS ay, qx[along] AS bx, qy[along] AS by_, qx[other] AS dx, qy[other] AS dy FROM
+ (SELECT *, CASE WHEN nearer THEN i ELSE j END AS spot, CASE WHEN nearer THEN (i + 2) % 4 + 1 ELSE (i + 1) % 4 + 1 END AS along, CASE WHEN nearer THEN j ELSE i END AS other FROM
+ (SELECT w.l_orderkey, w.g, w.nth, w.p_x, w.p_y, w.i, w.i % 4 + 1 AS j, f.qx, f.qy, ({inside(">=")}) OR ({inside("<=")}) AS within,
+ sqrt((qx[w.i] - p_x) * (qx[w.i] - p_x) + (qy[w.i] - p_y) * (qy[w.i] - p_y)) < sqrt((qx[w.i % 4 + 1] - p_x) * (qx[w.i % 4 + 1] - p_x) + (qy[w.i % 4 + 1] - p_y) * (qy[w.i % 4 + 1] - p_y)) AS nearer
+ FROM f JOIN w ON w.l_orderkey = f.l_orderkey AND w.g = f.g AND w.nth = f.nth + 1))))),
+ a AS (SELECT l_orderkey, g, n_boxes, px AS qx, py AS qy FROM g WHERE n_boxes = 1 UNION ALL SELECT l_orderkey, g, n_boxes, f.qx, f.qy FROM f JOIN g USING (l_orderkey, g) WHERE n_boxes > 1 AND nth = len(px))
+ SELECT l_orderkey, g AS "group", n_boxes::INTEGER AS n_boxes, {", ".join(f"round(q{c}[{i}], 6) + 0.0 AS {c}{i}" for i in range(1, 5) for c in "xy")} FROM a"""
+
+
+def _corners(merged):
+    at = [(F.round(F.get("quad", i - 1)[c], 6) + 0.0).alias(f"{c}{i}") for i in range(1, 5) for c in "xy"]
+    return merged.select("l_orderkey", "group", "n_boxes", *at)
+
+
+@query("merge_bboxes", _merged_sql())
 def merge_bboxes(spark, sf_dir):
     sized = _quads(spark, sf_dir).withColumn("width", F.lit(160.0)).withColumn("height", F.lit(120.0))
-    merged = boxes.merge_boxes(sized, "l_orderkey", "box", "quad")
-    return merged.select("l_orderkey", "group", "n_boxes", F.to_json("quad").alias("quad"))
+    return _corners(boxes.merge_boxes(sized, "l_orderkey", "box", "quad"))
+
+
+@query("merge_bboxes_tiled", _merged_sql())
+def merge_bboxes_tiled(spark, sf_dir):
+    """All pages as large ones are: grids, rounds and expressions."""
+    sized = _quads(spark, sf_dir).withColumn("width", F.lit(160.0)).withColumn("height", F.lit(120.0))
+    return _corners(boxes.merge_boxes(sized, "l_orderkey", "box", "quad", small_page=0))
 
 
 # --- markup and chunking --------------------------------------------------------------------------------------------

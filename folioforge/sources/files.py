@@ -114,6 +114,13 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/folioforge/{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df written once under the shared folder and read from there: losing executors later costs a read, not the work before."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def with_contents(chapters: DataFrame, file: str = "file", index: str = "chapter_idx", title: str = "title", text: str = "content") -> DataFrame:
     """Chapters moved up by one place, with a first one that lists the titles of those that have a text."""
     listed = ordered_text(chapters.filter(F.length(text) > 0), [file], [index], title, "\n")

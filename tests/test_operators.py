@@ -1,5 +1,6 @@
 """Goldens and properties of the operators."""
 
+import math
 import random
 import re
 import time
@@ -254,6 +255,47 @@ def test_boxes(spark):
     assert tuple(quad.min(0)) <= (0, 0) and tuple(quad.max(0)) >= (3, 3)
 
 
+def _turned(rng, n, far, pages=3):
+    """Turned rectangles of very different sizes, some of them points, lines and copies."""
+    out = []
+    for i in range(n):
+        w, h, a, x, y = rng.choice([0, 1, 3, 40]), rng.choice([1, 2, 30]), rng.choice([0, 0.3, 1.2]), rng.uniform(-far, far), rng.uniform(-far, far)
+        turn = lambda u, v: {"x": x + u * math.cos(a) - v * math.sin(a), "y": y + u * math.sin(a) + v * math.cos(a)}  # noqa: E731, B023
+        out.append((f"p{i % pages}", i, [turn(0, 0), turn(w, 0), turn(w, h), turn(0, h)] if rng.random() < 0.9 or not out else out[-1][2]))
+    return out
+
+
+@pytest.mark.parametrize("threshold", [0.0, 1.5])
+def test_tiles_find_what_all_pairs_find(spark, threshold):
+    made = _turned(random.Random(4), 150, 60) + [("p0", 900, None), ("p1", 901, [{"x": float("nan"), "y": 0.0}]), (None, 902, [{"x": 0.0, "y": 0.0}])]
+    df = spark.createDataFrame(made, f"page string, box int, poly {boxes.QUAD}")
+    tiled, whole = (rows(boxes.overlapping_pairs(df, "page", "box", "poly", threshold, small)) for small in (0, 1000))
+    plain = [(p, i, j) for p, i, a in made for q, j, b in made if p and p == q and i < j and j < 900 and boxes.overlap([(v["x"], v["y"]) for v in a], [(v["x"], v["y"]) for v in b], threshold)]
+    assert len(plain) > 80
+    assert tiled == whole
+    # polygons without width overlap all along their line in the plain test
+    flat = {i for _, i, a in made if a and len({(v["x"], v["y"]) for v in a}) < 3}
+    assert [r for r in tiled if not {r[1], r[2]} & flat] == sorted(r for r in plain if not {r[1], r[2]} & flat)
+
+
+@pytest.mark.parametrize("local", [0, 100_000])
+def test_large_pages_are_merged_alike(spark, monkeypatch, local):
+    monkeypatch.setattr(boxes, "LOCAL_PAIRS", local)
+    made = [(p, i, q, 200.0, 150.0) for p, i, q in _turned(random.Random(6), 120, 70) if len({(v["x"], v["y"]) for v in q}) == 4]
+    df = spark.createDataFrame(made, f"page string, box int, poly {boxes.QUAD}, width double, height double")
+    spread, local = (sorted((r.page, r.group, r.n_boxes, [(round(p.x, 9), round(p.y, 9)) for p in r.quad]) for r in boxes.merge_boxes(df, "page", "box", "poly", small_page=small).collect()) for small in (0, 1000))
+    assert spread == local and any(r[2] > 3 for r in spread)
+
+
+def test_a_page_of_many_boxes_costs_what_it_finds(spark):
+    """100,000 boxes of one page: candidates stay near the overlaps among them."""
+    n = spark.range(100_000).select(F.lit("p").alias("page"), "id", (F.col("id") % 400 * 10.0).alias("x"), (F.floor(F.col("id") / 400) * 10.0).alias("y"))
+    df = n.select("page", "id", boxes.quad_column(F.col("x"), F.col("y"), F.lit(9.0) + F.col("id") % 3, F.lit(8.0)).alias("poly"))
+    candidates = boxes.candidate_pairs(df, "page", "id", "poly").count()
+    hits = boxes.overlapping_pairs(df, "page", "id", "poly").count()
+    assert hits > 50_000 and candidates <= 1.1 * hits
+
+
 def test_glossary_both_ways(spark, monkeypatch):
     entries = spark.createDataFrame([(0, "A", "X", "i", ["foo", "zz"]), (1, "B", "Y", "", ["q"]), (2, "C", "Z", "", ["none"])], "entry int, jp string, tw string, info string, match array<string>")
     texts = spark.createDataFrame([(1, "a foo q"), (2, "zz"), (3, ""), (4, None)], "k int, text string")
