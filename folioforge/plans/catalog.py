@@ -584,6 +584,12 @@ def glossary_match(spark, sf_dir):
     return _glossary_matches(spark, sf_dir).select("doc_id", "entry")
 
 
+@query("glossary_match_parts", f"SELECT doc_id, entry FROM {MATCHES_SQL}")
+def glossary_match_parts(spark, sf_dir):
+    """A glossary of several parts."""
+    return glossary.match_glossary(_documents(spark, sf_dir), "text", _glossary(spark, sf_dir), ["doc_id"], 500).select("doc_id", "entry")
+
+
 @query("glossary_prompt", f"SELECT doc_id, string_agg({ENTRY_SQL}, chr(10) ORDER BY entry) AS prompt, count(*)::BIGINT AS n FROM {MATCHES_SQL} GROUP BY doc_id")
 def glossary_prompt(spark, sf_dir):
     return glossary.glossary_prompts(_glossary_matches(spark, sf_dir), ["doc_id"])

@@ -296,12 +296,21 @@ def test_a_page_of_many_boxes_costs_what_it_finds(spark):
     assert hits > 50_000 and candidates <= 1.1 * hits
 
 
-def test_glossary_both_ways(spark, monkeypatch):
+@pytest.mark.parametrize("part_chars", [1, 4, 10**6])
+def test_glossary_in_any_number_of_parts(spark, part_chars):
+    entries = spark.createDataFrame(
+        [(0, "A", "X", "i", ["foo", "zz"]), (1, "B", "Y", "", ["q", None, ""]), (2, "C", "Z", "", ["none"]), (0, "A", "X", "i", ["foo", "zz"]), (0, "D", "W", "", ["oo"]), (5, "E", "", "", None)],
+        "entry int, jp string, tw string, info string, match array<string>",
+    )
+    texts = spark.createDataFrame([(1, "a foo q"), (2, "zz"), (3, ""), (4, None), (2, "zz")], "k int, text string")
+    found = rows(glossary.match_glossary(texts, "text", entries, ["k"], part_chars).select("k", "entry", "jp"))
+    assert found == sorted([(1, 0, "A"), (1, 0, "A"), (1, 0, "D"), (1, 1, "B")] + [(2, 0, "A")] * 4)
+    assert glossary.match_glossary(texts, "text", entries.limit(0), ["k"], part_chars).count() == 0
+
+
+def test_glossary_prompts(spark):
     entries = spark.createDataFrame([(0, "A", "X", "i", ["foo", "zz"]), (1, "B", "Y", "", ["q"]), (2, "C", "Z", "", ["none"])], "entry int, jp string, tw string, info string, match array<string>")
     texts = spark.createDataFrame([(1, "a foo q"), (2, "zz"), (3, ""), (4, None)], "k int, text string")
-    small = rows(glossary.match_glossary(texts, "text", entries, ["k"]).select("k", "entry"))
-    monkeypatch.setattr(glossary, "BROADCAST_BYTES", 0)
-    assert small == rows(glossary.match_glossary(texts, "text", entries, ["k"]).select("k", "entry")) == [(1, 0), (1, 1), (2, 0)]
     prompts = glossary.glossary_prompts(glossary.match_glossary(texts, "text", entries, ["k"]), ["k"])
     assert rows(prompts)[0] == (1, "A->X #i\nB->Y", 2)
 
