@@ -16,7 +16,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.operators.models import CharacterScorer, Embedder, HashedEmbedder, RegexTokenizer, Scorer
+from folioforge.functions import vectors as vectors_of
+from folioforge.operators.models import Batching, CharacterScorer, Embedder, HashedEmbedder, RegexTokenizer, Scorer, WindowScorer, embed_texts, text_key
+from folioforge.sources.files import stored
 
 # Budgets in characters, tokens and, for score-driven chunks, characters again.
 MAX_CHARS, MAX_TOKENS, MAX_SCORED = 1280, 896, 768
@@ -261,37 +263,62 @@ def rechunk_decay(df: DataFrame, keys: list[str], pos: str, text: str, loss: str
     return _grouped(df, keys, pos, [text, loss], CHUNKS, lambda g: _numbered(threshold_chunks(g[text], g[loss], threshold, decay, budget)))
 
 
+def _contexts(texts: list[str], back: int, ahead: int | None, fill: bool) -> Iterator[tuple[str, str]]:
+    """For each sentence but the first what is before it and what it is compared by, see similarity_distribution."""
+    tokens = [RegexTokenizer().tokens(t) for t in texts]
+
+    def whole(at, budget, step):
+        i, used, out = at, 0, []
+        while 0 <= i < len(texts) and (used + len(tokens[i]) <= budget or (step > 0 and i == at)):
+            out.append(texts[i])
+            used += len(tokens[i])
+            i += step
+        return "".join(out[::step])
+
+    for i in range(1, len(texts)):
+        before = full_context(texts, i, tokens, back) if fill else whole(i - 1, back, -1)
+        yield before, texts[i] if ahead is None else full_context(texts, i, tokens, ahead, True) if fill else whole(i, ahead, 1)
+
+
 def similarity_distribution(df: DataFrame, keys: list[str], pos: str, text: str, back: int = 2048, ahead: int | None = None, fill: bool = False, embedder: Embedder | None = None) -> DataFrame:
     """Each sentence's similarity to the context before it; the first has 1.
 
     back and ahead are token budgets; with ahead a sentence is compared with what
     follows it too. fill cuts the sentence that no longer fits instead of leaving
-    it out.
+    it out. Texts are embedded where they are made, one by one; for models that
+    want batches there is batched_similarity_distribution.
     """
     embedder = embedder or HashedEmbedder()
 
     def rows(g):
-        texts = g[text]
-        tokens = [RegexTokenizer().tokens(t) for t in texts]
         same = similarity_of(embedder)
+        scores = [1.0, *(same(a, b) for a, b in _contexts(g[text], back, ahead, fill))]
+        return {pos: g[pos], "sentence": g[text], "similarity": scores[: len(g[text])]}
 
-        def whole(at, budget, step):
-            i, used, out = at, 0, []
-            while 0 <= i < len(texts) and (used + len(tokens[i]) <= budget or (step > 0 and i == at)):
-                out.append(texts[i])
-                used += len(tokens[i])
-                i += step
-            return "".join(out[::step])
+    kind = df.schema[pos].dataType.simpleString()
+    return _grouped(df, keys, pos, [text], f"`{pos}` {kind}, sentence string, similarity double", rows)
 
-        def score(i):
-            before = full_context(texts, i, tokens, back) if fill else whole(i - 1, back, -1)
-            own = texts[i] if ahead is None else full_context(texts, i, tokens, ahead, True) if fill else whole(i, ahead, 1)
-            return same(before, own)
 
-        return {pos: g[pos], "sentence": texts, "similarity": [1.0 if i == 0 else score(i) for i in range(len(texts))]}
+def batched_similarity_distribution(
+    df: DataFrame, keys: list[str], pos: str, text: str, back: int = 2048, ahead: int | None = None, fill: bool = False, embedder: Embedder | None = None, batching: Batching = Batching()
+) -> DataFrame:
+    """similarity_distribution with contexts as rows: all distinct ones are embedded once, in batches of about the same
+    length, and their vectors joined back. (keys, pos) are distinct."""
+    embedder = embedder or HashedEmbedder()
+
+    def rows(g):
+        pairs = [(None, None), *_contexts(g[text], back, ahead, fill)][: len(g[text])]
+        return {pos: g[pos], "sentence": g[text], "before": [a for a, _ in pairs], "own": [b for _, b in pairs]}
 
     kind = df.schema[pos].dataType.simpleString()
-    return _grouped(df, keys, pos, [text], f"`{pos}` {kind}, sentence string, similarity double", rows)
+    contexts = stored(_grouped(df, keys, pos, [text], f"`{pos}` {kind}, sentence string, before string, own string", rows))
+    sides = F.explode(F.array(*(F.struct(F.lit(c).alias("side"), F.col(c).alias("text")) for c in ("before", "own"))))
+    texts = contexts.filter("before IS NOT NULL").select(*keys, pos, sides.alias("s")).select(*keys, pos, "s.*")
+    vectors = embed_texts(texts, "text", embedder, batching)
+    found = texts.select(*keys, pos, "side", text_key(F.col("text")).alias("key")).join(vectors, "key")
+    both = found.groupBy(*keys, pos).agg(*(F.first(F.when(F.col("side") == c, F.col("vector")), ignorenulls=True).alias(f"{c}_vector") for c in ("before", "own")))
+    similarity = F.when(F.col("before").isNull(), 1.0).otherwise(F.coalesce(vectors_of.cosine(F.col("before_vector"), F.col("own_vector")), F.lit(0.0)))
+    return contexts.join(both, [*keys, pos], "left").select(*keys, pos, "sentence", similarity.alias("similarity"))
 
 
 def perplexity_distribution(df: DataFrame, keys: list[str], pos: str, text: str, context_chars: int = 4096, scorer: Scorer | None = None) -> DataFrame:
@@ -311,3 +338,19 @@ def perplexity_distribution(df: DataFrame, keys: list[str], pos: str, text: str,
 
     kind = df.schema[pos].dataType.simpleString()
     return _grouped(df, keys, pos, [text], f"`{pos}` {kind}, sentence string, loss double, perplexity double", rows)
+
+
+def windowed_perplexity(df: DataFrame, keys: list[str], pos: str, text: str, window: int = 4096) -> DataFrame:
+    """perplexity_distribution by a window of tokens, the sentence's own included, whose counts are carried from sentence to sentence."""
+
+    def rows(g):
+        scorer, tokenizer = WindowScorer(window), RegexTokenizer()
+        losses = [scorer.loss(tokenizer.tokens(t)) for t in g[text]]
+        losses[:1] = [0.0]
+        x = np.array(losses, float)
+        perplexity = np.where(np.isnan(x), np.finfo(float).max, np.exp(x))
+        perplexity[:1] = 0.0
+        return {pos: g[pos], "sentence": g[text], "loss": x.tolist(), "perplexity": perplexity.tolist()}
+
+    kind = df.schema[pos].dataType.simpleString()
+    return _grouped(df, keys, pos, [text], f"`{pos}` {kind}, sentence string, loss double, perplexity double", rows)

@@ -10,15 +10,17 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
-from collections.abc import Iterator
-from typing import Protocol
+from collections import Counter, deque
+from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple, Protocol
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.functions.text import token_count
+
 
 class Tokenizer(Protocol):
     def tokens(self, text: str) -> list[str]: ...
@@ -36,6 +38,20 @@ class Generator(Protocol):
     def generate(self, prompts: list[str]) -> list[str]: ...
 
 
+class BatchGenerator(Protocol):
+    """Works on several requests at once and gives answers in any order."""
+
+    def submit(self, request: int, prompt: str) -> None: ...
+    def step(self) -> list[tuple[int, str]]: ...
+
+
+class Batching(NamedTuple):
+    """What a model takes at once: texts, and tokens when all are as long as the longest."""
+
+    sequences: int = 32
+    tokens: int = 32 * 514
+
+
 class RegexTokenizer:
     """Runs of ASCII letters and digits, and every other character that is not white space; what is between stays with the next."""
 
@@ -83,6 +99,31 @@ class CharacterScorer:
         return float(-np.mean([math.log((seen[c] + 1) / (total + kinds)) for c in text]))
 
 
+class WindowScorer:
+    """Losses of sentences one after another, under add-one unigrams of the tokens before each and its own.
+
+    The window holds a sentence and what is before it; counts are added and
+    taken away as it moves, so the work is in proportion to the tokens.
+    """
+
+    def __init__(self, window: int = 4096):
+        self.window, self.tokens, self.seen = window, deque(), Counter()
+
+    def loss(self, tokens: list[str]) -> float:
+        """The loss of the next sentence; NaN if it has no tokens."""
+        while self.tokens and len(self.tokens) + len(tokens) > self.window:
+            old = self.tokens.popleft()
+            self.seen[old] -= 1
+            if not self.seen[old]:
+                del self.seen[old]
+        own = Counter(tokens)
+        total = len(self.tokens) + len(self.seen) + sum(t not in self.seen for t in own)
+        loss = -sum(n * math.log((self.seen[t] + 1) / total) for t, n in own.items()) / len(tokens) if tokens else math.nan
+        self.tokens.extend(tokens)
+        self.seen.update(own)
+        return loss
+
+
 class EchoGenerator:
     """Answers a prompt with its last line."""
 
@@ -108,9 +149,113 @@ def generate_column(prompt: Column, generator: Generator) -> Column:
     return run(prompt)
 
 
-def embed_distinct(df: DataFrame, texts: list[str], embedder: Embedder) -> dict[str, DataFrame]:
-    """For each column of texts, (text, vector) with every distinct text embedded once."""
-    return {t: df.select(F.col(t).alias("text")).distinct().withColumn("vector", embed_column(F.col("text"), embedder)) for t in texts}
+class SteppedEcho:
+    """Answers with a prompt's last line, longer prompts later than shorter ones that came after them."""
+
+    def __init__(self):
+        self.left: dict[int, list] = {}
+
+    def submit(self, request: int, prompt: str) -> None:
+        self.left[request] = [1 + len(prompt) % 7, prompt.rsplit("\n", 1)[-1]]
+
+    def step(self) -> list[tuple[int, str]]:
+        for waiting in self.left.values():
+            waiting[0] -= 1
+        return [(r, self.left.pop(r)[1]) for r in [r for r, (n, _) in self.left.items() if n <= 0]]
+
+
+def packed(texts: Iterable[tuple[int, object]], batching: Batching) -> Iterator[list]:
+    """Items of (tokens, item), shortest first, in batches that the model takes; one too long for it is alone."""
+    batch: list = []
+    for n, item in texts:
+        if batch and (len(batch) == batching.sequences or (len(batch) + 1) * n > batching.tokens):
+            yield batch
+            batch = []
+        batch.append(item)
+    if batch:
+        yield batch
+
+
+def text_key(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def embed_texts(df: DataFrame, text: str, embedder: Embedder, batching: Batching = Batching()) -> DataFrame:
+    """(key, vector): every distinct text of a column once, key being its text_key; null is the empty text.
+
+    Texts are dealt by their keys and sorted by length within a task, so a batch
+    holds texts of about the same length.
+    """
+    texts = df.select(text_key(F.col(text)).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).dropDuplicates(["key"])
+    sized = texts.withColumn("n", token_count(F.col("text"))).sortWithinPartitions("n", "key")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = ((n, (k, t)) for b in batches for k, t, n in zip(b["key"], b["text"], b["n"]))
+        for batch in packed(rows, batching):
+            yield pd.DataFrame({"key": [k for k, _ in batch], "vector": list(embedder.embed([t for _, t in batch]))})
+
+    return sized.mapInPandas(run, "key string, vector array<double>")
+
+
+def embed_distinct(df: DataFrame, texts: list[str], embedder: Embedder, batching: Batching = Batching()) -> dict[str, DataFrame]:
+    """For each column of texts, (text, vector) with every distinct text embedded once, in batches."""
+    out = {}
+    for t in texts:
+        own = df.select(F.col(t).alias("text")).distinct()
+        out[t] = own.withColumn("key", text_key(F.col("text"))).join(embed_texts(own, "text", embedder, batching), "key").drop("key")
+    return out
+
+
+def continuous(requests: Iterator[tuple[int, str, int]], generator: BatchGenerator, sequences: int, tokens: int) -> Iterator[tuple[int, str]]:
+    """Answers of (request, prompt, tokens) as they come. A request is handed in as soon as those at work leave room for it;
+    one that needs more than all the tokens works alone."""
+    running: dict[int, int] = {}
+    used, ahead = 0, next(requests, None)
+    while running or ahead:
+        while ahead and len(running) < sequences and (used + ahead[2] <= tokens or not running):
+            generator.submit(ahead[0], ahead[1])
+            running[ahead[0]] = ahead[2]
+            used, ahead = used + ahead[2], next(requests, None)
+        for request, answer in generator.step():
+            used -= running.pop(request)
+            yield request, answer
+
+
+def answer_requests(df: DataFrame, ids: list[str], prompt: Column, generator: Callable[[], BatchGenerator], out: str = "response", sequences: int = 96, tokens: int = 81_920, answer_tokens: int = 2048) -> DataFrame:
+    """(ids, response) in whatever order the generator finishes; the ids, of any types, say to whom an answer goes.
+
+    Each task keeps a generator of its own busy with `sequences` requests and
+    `tokens` tokens at most, answer_tokens of which each request may add.
+    """
+    kinds = ", ".join(f"`{i}` {df.schema[i].dataType.simpleString()}" for i in ids)
+    text = F.coalesce(prompt, F.lit(""))
+    asked = df.select(*ids, text.alias("__prompt"), (token_count(text) + answer_tokens).alias("__tokens"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: dict[int, tuple] = {}
+
+        def requests():
+            number = 0
+            for batch in batches:
+                for row in batch.itertuples(index=False, name=None):
+                    waiting[number] = row[:-2]
+                    yield number, row[-2], row[-1]
+                    number += 1
+
+        done: list[tuple] = []
+        for request, answer in continuous(requests(), generator(), sequences, tokens):
+            done.append((*waiting.pop(request), answer))
+            if len(done) == 1000:
+                yield pd.DataFrame(done, columns=[*ids, out])
+                done = []
+        yield pd.DataFrame(done, columns=[*ids, out])
+
+    return asked.mapInPandas(run, f"{kinds}, `{out}` string")
+
+
+def route(df: DataFrame, answers: DataFrame, ids: list[str]) -> DataFrame:
+    """df with the answers joined to the rows whose ids, distinct ones, they carry."""
+    return df.join(answers, ids, "left")
 
 
 def answer(df: DataFrame, prompt: Column, generator: Generator, out: str = "response") -> DataFrame:

@@ -9,7 +9,7 @@ from folioforge.functions import geometry as geo
 from folioforge.functions import segmentation as seg
 from folioforge.functions import text as tx
 from folioforge.functions import vectors as vec
-from folioforge.operators import align, boxes, chunking, examine, glossary, models, repeats, windows
+from folioforge.operators import align, boxes, chunking, examine, glossary, models, ngrams, repeats, windows
 from folioforge.operators import corpus_stats as cs
 from folioforge.sources import files, markup
 
@@ -1023,6 +1023,64 @@ def perplexity_distribution(spark, sf_dir):
     return out.withColumn("loss", F.round("loss", 6)).withColumn("perplexity", F.round("perplexity", 6))
 
 
+@query("similarity_distribution_batched", _similarity_sql(512, 64, False))
+def similarity_distribution_batched(spark, sf_dir):
+    """Contexts as rows, distinct ones embedded in batches of similar length."""
+    out = chunking.batched_similarity_distribution(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", 512, 64)
+    return out.withColumn("similarity", F.round("similarity", 6))
+
+
+@query("embedded_texts", f"""WITH d AS MATERIALIZED (SELECT DISTINCT coalesce(text, '') AS t FROM conversations), t AS (SELECT t AS k, t || chr(10) AS t FROM d),
+ b AS MATERIALIZED ({UNNESTED_SQL.format(codes=CODES_SQL.format(text="t"), texts="t")}), v AS MATERIALIZED ({VECTOR_SQL.format(bigrams="b")})
+ SELECT md5(t) AS key, list_position(v, list_max(v))::INTEGER AS largest, round(CASE WHEN list_inner_product(v, v) > 0 THEN list_max(v) / sqrt(list_inner_product(v, v)) ELSE 0 END, 6) AS at_most FROM d LEFT JOIN v ON v.k = d.t""")
+def embedded_texts(spark, sf_dir):
+    """Every distinct turn once: the place and size of its vector's largest component."""
+    vectors = models.embed_texts(table(spark, sf_dir, "conversations"), "text", models.HashedEmbedder())
+    return vectors.select("key", F.array_position("vector", F.array_max("vector")).cast("int").alias("largest"), F.round(F.array_max("vector"), 6).alias("at_most"))
+
+
+@query(
+    "perplexity_distribution_tokens",
+    f"""WITH s AS (SELECT doc_id, pos, piece, {PIECE_PARTS_SQL.format(piece="piece")} AS t FROM {LINES_SQL}),
+ w AS MATERIALIZED (SELECT doc_id, flatten(list(t ORDER BY pos)) AS whole FROM s GROUP BY doc_id),
+ o AS (SELECT doc_id, pos, piece, t, sum(len(t)) OVER (PARTITION BY doc_id ORDER BY pos)::BIGINT - len(t) AS st FROM s),
+ c AS (SELECT doc_id, pos, piece, t, whole[greatest(st - greatest(4096 - len(t), 0), 0) + 1:st] AS x FROM o JOIN w USING (doc_id)),
+ m AS (SELECT *, CASE WHEN len(x) > 0 THEN list_aggregate(x, 'histogram') END AS seen FROM c),
+ l AS (SELECT doc_id, pos, piece, CASE WHEN pos = 0 THEN 0::DOUBLE ELSE -list_avg(list_transform(t, lambda k: ln((coalesce(seen[k], 0) + 1)::DOUBLE
+ / (len(x) + coalesce(cardinality(seen), 0) + len(list_filter(list_distinct(t), lambda d: seen[d] IS NULL)))))) END AS loss FROM m)
+ SELECT doc_id, pos::INTEGER AS pos, piece AS sentence, round(loss, 6) AS loss, round(CASE WHEN pos = 0 THEN 0 ELSE exp(loss) END, 6) AS perplexity FROM l""",
+)
+def perplexity_distribution_tokens(spark, sf_dir):
+    out = chunking.windowed_perplexity(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece")
+    return out.withColumn("loss", F.round("loss", 6)).withColumn("perplexity", F.round("perplexity", 6))
+
+
+@query(
+    "ngram_perplexity",
+    f"""WITH s AS (SELECT doc_id, pos, regexp_extract_all(piece, '[A-Za-z0-9]+|[^A-Za-z0-9 \t\n\r\f]') AS t FROM {LINES_SQL}),
+ f AS (SELECT doc_id, pos, t, coalesce(last_value(t[-1] IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS h FROM s),
+ p AS MATERIALIZED (SELECT doc_id, pos, unnest(list_prepend(h, t[:-2])) AS h, unnest(t) AS w FROM f WHERE len(t) > 0),
+ words AS (SELECT w, count(*) AS cw FROM p GROUP BY w), heads AS (SELECT h, count(*) AS ch FROM p GROUP BY h), pairs AS (SELECT h, w, count(*) AS c FROM p GROUP BY h, w),
+ z AS (SELECT sum(cw) + count(*) + 1 AS z FROM words),
+ q AS (SELECT h, w, ln((c + {ngrams.MASS} * (cw + 1) / z) / (ch + {ngrams.MASS})) AS lnp FROM pairs JOIN words USING (w) JOIN heads USING (h) CROSS JOIN z)
+ SELECT doc_id, pos::INTEGER AS pos, count(*)::BIGINT AS n_tokens, round(-avg(lnp), 6) AS loss, round(exp(-avg(lnp)), 6) AS perplexity FROM p JOIN q USING (h, w) GROUP BY doc_id, pos""",
+)
+def ngram_perplexity(spark, sf_dir):
+    """Sentences under a bigram model of the whole corpus; those without tokens have no perplexity."""
+    sentences = _sentences(spark, sf_dir)
+    model = ngrams.train(sentences, ["doc_id"], "pos", "piece")
+    out = ngrams.score_sentences(sentences, model, ["doc_id"], "pos", "piece").filter("n_tokens > 0")
+    return out.withColumn("loss", F.round("loss", 6)).withColumn("perplexity", F.round("perplexity", 6))
+
+
+@query("answers_routed", f"SELECT pair, md5(string_split(jp, chr(10))[-1]) AS answer_md5, length(tw)::INTEGER AS tw_chars FROM {PAIRS_SQL}")
+def answers_routed(spark, sf_dir):
+    """Answers that come in any order find their rows by request id."""
+    pairs = _pairs(spark, sf_dir)
+    answers = models.answer_requests(pairs, ["pair"], F.col("jp"), models.SteppedEcho)
+    return models.route(pairs, answers, ["pair"]).select("pair", F.md5(F.col("response").cast("binary")).alias("answer_md5"), F.length("tw").alias("tw_chars"))
+
+
 # --- the smaller rest -----------------------------------------------------------------------------------------------
 
 
@@ -1062,8 +1120,9 @@ def json_arrays(spark, sf_dir):
 
 @query("concat_by_role", "SELECT role, md5(string_agg(text, '' ORDER BY conv_id, turn)) AS text_md5 FROM conversations GROUP BY role")
 def concat_by_role(spark, sf_dir):
-    joined = files.ordered_text(table(spark, sf_dir, "conversations"), ["role"], ["conv_id", "turn"], "text")
-    return joined.select("role", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+    """One file for each role, written by all tasks, and its digest."""
+    joined = files.write_joined(table(spark, sf_dir, "conversations"), files.shared_folder(spark), "role", ["conv_id", "turn"], "text")
+    return files.file_digests(joined).select(F.col("name").alias("role"), F.col("md5").alias("text_md5"))
 
 
 @query("glossary_tokens", f"SELECT (sum(greatest(len(regexp_extract_all({ENTRY_SQL}, '[A-Za-z0-9]+|[^A-Za-z0-9 \\t\\n\\r\\f]')), 1)) + count(*) - 1)::BIGINT AS n_chars, count(*)::BIGINT AS n_entries FROM {GLOSSARY_SQL}")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CHAPTER = "array<struct<title:string,content:string>>"
@@ -103,6 +105,125 @@ def write_named_texts(df: DataFrame, path: str, name: str, text: str) -> int:
     return rows.agg(F.sum("n")).first()[0] or 0
 
 
+#: Bytes copied at once.
+COPIED = 1 << 20
+
+
+def _segments(df: DataFrame, root: str, name: str, order: list[str], text: str, separator: str) -> DataFrame:
+    """(name, part, segment, n_bytes): the rows in order of name and `order`, a file for each name of each range, stored as a list."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.select(F.col(name).cast("string").alias("name"), *(F.col(c).alias(f"o{i}") for i, c in enumerate(order)), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    by = ["name", *(f"o{i}" for i in range(len(order)))]
+    ranged = cut.repartitionByRange(n, *by).sortWithinPartitions(*by).select("name", "text", F.spark_partition_id().alias("part"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, at = fs.FileSystem.from_uri(root)
+        system.create_dir(at)
+        out, own, size, done = None, None, 0, []
+        for batch in batches:
+            for n, t, part in zip(batch["name"], batch["text"], batch["part"]):
+                if out is None or n != own:
+                    if out:
+                        out.close()
+                        done.append((own, part, path, size))
+                    own, path, size = n, f"{at}/.{uuid.uuid4().hex}", 0
+                    out = system.open_output_stream(path, compression=None)
+                    data = t.encode()
+                else:
+                    data = (separator + t).encode()
+                out.write(data)
+                size += len(data)
+        if out:
+            out.close()
+            done.append((own, part, path, size))
+        yield pd.DataFrame(done, columns=["name", "part", "segment", "n_bytes"])
+
+    return stored(ranged.mapInPandas(run, "name string, part int, segment string, n_bytes long"))
+
+
+def write_joined(df: DataFrame, root: str, name: str, order: list[str], text: str, separator: str = "", side_by_side: bool | None = None) -> DataFrame:
+    """One file for each name, all of its texts in order; returns (name, file, n_bytes).
+
+    Rows are sorted over all tasks by ranges of name and order, each range writes
+    a segment for every name in it, and sums of the segments' sizes say where in
+    its file a segment goes. On file systems that write at any place (`file:`, or as
+    side_by_side says) all segments are copied there at once; on others one task a
+    file copies its segments one after another. No text is ever held whole, a task
+    that runs again writes the same bytes, and a name with most of the rows is cut
+    into as many segments as there are ranges. Null texts are empty; rows that tie
+    in `order` stand in any order; names must do as file names.
+    """
+    places = side_by_side if side_by_side is not None else root.startswith(("file:", "/"))
+    segments, gap = _segments(df, root, name, order, text, separator), len(separator.encode())
+    earlier = Window.partitionBy("name").orderBy("part")
+    placed = segments.withColumn("first", F.row_number().over(earlier) == 1)
+    placed = placed.withColumn("n_bytes", F.col("n_bytes") + F.when(F.col("first"), 0).otherwise(gap))
+    placed = placed.withColumn("offset", F.sum("n_bytes").over(earlier) - F.col("n_bytes"))
+    files_ = placed.groupBy("name").agg(F.sum("n_bytes").alias("n_bytes"), F.sort_array(F.collect_list(F.struct("offset", "segment", "first"))).alias("segments"))
+
+    def blocks(system: fs.FileSystem, segment: str, first: bool) -> Iterator[bytes]:
+        if not first:
+            yield separator.encode()
+        with system.open_input_stream(segment, compression=None) as source:
+            while data := source.read(COPIED):
+                yield data
+
+    def at_once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, at = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for n, segment, offset, first in zip(batch["name"], batch["segment"], batch["offset"], batch["first"]):
+                with open(os.open(f"{at}/{n}", os.O_WRONLY | os.O_CREAT, 0o644), "wb") as out:
+                    out.seek(offset)
+                    for data in blocks(system, segment, first):
+                        out.write(data)
+            yield batch[["segment"]]
+
+    def in_turn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, at = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for n, own in zip(batch["name"], batch["segments"]):
+                part = f"{at}/.{uuid.uuid4().hex}"
+                with system.open_output_stream(part, compression=None) as out:
+                    for s in own:
+                        for data in blocks(system, s["segment"], s["first"]):
+                            out.write(data)
+                system.move(part, f"{at}/{n}")
+                yield pd.DataFrame({"segment": [s["segment"] for s in own]})
+
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copied = stored(placed.repartition(tasks).mapInPandas(at_once, "segment string") if places else files_.repartition(tasks).mapInPandas(in_turn, "segment string"))
+
+    def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, _ = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for segment in batch["segment"]:
+                if system.get_file_info(segment).is_file:  # a task that ran twice has removed it
+                    system.delete_file(segment)
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    copied.mapInPandas(remove, "n long").agg(F.sum("n")).first()
+    return stored(files_.select("name", F.concat(F.lit(f"{root}/"), "name").alias("file"), "n_bytes"))
+
+
+def file_digests(files: DataFrame, file: str = "file") -> DataFrame:
+    """The columns of files, and md5: digests of whole files, read in blocks."""
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            digests = []
+            for path in batch[file]:
+                system, own = fs.FileSystem.from_uri(path)
+                digest = hashlib.md5()
+                with system.open_input_stream(own, compression=None) as source:
+                    while data := source.read(COPIED):
+                        digest.update(data)
+                digests.append(digest.hexdigest())
+            yield batch.assign(md5=digests)
+
+    return files.mapInPandas(run, f"{kind}, md5 string")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder's path under the one that all executors share; only local masters do without the setting."""
     root = spark.conf.get("spark.checkpoint.dir", None)

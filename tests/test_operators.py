@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioforge.operators import align, boxes, chunking, examine, glossary, models, repeats, windows
+from folioforge.operators import align, boxes, chunking, examine, glossary, models, ngrams, repeats, windows
 from folioforge.operators import corpus_stats as cs
 
 
@@ -331,3 +331,108 @@ def test_pairs_by_suffix_equal_a_plain_sort(spark):
     number = lambda s: ((lambda m: int(m.group(1)) if m else -1)(re.search(r"(\d+)", s.split("_")[-1])), s)
     pairs = align.pair_by_suffix(spark.createDataFrame([(x,) for x in a], "a string"), spark.createDataFrame([(x,) for x in b], "b string"), "a", "b")
     assert [tuple(r) for r in pairs.orderBy("rank").collect()] == [(i + 1, x, y) for i, (x, y) in enumerate(zip(sorted(a, key=number), sorted(b, key=number)))]
+
+
+def test_batches_hold_texts_of_similar_length_within_the_limits():
+    sizes = sorted(random.Random(1).choices([1, 5, 9, 40, 200], k=300))
+    batches = list(models.packed(((n, n) for n in sizes), models.Batching(16, 160)))
+    assert [n for b in batches for n in b] == sizes
+    assert all(len(b) <= 16 and (len(b) * max(b) <= 160 or len(b) == 1) for b in batches)
+    assert len(batches) <= sum(sizes) / 80 + 20
+
+
+def test_distinct_texts_are_embedded_once_in_batches(spark):
+    class Counting:
+        """Vectors that end in the size of their batch."""
+
+        def embed(self, texts):
+            return np.array([[len(t), len(texts)] for t in texts], float)
+
+    texts = [("t" * (i % 50),) for i in range(400)] + [(None,), ("x" * 3000,)]
+    got = models.embed_texts(spark.createDataFrame(texts, "text string").repartition(3), "text", Counting(), models.Batching(8, 100)).collect()
+    assert len(got) == 51 and len({r.key for r in got}) == 51
+    assert sum(1 / r.vector[-1] for r in got) >= 51 / 8 - 1e-9 and all(r.vector[-1] <= 8 for r in got)
+    found = models.embed_distinct(spark.createDataFrame(texts, "text string"), ["text"], models.HashedEmbedder())["text"].collect()
+    assert len(found) == 52 and all(np.allclose(r.vector, models.HashedEmbedder().embed([r.text or ""])[0]) for r in found)
+
+
+@pytest.mark.parametrize("fill", [False, True])
+@pytest.mark.parametrize("ahead", [None, 9])
+def test_batched_similarities_are_the_same(spark, fill, ahead):
+    rng = random.Random(3)
+    df = spark.createDataFrame([(d, i, rng.choice(["ab cd, ", "ab. ", "x y z。", ""])) for d in range(4) for i in range(12)], "doc int, pos int, text string")
+    one, other = (f(df, ["doc"], "pos", "text", 12, ahead, fill).orderBy("doc", "pos").collect() for f in (chunking.similarity_distribution, chunking.batched_similarity_distribution))
+    assert [r[:3] for r in one] == [r[:3] for r in other]
+    assert np.allclose([r.similarity for r in one], [r.similarity for r in other])
+
+
+def test_windows_of_tokens_against_counting_anew():
+    rng = random.Random(2)
+    for window in (1, 5, 20):
+        scorer, before = models.WindowScorer(window), []
+        for _ in range(60):
+            own = rng.choices("abcdef", k=rng.randrange(0, 8))
+            seen = before[max(0, len(before) - max(0, window - len(own))) :]
+            total = len(seen) + len(set(seen) | set(own))
+            expected = -sum(math.log((seen.count(t) + 1) / total) for t in own) / len(own) if own else math.nan
+            assert scorer.loss(own) == pytest.approx(expected, nan_ok=True)
+            before += own
+
+
+def test_windows_of_tokens_cost_in_proportion():
+    tokens = [str(random.Random(5).random()) for _ in range(200_000)]
+    began = time.perf_counter()
+    scorer = models.WindowScorer(4096)
+    for i in range(0, len(tokens), 4):
+        scorer.loss(tokens[i : i + 4])
+    assert time.perf_counter() - began < 10 and len(scorer.tokens) <= 4096
+
+
+class Watched(models.SteppedEcho):
+    def __init__(self):
+        super().__init__()
+        self.most, self.order = 0, []
+
+    def submit(self, request, prompt):
+        super().submit(request, prompt)
+        self.most = max(self.most, len(self.left))
+
+    def step(self):
+        done = super().step()
+        self.order += [r for r, _ in done]
+        return done
+
+
+@pytest.mark.parametrize("sequences, tokens", [(1, 1000), (4, 50), (96, 81_920)])
+def test_requests_are_packed_and_answered_in_any_order(sequences, tokens):
+    rng = random.Random(9)
+    requests = [(i, "q\n" * rng.randrange(9) + f"a{i}", rng.choice([5, 20, 90])) for i in range(200)]
+    generator, size, running, most = Watched(), {i: n for i, _, n in requests}, set(), []
+
+    def handed():
+        for r in requests:
+            yield r
+
+    submit = generator.submit
+    generator.submit = lambda i, p: (running.add(i), most.append(sum(size[k] for k in running) if len(running) > 1 else 0), submit(i, p))
+    answers = []
+    for i, a in models.continuous(handed(), generator, sequences, tokens):
+        running.discard(i)
+        answers.append((i, a))
+    assert sorted(answers) == [(i, f"a{i}") for i, _, _ in requests]
+    assert generator.most <= sequences and max(most) <= tokens
+    assert sequences == 1 or generator.order != sorted(generator.order)
+
+
+def test_bigram_model_against_counting(spark):
+    made = [(1, 0, "a b a"), (1, 1, ""), (1, 2, "b, b"), (2, 0, None), (2, 1, "a c"), (2, 2, "a c")]
+    df = spark.createDataFrame(made, "doc int, pos int, text string")
+    model = ngrams.train(df.filter("doc = 1"), ["doc"], "pos", "text")
+    pairs = [("", "a"), ("a", "b"), ("b", "a"), ("a", "b"), ("b", ","), (",", "b")]
+    p1 = lambda w: (sum(v == w for _, v in pairs) + 1) / (6 + 3 + 1)
+    p2 = lambda h, w: (pairs.count((h, w)) + ngrams.MASS * p1(w)) / (sum(g == h for g, _ in pairs) + ngrams.MASS)
+    got = {(r.doc, r.pos): (r.n_tokens, r.loss) for r in ngrams.score_sentences(df, model, ["doc"], "pos", "text").collect()}
+    loss = lambda *p: -sum(math.log(p2(h, w)) for h, w in p) / len(p)
+    assert {k: n for k, (n, _) in got.items()} == {(1, 0): 3, (1, 1): 0, (1, 2): 3, (2, 0): 0, (2, 1): 2, (2, 2): 2}
+    assert math.isnan(got[1, 1][1]) and math.isnan(got[2, 0][1])
+    assert [got[k][1] for k in ((1, 0), (1, 2), (2, 1), (2, 2))] == pytest.approx([loss(*pairs[:3]), loss(*pairs[3:]), loss(("", "a"), ("a", "c")), loss(("c", "a"), ("a", "c"))])

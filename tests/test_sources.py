@@ -1,7 +1,9 @@
 """Archives, markup and files, on material built here."""
 
+import hashlib
 import io
 import json
+import random
 import zipfile
 
 import pytest
@@ -146,3 +148,19 @@ def test_streams(spark, tmp_path):
     docs = ingest.document_stream(spark, f"{tmp_path}/in", "doc_id long, text string, at timestamp")
     ingest.append_parquet(ingest.segmented(ingest.without_repeats(docs, "text", "at"), "doc_id", "text"), f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
     assert sorted(r.piece for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["a\n", "b", "c"]
+
+
+@pytest.mark.parametrize("side_by_side", [True, False])
+@pytest.mark.parametrize("separator", ["", " é\n"])
+def test_one_file_for_each_name_in_order(spark, tmp_path, side_by_side, separator):
+    rng = random.Random(7)
+    made = [("a" if rng.random() < 0.8 else rng.choice("bc"), i // 3, i % 3, rng.choice(["", None, "tü", "x" * 500])) for i in range(600)] + [("only", 0, 0, None)]
+    rng.shuffle(made)
+    df = spark.createDataFrame(made, "name string, i int, j int, text string").repartition(3)
+    got = files.write_joined(df, f"file://{tmp_path}/out", "name", ["i", "j"], "text", separator, side_by_side).collect()
+    expected = {n: separator.join(t or "" for m, _, _, t in sorted(made, key=lambda r: r[:3]) if m == n).encode() for n in ("a", "b", "c", "only")}
+    assert {r.name: (tmp_path / "out" / r.name).read_bytes() for r in got} == expected
+    assert {r.name: r.n_bytes for r in got} == {n: len(t) for n, t in expected.items()}
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["a", "b", "c", "only"]
+    assert {r.name: r.md5 for r in files.file_digests(files.write_joined(df, f"file://{tmp_path}/more", "name", ["i", "j"], "text", separator)).collect()} == {n: hashlib.md5(t).hexdigest() for n, t in expected.items()}
+    assert files.write_joined(df.limit(0), f"file://{tmp_path}/none", "name", ["i", "j"], "text").count() == 0
