@@ -13,11 +13,9 @@ of: two texts share one such key with a probability that is their similarity, so
 all of them miss 0.2 ** WORDS (3 in a million) of the pairs at 0.8.
 
 A posting's rows carry 32 further bits, so that members by mere chance drop out
-before the fingerprints are fetched. Within a triple's posting the shared positional bytes of a pair are
-tallied, pairs with SHARED or more are retained, and their bits are compared. Pairs
-that meet by a smallest hash need not share bytes: they have no tally, so that one
-which the count filter turns away still meets there, as does one without a common
-triple. Members of a posting whose retained fingerprints hang together within
+before the fingerprints are fetched. Within every posting, of triples and of smallest hashes, the
+shared positional bytes of a pair are tallied, pairs with SHARED or more are
+retained, and their bits are compared: no pair gets by the count filter. Members of a posting whose retained fingerprints hang together within
 RADIUS form a candidate group, equal groups are taken once, and
 within a group shingle sets are compared until everything is connected or
 compared. The keys come in two rounds: what the first has connected counts as one
@@ -43,7 +41,7 @@ SIMILARITY = 80
 TRIPLES, FIRST_ROUND = 48, 8
 #: Bits of 512 in which candidates may differ. At similarity 0.8 77 are expected, 96 where four shingles stand in five; deviations are below 9.
 RADIUS = 140
-#: Positional bytes of 64 that a pair in a triple's posting has to share. 17 are expected at similarity 0.8, a quarter of one, beside the triple, by chance.
+#: Positional bytes of 64 that a pair has to share. 17 are expected at similarity 0.8, a quarter of one by chance.
 SHARED = 5
 #: Of the 32 bits that travel with a triple's rows, those that may differ. At similarity 0.8 one pair in 500 differs in more; smallest hashes are not held against it.
 SKETCH_RADIUS = 10
@@ -184,10 +182,9 @@ def _likely(batches):
 def _candidates(batches):
     """members: the nodes of a posting that fingerprints connect, by tally and bits, if they have two parts or more."""
     for keys, nodes, parts, fps in _postings(batches, ["key", "node", "part", "fp"]):
-        shared = SHARED if keys[:1].view(np.uint64)[0] >> np.uint64(56) < TRIPLES else 0
         rows = np.frombuffer(b"".join(fps), np.uint64).reshape(len(fps), WORDS)
         label = np.arange(len(rows))
-        for i, j in spanning_links(rows, RADIUS, shared):  # i is linked before it links
+        for i, j in spanning_links(rows, RADIUS, SHARED):  # i is linked before it links
             label[j] = label[i]
         order = np.argsort(label, kind="stable")
         groups = np.split(order, np.flatnonzero(np.diff(label[order])) + 1)
@@ -205,7 +202,10 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 def verified_links(parts: np.ndarray, fps: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Places (i, j) of alike members, enough of them to connect what is connected; equal parts are connected already."""
     links, root, size = [], np.unique(parts, return_inverse=True)[1], np.array([len(s) for s in sets])
+    apart = int(root.max(initial=0))  # links that are missing until all is connected
     for i in range(len(sets) - 1):
+        if len(links) == apart:
+            break
         near = (root[i + 1 :] != root[i]) & (100 * np.minimum(size[i + 1 :], size[i]) >= SIMILARITY * np.maximum(size[i + 1 :], size[i]))
         near = np.flatnonzero(near) + i + 1
         near = near[np.bitwise_count(fps[near] ^ fps[i]).sum(axis=1, dtype=np.int64) <= RADIUS]
