@@ -14,7 +14,8 @@ import numpy as np
 
 #: Bins of a feature, at most.
 BINS = 32
-#: Gradients are rounded to this part of one, so that their sums are exact and trees the same however rows are dealt out and ordered.
+#: Gradients are rounded to this part of one and summed as whole numbers, so that trees are the same however rows are dealt out and ordered.
+#: A batch's sums are doubles, exact up to 2**29 rows; those of all rows have 63 bits, enough for 2**39.
 UNITS = 2.0**24
 
 
@@ -82,7 +83,7 @@ def add_trees(z: np.ndarray, b: np.ndarray, trees: list[tuple[np.ndarray, np.nda
 def level_sums(b: np.ndarray, y: np.ndarray, fold: np.ndarray, z: np.ndarray, features: np.ndarray, places: np.ndarray, level: int, seen: np.ndarray, width: int) -> np.ndarray:
     """Gradients and curvatures in UNITS by model, node of the level, feature of `seen` and bin; model m has no rows of fold m - 1."""
     n = 2**level
-    out = np.zeros((z.shape[1], n, len(seen), width, 2))
+    out = np.zeros((z.shape[1], n, len(seen), width, 2), np.int64)
     for m in range(z.shape[1]):
         p, own = sigmoid(z[:, m]), fold != m - 1
         g, h = np.rint((y - p) * own * UNITS), np.rint(p * (1 - p) * own * UNITS)

@@ -97,7 +97,7 @@ class SpreadRows:
             if isinstance(parts[0], np.ndarray):
                 yield {"shape": [list(parts[0].shape)], "sums": [parts[0].tobytes()]}
 
-        return sum(np.frombuffer(r.sums).reshape(r.shape) for r in self._each(run, "shape array<int>, sums binary").collect())
+        return sum(np.frombuffer(r.sums, np.int64).reshape(r.shape) for r in self._each(run, "shape array<int>, sums binary").collect())
 
     def add(self, tree: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
         self.since = [*self.since, tree]

@@ -7,8 +7,8 @@ trained from all distinct labelled URLs: by default those that a rule judges. Up
 to HELD of them are fitted on the driver, more by passes over the executors that
 bring it only sums; the trees are the same.
 
-Suffix statistics are counted over all distinct URLs, also those without a label:
-how many there are of a suffix, and which share of them is labelled as blocked.
+Suffix statistics are counted over all distinct URLs: how many there are of a
+suffix, with a label or without, and which share of the labelled ones is blocked.
 They are joined to the rows, so that there may be any number of suffixes. A URL
 that is fitted has its suffix's numbers without those of its own fold of hosts,
 so that the trees don't learn to read their own labels back. What the rules test
@@ -48,6 +48,8 @@ PRIOR = 4.0
 FOLDS = 5
 #: Share of rightly blocked URLs, among those of hosts that were not fitted, from which the trees may block.
 PRECISION = 0.9
+#: Numbers that are counted by suffix.
+COUNTS = ("seen", "known", "bad")
 #: Steps of a score in which the threshold is looked for.
 STEPS = 1 << 16
 
@@ -101,10 +103,10 @@ def lexical(url: str) -> list[float]:
     ]
 
 
-def feature_matrix(urls: list[str], seen: np.ndarray, blocked: np.ndarray, rate: float) -> np.ndarray:
-    """FEATURES of URLs, given how many others of their suffix there are and how many of those are blocked."""
+def feature_matrix(urls: list[str], seen: np.ndarray, blocked: np.ndarray, rate: float, known: np.ndarray | None = None) -> np.ndarray:
+    """FEATURES of URLs, given how many others of their suffix there are, how many of those are blocked and how many have a label (all, if not given)."""
     own = np.array([lexical(u) for u in urls], float).reshape(len(urls), len(FEATURES) - 2)
-    return np.column_stack([own, (blocked + PRIOR * rate) / (seen + PRIOR), np.log1p(seen)])
+    return np.column_stack([own, (blocked + PRIOR * rate) / ((seen if known is None else known) + PRIOR), np.log1p(seen)])
 
 
 def _host_keys(rows: DataFrame) -> DataFrame:
@@ -114,30 +116,36 @@ def _host_keys(rows: DataFrame) -> DataFrame:
 
 
 def suffix_statistics(labelled: DataFrame) -> DataFrame:
-    """(suffix, fold, seen, bad) over the distinct URLs of (url, blocked); a null label is not blocked."""
-    once = labelled.filter("url IS NOT NULL").groupBy("url").agg(F.max(F.coalesce(F.col("blocked"), F.lit(False))).alias("blocked"))
-    return _host_keys(once).groupBy("suffix", "fold").agg(F.count("*").alias("seen"), F.sum(F.col("blocked").cast("long")).alias("bad"))
+    """(suffix, fold, seen, known, bad) over the distinct URLs of (url, blocked): all, those with a label, those that are blocked."""
+    once = labelled.filter("url IS NOT NULL").groupBy("url").agg(F.max("blocked").alias("blocked"))
+    bad = F.coalesce(F.sum(F.col("blocked").cast("long")), F.lit(0))
+    return _host_keys(once).groupBy("suffix", "fold").agg(F.count("*").alias("seen"), F.count("blocked").alias("known"), bad.alias("bad"))
+
+
+def _suffix_sums(statistics: DataFrame) -> DataFrame:
+    """(suffix, seen, known, bad) of all folds."""
+    return statistics.groupBy("suffix").agg(*(F.sum(c).alias(c) for c in COUNTS))
 
 
 def labelled_rows(labelled: DataFrame, statistics: DataFrame, rate: float) -> DataFrame:
     """(x, y, fold) of each distinct labelled (url, blocked): FEATURES as bytes, with the suffix's numbers in the other folds."""
-    known = _host_keys(labelled.filter("url IS NOT NULL AND blocked IS NOT NULL").select("url", "blocked").distinct())
-    sums = statistics.groupBy("suffix").agg(F.sum("seen").alias("all_seen"), F.sum("bad").alias("all_bad"))
-    others = statistics.join(sums, "suffix").select("suffix", "fold", (F.col("all_seen") - F.col("seen")).alias("seen"), (F.col("all_bad") - F.col("bad")).alias("bad"))
+    rows = _host_keys(labelled.filter("url IS NOT NULL AND blocked IS NOT NULL").select("url", "blocked").distinct())
+    own, all_ = statistics.alias("own"), _suffix_sums(statistics).alias("all")
+    others = own.join(all_, "suffix").select("suffix", "fold", *((F.col(f"all.{c}") - F.col(f"own.{c}")).alias(c) for c in COUNTS))
 
     def run(batches):
         for batch in batches:
-            seen, bad = (batch.column(i).to_numpy().astype(float) for i in (3, 4))
-            x = feature_matrix(batch.column(0).to_pylist(), seen, bad, rate)
+            seen, known, bad = (batch.column(i).to_numpy().astype(float) for i in (3, 4, 5))
+            x = feature_matrix(batch.column(0).to_pylist(), seen, bad, rate, known)
             yield {"x": [row.tobytes() for row in x], "y": batch.column(1), "fold": batch.column(2)}
 
-    return map_rows(known.join(others, ["suffix", "fold"]).select("url", "blocked", "fold", "seen", "bad"), run, "x binary, y boolean, fold int")
+    return map_rows(rows.join(others, ["suffix", "fold"]).select("url", "blocked", "fold", *COUNTS), run, "x binary, y boolean, fold int")
 
 
 def fit_urls(labelled: DataFrame, statistics: DataFrame) -> tuple[float, BoostedTrees, float]:
     """(share of blocked URLs, trees, score from which they block) from all labelled (url, blocked)."""
-    sums = statistics.agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad")).first()
-    rate = ((sums.bad or 0) + 1) / ((sums.seen or 0) + 2)
+    sums = statistics.agg(F.sum("known").alias("known"), F.sum("bad").alias("bad")).first()
+    rate = ((sums.bad or 0) + 1) / ((sums.known or 0) + 2)
     table = stage(labelled_rows(labelled, statistics, rate), "url-features")
     rows = SpreadRows(table, len(FEATURES), FOLDS)
     if rows.counts[0][0] <= HELD:
@@ -185,12 +193,11 @@ def filter_urls(df: DataFrame, id_col: str = "page_id", url_col: str = "url", ru
         rate, trees, threshold = model.value
         for batch in batches:
             urls = [u or "" for u in batch.column(1).to_pylist()]
-            seen, bad = (np.array(batch.column(i).to_pylist(), float) for i in (5, 6))
-            score = trees.predict(feature_matrix(urls, seen, bad, rate))
+            seen, known, bad = (np.array(batch.column(i).to_pylist(), float) for i in (5, 6, 7))
+            score = trees.predict(feature_matrix(urls, seen, bad, rate, known))
             yield {id_col: batch.column(0), "host": batch.column(2), "path": batch.column(3), "rule": batch.column(4), "block_score": score, "bad": score >= threshold}
 
-    sums = statistics.groupBy("suffix").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"))
-    counted = parts.withColumn("suffix", suffix_of(F.col("host"))).join(sums, "suffix", "left")
-    rows = counted.select(id_col, "url", "host", "path", "rule", F.coalesce("seen", F.lit(0)).alias("seen"), F.coalesce("bad", F.lit(0)).alias("bad"))
+    counted = parts.withColumn("suffix", suffix_of(F.col("host"))).join(_suffix_sums(statistics), "suffix", "left")
+    rows = counted.select(id_col, "url", "host", "path", "rule", *(F.coalesce(c, F.lit(0)).alias(c) for c in COUNTS))
     scored = map_rows(rows, run, f"`{id_col}` {kind}, host string, path string, rule string, block_score double, bad boolean")
     return scored.withColumn("verdict", F.when(F.coalesce(by_rule, F.col("bad")), "block").otherwise("allow")).drop("bad")

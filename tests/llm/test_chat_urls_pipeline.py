@@ -4,6 +4,7 @@ import collections
 import functools
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -13,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioforge.llm import chat, quality, urls
-from folioforge.llm.boosting import AdditiveModel, grow
+from folioforge.llm.boosting import BINS, AdditiveModel, BoostedTrees, grow
 from folioforge.llm.catalog import tokenizer_path
 from test_texts import plain_groups, plain_leaks, plain_lines
 
@@ -136,6 +137,68 @@ def test_trees_that_know_nothing_block_nothing():
     assert 0.5 <= known < 0.95 and urls.block_threshold(x, np.ones(600), fold) <= 1
 
 
+def plain_boosting(x, y, rounds, depth, rate, ridge, columns):
+    """Scores by trying every cut of every node on its rows, with gradients as whole numbers."""
+    draw, units = np.random.default_rng(0), 2**24
+    cuts = [sorted(set(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1]).tolist())) for j in range(x.shape[1])]
+    z = [math.log((y.sum() + 1) / (len(y) - y.sum() + 1))] * len(y)
+    gain = lambda g, h: (g / units) ** 2 / (h / units + ridge)
+    for _ in range(rounds):
+        seen = draw.permutation(x.shape[1])[: max(1, round(columns * x.shape[1]))].tolist()
+        p = [1 / (1 + math.exp(-v)) for v in z]
+        g, h = [round((t - q) * units) for t, q in zip(y, p)], [round(q * (1 - q) * units) for q in p]
+        total = lambda rows: (sum(g[r] for r in rows), sum(h[r] for r in rows))
+        nodes = [list(range(len(y)))]
+        for _ in range(depth):
+            below = []
+            for rows in nodes:
+                best, sides = 1e-9, (rows, [])
+                for j in seen:
+                    for c in cuts[j]:
+                        left, right = [r for r in rows if x[r, j] < c], [r for r in rows if x[r, j] >= c]
+                        more = gain(*total(left)) + gain(*total(right)) - gain(*total(rows))
+                        if more > best + 1e-12:
+                            best, sides = more, (left, right)
+                below += sides
+            nodes = below
+        for rows in nodes:
+            sum_g, sum_h = total(rows)
+            for r in rows:
+                z[r] += rate * (sum_g / units) / (sum_h / units + ridge)
+    return [1 / (1 + math.exp(-v)) for v in z]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_boosted_trees_against_plain_ones(seed):
+    rng = np.random.default_rng(seed)
+    x = np.column_stack([rng.integers(0, 12, 90), rng.integers(0, 3, 90), rng.integers(0, 40, 90), np.full(90, 7)]).astype(float)
+    y = ((x[:, 0] + 4 * x[:, 1] + rng.integers(0, 9, 90)) > 14).astype(float)
+    for how in ({"rounds": 12, "depth": 3, "rate": 0.2, "ridge": 1.0, "columns": 0.5}, {"rounds": 5, "depth": 2, "rate": 0.5, "ridge": 0.1, "columns": 1.0}):
+        assert BoostedTrees.fit(x, y, **how).predict(x) == pytest.approx(plain_boosting(x, y, **how), abs=1e-9)
+    for ones in (np.zeros(90), np.ones(90)):
+        assert BoostedTrees.fit(x, ones, rounds=3).predict(x) == pytest.approx(plain_boosting(x, ones, 3, 3, 0.2, 1.0, 0.5), abs=1e-9)
+
+
+def test_threshold_against_every_score():
+    rng = np.random.default_rng(3)
+    for most in (0.3, 0.6, 0.95):
+        counts = np.zeros((101, 2), int)
+        for s, bad in zip(rng.integers(0, 101, 80), rng.random(80) < most):
+            counts[s] += 1, bad
+        good = [s for s in range(101) if counts[s, 0] and counts[s:, 1].sum() >= urls.PRECISION * counts[s:, 0].sum()]
+        assert urls.lowest_score(counts) == (max(0.5, min(good) / 100) if good else np.inf)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="the driver's tables are not here")
+def test_trees_decide_where_no_rule_fits(spark):
+    """On the driver's pages the score, not a constant, decides; unlabelled URLs of a suffix don't dilute its share of blocked ones."""
+    got = urls.filter_urls(spark.read.parquet("/root/testdata/sf0.1/pages.parquet")).filter("rule IS NULL").collect()
+    scores = {v: [r.block_score for r in got if r.verdict == v] for v in ("allow", "block")}
+    assert scores["allow"] and scores["block"] and max(scores["allow"]) < min(scores["block"])
+    diluted = urls.feature_matrix(["http://a.net/"], np.array([800.0]), np.array([200.0]), 0.5, np.array([200.0]))[0]
+    assert diluted[urls.FEATURES.index("suffix_block")] == pytest.approx(202 / 204)
+
+
 def test_all_labelled_urls_are_fitted(spark, monkeypatch):
     """More labelled URLs than were fitted once, in arrays and in passes over the executors: the same trees, from all of them."""
     rng = random.Random(4)
