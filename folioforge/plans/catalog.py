@@ -309,7 +309,21 @@ def repeated_ngrams(spark, sf_dir):
     return cs.ngram_counts(_documents(spark, sf_dir), "doc_id", "text", 6, 3)
 
 
-@query("repeated_content")
+@query(
+    "repeated_content",
+    f"""WITH RECURSIVE t AS MATERIALIZED (SELECT conv_id, turn, text, length(text)::INTEGER AS size FROM conversations),
+ w AS (SELECT conv_id, turn, text, size, unnest(range(size))::INTEGER AS x FROM t),
+ c AS MATERIALIZED (SELECT *, CASE WHEN x + {repeats.MIN_LEN} > size THEN 1 ELSE (size - length(replace(text, substr(text, x + 1, {repeats.MIN_LEN}), ''))) // {repeats.MIN_LEN} END AS n FROM w),
+ f AS (SELECT conv_id, turn, x, n, CASE WHEN n > 1 THEN coalesce(list_filter(range({repeats.MIN_LEN + 1}, least({repeats.MAX_LEN}, size - x) + 1),
+ lambda k: (size - length(replace(text, substr(text, x + 1, k), ''))) // k < n)[1], 0) ELSE 0 END AS fall FROM c),
+ g AS MATERIALIZED (SELECT conv_id, turn, list(fall ORDER BY x) AS falls, list(n ORDER BY x) AS ns FROM f GROUP BY conv_id, turn),
+ r AS (SELECT conv_id, turn, 0::BIGINT AS x, falls FROM g
+ UNION ALL SELECT conv_id, turn, x + greatest(falls[x + 1], 1), falls FROM r WHERE x + greatest(falls[x + 1], 1) < len(falls)),
+ p AS (SELECT conv_id, turn, CASE WHEN g.falls[x + 1] > 0 THEN substr(text, x + 1, g.falls[x + 1] - 1) ELSE substr(text, x + 1) END AS pattern, ns[x + 1] AS n
+ FROM (SELECT conv_id, turn, x FROM r) JOIN g USING (conv_id, turn) JOIN t USING (conv_id, turn) WHERE ns[x + 1] >= {repeats.REPEATS} AND (g.falls[x + 1] > 0 OR size - x < {repeats.MAX_LEN})),
+ m AS (SELECT conv_id, turn, pattern, max(n) AS n FROM p GROUP BY conv_id, turn, pattern)
+ SELECT pattern, arg_max(n, (turn, conv_id))::INTEGER AS n FROM m GROUP BY pattern""",
+)
 def repeated_content(spark, sf_dir):
     return repeats.merged_repeats(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text")
 
@@ -600,6 +614,19 @@ def glossary_prompt_compat(spark, sf_dir):
     return glossary.glossary_prompts(_glossary_matches(spark, sf_dir), ["doc_id"], compat=True)
 
 
+@query(
+    "glossary_files",
+    f"SELECT (row_number() OVER (PARTITION BY jp[1] ORDER BY entry) - 1)::INTEGER AS entry, jp, tw, info, array_to_string(match, '|') AS match FROM {GLOSSARY_SQL}",
+)
+def glossary_files(spark, sf_dir):
+    """A glossary file for each initial, written and read back; entries are numbered within their file."""
+    entries = _glossary(spark, sf_dir).withColumn("initial", F.substring("jp", 1, 1))
+    name = F.concat(F.hex(F.coalesce("initial", F.lit(""))), F.lit(".json"))
+    at = files.shared_folder(spark)
+    files.write_named_texts(files.json_arrays(entries, "initial", ["entry"], ["jp", "tw", "info", "match"]).withColumn("name", name), at, "name", "text")
+    return files.read_glossary(spark, at).withColumn("match", F.array_join("match", "|"))
+
+
 @query("glossary_size", f"SELECT (sum(length({ENTRY_SQL})) + count(*) - 1)::BIGINT AS n_chars, count(*)::BIGINT AS n_entries FROM {GLOSSARY_SQL}")
 def glossary_size(spark, sf_dir):
     return glossary.glossary_size(_glossary(spark, sf_dir))
@@ -656,6 +683,44 @@ def json_files(spark, sf_dir):
     return back.select(F.regexp_extract("file", r"file=(-?\d+)/", 1).cast("long").alias("conv_id"), "turn", "role", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+OCR_SQL = "(SELECT doc_id, source, string_split(text, chr(10)) AS l, list_transform(string_split(text, chr(10)), lambda x: (length(x) % 100) / 100.0::DOUBLE) AS s FROM documents)"
+
+
+@query(
+    "ocr_files",
+    f"""SELECT source || '/' || doc_id || '.png' AS input_path, len(l)::BIGINT AS n_texts, md5(array_to_string(l, chr(10))) AS texts_md5, round(list_sum(s), 6) AS score,
+ len(list_filter(s, lambda x: x < 0.8))::BIGINT AS n_low, (20.0 * len(l))::DOUBLE AS bottom FROM {OCR_SQL}""",
+)
+def ocr_files(spark, sf_dir):
+    """A JSON object for each page in a tree of folders, its lines as recognised texts, written and read back."""
+    line = F.split("text", "\n", -1)
+    score = lambda x: (F.length(x) % 100) / F.lit(100.0)
+    box = lambda x, i: F.array(*(F.array((i + dy).cast("double") * 20, F.length(x).cast("double") * dx) for dy, dx in ((0, 0), (0, 1), (1, 1), (1, 0))))
+    name = F.concat("source", F.lit("/"), "doc_id")
+    page = F.struct(F.concat(name, F.lit(".png")).alias("input_path"), line.alias("rec_texts"), F.transform(line, score).alias("rec_scores"), F.transform(line, box).alias("rec_polys"))
+    at = files.shared_folder(spark)
+    files.write_named_texts(_documents(spark, sf_dir).select(F.concat(name, F.lit(".json")).alias("name"), F.to_json(page).alias("text")), at, "name", "text")
+    back = files.read_json_objects(spark, at)
+    bottom = F.array_max(F.flatten(F.transform("rec_polys", lambda p: F.transform(p, lambda q: q[0]))))
+    total = F.aggregate("rec_scores", F.lit(0.0), lambda a, x: a + x)
+    return back.select(
+        "input_path", F.size("rec_texts").cast("long").alias("n_texts"), F.md5(F.array_join("rec_texts", "\n").cast("binary")).alias("texts_md5"), F.round(total, 6).alias("score"),
+        F.size(F.filter("rec_scores", lambda x: x < 0.8)).cast("long").alias("n_low"), bottom.alias("bottom"),
+    )
+
+
+@query("valid_texts", "SELECT conv_id, role, md5(string_agg(text, '' ORDER BY turn)) AS text_md5 FROM conversations WHERE role <> 'assistant' GROUP BY conv_id, role")
+def valid_texts(spark, sf_dir):
+    """A tree of files of which those of one role are no UTF-8; the others are read back."""
+    texts = files.ordered_text(table(spark, sf_dir, "conversations"), ["conv_id", "role"], ["turn"], "text")
+    data = F.when(F.col("role") == "assistant", F.encode("text", "UTF-16")).otherwise(F.encode("text", "UTF-8"))
+    at = files.shared_folder(spark)
+    files.write_named_texts(texts.select(F.concat("conv_id", F.lit("/"), "role", F.lit(".txt")).alias("name"), data.alias("data")), at, "name", "data")
+    back = files.read_valid_texts(spark, at, "*.txt")
+    part = lambda i: F.element_at(F.split("file", "/"), i)
+    return back.select(part(-2).cast("long").alias("conv_id"), F.regexp_replace(part(-1), r"\.txt$", "").alias("role"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 @query("parquet_files", "SELECT source, lang, count(*)::BIGINT AS n, sum(length(text))::BIGINT AS chars FROM documents WHERE lang = 'en' GROUP BY source, lang")
 def parquet_files(spark, sf_dir):
     """Documents in folders by language, written and one folder of them read back."""

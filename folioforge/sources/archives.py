@@ -11,6 +11,7 @@ import io
 import posixpath
 import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,6 +21,9 @@ from pyspark.sql import functions as F
 from folioforge.sources.markup import body_of, collapse, main_element, parse_html, replace_lines, split_by_ids, title_id
 
 IMAGES = (".webp", ".png", ".jpg", ".jpeg")
+#: What a file raises that is no archive or no EPUB, and what a damaged or locked member does.
+BROKEN = (zipfile.BadZipFile, KeyError, StopIteration)
+DAMAGED = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError)
 
 
 def binary_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
@@ -174,7 +178,7 @@ def chapters(files: DataFrame, flavour: str = "toc") -> DataFrame:
             for path, data in zip(batch["path"], batch["content"]):
                 try:
                     rows = extract(bytes(data))
-                except (zipfile.BadZipFile, KeyError, StopIteration):
+                except (*BROKEN, *DAMAGED):
                     rows = []
                 if rows:
                     yield pd.DataFrame({"file": [path] * len(rows), "chapter_idx": range(len(rows)), "title": [t for t, _ in rows], "content": [c for _, c in rows]})
@@ -183,31 +187,45 @@ def chapters(files: DataFrame, flavour: str = "toc") -> DataFrame:
 
 
 def epub_documents(files: DataFrame, order: str = "spine") -> DataFrame:
-    """(file, idx, member, html) of EPUBs in order of the spine or the manifest."""
+    """(file, idx, member, html) of EPUBs in order of the spine or the manifest; a file that is no whole EPUB has no rows."""
 
     def run(batches):
         for batch in batches:
             for path, data in zip(batch["path"], batch["content"]):
-                book = Epub(bytes(data))
-                names = book.spine() if order == "spine" else book.manifest()
+                try:
+                    book = Epub(bytes(data))
+                    names = book.spine() if order == "spine" else book.manifest()
+                    pages = [book.read(n) for n in names]
+                except (*BROKEN, *DAMAGED):
+                    continue
                 if names:
-                    yield pd.DataFrame({"file": [path] * len(names), "idx": range(len(names)), "member": names, "html": [book.read(n) for n in names]})
+                    yield pd.DataFrame({"file": [path] * len(names), "idx": range(len(names)), "member": names, "html": pages})
 
     return files.select("path", "content").mapInPandas(run, "file string, idx int, member string, html string")
 
 
 def archive_members(files: DataFrame, suffixes: tuple[str, ...] = IMAGES, nested: bool = False) -> DataFrame:
-    """(file, member, content) of zip archives, of archives within archives if nested; suffixes are case-sensitive."""
+    """(file, member, content) of zip archives, of archives within archives if nested; suffixes are case-sensitive.
+
+    A file that is no archive has no rows; members that are damaged or locked are left out, the others kept.
+    """
 
     def members(data: bytes, deep: bool, prefix: str = ""):
-        with zipfile.ZipFile(io.BytesIO(data)) as z:
-            for name in z.namelist():
-                if deep:
-                    inner = z.read(name)
-                    if zipfile.is_zipfile(io.BytesIO(inner)):
-                        yield from members(inner, False, f"{name}/")
-                elif name.endswith(suffixes):
-                    yield prefix + name, z.read(name)
+        try:
+            z = zipfile.ZipFile(io.BytesIO(data))
+        except zipfile.BadZipFile:
+            return
+        for name in z.namelist():
+            if not deep and not name.endswith(suffixes):
+                continue
+            try:
+                content = z.read(name)
+            except DAMAGED:
+                continue
+            if not deep:
+                yield prefix + name, content
+            elif zipfile.is_zipfile(io.BytesIO(content)):
+                yield from members(content, False, f"{name}/")
 
     def run(batches):
         for batch in batches:
@@ -273,7 +291,10 @@ def rewrite_epub(data: bytes, pairs: list[tuple[str, str]], most_difference: int
 
 
 def rewrite_epubs(files: DataFrame, lines: DataFrame, most_difference: int | None = 1) -> DataFrame:
-    """(path, content, missed): EPUBs (path, content) rewritten with lines (path, pos, source, target)."""
+    """(path, content, missed): EPUBs (path, content) rewritten with lines (path, pos, source, target).
+
+    A file that is no whole EPUB stays as it is and misses all of its lines.
+    """
     pairs = lines.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("pos", "source", "target"))).alias("pairs"))
     joined = files.select("path", "content").join(pairs, "path", "left")
 
@@ -281,8 +302,11 @@ def rewrite_epubs(files: DataFrame, lines: DataFrame, most_difference: int | Non
         for batch in batches:
             rows = []
             for path, data, found in zip(batch["path"], batch["content"], batch["pairs"]):
-                new, missed = rewrite_epub(bytes(data), [] if found is None else [(p["source"], p["target"]) for p in found], most_difference)
-                rows.append((path, new, missed))
+                own = [] if found is None else [(p["source"], p["target"]) for p in found]
+                try:
+                    rows.append((path, *rewrite_epub(bytes(data), own, most_difference)))
+                except (*BROKEN, *DAMAGED):
+                    rows.append((path, bytes(data), [source for source, _ in own]))
             yield pd.DataFrame(rows, columns=["path", "content", "missed"])
 
     return joined.mapInPandas(run, "path string, content binary, missed array<string>")

@@ -87,7 +87,8 @@ def write_named_texts(df: DataFrame, path: str, name: str, text: str) -> int:
 
     `path` is an absolute path or a URI that Arrow's file systems know. A file is
     written under another name and then moved, so a task that runs twice leaves
-    the same file. Names have to be distinct; a null text is an empty file.
+    the same file. Names have to be distinct and may have folders; a null text is
+    an empty file, and a binary one is written as it is.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -97,7 +98,9 @@ def write_named_texts(df: DataFrame, path: str, name: str, text: str) -> int:
             for n, t in zip(batch["name"], batch["text"]):
                 part = f"{root}/.{uuid.uuid4().hex}"
                 with system.open_output_stream(part, compression=None) as out:
-                    out.write((t or "").encode())
+                    out.write(t if isinstance(t, bytes) else (t or "").encode())
+                if "/" in n:
+                    system.create_dir(f"{root}/{n.rpartition('/')[0]}")
                 system.move(part, f"{root}/{n}")
             yield pd.DataFrame({"n": [len(batch)]})
 

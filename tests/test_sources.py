@@ -94,6 +94,29 @@ def test_archives_and_images(spark):
     assert archives.image_size(b"\xff\xd8\xff\xe0\0\x04ab\xff\xc0\0\x0b\x08\0\x07\0\x09") == (9, 7) and archives.image_size(b"x") is None
 
 
+def test_broken_archives_do_not_end_the_job(spark):
+    pack = io.BytesIO()
+    with zipfile.ZipFile(pack, "w") as z:
+        z.writestr("1.png", b"first" * 9)
+        z.writestr("2.png", b"other" * 9)
+    damaged = bytearray(pack.getvalue().replace(b"first" * 9, b"fIrst" * 9, 1))
+    whole = bytearray(pack.getvalue())
+    df = spark.createDataFrame([("n", bytearray(b"no zip")), ("d", damaged), ("w", whole), ("e", bytearray()), ("x.epub", bytearray(epub()))], "path string, content binary")
+    got = archives.archive_members(df)
+    assert sorted((r.file, r.member) for r in got.collect()) == [("d", "2.png"), ("w", "1.png"), ("w", "2.png"), ("x.epub", "OEBPS/pic.png")]
+    assert {r.file for r in archives.epub_documents(df).collect()} == {"x.epub"} == {r.file for r in archives.chapters(df).collect()}
+    lines = spark.createDataFrame([("n", 0, "a", "b"), ("n", 1, "c", "d")], "path string, pos int, source string, target string")
+    kept = {r.path: (bytes(r.content), r.missed) for r in archives.rewrite_epubs(df, lines).collect()}
+    assert kept["n"] == (b"no zip", ["a", "c"]) and kept["w"] == (bytes(whole), []) and kept["e"] == (b"", [])
+
+
+def test_named_files_in_folders(spark, tmp_path):
+    df = spark.createDataFrame([("a/b/1.txt", bytearray("é".encode("utf-16"))), ("a/2.txt", bytearray(b"x\n")), ("3.txt", None)], "name string, data binary")
+    assert files.write_named_texts(df, f"file://{tmp_path}/t", "name", "data") == 3
+    assert {str(p.relative_to(tmp_path / "t")): p.read_bytes() for p in (tmp_path / "t").rglob("*.txt")} == {"a/b/1.txt": "é".encode("utf-16"), "a/2.txt": b"x\n", "3.txt": b""}
+    assert sorted((r.file.rsplit("/", 1)[1], r.text) for r in files.read_valid_texts(spark, str(tmp_path / "t"), "*.txt").collect()) == [("2.txt", "x\n")]  # empty files have no row
+
+
 def test_markup():
     assert markup.html_text("<body>a<script>x</script><!-- c --><p>b<p>c &lt;</body>") == "abc <"
     assert markup.html_text(None) is None and markup.html_text("") == ""
