@@ -244,12 +244,13 @@ def bisect_chunks(df: DataFrame, keys: list[str], pos: str, text: str, value: st
 
 
 def merge_small_chunks(df: DataFrame, keys: list[str], pos: str, text: str, budget: int = MAX_CHARS, embedder: Embedder | None = None, only_if_both: bool = False, by_tokens: bool = False) -> DataFrame:
+    """Small sentences joined with neighbours within a budget, see merge_small; similarities are compared to twelve places."""
     embedder = embedder or HashedEmbedder()
 
     def rows(g):
-        texts = g[text]
+        texts, same = g[text], similarity_of(embedder)
         sizes = [len(RegexTokenizer().tokens(t)) if by_tokens else len(t) for t in texts]
-        return _numbered(merge_small(texts, sizes, budget, similarity_of(embedder), only_if_both))
+        return _numbered(merge_small(texts, sizes, budget, lambda a, b: round(same(a, b), 12), only_if_both))
 
     return _grouped(df, keys, pos, [text], CHUNKS, rows)
 

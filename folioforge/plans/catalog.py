@@ -964,16 +964,6 @@ def bisect_chunks_tokens(spark, sf_dir):
     return chunking.bisect_chunks(_scored(spark, sf_dir), ["doc_id"], "pos", "piece", "score", chunking.MAX_TOKENS, 1, by_tokens=True)
 
 
-@query("merge_small_chunks")
-def merge_small_chunks(spark, sf_dir):
-    return chunking.merge_small_chunks(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece")
-
-
-@query("merge_small_chunks_tokens")
-def merge_small_chunks_tokens(spark, sf_dir):
-    return chunking.merge_small_chunks(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", chunking.MAX_TOKENS, only_if_both=True, by_tokens=True)
-
-
 def _bigram_sql(a: str, b: str) -> str:
     """The built-in embedder's hash of two code points."""
     first = f"((({a}::UHUGEINT * 4294967296 + {b}::UHUGEINT) * 11400714819323198485::UHUGEINT) % 18446744073709551616::UHUGEINT)::UBIGINT"
@@ -989,6 +979,46 @@ UNNESTED_SQL = "SELECT k, unnest(c[:len(c) - 1]) AS a, unnest(c[2:]) AS b FROM (
 COSINE_SQL = "CASE WHEN list_inner_product({x}, {x}) * list_inner_product({y}, {y}) > 0 THEN list_inner_product({x}, {y}) / sqrt(list_inner_product({x}, {x}) * list_inner_product({y}, {y})) ELSE 0 END"
 
 
+def _merge_sql(size: str, budget: int, both: bool) -> str:
+    """Chunks with sizes s, vectors v, cosines c to the next one and first lines f; x is the left one of the pair that joins next.
+
+    d is what a chunk's start adds to the sum of two vectors: the bigram that leads into it, less the one at the other's end.
+    """
+    none, zipped = "list_transform(range(64), lambda i: 0::DOUBLE)", "list_transform(list_zip({x}, {y}), lambda z: z[1] {sign} z[2])"
+    fits = lambda i: f"s[{i}] + s[{i} + 1] <= {budget}"
+    alike = f"CASE WHEN round(c[i - 1], 12) > round(c[i], 12) THEN CASE WHEN {fits('i - 1')} THEN i - 1 END WHEN {fits('i')} THEN i END"
+    if both:
+        alike = f"CASE WHEN {fits('i')} AND {fits('i - 1')} THEN {alike} WHEN {fits('i')} THEN i WHEN {fits('i - 1')} THEN i - 1 END"
+    left = f"CASE WHEN i = 1 THEN CASE WHEN len(s) > 1 AND {fits('1')} THEN 1 END WHEN i = len(s) THEN CASE WHEN {fits('i - 1')} THEN i - 1 END ELSE {alike} END"
+    pick = f"list_min(list_transform(range(1, len(s) + 1), lambda i: (s[i] << 40) + (i << 20) + ({left}))) & 1048575 AS x"
+    cosine = lambda i: COSINE_SQL.format(x=f"v[{i}]", y=f"v[{i} + 1]")
+    joined = zipped.format(x=zipped.format(x="v[x]", y="v[x + 1]", sign="+"), y="d[x + 1]", sign="+")
+    return f"""WITH RECURSIVE l AS MATERIALIZED (SELECT doc_id, pos, piece, ({size})::BIGINT AS n, lag(piece[-1]) OVER w AS prev FROM {LINES_SQL} WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+ t AS (SELECT (doc_id, pos, 0) AS k, piece || chr(10) AS t FROM l UNION ALL SELECT (doc_id, pos, 1), prev || piece[1] FROM l WHERE prev IS NOT NULL
+ UNION ALL SELECT (doc_id, pos, 2), prev || chr(10) FROM l WHERE prev IS NOT NULL),
+ b AS MATERIALIZED ({UNNESTED_SQL.format(codes=CODES_SQL.format(text="t"), texts="t")}), e AS MATERIALIZED ({VECTOR_SQL.format(bigrams="b")}),
+ g AS (SELECT doc_id, list(n ORDER BY pos) AS s, list(v ORDER BY pos) AS v, list(d ORDER BY pos) AS d, list(pos ORDER BY pos) AS f FROM
+ (SELECT doc_id, pos, n, coalesce(v0.v, {none}) AS v, {zipped.format(x=f"coalesce(v1.v, {none})", y=f"coalesce(v2.v, {none})", sign="-")} AS d FROM l
+ {" ".join(f"LEFT JOIN e v{i} ON v{i}.k = (doc_id, pos, {i})" for i in range(3))}) GROUP BY doc_id),
+ r(doc_id, s, v, d, f, c, x) USING KEY (doc_id) AS (SELECT *, {pick} FROM (SELECT *, list_transform(range(1, len(s)), lambda i: {cosine("i")}) AS c FROM g)
+ UNION SELECT *, {pick} FROM (SELECT doc_id, s, v, d, f, list_concat(list_concat(c[1:greatest(x - 2, 0)], CASE WHEN x > 1 THEN [{cosine("x - 1")}] ELSE [] END),
+ list_concat(CASE WHEN x < len(s) THEN [{cosine("x")}] ELSE [] END, c[x + 2:])) AS c FROM
+ (SELECT doc_id, list_concat(list_append(s[1:x - 1], s[x] + s[x + 1]), s[x + 2:]) AS s, list_concat(list_append(v[1:x - 1], {joined}), v[x + 2:]) AS v,
+ list_concat(d[1:x], d[x + 2:]) AS d, list_concat(f[1:x], f[x + 2:]) AS f, c, x FROM r WHERE x IS NOT NULL))),
+ h AS (SELECT doc_id, unnest(f) AS lo, unnest(list_append(f[2:], NULL)) AS hi, unnest(range(len(f)))::INTEGER AS chunk_idx FROM r)
+ SELECT doc_id, chunk_idx, string_agg(piece, '' ORDER BY pos) AS chunk FROM h JOIN l USING (doc_id) WHERE pos >= lo AND (hi IS NULL OR pos < hi) GROUP BY doc_id, chunk_idx"""
+
+
+@query("merge_small_chunks", _merge_sql("length(piece)", chunking.MAX_CHARS, False))
+def merge_small_chunks(spark, sf_dir):
+    return chunking.merge_small_chunks(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece")
+
+
+@query("merge_small_chunks_tokens", _merge_sql(PIECE_TOKENS_SQL, chunking.MAX_TOKENS, True))
+def merge_small_chunks_tokens(spark, sf_dir):
+    return chunking.merge_small_chunks(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", chunking.MAX_TOKENS, only_if_both=True, by_tokens=True)
+
+
 def _fold_sql(threshold: float) -> str:
     """A line's own bigrams, the one at its end and the one that leads into it make the vectors of chunks, line by line."""
     none = "list_transform(range(64), lambda i: 0::DOUBLE)"
