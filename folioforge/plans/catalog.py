@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioforge.functions import geometry as geo
+from folioforge.functions import html
 from folioforge.functions import segmentation as seg
 from folioforge.functions import text as tx
 from folioforge.functions import vectors as vec
@@ -917,13 +918,16 @@ def merge_bboxes_tiled(spark, sf_dir):
 # --- markup and chunking --------------------------------------------------------------------------------------------
 
 
-@query("html_text")
-def html_text(spark, sf_dir):
-    @F.pandas_udf("string")
-    def text(html):
-        return html.map(markup.html_text)
+#: The tables' references are those replaced here, &amp; last; so are ones that a page's end cuts.
+HTML_TEXT_SQL = r"""regexp_replace(replace(replace(replace(replace(replace(regexp_replace(
+ CASE WHEN regexp_matches(h, '(?is)<body\b') THEN regexp_extract(h, '(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)', 1) ELSE h END,
+ '(?s)</?[A-Za-z](?:[^''">]|"[^"]*"|''[^'']*'')*>', '', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g')"""
+VISIBLE_SQL = r"""(SELECT page_id, regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<template\b.*?</template\s*>|<![^>]*>', '', 'g') AS h FROM pages)"""
+
 
-    return table(spark, sf_dir, "pages").select("page_id", tx.collapse_newlines(text("html")).alias("text"))
+@query("html_text", rf"""SELECT page_id, regexp_replace(trim(x, E' \t\n\r\f\x0b'), '\n+', chr(10), 'g') AS text FROM (SELECT page_id, {HTML_TEXT_SQL} AS x FROM {VISIBLE_SQL})""")
+def html_text(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", tx.collapse_newlines(html.html_text(F.col("html"))).alias("text"))
 
 
 @query("html_elements")

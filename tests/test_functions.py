@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioforge.functions import geometry as geo
+from folioforge.functions import html
 from folioforge.functions import segmentation as seg
 from folioforge.functions import text as tx
 from folioforge.functions import vectors as vec
+from folioforge.sources import markup
 
 
 def one(spark, value, column):
@@ -123,3 +125,15 @@ def test_geometry(spark):
     ).first()
     assert (row.touch, row.gap, row.apart, row.far, row.edge, row.d, row.dot) == (True, 0.0, False, -2.0, True, 3.0, 2.0)
     assert (row.x.x, row.x.y) == (1.0, 1.0) and row.parallel is None and row.cross
+
+
+def test_html_text_against_the_parser(spark):
+    rng = random.Random(6)
+    pieces = ["<p>", "</p>", "<br/>", "a b", "é\n", "<!-- x <script> -->", "<script>var t = '<p>' // <!-- </script>", "<style>p{}</style>", '<a href="x>y" title=\'<b>\'>', "</a>", "&amp;", "&amp", "&lt;p&gt;", "&copy;",
+              "&copyx", "&notin;", "&notit;", "&#233;", "&#xe9;", "&#x1F600;", "&#150;", "&#0;", "&#xD800;", "&#1114112;", "&#1;", "&#65", "&", "& b", "&nosuch;", "&#x;", "1 < 2 "]
+    pages = ["".join(rng.choice(pieces) for _ in range(rng.randrange(0, 12))) for _ in range(400)]
+    pages += [f"<html><head><title>t</title></head><body class='x'>{p}</body>tail</html>" for p in pages[:200]] + [f"<body>{p}" for p in pages[:50]] + ["", "x" * 100_000 + "&amp;" * 1000]
+    got = spark.createDataFrame(list(enumerate([*pages, None])), "i int, html string").select("i", html.html_text(F.col("html")).alias("text")).collect()
+    for r in got:
+        page = None if r.i == len(pages) else pages[r.i]
+        assert r.text == markup.html_text(page), page
