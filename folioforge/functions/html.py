@@ -61,7 +61,7 @@ def unescape(text: Column) -> Column:
 def html_text(html: Column) -> Column:
     """The text of a page's body, or of all of it if it has none, without scripts, styles, templates and comments; null stays null.
 
-    What is not closed, of comments, scripts and tags, counts as text. U+FDD0, which is no character, goes.
+    Comments, scripts and tags that are not closed may leave other text than a parser would. U+FDD0, which is no character, goes.
     """
     kept = F.regexp_replace(html, NO_TEXT, GAP)
     body = F.when(kept.rlike(BODY), F.regexp_extract(kept, BODY, 1)).otherwise(kept)
