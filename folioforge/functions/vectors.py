@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import sys
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +26,27 @@ def similarity_gap(source: Column, target: Column, other: Column) -> tuple[Colum
     return F.abs(cosine(source, target) - cosine(source, other)), cosine(target, other)
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """value rounded as SQL engines do, half away from zero once it is scaled; F.round goes by the decimal that is printed."""
+    unit = F.lit(10.0**digits)
+    return F.round(value * unit, 0) / unit
+
+
+def exp(value: Column) -> Column:
+    """exp as the C library has it. The JVM's may be a unit in the last place off, which shows in a rounded result."""
+
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def one(v: float) -> float:
+            return math.exp(v) if v < 709 else float(np.exp(v))  # math.exp raises where the result is infinite
+
+        for values in batches:
+            found = np.fromiter(map(one, values.to_numpy(float, na_value=np.nan)), float, len(values))
+            yield pd.Series(found, index=values.index)
+
+    return F.when(value.isNotNull(), run(value))
+
+
 def perplexity(loss: Column) -> Column:
     """exp of a loss; the largest double where the loss is no number."""
-    return F.when(F.isnan(loss), sys.float_info.max).otherwise(F.exp(loss))
+    return F.when(F.isnan(loss), sys.float_info.max).otherwise(exp(loss))

@@ -524,7 +524,7 @@ def proportion_threshold_chunks(spark, sf_dir):
 def perplexity_guard(spark, sf_dir):
     loss = F.when(F.col("value") > 90, F.lit(float("nan"))).otherwise(F.col("value") / 100)
     ppl = vec.perplexity(loss)
-    return table(spark, sf_dir, "events").select("event_id", F.when(F.isnan(loss), ppl).otherwise(F.round(ppl, 9)).alias("ppl"))
+    return table(spark, sf_dir, "events").select("event_id", F.when(F.isnan(loss), ppl).otherwise(vec.rounded(ppl, 9)).alias("ppl"))
 
 
 # --- vectors and rules ----------------------------------------------------------------------------------------------

@@ -137,3 +137,12 @@ def test_html_text_against_the_parser(spark):
     for r in got:
         page = None if r.i == len(pages) else pages[r.i]
         assert r.text == markup.html_text(page), page
+
+
+def test_perplexity_by_the_c_library_and_rounded_as_sql_does(spark):
+    """The JVM's exp is a unit in the last place lower here, which a rounding to nine places shows."""
+    losses = [26.47558488867236 / 100, -3.0, 0.0, 709.5, 800.0, None]
+    rows = spark.createDataFrame([(v,) for v in losses], "v double").select(vec.exp(F.col("v")).alias("e"), vec.rounded(vec.perplexity(F.col("v")), 9).alias("p")).collect()
+    assert [r.e for r in rows] == [*map(math.exp, losses[:4]), math.inf, None]
+    assert rows[0].p == 1.303112781
+    assert [one(spark, v, lambda c: vec.rounded(c.cast("double"), 6)) for v in (-1.5, 2.0000005, 1e300)] == [-1.5, 2.000001, 1e300]
