@@ -63,9 +63,16 @@ def argmin(df: DataFrame, keys: list[str], pos: str, value: str) -> DataFrame:
     return df.groupBy(*keys).agg(least.alias("m")).select(*keys, F.col("m.pos").alias(pos), F.col("m.value").alias(value))
 
 
-def proportions(df: DataFrame, keys: list[str], value: str, out: str = "proportion") -> DataFrame:
-    """Adds each value's share of its key's total; null where the total is zero."""
-    return df.withColumn(out, F.try_divide(F.col(value), F.sum(value).over(Window.partitionBy(*keys))))
+def proportions(df: DataFrame, keys: list[str], value: str, out: str = "proportion", pos: str | None = None) -> DataFrame:
+    """Adds each value's share of its key's total; null where the total is zero.
+
+    A total is summed in order of pos. Without it, rows are summed as the shuffle
+    brings them, and the last digit of a share of doubles is open.
+    """
+    whole = Window.partitionBy(*keys)
+    if pos:
+        whole = whole.orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return df.withColumn(out, F.try_divide(F.col(value), F.sum(value).over(whole)))
 
 
 def threshold_cuts(df: DataFrame, keys: list[str], pos: str, value: str, threshold: float, out: str = "segment") -> DataFrame:

@@ -516,7 +516,7 @@ def argmin_cut(spark, sf_dir):
  (SELECT user_id, event_id, value / sum(value) OVER (PARTITION BY user_id) AS share, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events))""",
 )
 def proportion_threshold_chunks(spark, sf_dir):
-    shares = windows.proportions(table(spark, sf_dir, "events").select("user_id", "event_id", "value"), ["user_id"], "value")
+    shares = windows.proportions(table(spark, sf_dir, "events").select("user_id", "event_id", "value"), ["user_id"], "value", pos="event_id")
     return windows.threshold_cuts(shares, ["user_id"], "event_id", "proportion", 2.0).select("user_id", "event_id", "segment")
 
 
@@ -1207,8 +1207,8 @@ def title_forward_fill(spark, sf_dir):
     "SELECT user_id, round(median(share), 9) AS median_share FROM (SELECT user_id, value / sum(value) OVER (PARTITION BY user_id) AS share FROM events) GROUP BY user_id",
 )
 def proportion_median(spark, sf_dir):
-    shares = windows.proportions(table(spark, sf_dir, "events").select("user_id", "event_id", "value"), ["user_id"], "value")
-    return shares.groupBy("user_id").agg(F.round(F.median("proportion"), 9).alias("median_share"))
+    shares = windows.proportions(table(spark, sf_dir, "events").select("user_id", "event_id", "value"), ["user_id"], "value", pos="event_id")
+    return shares.groupBy("user_id").agg(vec.rounded(F.median("proportion"), 9).alias("median_share"))
 
 
 @query("json_arrays", "SELECT conv_id, md5(to_json(list({'turn': turn, 'role': role, 'text': text} ORDER BY turn))) AS json_md5 FROM conversations GROUP BY conv_id")

@@ -436,3 +436,10 @@ def test_bigram_model_against_counting(spark):
     assert {k: n for k, (n, _) in got.items()} == {(1, 0): 3, (1, 1): 0, (1, 2): 3, (2, 0): 0, (2, 1): 2, (2, 2): 2}
     assert math.isnan(got[1, 1][1]) and math.isnan(got[2, 0][1])
     assert [got[k][1] for k in ((1, 0), (1, 2), (2, 1), (2, 2))] == pytest.approx([loss(*pairs[:3]), loss(*pairs[3:]), loss(("", "a"), ("a", "c")), loss(("c", "a"), ("a", "c"))])
+
+
+def test_shares_do_not_depend_on_how_rows_come(spark):
+    values = {1: 1e16, 2: -1e16, 3: 1.0}
+    for order in ([1, 3, 2], [3, 2, 1], [1, 2, 3]):
+        df = spark.createDataFrame([("a", k, values[k]) for k in order], "key string, pos long, v double").coalesce(1)
+        assert sorted(r.proportion for r in windows.proportions(df, ["key"], "v", pos="pos").collect()) == [-1e16, 1.0, 1e16]
