@@ -1,7 +1,7 @@
 """Text boxes of a page: those that overlap are grouped, each group becomes one quadrilateral.
 
 Overlaps on a page of more than a few boxes are found on grids: a box lies in the cells of the grid whose edge is the
-power of two next to its own size, four at most, and looks for boxes of its size
+power of four next to its own size, four at most, and looks for boxes of its size
 or larger in the cells of every grid that is in use. A pair is settled in one
 cell, that of the lower corner of what its bounds share. Work thus goes by cells
 and not by pages, and grows with the boxes and those that come near each other.
@@ -14,12 +14,13 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.functions import geometry
-from folioforge.functions.geometry import edge_normals, point, polygons_overlap
+from folioforge.functions.geometry import edge_normals, point
+from folioforge.operators import box_batches as shape
 from folioforge.operators.components import connected_groups
 from folioforge.sources.files import stored
 
@@ -28,6 +29,8 @@ QUAD = "array<struct<x:double,y:double>>"
 CELL_BITS = 40
 #: Boxes up to which a page is one cell.
 SMALL_PAGE = 64
+#: Pages of a batch that are held as arrays at once.
+PAGES_AT_ONCE = 5_000
 #: Overlaps up to which a page's groups are found by one task; beyond it by rounds over all tasks.
 LOCAL_PAIRS = 100_000
 
@@ -44,12 +47,16 @@ def _reach(polygon: Column, threshold: float) -> Column:
     return F.when((F.size(n) > 2) & (least > -0.999), threshold / F.sqrt((1 + least) / 2))
 
 
+def _sound_point(p: Column) -> Column:
+    sound = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
+    return sound(p["x"]) & sound(p["y"])
+
+
 def _bounded(boxes: DataFrame, page: str, box: str, polygon: str, threshold: float) -> DataFrame:
     """Sound boxes with bounds, half their reach added, and the level of their grid; without a level if no bound is known."""
     bound = lambda f, k: f(F.transform("poly", lambda p: p[k]))
-    sound = lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
     cut = boxes.select(F.col(page).alias("page"), F.col(box).alias("box"), F.col(polygon).alias("poly"))
-    cut = cut.filter((F.size("poly") > 0) & F.forall("poly", lambda p: sound(p["x"]) & sound(p["y"])))
+    cut = cut.filter((F.size("poly") > 0) & F.forall("poly", _sound_point))
     half = _reach(F.col("poly"), threshold) / 2 if threshold > 0 else F.lit(0.0)
     sized = cut.withColumn("half", half).select(
         "*", *((bound(f, k) + (F.col("half") if f is F.array_max else -F.col("half"))).alias(k + str(int(f is F.array_max))) for k in "xy" for f in (F.array_min, F.array_max))
@@ -57,7 +64,8 @@ def _bounded(boxes: DataFrame, page: str, box: str, polygon: str, threshold: flo
     edge = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
     far = F.greatest(*(F.abs(c) for c in ("x0", "x1", "y0", "y1")))
     log = lambda v: F.when(v > 0, F.ceil(F.log2(v))).otherwise(F.lit(-1000)).cast("int")
-    return sized.withColumn("level", F.greatest(log(edge), log(far) - CELL_BITS))
+    # every other power of two: fewer grids in use, and fewer cells to a box
+    return sized.withColumn("level", (2 * F.ceil(F.greatest(log(edge), log(far) - CELL_BITS) / 2)).cast("int"))
 
 
 def _cells(df: DataFrame) -> DataFrame:
@@ -113,8 +121,16 @@ def _tiled(known: DataFrame, threshold: float) -> DataFrame:
 
 def overlapping_pairs(boxes: DataFrame, page: str, box: str, polygon: str, threshold: float = 0.0, small_page: int = SMALL_PAGE) -> DataFrame:
     """(page, a, b): numbers of boxes of one page that overlap, a < b; numbers tell a page's boxes apart."""
-    hit = candidate_pairs(boxes, page, box, polygon, threshold, small_page).filter(polygons_overlap(F.col("apoly"), F.col("bpoly"), threshold))
-    return hit.select(page, "a", "b")
+    kind = {c: boxes.schema[c].dataType.simpleString() for c in (page, box)}
+    near = candidate_pairs(boxes.withColumn(polygon, F.col(polygon).cast(QUAD)), page, box, polygon, threshold, small_page)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k = np.arange(batch.num_rows)
+            hit = shape.overlapping(shape.polygons(batch.column(3)), k, shape.polygons(batch.column(4)), k, threshold)
+            yield batch.select([0, 1, 2]).filter(pa.array(hit))
+
+    return near.mapInArrow(run, f"`{page}` {kind[page]}, a {kind[box]}, b {kind[box]}")
 
 
 def box_groups(boxes: DataFrame, page: str, box: str, polygon: str, threshold: float = 0.0, keep: dict[str, Column] | None = None) -> DataFrame:
@@ -127,7 +143,9 @@ def box_groups(boxes: DataFrame, page: str, box: str, polygon: str, threshold: f
     kinds = stored(cut.groupBy("page", "poly").agg(F.min("box").alias("first")))
     pairs = overlapping_pairs(kinds, "page", "first", "poly", threshold, 0)
     found = connected_groups(pairs, "page", "a", "b", LOCAL_PAIRS).withColumnRenamed("node", "first")
-    whole = kinds.join(found, ["page", "first"], "left").withColumn("own", F.when(polygons_overlap(F.col("poly"), F.col("poly"), threshold), F.col("first")))
+    # a sound polygon with an edge overlaps its copies
+    alike = F.exists("poly", lambda p: p != F.get("poly", F.lit(0))) & F.forall("poly", _sound_point)
+    whole = kinds.join(found, ["page", "first"], "left").withColumn("own", F.when(alike, F.col("first")))
     grouped = cut.join(whole, ["page", "poly"], "left").withColumn("group", F.coalesce("group", "own", "box"))
     return grouped.select(F.col("page").alias(page), F.col("box").alias(box), F.col("poly").alias(polygon), "group", *(keep or {}))
 
@@ -236,32 +254,52 @@ def merged_quad(polygons: list[list[Point]], width: float, height: float) -> lis
 
 
 def _merge_local(boxes: DataFrame, page: str, box: str, polygon: str, size: tuple[str, str], threshold: float) -> DataFrame:
-    """merge_boxes with a page to a row."""
+    """merge_boxes with a page to a row; boxes without a page are alone."""
     kind = {c: boxes.schema[c].dataType.simpleString() for c in (page, box)}
-    rows = F.array_sort(F.collect_list(F.struct(F.col(box).alias("box"), F.col(polygon).alias("polygon"))))
+    rows = F.array_sort(F.collect_list(F.struct(F.col(box).alias("box"), F.col(polygon).cast(QUAD).alias("polygon"))))
     pages = boxes.groupBy(page).agg(rows.alias("boxes"), F.first(size[0]).cast("double").alias("w"), F.first(size[1]).cast("double").alias("h"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for key, own, w, h in zip(batch[page], batch["boxes"], batch["w"], batch["h"]):
-                polygons = [[(p["x"], p["y"]) for p in b["polygon"]] for b in own]
-                for members in groups_of(polygons, threshold):
-                    quad = polygons[members[0]] if len(members) == 1 else merged_quad([polygons[i] for i in members], w, h)
-                    out.append((key, own[members[0]]["box"], len(members), [{"x": x, "y": y} for x, y in quad]))
-            yield pd.DataFrame(out, columns=[page, "group", "n_boxes", "quad"])
-
-    return pages.mapInPandas(run, f"`{page}` {kind[page]}, group {kind[box]}, n_boxes int, quad {QUAD}")
+            for k in range(0, batch.num_rows, PAGES_AT_ONCE):
+                yield merged(batch.slice(k, PAGES_AT_ONCE))
+
+    def merged(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys, w, h = batch.column(0), *(c.to_numpy(zero_copy_only=False) for c in batch.columns[2:])
+        own = batch.column(1).flatten()
+        numbers, polygons = own.flatten()
+        shapes, of = shape.polygons(polygons), np.repeat(np.arange(batch.num_rows), batch.column(1).value_lengths().to_numpy(zero_copy_only=False))
+        alone = batch.num_rows + np.arange(len(of))
+        low = shape.labels(len(of), *shape.page_pairs(np.where(keys.is_null().to_numpy(zero_copy_only=False)[of], alone, of), shapes, threshold))
+        first, n = np.unique(low, return_counts=True)
+        many, order = n > 1, np.argsort(low, kind="stable")
+        order = order[np.repeat(many, n)]
+        quad = pa.concat_arrays([polygons.take(pa.array(first[~many])), shape.quads(shape.gathered(shapes, order, n[many]), w[of[first[many]]], h[of[first[many]]]).cast(polygons.type)])
+        first, n = np.concatenate([first[~many], first[many]]), np.concatenate([n[~many], n[many]])
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(of[first])), numbers.take(pa.array(first)), pa.array(n, pa.int32()), quad], names=[page, "group", "n_boxes", "quad"])
+
+    return pages.mapInArrow(run, f"`{page}` {kind[page]}, group {kind[box]}, n_boxes int, quad {QUAD}")
 
 
 def _merge_spread(boxes: DataFrame, page: str, box: str, polygon: str, size: tuple[str, str], threshold: float) -> DataFrame:
-    """merge_boxes with a group's points to a row, all by expressions."""
+    """merge_boxes with a group's points to a row."""
+    kind = {c: boxes.schema[c].dataType.simpleString() for c in (page, box)}
     width, height = (F.col(c).cast("double") for c in size)
-    rows = F.sort_array(F.collect_list(F.struct(F.col(box).alias("box"), F.col(polygon).alias("poly"))))
+    rows = F.sort_array(F.collect_list(F.struct(F.col(box).alias("box"), F.col(polygon).cast(QUAD).alias("poly"))))
     grouped = box_groups(boxes, page, box, polygon, threshold, {"__w": width, "__h": height}).groupBy(page, "group")
     gathered = grouped.agg(F.count("*").cast("int").alias("n_boxes"), F.flatten(F.transform(rows, lambda r: r["poly"])).alias("points"), F.first("__w").alias("w"), F.first("__h").alias("h"))
-    quad = F.when(F.col("n_boxes") == 1, F.col("points")).otherwise(geometry.merged_quad(F.col("points"), F.col("w"), F.col("h")))
-    return gathered.select(page, "group", "n_boxes", quad.cast(QUAD).alias("quad"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points, w, h = batch.column(3), *(c.to_numpy(zero_copy_only=False) for c in batch.columns[4:])
+            many = batch.column(2).to_numpy() > 1
+            own, other = np.flatnonzero(~many), np.flatnonzero(many)
+            around = shape.quads(shape.polygons(points.take(pa.array(other))), w[other], h[other])
+            quad = pa.concat_arrays([points.take(pa.array(own)), around.cast(points.type)])
+            keys = [c.take(pa.array(np.concatenate([own, other]))) for c in batch.columns[:3]]
+            yield pa.RecordBatch.from_arrays([*keys, quad], names=[page, "group", "n_boxes", "quad"])
+
+    return gathered.select(page, "group", "n_boxes", "points", "w", "h").mapInArrow(run, f"`{page}` {kind[page]}, group {kind[box]}, n_boxes int, quad {QUAD}")
 
 
 def merge_boxes(
@@ -271,7 +309,7 @@ def merge_boxes(
 
     The group's number is its smallest box. Pages of small_page boxes at most are
     settled as a row each; larger ones by grids, rounds over all tasks and
-    expressions. Both ways give the same rows.
+    rows of groups. Both ways give the same rows.
     """
     kept = boxes if score is None else boxes.filter(F.col(score) >= least)
     if not small_page:

@@ -898,7 +898,7 @@ def _merged_sql() -> str:
 
 
 def _corners(merged):
-    at = [(F.round(F.get("quad", i - 1)[c], 6) + 0.0).alias(f"{c}{i}") for i in range(1, 5) for c in "xy"]
+    at = [(vec.rounded(F.get("quad", i - 1)[c], 6) + 0.0).alias(f"{c}{i}") for i in range(1, 5) for c in "xy"]
     return merged.select("l_orderkey", "group", "n_boxes", *at)
 
 

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from folioforge.operators import box_batches as shape
 from folioforge.operators import align, boxes, chunking, examine, glossary, models, ngrams, repeats, windows
 from folioforge.operators import corpus_stats as cs
 
@@ -443,3 +444,35 @@ def test_shares_do_not_depend_on_how_rows_come(spark):
     for order in ([1, 3, 2], [3, 2, 1], [1, 2, 3]):
         df = spark.createDataFrame([("a", k, values[k]) for k in order], "key string, pos long, v double").coalesce(1)
         assert sorted(r.proportion for r in windows.proportions(df, ["key"], "v", pos="pos").collect()) == [-1e16, 1.0, 1e16]
+
+
+def test_boxes_of_batches_are_as_the_plain_functions_have_them():
+    """Groups and quadrilaterals of many pages at once, bit for bit."""
+    rng = random.Random(8)
+    polygons = [[(v["x"], v["y"]) for v in q][: rng.choice([3, 4, 4])] for _, _, q in _turned(rng, 240, 40)]
+    polygons = [p for p in polygons if len(set(p)) > 2]
+    page = np.sort(np.array([rng.randrange(9) for _ in polygons]))
+    shapes = shape.Polygons(np.cumsum([0, *map(len, polygons)]), *np.array([v for p in polygons for v in p]).T)
+    for threshold in (0.0, 1.0):
+        i, j = shape.page_pairs(page, shapes, threshold)
+        plain = [(a, b) for a in range(len(page)) for b in range(a + 1, len(page)) if page[a] == page[b] and boxes.overlap(polygons[a], polygons[b], threshold)]
+        assert sorted(zip(i.tolist(), j.tolist())) == plain
+    i, j = shape.page_pairs(page, shapes, 0.0)
+    low = shape.labels(len(page), i, j)
+    for p in set(page.tolist()):
+        own = np.flatnonzero(page == p)
+        assert sorted(boxes.groups_of([polygons[k] for k in own])) == sorted(np.flatnonzero(low[own] == k).tolist() for k in np.unique(low[own]))
+    members = [np.flatnonzero(low == k) for k in np.unique(low)]
+    members = [m for m in members if len(m) > 1]
+    grouped = shape.gathered(shapes, np.concatenate(members), np.array([len(m) for m in members]))
+    got = shape.quads(grouped, np.full(len(members), 200.0), np.full(len(members), 150.0)).to_pylist()
+    assert [[(v["x"], v["y"]) for v in q] for q in got] == [boxes.merged_quad([polygons[k] for k in m], 200.0, 150.0) for m in members]
+
+
+@pytest.mark.parametrize("small", [0, 64])
+def test_unsound_boxes_are_alone(spark, small):
+    one = [{"x": 0.0, "y": 0.0}, {"x": 2.0, "y": 0.0}, {"x": 2.0, "y": 2.0}]
+    made = [("p", 1, one), ("p", 2, one), ("p", 3, []), ("p", 4, [{"x": float("nan"), "y": 0.0}, *one]), (None, 5, one), (None, 6, one)]
+    df = spark.createDataFrame([(*r, 9.0, 9.0) for r in made], f"page string, box int, poly {boxes.QUAD}, width double, height double")
+    got = boxes.merge_boxes(df, "page", "box", "poly", small_page=small).collect()
+    assert sorted((r.group, r.n_boxes) for r in got) == [(1, 2), (3, 1), (4, 1), (5, 1), (6, 1)]
