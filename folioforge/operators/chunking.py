@@ -12,9 +12,11 @@ import heapq
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from folioforge.functions import vectors as vectors_of
 from folioforge.operators.models import Batching, CharacterScorer, Embedder, HashedEmbedder, RegexTokenizer, Scorer, WindowScorer, embed_texts, text_key
@@ -207,22 +209,50 @@ def similarity_of(embedder: Embedder, kept: int = 4096) -> Callable[[str, str],
     return lambda a, b: cosine(vector(a), vector(b))
 
 
-def _grouped(df: DataFrame, keys: list[str], pos: str, columns: list[str], schema: str, rows: Callable[[dict[str, list]], dict]) -> DataFrame:
-    """One row to a group in the shuffle, its sentences gathered and sorted there; groups then pass in batches."""
+#: Characters of finished rows that a task holds before it hands them on.
+HANDED_ON = 1 << 20
+
+
+def _grouped(df: DataFrame, keys: list[str], pos: str, columns: list[str], schema: str, rows: Callable[[dict[str, list]], dict], handed_on: int = HANDED_ON) -> DataFrame:
+    """One row to a group in the shuffle, its sentences gathered and sorted there.
+
+    Groups then pass one at a time: a batch stays in Arrow, only the group at work
+    is made of Python objects, and its rows go on once they have handed_on
+    characters. A worker so holds a batch, a group and that, however large the table.
+    """
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     gathered = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(pos, *columns))).alias("__rows"))
+    kind = _parse_datatype_string(f"{kinds}, {schema}")
+    arrow = to_arrow_schema(kind)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
-            for i, group in enumerate(batch["__rows"]):
-                out = rows({c: [r[c] for r in group] for c in (pos, *columns)})
+            own = batch.column(len(keys))
+            held: list[pa.RecordBatch] = []
+            size = 0
+            for i in range(batch.num_rows):
+                group = own.slice(i, 1).flatten().flatten()
+                out = rows({c: column.to_pylist() for c, column in zip((pos, *columns), group)})
                 n = len(next(iter(out.values())))
-                parts.append({**{k: [batch[k].iloc[i]] * n for k in keys}, **out})
-            if parts:
-                yield pd.DataFrame({c: [v for p in parts for v in p[c]] for c in parts[0]})
-
-    return gathered.mapInPandas(run, f"{kinds}, {schema}")
+                if not n:
+                    continue
+                again = pa.array(np.full(n, i))
+                cells = [batch.column(k).take(again) for k in range(len(keys))]
+                made = pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(cells, arrow)), *(pa.array(out[f.name], f.type) for f in list(arrow)[len(keys) :])], schema=arrow)
+                held.append(made)
+                size += made.nbytes
+                if size >= handed_on:
+                    yield from _whole(held)
+                    held, size = [], 0
+            yield from _whole(held)
+        pa.default_memory_pool().release_unused()
+
+    return gathered.mapInArrow(run, kind)
+
+
+def _whole(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if batches:
+        yield from pa.Table.from_batches(batches).combine_chunks().to_batches()
 
 
 def _numbered(chunks: list[str]) -> dict:

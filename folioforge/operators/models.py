@@ -16,6 +16,7 @@ from typing import NamedTuple, Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -189,12 +190,15 @@ def embed_texts(df: DataFrame, text: str, embedder: Embedder, batching: Batching
     texts = df.select(text_key(F.col(text)).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).dropDuplicates(["key"])
     sized = texts.withColumn("n", token_count(F.col("text"))).sortWithinPartitions("n", "key")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = ((n, (k, t)) for b in batches for k, t, n in zip(b["key"], b["text"], b["n"]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a batch stays in Arrow; only the texts that the model is about to take are Python objects
+        parts = (b.slice(i, batching.sequences) for b in batches for i in range(0, b.num_rows, batching.sequences))
+        rows = ((n, (k, t)) for part in parts for k, t, n in zip(*(c.to_pylist() for c in part.columns)))
         for batch in packed(rows, batching):
-            yield pd.DataFrame({"key": [k for k, _ in batch], "vector": list(embedder.embed([t for _, t in batch]))})
+            vectors = [v.tolist() for v in embedder.embed([t for _, t in batch])]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in batch], pa.string()), pa.array(vectors, pa.list_(pa.float64()))], names=["key", "vector"])
 
-    return sized.mapInPandas(run, "key string, vector array<double>")
+    return sized.select("key", "text", "n").mapInArrow(run, "key string, vector array<double>")
 
 
 def embed_distinct(df: DataFrame, texts: list[str], embedder: Embedder, batching: Batching = Batching()) -> dict[str, DataFrame]:

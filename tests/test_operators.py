@@ -476,3 +476,24 @@ def test_unsound_boxes_are_alone(spark, small):
     df = spark.createDataFrame([(*r, 9.0, 9.0) for r in made], f"page string, box int, poly {boxes.QUAD}, width double, height double")
     got = boxes.merge_boxes(df, "page", "box", "poly", small_page=small).collect()
     assert sorted((r.group, r.n_boxes) for r in got) == [(1, 2), (3, 1), (4, 1), (5, 1), (6, 1)]
+
+
+def test_groups_pass_one_at_a_time(spark):
+    """What a group was made into is gone when the next but one is at work, however many a batch holds."""
+
+    class Made(list):
+        alive = most = 0
+
+        def __init__(self, rows):
+            super().__init__(rows)
+            Made.alive += 1
+            Made.most = max(Made.most, Made.alive)
+
+        def __del__(self):
+            Made.alive -= 1
+
+    df = spark.range(400).select((F.col("id") % 50).alias("doc"), "id").coalesce(1)
+    out = chunking._grouped(df, ["doc"], "id", [], "id long, most long", lambda g: {"id": Made(g["id"]), "most": [Made.most] * len(g["id"])})
+    got = out.collect()
+    assert sorted(r.id for r in got) == list(range(400)) and all(r.doc == r.id % 50 for r in got)
+    assert max(r.most for r in got) <= 2
