@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ELLIPSIS = "..."
+#: Texts of a batch that are Python objects at once.
+TEXTS_AT_ONCE = 64
 
 
 def truncate_middle(text: Column, length: int, ellipsis: str = ELLIPSIS) -> Column:
@@ -105,8 +107,8 @@ def convert_characters(text: Column, pairs: dict[str, str], phrases: dict[str, s
     if not phrases:
         return F.translate(text, "".join(pairs), "".join(pairs.values()))
 
-    @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         single = {ord(a): b for a, b in pairs.items()}
         automaton = ahocorasick.Automaton()
         for old in phrases:
@@ -126,8 +128,11 @@ def convert_characters(text: Column, pairs: dict[str, str], phrases: dict[str, s
                     at = start + longest[start]
             return "".join([*out, t[at:].translate(single)])
 
+        # a batch stays in Arrow; some texts at a time are Python objects
         for texts in batches:
-            yield pd.Series([convert(t) for t in texts], index=texts.index, dtype=object)
+            parts = (texts.slice(i, TEXTS_AT_ONCE) for i in range(0, len(texts), TEXTS_AT_ONCE))
+            yield pa.concat_arrays([pa.array([], pa.string()), *(pa.array([convert(t) for t in part.to_pylist()], pa.string()) for part in parts)])
+        pa.default_memory_pool().release_unused()
 
     return run(text)
 

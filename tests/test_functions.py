@@ -146,3 +146,10 @@ def test_perplexity_by_the_c_library_and_rounded_as_sql_does(spark):
     assert [r.e for r in rows] == [*map(math.exp, losses[:4]), math.inf, None]
     assert rows[0].p == 1.303112781
     assert [one(spark, v, lambda c: vec.rounded(c.cast("double"), 6)) for v in (-1.5, 2.0000005, 1e300)] == [-1.5, 2.000001, 1e300]
+
+
+def test_phrases_of_more_texts_than_are_held_at_once(spark):
+    n = 3 * tx.TEXTS_AT_ONCE + 1
+    df = spark.range(n).coalesce(1).select("id", F.when(F.col("id") % 7 > 0, F.concat(F.lit("and é an "), F.col("id"))).alias("t"))
+    got = df.select("id", tx.convert_characters(F.col("t"), {"é": "e"}, {"an": "1", "and": "2"}).alias("c")).collect()
+    assert {r.id: r.c for r in got} == {i: f"2 e 1 {i}" if i % 7 else None for i in range(n)}
