@@ -37,18 +37,23 @@ def _tokens(text: str) -> Column:
     return F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(TOKEN), F.lit(0))
 
 
-def sentence_pairs(df: DataFrame, keys: list[str], pos: str, text: str) -> DataFrame:
-    """(keys, pos, h, w, m): each sentence's pairs of tokens with how often they stand in it."""
+def sentence_tokens(df: DataFrame, keys: list[str], pos: str, text: str) -> DataFrame:
+    """(keys, pos, t, first): each sentence's tokens and the one before them, empty at a start; stored, for counting and scoring."""
     before = Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
     rows = df.select(*keys, pos, _tokens(text).alias("t")).withColumn("last", F.try_element_at("t", F.lit(-1)))
-    rows = rows.withColumn("first", F.coalesce(F.last("last", ignorenulls=True).over(before), F.lit("")))
+    return stored(rows.select(*keys, pos, "t", F.coalesce(F.last("last", ignorenulls=True).over(before), F.lit("")).alias("first")))
+
+
+def token_pairs(tokens: DataFrame, keys: list[str], pos: str) -> DataFrame:
+    """(keys, pos, h, w): the pairs of tokens in the sentences, a row for each place."""
     heads = F.concat(F.array("first"), F.slice("t", 1, F.greatest(F.size("t") - 1, F.lit(0))))
-    flat = rows.filter(F.size("t") > 0).select(*keys, pos, F.explode(F.arrays_zip(heads.alias("h"), F.col("t").alias("w"))).alias("p"))
-    return flat.select(*keys, pos, "p.h", "p.w").groupBy(*keys, pos, "h", "w").agg(F.count("*").alias("m"))
+    return tokens.filter(F.size("t") > 0).select(*keys, pos, F.explode(F.arrays_zip(heads.alias("h"), F.col("t").alias("w"))).alias("p")).select(*keys, pos, "p.h", "p.w")
 
 
-def train(df: DataFrame, keys: list[str], pos: str, text: str) -> BigramModel:
-    pairs = stored(sentence_pairs(df, keys, pos, text).groupBy("h", "w").agg(F.sum("m").alias("c")))
+def train(df: DataFrame, keys: list[str], pos: str, text: str, tokens: DataFrame | None = None) -> BigramModel:
+    """The model of df's sentences; tokens are their sentence_tokens, if they are there already."""
+    tokens = sentence_tokens(df, keys, pos, text) if tokens is None else tokens
+    pairs = stored(token_pairs(tokens, keys, pos).groupBy("h", "w").agg(F.count("*").alias("c")))
     words = stored(pairs.groupBy("w").agg(F.sum("c").alias("cw")))
     n_tokens, n_words = words.agg(F.coalesce(F.sum("cw"), F.lit(0)), F.count("*")).first()
     return BigramModel(pairs, stored(pairs.groupBy("h").agg(F.sum("c").alias("ch"))), words, n_tokens, n_words)
@@ -62,11 +67,15 @@ def log_probabilities(model: BigramModel, pairs: DataFrame) -> DataFrame:
     return known.select("h", "w", F.log((count("c") + MASS * unigram) / (count("ch") + MASS)).alias("lnp"))
 
 
-def score_sentences(df: DataFrame, model: BigramModel, keys: list[str], pos: str, text: str) -> DataFrame:
-    """(keys, pos, n_tokens, loss, perplexity): each sentence's mean negative log-probability; NaN where it has no tokens."""
-    held = stored(sentence_pairs(df, keys, pos, text))
+def score_sentences(df: DataFrame, model: BigramModel, keys: list[str], pos: str, text: str, tokens: DataFrame | None = None) -> DataFrame:
+    """(keys, pos, n_tokens, loss, perplexity): each sentence's mean negative log-probability; NaN where it has no tokens.
+
+    tokens are df's sentence_tokens, if they are there already. Places meet the
+    probabilities of their pairs once, without being counted before.
+    """
+    held = token_pairs(sentence_tokens(df, keys, pos, text) if tokens is None else tokens, keys, pos)
     scored = held.join(log_probabilities(model, held.select("h", "w").distinct()), ["h", "w"])
-    sums = scored.groupBy(*keys, pos).agg(F.sum("m").alias("n_tokens"), (-F.sum(F.col("m") * F.col("lnp")) / F.sum("m")).alias("loss"))
+    sums = scored.groupBy(*keys, pos).agg(F.count("*").alias("n_tokens"), (-F.sum("lnp") / F.count("*")).alias("loss"))
     out = df.select(*keys, pos).join(sums, [*keys, pos], "left")
     loss = F.coalesce("loss", F.lit(float("nan")))
     return out.select(*keys, pos, F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), loss.alias("loss"), perplexity(loss).alias("perplexity"))

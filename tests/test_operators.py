@@ -497,3 +497,10 @@ def test_groups_pass_one_at_a_time(spark):
     got = out.collect()
     assert sorted(r.id for r in got) == list(range(400)) and all(r.doc == r.id % 50 for r in got)
     assert max(r.most for r in got) <= 2
+
+
+def test_pairs_of_a_sentence_are_not_shuffled(spark):
+    df = spark.createDataFrame([("a", 0, "x y x y"), ("a", 1, ""), ("a", 2, "z")], "doc string, pos int, text string")
+    pairs = ngrams.token_pairs(ngrams.sentence_tokens(df, ["doc"], "pos", "text"), ["doc"], "pos")
+    assert "Exchange" not in pairs._jdf.queryExecution().executedPlan().toString()
+    assert rows(pairs.select("pos", "h", "w")) == [(0, "", "x"), (0, "x", "y"), (0, "x", "y"), (0, "y", "x"), (2, "y", "z")]
