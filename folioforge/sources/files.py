@@ -1,14 +1,21 @@
-"""JSON, text and glossary files in; JSON, text and tagged files out. All through Spark's own readers and writers."""
+"""JSON, text and glossary files in; JSON, text and tagged files out.
+
+Through Spark's own readers and writers, but for trees of many small files: those
+are written, found and read by tasks, as Spark's reader keeps every name on the
+driver and opens 32 files a task at most.
+"""
 
 from __future__ import annotations
 
 import hashlib
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,7 +25,103 @@ OCR = "struct<input_path:string,rec_texts:array<string>,rec_scores:array<double>
 GLOSSARY = "array<struct<jp:string,tw:string,info:string,match:array<string>>>"
 
 
+#: Names, files and bytes of files that a task hands on at once.
+NAMES_AT_ONCE, FILES_AT_ONCE, BYTES_AT_ONCE = 10_000, 1_000, 4 << 20
+#: Suffixes of files that Spark's readers decompress.
+PACKED = {"bz2", "deflate", "gz", "lz4", "snappy", "zst", "zstd"}
+
+
+def _hidden(name: str, folder: bool) -> bool:
+    """Whether Spark's readers pass over a file or folder of this name."""
+    out = name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+    return out and not (folder and name.startswith(("_common_metadata", "_metadata")))
+
+
+def _quoted(path: str) -> str:
+    """A local path as the URI that input_file_name() gives."""
+
+    def code(m: re.Match) -> str:
+        c = m[0]
+        return "".join(f"%{b:02X}" for b in c.encode("utf-8", "surrogateescape")) if c < "\x80" or c.isspace() or c <= "\x9f" else c
+
+    return "file://" + re.sub(r"""[^A-Za-z0-9\-_.!~*'():@&=+$,;/]""", code, path)
+
+
+def _found(spark: SparkSession, root: str, suffix: str) -> DataFrame:
+    """(path): the files of a local tree whose names end so. One task lists the root, others what is below its folders."""
+
+    def listed(folder: str, deep: bool) -> Iterator[tuple[str, bool]]:
+        with os.scandir(folder) as entries:
+            for e in entries:
+                is_folder = e.is_dir()
+                if _hidden(e.name, is_folder):
+                    continue
+                if not is_folder:
+                    if e.name.endswith(suffix):
+                        yield e.path, False
+                elif deep:
+                    yield from listed(e.path, True)
+                else:
+                    yield e.path, True
+
+    def batches_of(items: Iterator[tuple[str, bool]]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for item in items:
+            held.append(item)
+            if len(held) == NAMES_AT_ONCE:
+                yield packed(held)
+                held = []
+        yield packed(held)
+
+    def packed(held: list[tuple[str, bool]]) -> pa.RecordBatch:  # names are bytes, not always UTF-8
+        return pa.RecordBatch.from_arrays([pa.array([os.fsencode(p) for p, _ in held], pa.binary()), pa.array([d for _, d in held], pa.bool_())], names=["path", "folder"])
+
+    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                yield from batches_of(listed(root, False))
+
+    def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, folder in zip(*(c.to_pylist() for c in batch.columns)):
+                own = os.fsdecode(path)
+                yield from batches_of(listed(own, True) if folder else iter([(own, False)]))
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kind = "path binary, folder boolean"
+    return spark.range(1, numPartitions=1).mapInArrow(top, kind).repartition(n).mapInArrow(below, kind).select("path").repartition(n)
+
+
+def _read_tree(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+    """(file, text) of a local tree as Spark's reader has them, found and read by tasks."""
+    root = "/" + path.removeprefix("file:").strip("/")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, texts, size = [], [], 0
+            for own in batch.column(0).to_pylist():
+                with open(own, "rb") as source:
+                    data = source.read()
+                if data:  # empty files have no row
+                    names.append(_quoted(os.fsdecode(own)))
+                    texts.append(data)
+                    size += len(data)
+                if size >= BYTES_AT_ONCE or len(names) == FILES_AT_ONCE:
+                    yield packed(names, texts)
+                    names, texts, size = [], [], 0
+            yield packed(names, texts)
+
+    def packed(names: list[str], texts: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([n.encode("utf-8", "surrogateescape") for n in names], pa.binary()), pa.array(texts, pa.binary())], names=["file", "text"])
+
+    files = _found(spark, root, suffix).mapInArrow(run, "file binary, text binary")
+    return files.select(F.col("file").cast("string").alias("file"), F.col("text").cast("string").alias("text"))
+
+
 def _whole(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    plain = re.fullmatch(r"\*(\.\w+)", glob)
+    if path.startswith("file:") and plain and plain[1][1:] not in PACKED and not re.search(r"[*?\[\]{}\\]", path):
+        return _read_tree(spark, path, plain[1])
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
     return files.select(F.input_file_name().alias("file"), F.col("value").alias("text"))
 
@@ -94,13 +197,18 @@ def write_named_texts(df: DataFrame, path: str, name: str, text: str) -> int:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, root = fs.FileSystem.from_uri(path)
         system.create_dir(root)
+        made = set()
         for batch in batches:
             for n, t in zip(batch["name"], batch["text"]):
                 part = f"{root}/.{uuid.uuid4().hex}"
                 with system.open_output_stream(part, compression=None) as out:
                     out.write(t if isinstance(t, bytes) else (t or "").encode())
-                if "/" in n:
-                    system.create_dir(f"{root}/{n.rpartition('/')[0]}")
+                folder = n.rpartition("/")[0]
+                if folder and folder not in made:
+                    system.create_dir(f"{root}/{folder}")
+                    if len(made) == NAMES_AT_ONCE:
+                        made.clear()
+                    made.add(folder)
                 system.move(part, f"{root}/{n}")
             yield pd.DataFrame({"n": [len(batch)]})
 

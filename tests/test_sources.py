@@ -187,3 +187,21 @@ def test_one_file_for_each_name_in_order(spark, tmp_path, side_by_side, separato
     assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["a", "b", "c", "only"]
     assert {r.name: r.md5 for r in files.file_digests(files.write_joined(df, f"file://{tmp_path}/more", "name", ["i", "j"], "text", separator)).collect()} == {n: hashlib.md5(t).hexdigest() for n, t in expected.items()}
     assert files.write_joined(df.limit(0), f"file://{tmp_path}/none", "name", ["i", "j"], "text").count() == 0
+
+
+def test_tree_of_files_is_found_and_read_by_tasks(spark, tmp_path):
+    root = tmp_path / "tree"
+    texts = {
+        "a/1.json": b'{"x": 1}\r\n', "a/b c/2%+#?.json": "\u9577\u3000".encode(), "a/b c/\u9577\u3000\u00e9[{^`|}\"<>~.json": b"x", "3.json": b"\xff\xfe", "a/b=c/_part=1.json": b"k",
+        "empty.json": b"", "_hidden.json": b"h", ".hidden.json": b"h", "_folder/4.json": b"h", "a/5.json._COPYING_": b"h", "_metadata.json": b"m", "_metadata/8.json": b"n", "a/6.txt": b"t", "a/7.json.gz": b"g",
+    }
+    for name, data in texts.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(data)
+    (root / "linked").symlink_to(root / "a")
+    reader = spark.read.text(f"file://{root}", wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
+    expected = reader.select(F.input_file_name().alias("file"), F.col("value").cast("binary").alias("data")).collect()
+    tree = files.read_texts(spark, f"file://{root}", "*.json")
+    rows = tree.select("file", F.col("text").cast("binary").alias("data")).collect()
+    assert len(rows) == 10 and sorted((r.file, bytes(r.data)) for r in rows) == sorted((r.file, bytes(r.data)) for r in expected)
+    assert tree.inputFiles() == []  # the driver holds no names, Spark's reader all of them
