@@ -1,13 +1,14 @@
-"""Delimiter-preserving segmentation as Spark SQL expressions.
+"""Delimiter-preserving segmentation: Spark SQL expressions, and the cascade of them in Arrow batches.
 
-All functions take and return Columns, so they stay inside Catalyst; nothing
-here runs Python per row.
+All functions take and return Columns.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ CLOSERS = "」』）)"
 ENDERS = "。.！!？?；;"
 COMMAS = "，,：:、"
 MAX_PIECE = 256
+#: Texts of a batch that are Python objects at once.
+TEXTS_AT_ONCE = 64
 
 
 def char_class(symbols: str) -> str:
@@ -42,19 +45,37 @@ def hard_slices(text: Column, size: int = MAX_PIECE) -> Column:
     )
 
 
-def _refine(pieces: Column, symbols: str, limit: int) -> Column:
-    return F.flatten(F.transform(pieces, lambda s: F.when(F.length(s) <= limit, F.array(s)).otherwise(segment(s, symbols))))
-
-
 def segment_cascade(text: Column, limit: int = MAX_PIECE, keep_newline: bool = True) -> Column:
     """Segments by line, closers, enders, commas and at last fixed slices.
 
     Each level touches only the pieces that are still longer than `limit`. With
     keep_newline the later levels treat a newline as a delimiter too, so that it
-    stays with the piece before it.
+    stays with the piece before it. Texts pass in Arrow batches, as array
+    expressions in expressions are interpreted element by element; bytes that are
+    no UTF-8 become U+FFFD, as in Spark's expressions of patterns.
     """
     extra = NEWLINE if keep_newline else ""
-    pieces = segment(text, NEWLINE)
-    for level in (CLOSERS, ENDERS, COMMAS):
-        pieces = _refine(pieces, extra + level, limit)
-    return F.flatten(F.transform(pieces, lambda s: F.when(F.length(s) <= limit, F.array(s)).otherwise(hard_slices(s, limit))))
+    levels = [char_class(s) for s in (NEWLINE, *(extra + level for level in (CLOSERS, ENDERS, COMMAS)))]
+
+    @F.arrow_udf("array<string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # the pieces of `segment`, without its step back from a text's end
+        lines, *finer = (re.compile(f"[^{s}]+[{s}]*|[{s}]+").findall for s in levels)
+
+        def cut(data: bytes | None) -> list[str] | None:
+            if data is None:
+                return None
+            pieces = lines(data.decode(errors="replace"))
+            for level in finer:
+                pieces = [q for p in pieces for q in ((p,) if len(p) <= limit else level(p))]
+            return [q for p in pieces for q in ((p,) if len(p) <= limit else [p[k : k + limit] for k in range(0, len(p), limit)])]
+
+        kind = pa.list_(pa.string())
+        # a batch stays in Arrow; some texts at a time are Python objects
+        for texts in batches:
+            data = texts.cast(pa.binary())
+            parts = (data.slice(i, TEXTS_AT_ONCE) for i in range(0, len(data), TEXTS_AT_ONCE))
+            yield pa.concat_arrays([pa.array([], kind), *(pa.array([cut(t) for t in part.to_pylist()], kind) for part in parts)])
+        pa.default_memory_pool().release_unused()
+
+    return run(text)

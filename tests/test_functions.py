@@ -36,6 +36,36 @@ def test_cascade(spark):
     assert one(spark, "", seg.segment_cascade) == []
 
 
+@pytest.mark.parametrize("keep_newline", [True, False])
+def test_cascade_takes_one_pass_over_a_text(spark, keep_newline):
+    extra = "\n" if keep_newline else ""
+
+    def refine(pieces, symbols):
+        parts = F.when(F.length("s") <= 256, F.array("s")).otherwise(seg.segment(F.col("s"), symbols))
+        rows = spark.createDataFrame(list(enumerate(pieces)), "i int, s string").coalesce(1).select("i", parts.alias("y")).collect()
+        return [q for r in sorted(rows) for q in r.y]
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(["x" * rng.randrange(90), "長𠮷 \t\r\u2028\x00", rng.choice("\n」』）).。.！!？?；;，,：:、]^\\-[")]) for _ in range(200)) for _ in range(3)]
+    texts += ["", "\n", "\n\na", "𠮷" * 257, "𠮷" * 256, "a" * 300 + "\n\n", ("b" * 255 + "，\n") * 2, None, "c" * 513]
+    frame = spark.createDataFrame(list(enumerate(texts)), "k int, x string").coalesce(1)
+    mine = frame.select("k", seg.segment_cascade(F.col("x"), keep_newline=keep_newline).alias("y"))
+    lines = dict(frame.select("k", seg.segment(F.col("x"))).collect())
+    mark = "\x01"  # tells pieces of different texts apart, and is no delimiter
+    expected = {k: list(lines[k] or []) for k in lines}
+    for level in (seg.CLOSERS, seg.ENDERS, seg.COMMAS):
+        flat = refine([p for k in sorted(expected) for p in [*expected[k], mark]], extra + level)
+        ends = [-1, *(i for i, p in enumerate(flat) if p == mark)]
+        expected = {k: flat[ends[k] + 1 : ends[k + 1]] for k in range(len(texts))}
+    sliced = {k: [q for p in v for q in ([p] if len(p) <= 256 else [p[i : i + 256] for i in range(0, len(p), 256)])] for k, v in expected.items()}
+    found = dict(mine.collect())
+    assert found.pop(texts.index(None)) is None and found == {k: v for k, v in sliced.items() if texts[k] is not None}
+    bad = spark.sql("SELECT cast(x'61FF0A62E9950AC328' AS string) AS x")
+    assert bad.select(seg.segment_cascade(F.col("x"), keep_newline=keep_newline).alias("y")).first() == bad.select(seg.segment(F.col("x")).alias("y")).first()
+    plan = mine._jdf.queryExecution().executedPlan().toString()
+    assert "transform(" not in plan and plan.count("ArrowEvalPython") == 1  # no interpreted expressions, once a text
+
+
 def test_truncate_and_collapse(spark):
     assert one(spark, "abcdefghijklmnop", lambda c: tx.truncate_middle(c, 10)) == "abc...mnop"
     assert one(spark, "　 a\n\n\nb \n", tx.collapse_newlines) == "a\nb"
