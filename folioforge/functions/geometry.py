@@ -1,22 +1,21 @@
-"""Plane geometry as expressions. Points are structs (x, y), polygons arrays of them."""
+"""Plane geometry as expressions, the gap of two polygons as arrays of whole Arrow batches. Points are structs (x, y), polygons arrays of them."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from folioforge.operators import box_batches as shape
+
 
 def point(x, y) -> Column:
     as_double = lambda v: (v if isinstance(v, Column) else F.lit(v)).cast("double")
     return F.struct(as_double(x).alias("x"), as_double(y).alias("y"))
 
 
-def projection(polygon: Column, nx: Column, ny: Column) -> tuple[Column, Column]:
-    """Smallest and largest coordinate of a polygon along an axis."""
-    on_axis = F.transform(polygon, lambda p: p["x"] * nx + p["y"] * ny)
-    return F.array_min(on_axis), F.array_max(on_axis)
-
-
 def edge_normals(polygon: Column) -> Column:
     """Unit normals of the edges that have a length."""
     n = F.size(polygon)
@@ -31,14 +30,18 @@ def edge_normals(polygon: Column) -> Column:
 
 
 def overlap_gap(a: Column, b: Column) -> Column:
-    """How far two convex polygons can move apart at least before some edge normal parts them; negative if one does."""
+    """How far two convex polygons can move apart at least before some edge normal parts them; negative if one does.
+
+    Edges without a length, or with a null, have no normal, and points with a
+    null are passed over; null if either polygon is null or no normal is left.
+    """
 
-    def gap(v):
-        lo_a, hi_a = projection(a, v["x"], v["y"])
-        lo_b, hi_b = projection(b, v["x"], v["y"])
-        return F.least(hi_a - lo_b, hi_b - lo_a)
+    @F.arrow_udf("double")
+    def run(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for p, q in pairs:
+            yield shape.gaps(p, q)
 
-    return F.array_min(F.transform(F.concat(edge_normals(a), edge_normals(b)), gap))
+    return run(a, b)
 
 
 def polygons_overlap(a: Column, b: Column, threshold: float = 0.0) -> Column:

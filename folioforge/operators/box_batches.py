@@ -77,6 +77,50 @@ def overlapping(p: Polygons, i: np.ndarray, q: Polygons, j: np.ndarray, threshol
     return out
 
 
+def _spans(x: np.ndarray, y: np.ndarray, known: np.ndarray | None, nx: np.ndarray, ny: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest and largest coordinate along an axis of polygons of a column each; NaN is larger than any other."""
+    v = x * nx + y * ny
+    if known is None:
+        return np.fmin.reduce(v), v.max(0)
+    return np.fmin.reduce(np.where(known, v, np.nan)), np.where(known, v, -np.inf).max(0)
+
+
+def gaps(a: pa.Array, b: pa.Array) -> pa.Array:
+    """`geometry.overlap_gap`, pair by pair."""
+
+    def corners(column: pa.Array) -> tuple[Polygons, np.ndarray | None]:
+        x, y = column.flatten().flatten()
+        known = x.is_valid().to_numpy(zero_copy_only=False) & y.is_valid().to_numpy(zero_copy_only=False)
+        return polygons(column), None if known.all() else known
+
+    (p, pknown), (q, qknown) = corners(a), corners(b)
+    out, some = np.full(len(a), np.nan), np.zeros(len(a), bool)
+    kinds = p.sizes * (int(q.sizes.max(initial=0)) + 1) + q.sizes
+    for kind in np.unique(kinds[(p.sizes > 0) & (q.sizes > 0)]):
+        own = np.flatnonzero(kinds == kind)
+        sizes = p.sizes[own[0]], q.sizes[own[0]]
+        step = max(1, AT_ONCE // int(sum(sizes)))
+        for k in range(0, len(own), step):
+            part = own[k : k + step]
+            # a point to a row: short columns would be reduced one pair at a time
+            at = [of.at[part] + np.arange(n)[:, None] for of, n in zip((p, q), sizes)]
+            pair = [(of.x[i], of.y[i], None if known is None else known[i]) for of, known, i in zip((p, q), (pknown, qknown), at)]
+            with np.errstate(all="ignore"):
+                for (x, y, known), n in zip(pair, sizes):
+                    for e in range(n):
+                        f = (e + 1) % n
+                        ex, ey = x[f] - x[e], y[f] - y[e]
+                        length = np.sqrt(ex * ex + ey * ey)
+                        normal = length != 0 if known is None else (length != 0) & known[e] & known[f]
+                        (low, high), (other_low, other_high) = (_spans(*one, -ey / length, ex / length) for one in pair)
+                        gap = np.where(normal, np.fmin(high - other_low, other_high - low), np.nan)
+                        out[part], some[part] = np.fmin(out[part], gap), some[part] | normal
+            for _, _, known in pair:
+                if known is not None:
+                    some[part] &= known.any(0)
+    return pa.array(out, mask=~some)
+
+
 def page_pairs(page: np.ndarray, shapes: Polygons, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of polygons of one page that overlap; those of a page stand together."""
     fit, n = shapes.sound(), len(page)

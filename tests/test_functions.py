@@ -183,3 +183,34 @@ def test_phrases_of_more_texts_than_are_held_at_once(spark):
     df = spark.range(n).coalesce(1).select("id", F.when(F.col("id") % 7 > 0, F.concat(F.lit("and é an "), F.col("id"))).alias("t"))
     got = df.select("id", tx.convert_characters(F.col("t"), {"é": "e"}, {"an": "1", "and": "2"}).alias("c")).collect()
     assert {r.id: r.c for r in got} == {i: f"2 e 1 {i}" if i % 7 else None for i in range(n)}
+
+
+def test_gaps_of_batches_equal_the_expressions(spark):
+    def span(polygon, v):
+        on_axis = F.transform(polygon, lambda p: p["x"] * v["x"] + p["y"] * v["y"])
+        return F.array_min(on_axis), F.array_max(on_axis)
+
+    def gap(a, b, v):
+        (lo_a, hi_a), (lo_b, hi_b) = span(a, v), span(b, v)
+        return F.least(hi_a - lo_b, hi_b - lo_a)
+
+    a, b = F.col("a"), F.col("b")
+    plain = F.array_min(F.transform(F.concat(geo.edge_normals(a), geo.edge_normals(b)), lambda v: gap(a, b, v)))
+    rng = random.Random(3)
+
+    def number():
+        return rng.choice([None, float("nan"), float("inf"), 0.0, -0.0, 1e200]) if rng.random() < 0.03 else rng.choice([rng.randrange(6) / 1.0, rng.uniform(-5, 5)])
+
+    def polygon():
+        if rng.random() < 0.03:
+            return None
+        points = [(number(), number()) for _ in range(rng.randrange(1, 6))]
+        return [rng.choice(points) for _ in points] if rng.random() < 0.1 else [None if rng.random() < 0.02 else p for p in points]
+
+    pairs = spark.createDataFrame([(i, polygon(), polygon()) for i in range(3000)], "i int, a array<struct<x:double,y:double>>, b array<struct<x:double,y:double>>").coalesce(2)
+    rows = pairs.select(plain.alias("plain"), geo.overlap_gap(a, b).alias("gap")).collect()
+    same = [r.plain == r.gap or r.plain is not None and r.gap is not None and r.plain != r.plain and r.gap != r.gap for r in rows]
+    assert all(same) and sum(r.plain is None for r in rows) > 50 and sum(r.plain is not None and r.plain != 0 for r in rows) > 1000
+    empty = pairs.limit(1).select(geo.overlap_gap(F.array().cast("array<struct<x:double,y:double>>"), F.array(geo.point(0, 0), geo.point(1, 0))).alias("y"))
+    assert empty.first().y is None
+    assert "transform(" not in pairs.select(geo.overlap_gap(a, b))._jdf.queryExecution().executedPlan().toString()
