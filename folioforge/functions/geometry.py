@@ -1,4 +1,4 @@
-"""Plane geometry as expressions, the gap of two polygons as arrays of whole Arrow batches. Points are structs (x, y), polygons arrays of them."""
+"""Plane geometry as expressions, the gap of two polygons and points in polygons as arrays of whole Arrow batches. Points are structs (x, y), polygons arrays of them."""
 
 from __future__ import annotations
 
@@ -70,7 +70,18 @@ def segments_intersect(a: Column, b: Column, c: Column, d: Column) -> Column:
 
 
 def point_in_polygon(polygon: Column, p: Column) -> Column:
-    """Whether p is in or on a convex polygon, whichever way it turns."""
+    """Whether p is in or on a convex polygon, whichever way it turns; null if nulls leave it open."""
+
+    @F.arrow_udf("boolean")
+    def run(pairs: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for polygons, points in pairs:
+            yield shape.inside(polygons, points)
+
+    return run(polygon, p)
+
+
+def _inside(polygon: Column, p: Column) -> Column:
+    """point_in_polygon as an expression, for use in others."""
     n = F.size(polygon)
     turns = F.transform(F.sequence(F.lit(0), n - 1), lambda i: orientation(F.get(polygon, i), F.get(polygon, (i + 1) % n), p))
     return F.forall(turns, lambda t: t >= 0) | F.forall(turns, lambda t: t <= 0)
@@ -148,7 +159,7 @@ def merged_quad(points: Column, width: Column, height: Column) -> Column:
             nearer = point_distance(a, p) < point_distance(b, p)
             moved = F.when(nearer, line_intersection(a, F.get(quad, (i + 3) % 4), p, b)).otherwise(line_intersection(b, F.get(quad, (i + 2) % 4), p, a))
             wider = _let(moved, lambda m: F.when(m.isNull(), quad).otherwise(_put(quad, F.when(nearer, i).otherwise(j), m)))
-            return F.when(point_in_polygon(quad, p), quad).otherwise(wider)
+            return F.when(_inside(quad, p), quad).otherwise(wider)
 
         return F.aggregate(far, start, step)
 

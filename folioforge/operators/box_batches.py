@@ -85,15 +85,16 @@ def _spans(x: np.ndarray, y: np.ndarray, known: np.ndarray | None, nx: np.ndarra
     return np.fmin.reduce(np.where(known, v, np.nan)), np.where(known, v, -np.inf).max(0)
 
 
-def gaps(a: pa.Array, b: pa.Array) -> pa.Array:
-    """`geometry.overlap_gap`, pair by pair."""
+def _known(points: pa.StructArray) -> np.ndarray | None:
+    """Whether a point has both coordinates; None if all have."""
+    x, y = points.flatten()
+    known = x.is_valid().to_numpy(zero_copy_only=False) & y.is_valid().to_numpy(zero_copy_only=False)
+    return None if known.all() else known
 
-    def corners(column: pa.Array) -> tuple[Polygons, np.ndarray | None]:
-        x, y = column.flatten().flatten()
-        known = x.is_valid().to_numpy(zero_copy_only=False) & y.is_valid().to_numpy(zero_copy_only=False)
-        return polygons(column), None if known.all() else known
 
-    (p, pknown), (q, qknown) = corners(a), corners(b)
+def gaps(a: pa.Array, b: pa.Array) -> pa.Array:
+    """`geometry.overlap_gap`, pair by pair."""
+    (p, pknown), (q, qknown) = ((polygons(c), _known(c.flatten())) for c in (a, b))
     out, some = np.full(len(a), np.nan), np.zeros(len(a), bool)
     kinds = p.sizes * (int(q.sizes.max(initial=0)) + 1) + q.sizes
     for kind in np.unique(kinds[(p.sizes > 0) & (q.sizes > 0)]):
@@ -121,6 +122,36 @@ def gaps(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, mask=~some)
 
 
+def inside(column: pa.Array, points: pa.StructArray) -> pa.Array:
+    """`geometry.point_in_polygon`, pair by pair."""
+    shapes, known, own_known = polygons(column), _known(column.flatten()), _known(points)
+    x, y = (c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in points.flatten())
+    out, open_ = np.zeros(len(column), bool), column.is_null().to_numpy(zero_copy_only=False).copy()
+    for n in np.unique(shapes.sizes[shapes.sizes > 0]):
+        own = np.flatnonzero(shapes.sizes == n)
+        step = max(1, AT_ONCE // int(n))
+        for k in range(0, len(own), step):
+            part = own[k : k + step]
+            at = shapes.at[part] + np.arange(n)[:, None]
+            ax, ay = shapes.x[at], shapes.y[at]
+            bx, by = np.roll(ax, -1, 0), np.roll(ay, -1, 0)
+            with np.errstate(all="ignore"):
+                turns = (bx - ax) * (y[part] - ay) - (by - ay) * (x[part] - ax)
+                left, right = ~(turns < 0), turns <= 0  # NaN is larger than any other number, as in Spark
+            if known is None and own_known is None:
+                out[part] = left.all(0) | right.all(0)
+                continue
+            sure = np.ones(at.shape, bool)
+            if known is not None:
+                sure &= known[at] & np.roll(known[at], -1, 0)
+            if own_known is not None:
+                sure &= own_known[part]
+            may = (left | ~sure).all(0) | (right | ~sure).all(0)
+            out[part] = may & sure.all(0)
+            open_[part] = may & ~sure.all(0)
+    return pa.array(out, mask=open_)
+
+
 def page_pairs(page: np.ndarray, shapes: Polygons, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of polygons of one page that overlap; those of a page stand together."""
     fit, n = shapes.sound(), len(page)

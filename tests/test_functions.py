@@ -214,3 +214,22 @@ def test_gaps_of_batches_equal_the_expressions(spark):
     empty = pairs.limit(1).select(geo.overlap_gap(F.array().cast("array<struct<x:double,y:double>>"), F.array(geo.point(0, 0), geo.point(1, 0))).alias("y"))
     assert empty.first().y is None
     assert "transform(" not in pairs.select(geo.overlap_gap(a, b))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_points_in_polygons_of_batches_equal_the_expressions(spark):
+    rng = random.Random(4)
+
+    def number():
+        return rng.choice([None, float("nan"), float("inf"), -0.0, 1e200]) if rng.random() < 0.03 else float(rng.randrange(4))
+
+    def polygon():
+        if rng.random() < 0.4:
+            x, y, w, h = (rng.randrange(3) for _ in range(4))
+            return [(float(a), float(b)) for a, b in ((x, y), (x + w, y), (x + w, y + h), (x, y + h))][:: rng.choice([1, -1])]
+        return None if rng.random() < 0.03 else [None if rng.random() < 0.02 else (number(), number()) for _ in range(rng.randrange(1, 6))]
+
+    rows = [(i, polygon(), None if rng.random() < 0.02 else (number(), number())) for i in range(4000)]
+    pairs = spark.createDataFrame(rows, "i int, a array<struct<x:double,y:double>>, p struct<x:double,y:double>").coalesce(2)
+    found = pairs.select(geo._inside(F.col("a"), F.col("p")).alias("plain"), geo.point_in_polygon(F.col("a"), F.col("p")).alias("inside")).collect()
+    assert [r.inside for r in found] == [r.plain for r in found] and all(sum(r.plain is v for r in found) > 50 for v in (None, True, False))
+    assert "transform(" not in pairs.select(geo.point_in_polygon(F.col("a"), F.col("p")))._jdf.queryExecution().executedPlan().toString()
