@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,9 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from folioforge.functions import vectors as vectors_of
-from folioforge.operators.models import Batching, CharacterScorer, Embedder, HashedEmbedder, RegexTokenizer, Scorer, WindowScorer, embed_texts, text_key
-from folioforge.sources.files import stored
+from folioforge.operators.models import Batching, CharacterScorer, Embedder, HashedEmbedder, RegexTokenizer, Scorer, WindowScorer, packed
 
 # Budgets in characters, tokens and, for score-driven chunks, characters again.
 MAX_CHARS, MAX_TOKENS, MAX_SCORED = 1280, 896, 768
@@ -330,26 +329,73 @@ def similarity_distribution(df: DataFrame, keys: list[str], pos: str, text: str,
     return _grouped(df, keys, pos, [text], f"`{pos}` {kind}, sentence string, similarity double", rows)
 
 
+#: Characters of contexts that a task holds before it embeds them.
+EMBEDDED_AT_ONCE = 4 << 20
+
+
+def _similarities(pairs: list[tuple[str, str]], embedder: Embedder, batching: Batching) -> list[float]:
+    """The cosines of pairs of texts, distinct ones embedded once, in batches of about the same length."""
+    place = {t: i for i, t in enumerate(dict.fromkeys(t for pair in pairs for t in pair))}
+    sized = sorted((len(RegexTokenizer().tokens(t)), i, t) for t, i in place.items())
+    vectors: list = [None] * len(place)
+    for batch in packed(((n, (i, t)) for n, i, t in sized), batching):
+        for (i, _), v in zip(batch, embedder.embed([t for _, t in batch])):
+            vectors[i] = v
+    return [cosine(vectors[place[a]], vectors[place[b]]) for a, b in pairs]
+
+
 def batched_similarity_distribution(
-    df: DataFrame, keys: list[str], pos: str, text: str, back: int = 2048, ahead: int | None = None, fill: bool = False, embedder: Embedder | None = None, batching: Batching = Batching()
+    df: DataFrame,
+    keys: list[str],
+    pos: str,
+    text: str,
+    back: int = 2048,
+    ahead: int | None = None,
+    fill: bool = False,
+    embedder: Embedder | None = None,
+    batching: Batching = Batching(),
+    at_once: int = EMBEDDED_AT_ONCE,
 ) -> DataFrame:
-    """similarity_distribution with contexts as rows: all distinct ones are embedded once, in batches of about the same
-    length, and their vectors joined back. (keys, pos) are distinct."""
+    """similarity_distribution with texts embedded in batches of about the same length.
+
+    A task gathers contexts of one group after another up to at_once characters
+    and embeds the distinct ones among them. Contexts are many times the size of
+    the sentences, and a vector larger than most; neither leaves the task that made it.
+    """
     embedder = embedder or HashedEmbedder()
+    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    kind = _parse_datatype_string(f"{kinds}, `{pos}` {df.schema[pos].dataType.simpleString()}, sentence string, similarity double")
+    arrow = to_arrow_schema(kind)
+    gathered = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(pos, text))).alias("__rows"))
 
-    def rows(g):
-        pairs = [(None, None), *_contexts(g[text], back, ahead, fill)][: len(g[text])]
-        return {pos: g[pos], "sentence": g[text], "before": [a for a, _ in pairs], "own": [b for _, b in pairs]}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(len(keys))
+            held: list[tuple] = []
+            size = 0
 
-    kind = df.schema[pos].dataType.simpleString()
-    contexts = stored(_grouped(df, keys, pos, [text], f"`{pos}` {kind}, sentence string, before string, own string", rows))
-    sides = F.explode(F.array(*(F.struct(F.lit(c).alias("side"), F.col(c).alias("text")) for c in ("before", "own"))))
-    texts = contexts.filter("before IS NOT NULL").select(*keys, pos, sides.alias("s")).select(*keys, pos, "s.*")
-    vectors = embed_texts(texts, "text", embedder, batching)
-    found = texts.select(*keys, pos, "side", text_key(F.col("text")).alias("key")).join(vectors, "key")
-    both = found.groupBy(*keys, pos).agg(*(F.first(F.when(F.col("side") == c, F.col("vector")), ignorenulls=True).alias(f"{c}_vector") for c in ("before", "own")))
-    similarity = F.when(F.col("before").isNull(), 1.0).otherwise(F.coalesce(vectors_of.cosine(F.col("before_vector"), F.col("own_vector")), F.lit(0.0)))
-    return contexts.join(both, [*keys, pos], "left").select(*keys, pos, "sentence", similarity.alias("similarity"))
+            def finished() -> pa.RecordBatch:
+                found = iter(_similarities([pair for *_, pair in held if pair], embedder, batching))
+                scores = [next(found) if pair else 1.0 for *_, pair in held]
+                again = pa.array([i for i, *_ in held], pa.int64())
+                cells = [batch.column(k).take(again).cast(arrow[k].type) for k in range(len(keys))]
+                rest = ([p for _, p, *_ in held], [t for _, _, t, _ in held], scores)
+                return pa.RecordBatch.from_arrays([*cells, *(pa.array(c, f.type) for c, f in zip(rest, list(arrow)[len(keys) :]))], schema=arrow)
+
+            for i in range(batch.num_rows):
+                places, texts = (c.to_pylist() for c in own.slice(i, 1).flatten().flatten())
+                pairs = itertools.chain([None], _contexts(texts, back, ahead, fill))
+                for p, t, pair in zip(places, texts, pairs):
+                    held.append((i, p, t, pair))
+                    size += len(t or "") + (len(pair[0]) + len(pair[1]) if pair else 0)
+                    if size >= at_once:
+                        yield finished()
+                        held, size = [], 0
+            if held:
+                yield finished()
+        pa.default_memory_pool().release_unused()
+
+    return gathered.mapInArrow(run, kind)
 
 
 def perplexity_distribution(df: DataFrame, keys: list[str], pos: str, text: str, context_chars: int = 4096, scorer: Scorer | None = None) -> DataFrame:

@@ -1124,7 +1124,7 @@ def perplexity_distribution(spark, sf_dir):
 
 @query("similarity_distribution_batched", _similarity_sql(512, 64, False))
 def similarity_distribution_batched(spark, sf_dir):
-    """Contexts as rows, distinct ones embedded in batches of similar length."""
+    """Distinct contexts of several groups embedded in batches of similar length."""
     out = chunking.batched_similarity_distribution(_sentences(spark, sf_dir), ["doc_id"], "pos", "piece", 512, 64)
     return out.withColumn("similarity", F.round("similarity", 6))
 

@@ -367,6 +367,19 @@ def test_batched_similarities_are_the_same(spark, fill, ahead):
     assert np.allclose([r.similarity for r in one], [r.similarity for r in other])
 
 
+def test_contexts_do_not_leave_their_task(spark):
+    """Only the sentences are shuffled, nothing is stored; contexts are embedded whenever some are held."""
+    made = [(d, i, f"line {i % 7} of {d % 2}. ") for d in range(6) for i in range(40)]
+    df = spark.createDataFrame(made, "doc int, pos int, text string")
+    out = chunking.batched_similarity_distribution(df, ["doc"], "pos", "text", 12, 9)
+    assert out.inputFiles() == [] and out._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    expected = chunking.similarity_distribution(df, ["doc"], "pos", "text", 12, 9).orderBy("doc", "pos").collect()
+    for at_once in (1, 500, 1 << 20):
+        got = chunking.batched_similarity_distribution(df, ["doc"], "pos", "text", 12, 9, at_once=at_once, batching=models.Batching(4, 60)).orderBy("doc", "pos").collect()
+        assert [r[:3] for r in got] == [r[:3] for r in expected]
+        assert np.allclose([r.similarity for r in got], [r.similarity for r in expected])
+
+
 def test_windows_of_tokens_against_counting_anew():
     rng = random.Random(2)
     for window in (1, 5, 20):
