@@ -118,9 +118,15 @@ def _read_tree(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     return files.select(F.col("file").cast("string").alias("file"), F.col("text").cast("string").alias("text"))
 
 
+def _is_local(spark: SparkSession, path: str) -> bool:
+    """Whether a path is one of the local file system: by its scheme or, without one, by Hadoop's default."""
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return path.startswith("file:") or path.startswith("/") and default.startswith("file:")
+
+
 def _whole(spark: SparkSession, path: str, glob: str) -> DataFrame:
     plain = re.fullmatch(r"\*(\.\w+)", glob)
-    if path.startswith("file:") and plain and plain[1][1:] not in PACKED and not re.search(r"[*?\[\]{}\\]", path):
+    if _is_local(spark, path) and plain and plain[1][1:] not in PACKED and not re.search(r"[*?\[\]{}\\]", path):
         return _read_tree(spark, path, plain[1])
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
     return files.select(F.input_file_name().alias("file"), F.col("value").alias("text"))

@@ -205,3 +205,14 @@ def test_tree_of_files_is_found_and_read_by_tasks(spark, tmp_path):
     rows = tree.select("file", F.col("text").cast("binary").alias("data")).collect()
     assert len(rows) == 10 and sorted((r.file, bytes(r.data)) for r in rows) == sorted((r.file, bytes(r.data)) for r in expected)
     assert tree.inputFiles() == []  # the driver holds no names, Spark's reader all of them
+
+
+def test_trees_without_a_scheme_are_read_by_tasks(spark, tmp_path):
+    """A shared folder may be set as a plain path; Spark's reader would hold every name of the files there on the driver."""
+    (tmp_path / "t").mkdir()
+    for i in range(3):
+        (tmp_path / "t" / f"{i}.json").write_text(json.dumps({"input_path": str(i), "rec_texts": ["a"]}))
+    for root in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        tree = files.read_json_objects(spark, root)
+        assert tree.inputFiles() == []
+        assert sorted(r.file for r in tree.collect()) == [f"file://{tmp_path}/t/{i}.json" for i in range(3)]
