@@ -1168,8 +1168,9 @@ def ngram_perplexity(spark, sf_dir):
     """Sentences under a bigram model of the whole corpus; those without tokens have no perplexity."""
     sentences = _sentences(spark, sf_dir)
     tokens = ngrams.sentence_tokens(sentences, ["doc_id"], "pos", "piece")
-    model = ngrams.train(sentences, ["doc_id"], "pos", "piece", tokens)
-    out = ngrams.score_sentences(sentences, model, ["doc_id"], "pos", "piece", tokens).filter("n_tokens > 0")
+    counted = ngrams.block_pairs(tokens, ["doc_id"], "pos")
+    model = ngrams.train(sentences, ["doc_id"], "pos", "piece", tokens, counted)
+    out = ngrams.score_sentences(sentences, model, ["doc_id"], "pos", "piece", tokens, counted).filter("n_tokens > 0")
     return out.withColumn("loss", F.round("loss", 6)).withColumn("perplexity", F.round("perplexity", 6))
 
 

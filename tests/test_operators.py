@@ -517,3 +517,22 @@ def test_pairs_of_a_sentence_are_not_shuffled(spark):
     pairs = ngrams.token_pairs(ngrams.sentence_tokens(df, ["doc"], "pos", "text"), ["doc"], "pos")
     assert "Exchange" not in pairs._jdf.queryExecution().executedPlan().toString()
     assert rows(pairs.select("pos", "h", "w")) == [(0, "", "x"), (0, "x", "y"), (0, "x", "y"), (0, "y", "x"), (2, "y", "z")]
+
+
+def test_places_of_pairs_are_not_shuffled(spark):
+    """Blocks of any size give the same losses; what is shuffled is sentences, and pairs once for each block that holds them."""
+    rng = random.Random(4)
+    made = [(d, i, " ".join(rng.choices(["a", "b", "c.", "\u3000x", "\t"], k=rng.randrange(9)))) for d in range(5) for i in range(20)]
+    df = spark.createDataFrame(made, "doc int, pos int, text string")
+    tokens = ngrams.sentence_tokens(df, ["doc"], "pos", "text")
+    expected = None
+    for block_tokens in (10, 100, 1 << 20):
+        counted = ngrams.block_pairs(tokens, ["doc"], "pos", block_tokens)
+        assert counted.count() == counted.select("h", "w").distinct().count() and counted.agg(F.sum("c")).first()[0] == tokens.agg(F.sum(F.size("t"))).first()[0]
+        model = ngrams.train(df, ["doc"], "pos", "text", tokens, counted)
+        for own in (counted, None):
+            scored = ngrams.score_sentences(df, model, ["doc"], "pos", "text", tokens, own, block_tokens)
+            got = [(r.doc, r.pos, r.n_tokens, round(r.loss, 9) if r.n_tokens else "none") for r in scored.orderBy("doc", "pos").collect()]
+            assert len(got) == 100 and got == (expected := expected or got)
+        plan = scored._jdf.queryExecution().optimizedPlan().toString()
+        assert "arrays_zip" not in plan and "Generate explode(arrays" not in plan
