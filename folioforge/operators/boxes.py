@@ -141,7 +141,9 @@ def box_groups(boxes: DataFrame, page: str, box: str, polygon: str, threshold: f
     """
     cut = boxes.select(F.col(page).alias("page"), F.col(box).alias("box"), F.col(polygon).alias("poly"), *(c.alias(n) for n, c in (keep or {}).items()))
     kinds = stored(cut.groupBy("page", "poly").agg(F.min("box").alias("first")))
-    pairs = overlapping_pairs(kinds, "page", "first", "poly", threshold, 0)
+    # a page has fewer polygons than boxes if there are copies: with few of them it is one cell, and each is shuffled once and
+    # not for every cell of every grid in use
+    pairs = overlapping_pairs(kinds, "page", "first", "poly", threshold)
     found = connected_groups(pairs, "page", "a", "b", LOCAL_PAIRS).withColumnRenamed("node", "first")
     # a sound polygon with an edge overlaps its copies
     alike = F.exists("poly", lambda p: p != F.get("poly", F.lit(0))) & F.forall("poly", _sound_point)
@@ -308,8 +310,8 @@ def merge_boxes(
     """(page, group, n_boxes, quad): groups of overlapping boxes scored `least` or more; a box alone keeps its polygon.
 
     The group's number is its smallest box. Pages of small_page boxes at most are
-    settled as a row each; larger ones by grids, rounds over all tasks and
-    rows of groups. Both ways give the same rows.
+    settled as a row each; larger ones by overlaps, on grids if copies leave them
+    many polygons, rounds over all tasks and rows of groups. Both ways give the same rows.
     """
     kept = boxes if score is None else boxes.filter(F.col(score) >= least)
     if not small_page:

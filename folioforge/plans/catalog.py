@@ -910,7 +910,7 @@ def merge_bboxes(spark, sf_dir):
 
 @query("merge_bboxes_tiled", _merged_sql())
 def merge_bboxes_tiled(spark, sf_dir):
-    """All pages as large ones are: grids, rounds and expressions."""
+    """All pages as large ones are: copies joined, overlaps (on grids where a page has many polygons), groups, rows of groups."""
     sized = _quads(spark, sf_dir).withColumn("width", F.lit(160.0)).withColumn("height", F.lit(120.0))
     return _corners(boxes.merge_boxes(sized, "l_orderkey", "box", "quad", small_page=0))
 

@@ -536,3 +536,19 @@ def test_places_of_pairs_are_not_shuffled(spark):
             assert len(got) == 100 and got == (expected := expected or got)
         plan = scored._jdf.queryExecution().optimizedPlan().toString()
         assert "arrays_zip" not in plan and "Generate explode(arrays" not in plan
+
+
+def test_pages_of_few_polygons_go_to_no_grid(spark, monkeypatch):
+    """On a grid a box is shuffled for every cell of every level; where copies leave few polygons to a page it is one cell."""
+    pages = []
+    tiled = boxes._tiled
+    monkeypatch.setattr(boxes, "_tiled", lambda known, threshold: pages.extend(r.page for r in known.select("page").distinct().collect()) or tiled(known, threshold))
+    rng = random.Random(6)
+    made = [(p, i, float(rng.randrange(40 * n)), float(rng.randrange(40)), 5.0 + i % 9, 4.0) for p, n in (("few", 3), ("many", 9)) for i in range(10 * n)]
+    made += [("copies", i, 1.0, 1.0, 2.0, 2.0) for i in range(300)]
+    df = spark.createDataFrame(made, "page string, box int, x double, y double, w double, h double").withColumn("poly", boxes.quad_column(*(F.col(c) for c in "xywh")))
+    sized = df.withColumn("width", F.lit(90.0)).withColumn("height", F.lit(50.0))
+    got = lambda small: sorted((r.page, r.group, r.n_boxes) for r in boxes.merge_boxes(sized, "page", "box", "poly", small_page=small).collect())
+    spread = got(0)
+    assert pages == ["many"]
+    assert spread == got(1000) and ("copies", 0, 300) in spread
